@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MONEY = "decimal(18,6)"
 SHARE = "decimal(18,9)"
 
 # Look-back windows, as (unit, length).
@@ -52,11 +51,6 @@ def falls_between(df: DataFrame, name: str, first: date, last: date) -> Column:
     return column.try_cast("date").between(F.lit(first), F.lit(last))
 
 
-def mean(total: Column, n: Column, kind: str = MONEY) -> Column:
-    """Exact decimal mean, rounded half up; NULL when nothing was counted."""
-    return (total / F.nullif(n, F.lit(0))).cast(kind)
-
-
 def ratio(numerator: Column, denominator: Column) -> Column:
     """One double division, NULL unless the denominator is positive."""
     return F.when(

@@ -8,15 +8,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promolens.config import FEATURE_FIELDS, ID_COLUMN
-from promolens.functions.expr import SHARE, WINDOWS, mean, ratio, window_start
-from promolens.operators.orders import number_totals, order_customer_map, order_rows
+from promolens.functions.expr import SHARE, WINDOWS, ratio, window_start
+from promolens.functions.money import as_money, mean_micros, merge_sum, start_sum, total
+from promolens.operators.orders import (
+    PIECE_WINDOWS,
+    REVENUE_WINDOWS,
+    number_totals,
+    order_customer_map,
+    order_rows,
+)
 from promolens.sources.tables import SourceTables
 
 UNKNOWN_GENDER = "Undefined"  # fixed value
 
 
-def customer_shop(tables: SourceTables, as_of: date) -> DataFrame:
-    """One row per customer and shop: counts, revenue, pieces, coupons, refunds, prices.
+REVENUES = ("lifetime", *REVENUE_WINDOWS)
+PIECES = ("lifetime", *PIECE_WINDOWS)
+RENAMED = {"discounted_orders": "discounted_orders_lifetime"}
+REFUNDS = ("lifetime", "3m", "6m", "12m")
+COUNTS = (
+    "orders_lifetime",
+    *(f"orders_{w}" for w in WINDOWS),
+    *(f"items_qty_{w}" for w in PIECES),
+    "discounted_orders",
+    *(f"refund_orders_{w}" for w in REFUNDS),
+)
+
+
+def _shop_parts(tables: SourceTables, as_of: date) -> DataFrame:
+    """One row per customer and shop, money still as started sums.
 
     Built on rows that are already distinct by order number, so distinct counts are plain
     conditional counts, and the piece share comes out of the same pass.
@@ -28,31 +48,52 @@ def customer_shop(tables: SourceTables, as_of: date) -> DataFrame:
         return F.count_if(F.col(day) >= F.lit(window_start(as_of, window)))
 
     # The mean runs over order rows: a number with n rows counts n times.
-    priced_rows = F.when(F.col("price_mean").isNotNull(), F.col("order_rows"))
-    weighted = F.col("price_mean") * priced_rows
-    share = F.sum("pieces_couponed") / F.nullif(F.sum("pieces_lifetime"), F.lit(0))
+    price, rows = F.col("price_mean"), F.col("order_rows")
     return mapped.groupBy(ID_COLUMN, "shop").agg(
         F.min("first_day").alias("first_order_date"),
         F.max("last_day").alias("last_order_date"),
         F.count(F.lit(1)).alias("orders_lifetime"),
         *(numbers_since("last_day", w).alias(f"orders_{w}") for w in WINDOWS),
-        *(
-            F.sum(f"revenue_{w}").alias(f"revenue_{w}")
-            for w in ("lifetime", "15d", "30d", "6m", "12m")
-        ),
-        *(F.sum(f"pieces_{w}").alias(f"items_qty_{w}") for w in ("lifetime", "6m", "12m")),
-        F.sum("coupon_total").alias("discount_abs_lifetime"),
+        *(c for w in REVENUES for c in merge_sum(f"revenue_{w}")),
+        *(F.sum(f"pieces_{w}").alias(f"items_qty_{w}") for w in PIECES),
+        *merge_sum("coupon"),
         F.count_if(F.col("coupon_max") > 0).alias("discounted_orders"),
-        F.max("coupon_max").alias("max_discount_single_order"),
+        F.max("coupon_max").alias("coupon_max"),
         F.count("last_refunded_day").alias("refund_orders_lifetime"),
-        *(
-            numbers_since("last_refunded_day", w).alias(f"refund_orders_{w}")
-            for w in ("3m", "6m", "12m")
-        ),
-        mean(F.sum(weighted), F.sum(priced_rows)).alias("avg_unit_price_lifetime_eur"),
-        F.min("price_min").alias("min_unit_price_lifetime_eur"),
-        F.max("price_max").alias("max_unit_price_lifetime_eur"),
-        share.cast(SHARE).alias("share_of_items_discounted"),
+        *(numbers_since("last_refunded_day", w).alias(f"refund_orders_{w}") for w in REFUNDS[1:]),
+        *start_sum(price, "price_sum", weight=rows),
+        F.sum(F.when(price.isNotNull(), rows)).alias("price_n"),
+        F.min("price_min").alias("price_min"),
+        F.max("price_max").alias("price_max"),
+        F.sum("pieces_couponed").alias("pieces_couponed"),
+    )
+
+
+def _price_mean() -> Column:
+    return mean_micros("price_sum", F.col("price_n"))
+
+
+def _piece_share() -> Column:
+    couponed, all_pieces = F.col("pieces_couponed"), F.col("items_qty_lifetime")
+    share = couponed.cast("decimal(20,0)") / F.nullif(all_pieces, F.lit(0))
+    return share.cast(SHARE)
+
+
+def customer_shop(tables: SourceTables, as_of: date) -> DataFrame:
+    """One row per customer and shop: counts, revenue, pieces, coupons, refunds, prices."""
+    return _shop_parts(tables, as_of).select(
+        ID_COLUMN,
+        "shop",
+        "first_order_date",
+        "last_order_date",
+        *COUNTS,
+        *(total(f"revenue_{w}").alias(f"revenue_{w}") for w in REVENUES),
+        total("coupon").alias("discount_abs_lifetime"),
+        F.col("coupon_max").alias("max_discount_single_order"),
+        as_money(_price_mean()).alias("avg_unit_price_lifetime_eur"),
+        as_money(F.col("price_min")).alias("min_unit_price_lifetime_eur"),
+        as_money(F.col("price_max")).alias("max_unit_price_lifetime_eur"),
+        _piece_share().alias("share_of_items_discounted"),
     )
 
 
@@ -61,38 +102,40 @@ def shop_item_share(tables: SourceTables, as_of: date) -> DataFrame:
     return customer_shop(tables, as_of).select(ID_COLUMN, "shop", "share_of_items_discounted")
 
 
-def _fold_shops(per_shop: DataFrame) -> DataFrame:
-    def total(source: str, name: str) -> Column:
-        return F.sum(source).alias(name)
-
-    price, share = F.col("avg_unit_price_lifetime_eur"), F.col("share_of_items_discounted")
-    return per_shop.groupBy(ID_COLUMN).agg(
+def customer_rollup(tables: SourceTables, as_of: date) -> DataFrame:
+    """One row per customer; means over shops are unweighted."""
+    per_shop = _shop_parts(tables, as_of)
+    share = _piece_share()
+    folded = per_shop.groupBy(ID_COLUMN).agg(
         F.min("first_order_date").alias("first_order_date"),
         F.max("last_order_date").alias("last_order_date"),
-        *(total(c, c) for c in ("orders_lifetime", *(f"orders_{w}" for w in WINDOWS))),
-        *(
-            total(f"revenue_{w}", f"revenue_net_{w}_eur")
-            for w in ("lifetime", "15d", "30d", "6m", "12m")
-        ),
-        *(total(c, c) for c in ("items_qty_lifetime", "items_qty_6m", "items_qty_12m")),
-        total("discount_abs_lifetime", "discount_abs_lifetime_eur"),
-        total("discounted_orders", "discounted_orders_lifetime"),
-        F.max("max_discount_single_order").alias("max_discount_single_order"),
-        *(
-            total(c, c)
-            for c in (f"refund_orders_{w}" for w in ("lifetime", "3m", "6m", "12m"))
-        ),
-        mean(F.sum(price), F.count(price)).alias("avg_unit_price_lifetime_eur"),
-        F.min("min_unit_price_lifetime_eur").alias("min_unit_price_lifetime_eur"),
-        F.max("max_unit_price_lifetime_eur").alias("max_unit_price_lifetime_eur"),
+        *(F.sum(c).alias(c) for c in COUNTS),
+        *(c for w in REVENUES for c in merge_sum(f"revenue_{w}")),
+        *merge_sum("coupon"),
+        F.max("coupon_max").alias("coupon_max"),
+        *start_sum(_price_mean(), "price_sum"),
+        F.count(_price_mean()).alias("price_n"),
+        F.min("price_min").alias("price_min"),
+        F.max("price_max").alias("price_max"),
         F.count("shop").alias("shops_included"),
-        mean(F.sum(share), F.count(share), SHARE).alias("share_of_items_discounted"),
+        F.sum(share).alias("share_sum"),
+        F.count(share).alias("share_n"),
+    )
+    mean_share = F.col("share_sum") / F.nullif(F.col("share_n"), F.lit(0))
+    return folded.select(
+        ID_COLUMN,
+        "first_order_date",
+        "last_order_date",
+        *(F.col(c).alias(RENAMED.get(c, c)) for c in COUNTS),
+        *(total(f"revenue_{w}").alias(f"revenue_net_{w}_eur") for w in REVENUES),
+        total("coupon").alias("discount_abs_lifetime_eur"),
+        F.col("coupon_max").alias("max_discount_single_order"),
+        as_money(_price_mean()).alias("avg_unit_price_lifetime_eur"),
+        as_money(F.col("price_min")).alias("min_unit_price_lifetime_eur"),
+        as_money(F.col("price_max")).alias("max_unit_price_lifetime_eur"),
+        "shops_included",
+        mean_share.cast(SHARE).alias("share_of_items_discounted"),
     )
-
-
-def customer_rollup(tables: SourceTables, as_of: date) -> DataFrame:
-    """One row per customer; means over shops are unweighted."""
-    return _fold_shops(customer_shop(tables, as_of))
 
 
 def customer_item_share(tables: SourceTables, as_of: date) -> DataFrame:

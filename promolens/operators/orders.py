@@ -8,13 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promolens.config import ID_COLUMN, LOOKBACK_YEARS
-from promolens.functions.expr import (
-    MONEY,
-    WINDOWS,
-    falls_between,
-    mean,
-    months_before,
-    window_start,
+from promolens.functions.expr import WINDOWS, falls_between, months_before, window_start
+from promolens.functions.money import (
+    as_money,
+    divide_half_up,
+    is_positive,
+    mean_micros,
+    merge_sum,
+    micros,
+    start_sum,
+    total,
 )
 from promolens.sources.tables import SourceTables
 
@@ -23,6 +26,8 @@ FINAL_STATES = ("ARCHIVED", "EXPORTED")
 REGULAR_ORDER = "0"
 PRODUCT, SHIPPING = "PRODUCT", "SHIPPING"
 ORDER_INTERACTION = "order"
+REVENUE_WINDOWS = ("15d", "30d", "6m", "12m")
+PIECE_WINDOWS = ("6m", "12m")
 
 # Currencies x days of the look-back stay far below this; the count is checked and a
 # larger rate table is joined by shuffle instead.
@@ -109,103 +114,133 @@ def _rated_orders(tables: SourceTables, as_of: date) -> DataFrame:
     )
 
 
-def priced_lines(tables: SourceTables, as_of: date) -> DataFrame:
-    """Product and shipping lines with net price and coupon amount in EUR."""
+def _item_lines(tables: SourceTables) -> DataFrame:
+    """Product and shipping lines, narrowed to what the shuffle has to carry."""
+
+    def amount(value: Column) -> Column:
+        return F.coalesce(value, F.lit(0)).cast("double")
+
     items = tables.order_items.filter(F.col("type").isin(PRODUCT, SHIPPING))
-    orders = _rated_orders(tables, as_of)
+    return items.select(
+        "orderid",
+        "type",
+        (F.col("type") == PRODUCT).alias("is_product"),
+        F.round(F.coalesce("quantity", F.lit(0))).cast("bigint").alias("quantity"),
+        amount(F.col("nettotalprice")).alias("net_amount"),
+        amount(F.abs("coupondiscountdistr")).alias("coupon_amount"),
+    )
 
-    def in_eur(amount: Column) -> Column:
-        return (F.coalesce(amount, F.lit(0)).cast("double") / F.col("rate")).cast(MONEY)
 
+def line_amounts(tables: SourceTables, as_of: date) -> DataFrame:
+    """Order lines with net price, coupon and piece price in micro-euros."""
+    orders, items = _rated_orders(tables, as_of), _item_lines(tables)
     # Both sides are fact tables: never broadcast one on a size estimate.
-    return orders.join(items.hint("merge"), orders.order_id == items.orderid).select(
+    lines = orders.join(items.hint("merge"), orders.order_id == items.orderid).select(
         "order_id",
         "ordernumber",
         "shop",
         "order_date",
         "type",
-        F.round(F.coalesce("quantity", F.lit(0))).cast("bigint").alias("quantity"),
-        in_eur(F.col("nettotalprice")).alias("post_discount_net_eur"),
-        in_eur(F.abs("coupondiscountdistr")).alias("discount_amt_eur"),
+        "is_product",
+        "quantity",
+        micros(F.col("net_amount") / F.col("rate")).alias("net"),
+        micros(F.col("coupon_amount") / F.col("rate")).alias("coupon"),
+    )
+    bought = F.col("is_product") & (F.col("quantity") > 0)
+    return lines.withColumn(
+        "price", F.when(bought, divide_half_up(F.col("net"), F.col("quantity")))
     )
 
 
-def _unit_price() -> Column:
-    bought = (F.col("type") == PRODUCT) & (F.col("quantity") > 0)
-    price = F.col("post_discount_net_eur") / F.nullif(F.col("quantity"), F.lit(0))
-    return F.when(bought, price.cast(MONEY))
+def priced_lines(tables: SourceTables, as_of: date) -> DataFrame:
+    """Product and shipping lines with net price and coupon amount in EUR."""
+    return line_amounts(tables, as_of).select(
+        "order_id", "ordernumber", "shop", "order_date", "type", "quantity",
+        as_money(F.col("net")).alias("post_discount_net_eur"),
+        as_money(F.col("coupon")).alias("discount_amt_eur"),
+    )
 
 
 def product_lines(tables: SourceTables, as_of: date) -> DataFrame:
     """Product lines with their price per piece (NULL without quantity or price)."""
-    lines = priced_lines(tables, as_of).filter(F.col("type") == PRODUCT)
+    lines = line_amounts(tables, as_of).filter("is_product")
     return lines.select(
         "shop",
         "ordernumber",
         "quantity",
-        F.col("post_discount_net_eur").alias("net_amount_eur"),
-        _unit_price().alias("unit_price_net_eur"),
+        as_money(F.col("net")).alias("net_amount_eur"),
+        as_money(F.col("price")).alias("unit_price_net_eur"),
     )
 
 
+def _price_columns(has_shop: Column | None = None) -> list[Column]:
+    values = {
+        "avg_unit_price_order_eur": mean_micros("price_sum", F.col("price_n")),
+        "min_unit_price_order_eur": F.col("price_min"),
+        "max_unit_price_order_eur": F.col("price_max"),
+    }
+    return [
+        as_money(v if has_shop is None else F.when(has_shop, v)).alias(name)
+        for name, v in values.items()
+    ]
+
+
 def unit_price_per_number(tables: SourceTables, as_of: date) -> DataFrame:
     """Mean, lowest and highest piece price per shop and order number."""
-    price = F.col("unit_price_net_eur")
-    return (
-        product_lines(tables, as_of)
-        .groupBy("shop", "ordernumber")
-        .agg(
-            mean(F.sum(price), F.count(price)).alias("avg_unit_price_order_eur"),
-            F.min(price).alias("min_unit_price_order_eur"),
-            F.max(price).alias("max_unit_price_order_eur"),
-        )
+    lines = line_amounts(tables, as_of).filter("is_product")
+    folded = lines.groupBy("shop", "ordernumber").agg(
+        *start_sum(F.col("price"), "price_sum"),
+        F.count("price").alias("price_n"),
+        F.min("price").alias("price_min"),
+        F.max("price").alias("price_max"),
     )
+    return folded.select("shop", "ordernumber", *_price_columns())
 
 
 def order_totals(tables: SourceTables, as_of: date) -> DataFrame:
-    """One row per order: amounts, product pieces, and mergeable piece-price parts.
+    """One row per order: started sums, product pieces, and mergeable piece-price parts.
 
     Grouping starts with the join key of the line join, so no further shuffle is needed.
     """
-    is_product, is_shipping = F.col("type") == PRODUCT, F.col("type") == SHIPPING
-    net, zero = F.col("post_discount_net_eur"), F.lit(0).cast(MONEY)
-    priced = priced_lines(tables, as_of).withColumn("unit_price", _unit_price())
-    return priced.groupBy("order_id", "shop", "ordernumber", "order_date").agg(
-        F.sum(F.when(is_product, net).otherwise(zero)).alias("product_net"),
-        F.sum(F.when(is_shipping, net).otherwise(zero)).alias("shipping_net"),
-        F.sum(F.coalesce("discount_amt_eur", zero)).alias("discount_amt_eur"),
-        F.sum(F.when(is_product, F.col("quantity")).otherwise(0)).alias("product_qty"),
-        F.sum("unit_price").alias("unit_price_sum"),
-        F.count("unit_price").alias("unit_price_n"),
-        F.min("unit_price").alias("unit_price_min"),
-        F.max("unit_price").alias("unit_price_max"),
+    is_product = F.col("is_product")
+    net, none = F.col("net"), F.lit(0).cast("bigint")
+    return line_amounts(tables, as_of).groupBy(
+        "order_id", "shop", "ordernumber", "order_date"
+    ).agg(
+        *start_sum(F.when(is_product, net).otherwise(none), "product_net"),
+        *start_sum(F.when(~is_product, net).otherwise(none), "shipping_net"),
+        *start_sum(F.coalesce(net, none), "revenue"),
+        *start_sum(F.coalesce("coupon", none), "coupon"),
+        F.sum(F.when(is_product, F.col("quantity")).otherwise(0)).alias("pieces"),
+        *start_sum(F.col("price"), "price_sum"),
+        F.count("price").alias("price_n"),
+        F.min("price").alias("price_min"),
+        F.max("price").alias("price_max"),
     )
 
 
-def _with_refunds(totals: DataFrame, tables: SourceTables) -> DataFrame:
-    """Add the refund flag (any refund row counts) and the order revenue."""
+def order_rows(tables: SourceTables, as_of: date) -> DataFrame:
+    """Order totals with the refund flag; any refund row of the order counts."""
+    totals = order_totals(tables, as_of)
     refunded = tables.refunds.select(F.col("orderid").alias("refunded_id")).distinct()
-    return (
-        totals.join(refunded, totals.order_id == refunded.refunded_id, "left")
-        .withColumn("refunded_flag", F.col("refunded_id").isNotNull().cast("int"))
-        .withColumn(
-            "revenue_net",
-            F.coalesce("product_net", F.lit(0).cast(MONEY))
-            + F.coalesce("shipping_net", F.lit(0).cast(MONEY)),
-        )
-        .drop("refunded_id")
+    return totals.join(refunded, totals.order_id == refunded.refunded_id, "left").select(
+        *totals.columns, F.col("refunded_id").isNotNull().cast("int").alias("refunded_flag")
     )
 
 
-def order_rows(tables: SourceTables, as_of: date) -> DataFrame:
-    return _with_refunds(order_totals(tables, as_of), tables)
-
-
 def order_level(tables: SourceTables, as_of: date) -> DataFrame:
-    """Order totals with refund flag and revenue."""
+    """Order totals in EUR with refund flag and revenue."""
     return order_rows(tables, as_of).select(
-        "shop", "order_id", "ordernumber", "order_date", "product_net", "shipping_net",
-        "discount_amt_eur", "product_qty", "refunded_flag", "revenue_net",
+        "shop",
+        "order_id",
+        "ordernumber",
+        "order_date",
+        total("product_net").alias("product_net"),
+        total("shipping_net").alias("shipping_net"),
+        total("coupon").alias("discount_amt_eur"),
+        F.col("pieces").alias("product_qty"),
+        "refunded_flag",
+        total("revenue").alias("revenue_net"),
     )
 
 
@@ -238,34 +273,33 @@ def number_totals(rows: DataFrame, as_of: date) -> DataFrame:
     of hot order numbers. A number lies in a window exactly if its last day does, so one
     date replaces a flag per window.
     """
-    day, revenue, pieces = F.col("order_date"), F.col("revenue_net"), F.col("product_qty")
-    coupon = F.col("discount_amt_eur")
+    day, pieces = F.col("order_date"), F.col("pieces")
 
-    def since(window: str, value: Column) -> Column:
-        return F.sum(F.when(day >= F.lit(window_start(as_of, window)), value))
+    def inside(window: str) -> Column:
+        return day >= F.lit(window_start(as_of, window))
 
     folded = rows.groupBy("shop", "ordernumber").agg(
         F.min(day).alias("first_day"),
         F.max(day).alias("last_day"),
         F.max(F.when(F.col("refunded_flag") == 1, day)).alias("last_refunded_day"),
-        F.sum(revenue).alias("revenue_lifetime"),
-        *(since(w, revenue).alias(f"revenue_{w}") for w in ("15d", "30d", "6m", "12m")),
+        *merge_sum("revenue", "revenue_lifetime"),
+        *(c for w in REVENUE_WINDOWS for c in merge_sum("revenue", f"revenue_{w}", inside(w))),
         F.sum(pieces).alias("pieces_lifetime"),
-        *(since(w, pieces).alias(f"pieces_{w}") for w in ("6m", "12m")),
-        F.sum(F.when(coupon > 0, pieces).otherwise(0)).alias("pieces_couponed"),
-        F.sum(coupon).alias("coupon_total"),
-        F.max(coupon).alias("coupon_max"),
+        *(F.sum(F.when(inside(w), pieces)).alias(f"pieces_{w}") for w in PIECE_WINDOWS),
+        F.sum(F.when(is_positive("coupon"), pieces).otherwise(0)).alias("pieces_couponed"),
+        *merge_sum("coupon"),
+        F.max(total("coupon")).alias("coupon_max"),
         F.count(F.lit(1)).alias("order_rows"),
-        F.sum("unit_price_sum").alias("price_sum"),
-        F.sum("unit_price_n").alias("price_n"),
-        F.min("unit_price_min").alias("price_min"),
-        F.max("unit_price_max").alias("price_max"),
+        *merge_sum("price_sum"),
+        F.sum("price_n").alias("price_n"),
+        F.min("price_min").alias("price_min"),
+        F.max("price_max").alias("price_max"),
     )
     # Piece prices are looked up by shop, so rows without a shop have none.
     has_shop = F.col("shop").isNotNull()
     return folded.select(
         *(c for c in folded.columns if not c.startswith("price_")),
-        F.when(has_shop, mean(F.col("price_sum"), F.col("price_n"))).alias("price_mean"),
+        F.when(has_shop, mean_micros("price_sum", F.col("price_n"))).alias("price_mean"),
         F.when(has_shop, F.col("price_min")).alias("price_min"),
         F.when(has_shop, F.col("price_max")).alias("price_max"),
     )
@@ -282,20 +316,17 @@ def orders_mapped(tables: SourceTables, as_of: date) -> DataFrame:
     rows = order_rows(tables, as_of).withColumn("salt", salt)
     prices = rows.groupBy("shop", "ordernumber").agg(
         F.collect_set("salt").alias("salts"),
-        mean(F.sum("unit_price_sum"), F.sum("unit_price_n")).alias("avg_unit_price_order_eur"),
-        F.min("unit_price_min").alias("min_unit_price_order_eur"),
-        F.max("unit_price_max").alias("max_unit_price_order_eur"),
+        *merge_sum("price_sum"),
+        F.sum("price_n").alias("price_n"),
+        F.min("price_min").alias("price_min"),
+        F.max("price_max").alias("price_max"),
     )
     has_shop = F.col("shop").isNotNull()
     lookup = prices.join(order_customer_map(tables), "ordernumber").select(
         ID_COLUMN,
         F.col("shop").alias("lookup_shop"),
         F.col("ordernumber").alias("lookup_number"),
-        *(
-            F.when(has_shop, F.col(c)).alias(c)
-            for c in prices.columns
-            if c.endswith("_unit_price_order_eur")
-        ),
+        *_price_columns(has_shop),
         F.explode("salts").alias("lookup_salt"),
     )
     return rows.join(
@@ -304,7 +335,15 @@ def orders_mapped(tables: SourceTables, as_of: date) -> DataFrame:
         & (rows.salt == lookup.lookup_salt)
         & rows.shop.eqNullSafe(lookup.lookup_shop),
     ).select(
-        ID_COLUMN, "shop", "ordernumber", "order_date", "revenue_net", "product_qty",
-        "discount_amt_eur", "refunded_flag", "avg_unit_price_order_eur",
-        "min_unit_price_order_eur", "max_unit_price_order_eur",
+        ID_COLUMN,
+        "shop",
+        "ordernumber",
+        "order_date",
+        total("revenue").alias("revenue_net"),
+        F.col("pieces").alias("product_qty"),
+        total("coupon").alias("discount_amt_eur"),
+        "refunded_flag",
+        "avg_unit_price_order_eur",
+        "min_unit_price_order_eur",
+        "max_unit_price_order_eur",
     )
