@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import calendar
+from collections.abc import Iterable
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -39,6 +40,27 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """The value, with NaN taken as missing."""
+    column = quoted(name)
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(column), column)
+    return column
+
+
+def fill_zero(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """0 for missing values of the named columns, types kept."""
+    filled = set(names)
+
+    def value(field: T.StructField) -> Column:
+        if field.name not in filled:
+            return quoted(field.name)
+        zero = F.lit(0).cast(field.dataType)
+        return F.coalesce(present(df, field.name), zero).alias(field.name)
+
+    return df.select(*(value(f) for f in df.schema))
+
+
 def falls_between(df: DataFrame, name: str, first: date, last: date) -> Column:
     """``first <= date(column) <= last``, on the raw column so the scan can use it."""
     column = quoted(name)
@@ -51,11 +73,23 @@ def falls_between(df: DataFrame, name: str, first: date, last: date) -> Column:
     return column.try_cast("date").between(F.lit(first), F.lit(last))
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
-    """One double division, NULL unless the denominator is positive."""
-    return F.when(
-        denominator > 0, numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))
-    )
+def day(value: date) -> str:
+    return f"DATE '{value.isoformat()}'"
+
+
+def since(column: str, as_of: date, window: str) -> str:
+    """SQL condition: the day lies in the look-back window."""
+    return f"{column} >= {day(window_start(as_of, window))}"
+
+
+def ratio(numerator: str, denominator: str) -> str:
+    """SQL for one double division, NULL unless the denominator is positive."""
+    quotient = f"CAST({numerator} AS DOUBLE) / CAST({denominator} AS DOUBLE)"
+    return f"CASE WHEN {denominator} > 0 THEN {quotient} END"
+
+
+def aggregates(*expressions: str) -> list[Column]:
+    return [F.expr(e) for e in expressions]
 
 
 def key_hash(key: Column, seed: int) -> Column:

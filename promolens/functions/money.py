@@ -1,4 +1,4 @@
-"""Exact money arithmetic on 64-bit integers.
+"""Exact money arithmetic on 64-bit integers, as SQL expressions.
 
 An amount is a whole number of micro-euros, the resolution of ``decimal(18,6)``. A sum is kept
 as two 64-bit sums, of the amount's upper and lower bits. That adds at machine speed in
@@ -8,88 +8,66 @@ generated code, merges over any number of groupings, and cannot overflow for tot
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-MONEY = "decimal(18,6)"
-TOTAL = "decimal(38,6)"
-MICRO = Decimal("0.000001")
-MAX_AMOUNT = 1e12  # what decimal(18,6) can hold
+MICRO = "0.000001"
 LOW_BITS = 20
 LOW_MASK = (1 << LOW_BITS) - 1
 SAFE_UPPER = 1 << 40  # totals below 2**60 micro-euros allow plain 64-bit division
 
 
-def micros(amount: Column) -> Column:
+def micros(amount: str) -> str:
     """A double amount in euros as micro-euros, rounded half up; fails when out of range."""
-    scaled = F.floor(F.abs(amount) * 1e6 + 0.5)
-    signed = F.when(amount < 0, -scaled).otherwise(scaled)
-    too_large = F.raise_error(F.lit("amount does not fit decimal(18,6)")).cast("bigint")
-    return F.when(F.abs(amount) < MAX_AMOUNT, signed).when(amount.isNotNull(), too_large)
+    scaled = f"floor(abs({amount}) * 1e6D + 0.5D)"
+    too_large = "CAST(raise_error('amount does not fit decimal(18,6)') AS BIGINT)"
+    return (
+        f"CASE WHEN abs({amount}) < 1e12D THEN if({amount} < 0, -{scaled}, {scaled})"
+        f" WHEN {amount} IS NOT NULL THEN {too_large} END"
+    )
 
 
-def as_money(value: Column) -> Column:
+def as_money(value: str) -> str:
     """Micro-euros as decimal(18,6)."""
-    return (value.cast("decimal(18,0)") * F.lit(MICRO)).cast(MONEY)
+    return f"CAST(CAST({value} AS DECIMAL(18,0)) * {MICRO} AS DECIMAL(18,6))"
 
 
-def divide_half_up(value: Column, n: Column) -> Column:
+def divide_half_up(value: str, n: str) -> str:
     """64-bit division rounded half up (away from zero), for n > 0 and |value| < 2**61."""
-    rounded = F.call_function("div", 2 * F.abs(value) + n, 2 * n)
-    return F.when(value < 0, -rounded).otherwise(rounded)
-
-
-def _upper(value: Column) -> Column:
-    return F.shiftright(value, LOW_BITS)
-
+    rounded = f"((2 * abs({value}) + {n}) div (2 * {n}))"
+    return f"if({value} < 0, -{rounded}, {rounded})"
 
-def _lower(value: Column) -> Column:
-    return value.bitwiseAND(F.lit(LOW_MASK).cast("bigint"))
 
-
-def parts(name: str) -> tuple[str, str]:
-    return f"{name}_hi", f"{name}_lo"
-
-
-def start_sum(value: Column, name: str, weight: Column | int = 1) -> list[Column]:
+def start_sum(value: str, name: str, weight: str = "1L") -> list[str]:
     """Begin a sum of micro-euro amounts, each taken ``weight`` times."""
-    hi, lo = parts(name)
     return [
-        F.sum(_upper(value) * weight).alias(hi),
-        F.sum(_lower(value) * weight).alias(lo),
+        f"sum(shiftright({value}, {LOW_BITS}) * {weight}) AS {name}_hi",
+        f"sum((({value}) & {LOW_MASK}L) * {weight}) AS {name}_lo",
     ]
 
 
-def merge_sum(name: str, new_name: str | None = None, where: Column | None = None) -> list[Column]:
+def merge_sum(name: str, new_name: str | None = None, where: str | None = None) -> list[str]:
     """Carry a started sum into the next grouping, for the rows of ``where`` only."""
-    return [
-        F.sum(F.col(old) if where is None else F.when(where, F.col(old))).alias(new)
-        for old, new in zip(parts(name), parts(new_name or name))
-    ]
+    kept = f" FILTER (WHERE {where})" if where else ""
+    return [f"sum({name}_{part}){kept} AS {new_name or name}_{part}" for part in ("hi", "lo")]
 
 
-def _whole(name: str) -> Column:
-    hi, lo = parts(name)
-    return F.col(hi).cast("decimal(20,0)") * (1 << LOW_BITS) + F.col(lo).cast("decimal(20,0)")
+def _whole(name: str) -> str:
+    return (
+        f"(CAST({name}_hi AS DECIMAL(20,0)) * {1 << LOW_BITS} + CAST({name}_lo AS DECIMAL(20,0)))"
+    )
 
 
-def total(name: str) -> Column:
+def total(name: str) -> str:
     """The finished sum in euros; NULL if nothing was added."""
-    return (_whole(name) * F.lit(MICRO)).cast(TOTAL)
+    return f"CAST({_whole(name)} * {MICRO} AS DECIMAL(38,6))"
 
 
-def is_positive(name: str) -> Column:
+def is_positive(name: str) -> str:
     """Whether a sum of non-negative amounts exceeds 0."""
-    hi, lo = parts(name)
-    return (F.col(hi) > 0) | (F.col(lo) > 0)
+    return f"({name}_hi > 0 OR {name}_lo > 0)"
 
 
-def mean_micros(name: str, n: Column) -> Column:
+def mean_micros(name: str, n: str) -> str:
     """Mean amount in micro-euros, rounded half up; NULL if nothing was counted."""
-    hi, lo = parts(name)
-    small = (F.abs(hi) < SAFE_UPPER) & (F.abs(lo) < SAFE_UPPER)
-    whole = F.shiftleft(F.col(hi), LOW_BITS) + F.col(lo)
-    exact = F.round(_whole(name) / n.cast("decimal(20,0)"), 0).cast("bigint")
-    return F.when(n > 0, F.when(small, divide_half_up(whole, n)).otherwise(exact))
+    small = f"abs({name}_hi) < {SAFE_UPPER}L AND abs({name}_lo) < {SAFE_UPPER}L"
+    fast = divide_half_up(f"(shiftleft({name}_hi, {LOW_BITS}) + {name}_lo)", n)
+    wide = f"CAST(round({_whole(name)} / CAST({n} AS DECIMAL(20,0)), 0) AS BIGINT)"
+    return f"CASE WHEN {n} > 0 THEN if({small}, {fast}, {wide}) END"

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promolens.config import FEATURE_FIELDS, ID_COLUMN
-from promolens.functions.expr import SHARE, WINDOWS, ratio, window_start
+from promolens.functions.expr import WINDOWS, aggregates, day, ratio, since
 from promolens.functions.money import as_money, mean_micros, merge_sum, start_sum, total
 from promolens.operators.orders import (
     PIECE_WINDOWS,
@@ -20,11 +20,8 @@ from promolens.operators.orders import (
 from promolens.sources.tables import SourceTables
 
 UNKNOWN_GENDER = "Undefined"  # fixed value
-
-
 REVENUES = ("lifetime", *REVENUE_WINDOWS)
 PIECES = ("lifetime", *PIECE_WINDOWS)
-RENAMED = {"discounted_orders": "discounted_orders_lifetime"}
 REFUNDS = ("lifetime", "3m", "6m", "12m")
 COUNTS = (
     "orders_lifetime",
@@ -33,6 +30,18 @@ COUNTS = (
     "discounted_orders",
     *(f"refund_orders_{w}" for w in REFUNDS),
 )
+RENAMED = {"discounted_orders": "discounted_orders_lifetime"}
+
+PRICE_MEAN = mean_micros("price_sum", "price_n")
+PIECE_SHARE = (
+    "CAST(CAST(pieces_couponed AS DECIMAL(20,0)) / nullif(items_qty_lifetime, 0)"
+    " AS DECIMAL(18,9))"
+)
+PRICES_IN_EUR = (
+    f"{as_money(PRICE_MEAN)} AS avg_unit_price_lifetime_eur",
+    f"{as_money('price_min')} AS min_unit_price_lifetime_eur",
+    f"{as_money('price_max')} AS max_unit_price_lifetime_eur",
+)
 
 
 def _shop_parts(tables: SourceTables, as_of: date) -> DataFrame:
@@ -44,56 +53,48 @@ def _shop_parts(tables: SourceTables, as_of: date) -> DataFrame:
     numbers = number_totals(order_rows(tables, as_of), as_of)
     mapped = numbers.join(order_customer_map(tables), "ordernumber")
 
-    def numbers_since(day: str, window: str) -> Column:
-        return F.count_if(F.col(day) >= F.lit(window_start(as_of, window)))
+    def numbers_since(column: str, window: str) -> str:
+        return f"count_if({since(column, as_of, window)})"
 
     # The mean runs over order rows: a number with n rows counts n times.
-    price, rows = F.col("price_mean"), F.col("order_rows")
     return mapped.groupBy(ID_COLUMN, "shop").agg(
-        F.min("first_day").alias("first_order_date"),
-        F.max("last_day").alias("last_order_date"),
-        F.count(F.lit(1)).alias("orders_lifetime"),
-        *(numbers_since("last_day", w).alias(f"orders_{w}") for w in WINDOWS),
-        *(c for w in REVENUES for c in merge_sum(f"revenue_{w}")),
-        *(F.sum(f"pieces_{w}").alias(f"items_qty_{w}") for w in PIECES),
-        *merge_sum("coupon"),
-        F.count_if(F.col("coupon_max") > 0).alias("discounted_orders"),
-        F.max("coupon_max").alias("coupon_max"),
-        F.count("last_refunded_day").alias("refund_orders_lifetime"),
-        *(numbers_since("last_refunded_day", w).alias(f"refund_orders_{w}") for w in REFUNDS[1:]),
-        *start_sum(price, "price_sum", weight=rows),
-        F.sum(F.when(price.isNotNull(), rows)).alias("price_n"),
-        F.min("price_min").alias("price_min"),
-        F.max("price_max").alias("price_max"),
-        F.sum("pieces_couponed").alias("pieces_couponed"),
+        *aggregates(
+            "min(first_day) AS first_order_date",
+            "max(last_day) AS last_order_date",
+            "count(1) AS orders_lifetime",
+            *(f"{numbers_since('last_day', w)} AS orders_{w}" for w in WINDOWS),
+            *(c for w in REVENUES for c in merge_sum(f"revenue_{w}")),
+            *(f"sum(pieces_{w}) AS items_qty_{w}" for w in PIECES),
+            *merge_sum("coupon"),
+            "count_if(coupon_max > 0) AS discounted_orders",
+            "max(coupon_max) AS coupon_max",
+            "count(last_refunded_day) AS refund_orders_lifetime",
+            *(
+                f"{numbers_since('last_refunded_day', w)} AS refund_orders_{w}"
+                for w in REFUNDS[1:]
+            ),
+            *start_sum("price_mean", "price_sum", weight="order_rows"),
+            "sum(order_rows) FILTER (WHERE price_mean IS NOT NULL) AS price_n",
+            "min(price_min) AS price_min",
+            "max(price_max) AS price_max",
+            "sum(pieces_couponed) AS pieces_couponed",
+        )
     )
 
 
-def _price_mean() -> Column:
-    return mean_micros("price_sum", F.col("price_n"))
-
-
-def _piece_share() -> Column:
-    couponed, all_pieces = F.col("pieces_couponed"), F.col("items_qty_lifetime")
-    share = couponed.cast("decimal(20,0)") / F.nullif(all_pieces, F.lit(0))
-    return share.cast(SHARE)
-
-
 def customer_shop(tables: SourceTables, as_of: date) -> DataFrame:
     """One row per customer and shop: counts, revenue, pieces, coupons, refunds, prices."""
-    return _shop_parts(tables, as_of).select(
+    return _shop_parts(tables, as_of).selectExpr(
         ID_COLUMN,
         "shop",
         "first_order_date",
         "last_order_date",
         *COUNTS,
-        *(total(f"revenue_{w}").alias(f"revenue_{w}") for w in REVENUES),
-        total("coupon").alias("discount_abs_lifetime"),
-        F.col("coupon_max").alias("max_discount_single_order"),
-        as_money(_price_mean()).alias("avg_unit_price_lifetime_eur"),
-        as_money(F.col("price_min")).alias("min_unit_price_lifetime_eur"),
-        as_money(F.col("price_max")).alias("max_unit_price_lifetime_eur"),
-        _piece_share().alias("share_of_items_discounted"),
+        *(f"{total(f'revenue_{w}')} AS revenue_{w}" for w in REVENUES),
+        f"{total('coupon')} AS discount_abs_lifetime",
+        "coupon_max AS max_discount_single_order",
+        *PRICES_IN_EUR,
+        f"{PIECE_SHARE} AS share_of_items_discounted",
     )
 
 
@@ -104,37 +105,37 @@ def shop_item_share(tables: SourceTables, as_of: date) -> DataFrame:
 
 def customer_rollup(tables: SourceTables, as_of: date) -> DataFrame:
     """One row per customer; means over shops are unweighted."""
-    per_shop = _shop_parts(tables, as_of)
-    share = _piece_share()
+    per_shop = _shop_parts(tables, as_of).selectExpr(
+        "*", f"{PRICE_MEAN} AS price_mean", f"{PIECE_SHARE} AS share"
+    )
     folded = per_shop.groupBy(ID_COLUMN).agg(
-        F.min("first_order_date").alias("first_order_date"),
-        F.max("last_order_date").alias("last_order_date"),
-        *(F.sum(c).alias(c) for c in COUNTS),
-        *(c for w in REVENUES for c in merge_sum(f"revenue_{w}")),
-        *merge_sum("coupon"),
-        F.max("coupon_max").alias("coupon_max"),
-        *start_sum(_price_mean(), "price_sum"),
-        F.count(_price_mean()).alias("price_n"),
-        F.min("price_min").alias("price_min"),
-        F.max("price_max").alias("price_max"),
-        F.count("shop").alias("shops_included"),
-        F.sum(share).alias("share_sum"),
-        F.count(share).alias("share_n"),
+        *aggregates(
+            "min(first_order_date) AS first_order_date",
+            "max(last_order_date) AS last_order_date",
+            *(f"sum({c}) AS {c}" for c in COUNTS),
+            *(c for w in REVENUES for c in merge_sum(f"revenue_{w}")),
+            *merge_sum("coupon"),
+            "max(coupon_max) AS coupon_max",
+            *start_sum("price_mean", "price_sum"),
+            "count(price_mean) AS price_n",
+            "min(price_min) AS price_min",
+            "max(price_max) AS price_max",
+            "count(shop) AS shops_included",
+            "sum(share) AS share_sum",
+            "count(share) AS share_n",
+        )
     )
-    mean_share = F.col("share_sum") / F.nullif(F.col("share_n"), F.lit(0))
-    return folded.select(
+    return folded.selectExpr(
         ID_COLUMN,
         "first_order_date",
         "last_order_date",
-        *(F.col(c).alias(RENAMED.get(c, c)) for c in COUNTS),
-        *(total(f"revenue_{w}").alias(f"revenue_net_{w}_eur") for w in REVENUES),
-        total("coupon").alias("discount_abs_lifetime_eur"),
-        F.col("coupon_max").alias("max_discount_single_order"),
-        as_money(_price_mean()).alias("avg_unit_price_lifetime_eur"),
-        as_money(F.col("price_min")).alias("min_unit_price_lifetime_eur"),
-        as_money(F.col("price_max")).alias("max_unit_price_lifetime_eur"),
+        *(f"{c} AS {RENAMED.get(c, c)}" for c in COUNTS),
+        *(f"{total(f'revenue_{w}')} AS revenue_net_{w}_eur" for w in REVENUES),
+        f"{total('coupon')} AS discount_abs_lifetime_eur",
+        "coupon_max AS max_discount_single_order",
+        *PRICES_IN_EUR,
         "shops_included",
-        mean_share.cast(SHARE).alias("share_of_items_discounted"),
+        "CAST(share_sum / nullif(share_n, 0) AS DECIMAL(18,9)) AS share_of_items_discounted",
     )
 
 
@@ -145,42 +146,38 @@ def customer_item_share(tables: SourceTables, as_of: date) -> DataFrame:
 
 def customer_attributes(tables: SourceTables) -> DataFrame:
     """Country and gender per customer, the alphabetically last where rows differ."""
-    gender = F.coalesce(F.nullif(F.col("gender"), F.lit("")), F.lit(UNKNOWN_GENDER))
     return (
-        tables.customers.filter(F.col(ID_COLUMN).isNotNull())
+        tables.customers.filter(f"{ID_COLUMN} IS NOT NULL")
         .groupBy(ID_COLUMN)
-        .agg(F.max("country").alias("country"), F.max(gender).alias("gender"))
+        .agg(
+            *aggregates(
+                "max(country) AS country",
+                f"max(coalesce(nullif(gender, ''), '{UNKNOWN_GENDER}')) AS gender",
+            )
+        )
     )
 
 
 def feature_table(tables: SourceTables, as_of: date) -> DataFrame:
     """The 47-column feature table, one row per customer."""
-    attributes = customer_attributes(tables)
-    c = F.col
-
-    def per_order(numerator: str, window: str) -> Column:
-        return ratio(c(numerator), c(f"orders_{window}"))
-
-    gross = c("revenue_net_lifetime_eur") + c("discount_abs_lifetime_eur")
+    gross = "(revenue_net_lifetime_eur + discount_abs_lifetime_eur)"
     derived = {
-        "as_of_date": F.lit(as_of),
-        "days_since_last_order": F.datediff(F.lit(as_of), "last_order_date"),
-        "discount_rate_lifetime": ratio(c("discount_abs_lifetime_eur"), gross),
-        "share_of_orders_with_discount": per_order("discounted_orders_lifetime", "lifetime"),
-        "avg_discount_per_order": ratio(
-            c("discount_abs_lifetime_eur"), c("discounted_orders_lifetime")
-        ),
-        "account_age_days": F.lit(None),
-        "registration_flag": F.lit(0),
+        "as_of_date": day(as_of),
+        "days_since_last_order": f"datediff({day(as_of)}, last_order_date)",
+        "discount_rate_lifetime": ratio("discount_abs_lifetime_eur", gross),
+        "share_of_orders_with_discount": ratio("discounted_orders_lifetime", "orders_lifetime"),
+        "avg_discount_per_order": ratio("discount_abs_lifetime_eur", "discounted_orders_lifetime"),
+        "account_age_days": "NULL",
+        "registration_flag": "0",
     }
     for w in ("lifetime", "12m", "6m"):
-        derived[f"aov_net_{w}_eur"] = per_order(f"revenue_net_{w}_eur", w)
-        derived[f"avg_items_per_order_{w}"] = per_order(f"items_qty_{w}", w)
-    for w in ("lifetime", "12m", "6m", "3m"):
-        derived[f"refund_rate_{w}"] = per_order(f"refund_orders_{w}", w)
+        derived[f"aov_net_{w}_eur"] = ratio(f"revenue_net_{w}_eur", f"orders_{w}")
+        derived[f"avg_items_per_order_{w}"] = ratio(f"items_qty_{w}", f"orders_{w}")
+    for w in REFUNDS:
+        derived[f"refund_rate_{w}"] = ratio(f"refund_orders_{w}", f"orders_{w}")
 
-    wide = customer_rollup(tables, as_of).join(attributes, ID_COLUMN, "left")
-    return wide.select(
+    wide = customer_rollup(tables, as_of).join(customer_attributes(tables), ID_COLUMN, "left")
+    return wide.selectExpr(
         ID_COLUMN,
-        *(derived.get(name, c(name)).cast(kind).alias(name) for name, kind in FEATURE_FIELDS[1:]),
+        *(f"CAST({derived.get(name, name)} AS {kind}) AS {name}" for name, kind in FEATURE_FIELDS[1:]),
     )

@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promolens.config import ID_COLUMN, LOOKBACK_YEARS
-from promolens.functions.expr import WINDOWS, falls_between, months_before, window_start
+from promolens.functions.expr import (
+    WINDOWS,
+    aggregates,
+    day,
+    falls_between,
+    months_before,
+    since,
+    window_start,
+)
 from promolens.functions.money import (
     as_money,
     divide_half_up,
@@ -44,20 +52,14 @@ def lookback_windows(tables: SourceTables, as_of: date) -> DataFrame:
     """The date bounds of every look-back, with the orders that fall inside each."""
     bounds = {"lifetime": lookback_start(as_of), **{w: window_start(as_of, w) for w in WINDOWS}}
     counted = orders_base(tables, as_of).agg(
-        *(F.count_if(F.col("order_date") >= F.lit(d)).alias(w) for w, d in bounds.items())
+        *aggregates(*(f"count_if(order_date >= {day(d)}) AS n_{w}" for w, d in bounds.items()))
     )
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit(w).alias("window_name"),
-                F.lit(as_of).alias("as_of_date"),
-                F.lit(d).alias("start_date"),
-                F.col(w).alias("orders_in_window"),
-            )
-            for w, d in bounds.items()
-        )
+    rows = ", ".join(
+        f"struct('{w}' AS window_name, {day(as_of)} AS as_of_date, {day(d)} AS start_date,"
+        f" n_{w} AS orders_in_window)"
+        for w, d in bounds.items()
     )
-    return counted.select(F.inline(rows))
+    return counted.selectExpr(f"inline(array({rows}))")
 
 
 def orders_base(tables: SourceTables, as_of: date) -> DataFrame:
@@ -67,32 +69,28 @@ def orders_base(tables: SourceTables, as_of: date) -> DataFrame:
         (F.trim(F.col("testorder").cast("string")) == REGULAR_ORDER)
         & F.col("state").isin(*FINAL_STATES)
         & falls_between(orders, "created_date", lookback_start(as_of), as_of)
-    ).select(
-        F.col("id").alias("order_id"),
+    ).selectExpr(
+        "id AS order_id",
         "ordernumber",
         "shop",
-        F.col("created_date").cast("date").alias("order_date"),
+        "CAST(created_date AS DATE) AS order_date",
         "currency_code",
-        F.col("currencyrate").alias("order_currencyrate"),
+        "currencyrate AS order_currencyrate",
     )
 
 
 def daily_rates(tables: SourceTables) -> DataFrame:
     """Exchange rates per currency and day, exactly as delivered."""
-    return tables.currency_rates.select(
-        "currencycode", F.col("date").cast("date").alias("rate_date"), "currencyrate"
+    return tables.currency_rates.selectExpr(
+        "currencycode", "CAST(date AS DATE) AS rate_date", "currencyrate"
     )
 
 
 def rate_duplicates(tables: SourceTables) -> DataFrame:
     """Per currency: rates, days, and days with several rates (each would repeat lines)."""
-    per_day = daily_rates(tables).groupBy("currencycode", "rate_date").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    per_day = daily_rates(tables).groupBy("currencycode", "rate_date").agg(F.expr("count(1) AS n"))
     return per_day.groupBy("currencycode").agg(
-        F.sum("n").alias("rates"),
-        F.count(F.lit(1)).alias("days"),
-        F.count_if(F.col("n") > 1).alias("duplicated_days"),
+        *aggregates("sum(n) AS rates", "count(1) AS days", "count_if(n > 1) AS duplicated_days")
     )
 
 
@@ -103,31 +101,30 @@ def _rated_orders(tables: SourceTables, as_of: date) -> DataFrame:
     """
     orders = orders_base(tables, as_of)
     rates = daily_rates(tables).filter(
-        F.col("rate_date").between(F.lit(lookback_start(as_of)), F.lit(as_of))
+        f"rate_date BETWEEN {day(lookback_start(as_of))} AND {day(as_of)}"
     )
     if tables.row_count(("rates", as_of), rates) <= BROADCAST_RATE_ROWS:
         rates = F.broadcast(rates)
-    same_day = (orders.currency_code == rates.currencycode) & (orders.order_date == rates.rate_date)
-    rate = F.coalesce("order_currencyrate", "currencyrate").cast("double")
-    return orders.join(rates, same_day, "left").select(
-        "order_id", "ordernumber", "shop", "order_date", F.nullif(rate, F.lit(0.0)).alias("rate")
+    same_day = F.expr("currency_code = currencycode AND order_date = rate_date")
+    return orders.join(rates, same_day, "left").selectExpr(
+        "order_id",
+        "ordernumber",
+        "shop",
+        "order_date",
+        "nullif(CAST(coalesce(order_currencyrate, currencyrate) AS DOUBLE), 0D) AS rate",
     )
 
 
 def _item_lines(tables: SourceTables) -> DataFrame:
     """Product and shipping lines, narrowed to what the shuffle has to carry."""
-
-    def amount(value: Column) -> Column:
-        return F.coalesce(value, F.lit(0)).cast("double")
-
     items = tables.order_items.filter(F.col("type").isin(PRODUCT, SHIPPING))
-    return items.select(
+    return items.selectExpr(
         "orderid",
         "type",
-        (F.col("type") == PRODUCT).alias("is_product"),
-        F.round(F.coalesce("quantity", F.lit(0))).cast("bigint").alias("quantity"),
-        amount(F.col("nettotalprice")).alias("net_amount"),
-        amount(F.abs("coupondiscountdistr")).alias("coupon_amount"),
+        f"type = '{PRODUCT}' AS is_product",
+        "CAST(round(coalesce(quantity, 0)) AS BIGINT) AS quantity",
+        "CAST(coalesce(nettotalprice, 0) AS DOUBLE) AS net_amount",
+        "CAST(abs(coalesce(coupondiscountdistr, 0)) AS DOUBLE) AS coupon_amount",
     )
 
 
@@ -135,7 +132,8 @@ def line_amounts(tables: SourceTables, as_of: date) -> DataFrame:
     """Order lines with net price, coupon and piece price in micro-euros."""
     orders, items = _rated_orders(tables, as_of), _item_lines(tables)
     # Both sides are fact tables: never broadcast one on a size estimate.
-    lines = orders.join(items.hint("merge"), orders.order_id == items.orderid).select(
+    lines = orders.join(items.hint("merge"), F.expr("order_id = orderid"))
+    amounts = lines.selectExpr(
         "order_id",
         "ordernumber",
         "shop",
@@ -143,58 +141,63 @@ def line_amounts(tables: SourceTables, as_of: date) -> DataFrame:
         "type",
         "is_product",
         "quantity",
-        micros(F.col("net_amount") / F.col("rate")).alias("net"),
-        micros(F.col("coupon_amount") / F.col("rate")).alias("coupon"),
-    )
-    bought = F.col("is_product") & (F.col("quantity") > 0)
-    return lines.withColumn(
-        "price", F.when(bought, divide_half_up(F.col("net"), F.col("quantity")))
+        f"{micros('(net_amount / rate)')} AS net",
+        f"{micros('(coupon_amount / rate)')} AS coupon",
     )
+    price = f"CASE WHEN is_product AND quantity > 0 THEN {divide_half_up('net', 'quantity')} END"
+    return amounts.selectExpr("*", f"{price} AS price")
 
 
 def priced_lines(tables: SourceTables, as_of: date) -> DataFrame:
     """Product and shipping lines with net price and coupon amount in EUR."""
-    return line_amounts(tables, as_of).select(
-        "order_id", "ordernumber", "shop", "order_date", "type", "quantity",
-        as_money(F.col("net")).alias("post_discount_net_eur"),
-        as_money(F.col("coupon")).alias("discount_amt_eur"),
+    return line_amounts(tables, as_of).selectExpr(
+        "order_id",
+        "ordernumber",
+        "shop",
+        "order_date",
+        "type",
+        "quantity",
+        f"{as_money('net')} AS post_discount_net_eur",
+        f"{as_money('coupon')} AS discount_amt_eur",
     )
 
 
 def product_lines(tables: SourceTables, as_of: date) -> DataFrame:
     """Product lines with their price per piece (NULL without quantity or price)."""
-    lines = line_amounts(tables, as_of).filter("is_product")
-    return lines.select(
+    return line_amounts(tables, as_of).filter("is_product").selectExpr(
         "shop",
         "ordernumber",
         "quantity",
-        as_money(F.col("net")).alias("net_amount_eur"),
-        as_money(F.col("price")).alias("unit_price_net_eur"),
+        f"{as_money('net')} AS net_amount_eur",
+        f"{as_money('price')} AS unit_price_net_eur",
     )
 
 
-def _price_columns(has_shop: Column | None = None) -> list[Column]:
-    values = {
-        "avg_unit_price_order_eur": mean_micros("price_sum", F.col("price_n")),
-        "min_unit_price_order_eur": F.col("price_min"),
-        "max_unit_price_order_eur": F.col("price_max"),
-    }
-    return [
-        as_money(v if has_shop is None else F.when(has_shop, v)).alias(name)
-        for name, v in values.items()
-    ]
+PRICE_PARTS = ("price_sum_hi", "price_sum_lo", "price_n", "price_min", "price_max")
+MERGED_PRICES = (
+    *merge_sum("price_sum"),
+    "sum(price_n) AS price_n",
+    "min(price_min) AS price_min",
+    "max(price_max) AS price_max",
+)
+STARTED_PRICES = (
+    *start_sum("price", "price_sum"),
+    "count(price) AS price_n",
+    "min(price) AS price_min",
+    "max(price) AS price_max",
+)
+ORDER_PRICES = (
+    f"{as_money(mean_micros('price_sum', 'price_n'))} AS avg_unit_price_order_eur",
+    f"{as_money('price_min')} AS min_unit_price_order_eur",
+    f"{as_money('price_max')} AS max_unit_price_order_eur",
+)
 
 
 def unit_price_per_number(tables: SourceTables, as_of: date) -> DataFrame:
     """Mean, lowest and highest piece price per shop and order number."""
     lines = line_amounts(tables, as_of).filter("is_product")
-    folded = lines.groupBy("shop", "ordernumber").agg(
-        *start_sum(F.col("price"), "price_sum"),
-        F.count("price").alias("price_n"),
-        F.min("price").alias("price_min"),
-        F.max("price").alias("price_max"),
-    )
-    return folded.select("shop", "ordernumber", *_price_columns())
+    folded = lines.groupBy("shop", "ordernumber").agg(*aggregates(*STARTED_PRICES))
+    return folded.selectExpr("shop", "ordernumber", *ORDER_PRICES)
 
 
 def order_totals(tables: SourceTables, as_of: date) -> DataFrame:
@@ -202,45 +205,41 @@ def order_totals(tables: SourceTables, as_of: date) -> DataFrame:
 
     Grouping starts with the join key of the line join, so no further shuffle is needed.
     """
-    is_product = F.col("is_product")
-    net, none = F.col("net"), F.lit(0).cast("bigint")
-    return line_amounts(tables, as_of).groupBy(
-        "order_id", "shop", "ordernumber", "order_date"
-    ).agg(
-        *start_sum(F.when(is_product, net).otherwise(none), "product_net"),
-        *start_sum(F.when(~is_product, net).otherwise(none), "shipping_net"),
-        *start_sum(F.coalesce(net, none), "revenue"),
-        *start_sum(F.coalesce("coupon", none), "coupon"),
-        F.sum(F.when(is_product, F.col("quantity")).otherwise(0)).alias("pieces"),
-        *start_sum(F.col("price"), "price_sum"),
-        F.count("price").alias("price_n"),
-        F.min("price").alias("price_min"),
-        F.max("price").alias("price_max"),
+    lines = line_amounts(tables, as_of)
+    return lines.groupBy("order_id", "shop", "ordernumber", "order_date").agg(
+        *aggregates(
+            *start_sum("if(is_product, net, 0L)", "product_net"),
+            *start_sum("if(is_product, 0L, net)", "shipping_net"),
+            *start_sum("coalesce(net, 0L)", "revenue"),
+            *start_sum("coalesce(coupon, 0L)", "coupon"),
+            "sum(if(is_product, quantity, 0L)) AS pieces",
+            *STARTED_PRICES,
+        )
     )
 
 
 def order_rows(tables: SourceTables, as_of: date) -> DataFrame:
     """Order totals with the refund flag; any refund row of the order counts."""
     totals = order_totals(tables, as_of)
-    refunded = tables.refunds.select(F.col("orderid").alias("refunded_id")).distinct()
-    return totals.join(refunded, totals.order_id == refunded.refunded_id, "left").select(
-        *totals.columns, F.col("refunded_id").isNotNull().cast("int").alias("refunded_flag")
+    refunded = tables.refunds.selectExpr("orderid AS refunded_id").distinct()
+    return totals.join(refunded, F.expr("order_id = refunded_id"), "left").selectExpr(
+        *totals.columns, "if(refunded_id IS NULL, 0, 1) AS refunded_flag"
     )
 
 
 def order_level(tables: SourceTables, as_of: date) -> DataFrame:
     """Order totals in EUR with refund flag and revenue."""
-    return order_rows(tables, as_of).select(
+    return order_rows(tables, as_of).selectExpr(
         "shop",
         "order_id",
         "ordernumber",
         "order_date",
-        total("product_net").alias("product_net"),
-        total("shipping_net").alias("shipping_net"),
-        total("coupon").alias("discount_amt_eur"),
-        F.col("pieces").alias("product_qty"),
+        f"{total('product_net')} AS product_net",
+        f"{total('shipping_net')} AS shipping_net",
+        f"{total('coupon')} AS discount_amt_eur",
+        "pieces AS product_qty",
         "refunded_flag",
-        total("revenue").alias("revenue_net"),
+        f"{total('revenue')} AS revenue_net",
     )
 
 
@@ -251,18 +250,14 @@ def order_customer_map(tables: SourceTables) -> DataFrame:
     maximum combines on the map side, so a hot order number shrinks before the shuffle.
     """
     seen = tables.interactions.filter(
-        (F.col("interaction_type") == ORDER_INTERACTION)
-        & F.col("related_ordernumber").isNotNull()
-        & F.col("external_customerkey").isNotNull()
-    )
-    recency = F.struct(
-        F.col("event_time").isNull().alias("untimed"), "event_time", "external_customerkey"
-    )
-    return (
-        seen.groupBy(F.col("related_ordernumber").alias("ordernumber"))
-        .agg(F.max(recency).alias("latest"))
-        .select("ordernumber", F.col("latest.external_customerkey").alias(ID_COLUMN))
+        f"interaction_type = '{ORDER_INTERACTION}' AND related_ordernumber IS NOT NULL"
+        " AND external_customerkey IS NOT NULL"
+    ).selectExpr(
+        "related_ordernumber AS ordernumber",
+        "struct(event_time IS NULL AS untimed, event_time, external_customerkey) AS visit",
     )
+    latest = seen.groupBy("ordernumber").agg(F.expr("max(visit) AS latest"))
+    return latest.selectExpr("ordernumber", f"latest.external_customerkey AS {ID_COLUMN}")
 
 
 def number_totals(rows: DataFrame, as_of: date) -> DataFrame:
@@ -273,35 +268,32 @@ def number_totals(rows: DataFrame, as_of: date) -> DataFrame:
     of hot order numbers. A number lies in a window exactly if its last day does, so one
     date replaces a flag per window.
     """
-    day, pieces = F.col("order_date"), F.col("pieces")
 
-    def inside(window: str) -> Column:
-        return day >= F.lit(window_start(as_of, window))
+    def inside(window: str) -> str:
+        return since("order_date", as_of, window)
 
     folded = rows.groupBy("shop", "ordernumber").agg(
-        F.min(day).alias("first_day"),
-        F.max(day).alias("last_day"),
-        F.max(F.when(F.col("refunded_flag") == 1, day)).alias("last_refunded_day"),
-        *merge_sum("revenue", "revenue_lifetime"),
-        *(c for w in REVENUE_WINDOWS for c in merge_sum("revenue", f"revenue_{w}", inside(w))),
-        F.sum(pieces).alias("pieces_lifetime"),
-        *(F.sum(F.when(inside(w), pieces)).alias(f"pieces_{w}") for w in PIECE_WINDOWS),
-        F.sum(F.when(is_positive("coupon"), pieces).otherwise(0)).alias("pieces_couponed"),
-        *merge_sum("coupon"),
-        F.max(total("coupon")).alias("coupon_max"),
-        F.count(F.lit(1)).alias("order_rows"),
-        *merge_sum("price_sum"),
-        F.sum("price_n").alias("price_n"),
-        F.min("price_min").alias("price_min"),
-        F.max("price_max").alias("price_max"),
+        *aggregates(
+            "min(order_date) AS first_day",
+            "max(order_date) AS last_day",
+            "max(order_date) FILTER (WHERE refunded_flag = 1) AS last_refunded_day",
+            *merge_sum("revenue", "revenue_lifetime"),
+            *(c for w in REVENUE_WINDOWS for c in merge_sum("revenue", f"revenue_{w}", inside(w))),
+            "sum(pieces) AS pieces_lifetime",
+            *(f"sum(pieces) FILTER (WHERE {inside(w)}) AS pieces_{w}" for w in PIECE_WINDOWS),
+            f"sum(if({is_positive('coupon')}, pieces, 0L)) AS pieces_couponed",
+            *merge_sum("coupon"),
+            f"max({total('coupon')}) AS coupon_max",
+            "count(1) AS order_rows",
+            *MERGED_PRICES,
+        )
     )
     # Piece prices are looked up by shop, so rows without a shop have none.
-    has_shop = F.col("shop").isNotNull()
-    return folded.select(
-        *(c for c in folded.columns if not c.startswith("price_")),
-        F.when(has_shop, mean_micros("price_sum", F.col("price_n"))).alias("price_mean"),
-        F.when(has_shop, F.col("price_min")).alias("price_min"),
-        F.when(has_shop, F.col("price_max")).alias("price_max"),
+    return folded.selectExpr(
+        *(c for c in folded.columns if c not in PRICE_PARTS),
+        f"if(shop IS NULL, NULL, {mean_micros('price_sum', 'price_n')}) AS price_mean",
+        "if(shop IS NULL, NULL, price_min) AS price_min",
+        "if(shop IS NULL, NULL, price_max) AS price_max",
     )
 
 
@@ -312,38 +304,31 @@ def orders_mapped(tables: SourceTables, as_of: date) -> DataFrame:
     number only for the salts that really occur, so a hot number is split and a
     normal one is not multiplied.
     """
-    salt = F.pmod(F.hash("order_id"), F.lit(SALTS))
-    rows = order_rows(tables, as_of).withColumn("salt", salt)
+    rows = order_rows(tables, as_of).selectExpr("*", f"pmod(hash(order_id), {SALTS}) AS salt")
     prices = rows.groupBy("shop", "ordernumber").agg(
-        F.collect_set("salt").alias("salts"),
-        *merge_sum("price_sum"),
-        F.sum("price_n").alias("price_n"),
-        F.min("price_min").alias("price_min"),
-        F.max("price_max").alias("price_max"),
+        *aggregates("collect_set(salt) AS salts", *MERGED_PRICES)
     )
-    has_shop = F.col("shop").isNotNull()
-    lookup = prices.join(order_customer_map(tables), "ordernumber").select(
-        ID_COLUMN,
-        F.col("shop").alias("lookup_shop"),
-        F.col("ordernumber").alias("lookup_number"),
-        *_price_columns(has_shop),
-        F.explode("salts").alias("lookup_salt"),
+    names = [e.rsplit(" AS ", 1)[1] for e in ORDER_PRICES]
+    lookup = (
+        prices.selectExpr("shop", "ordernumber", "salts", *ORDER_PRICES)
+        .join(order_customer_map(tables), "ordernumber")
+        .selectExpr(
+            ID_COLUMN,
+            "shop AS lookup_shop",
+            "ordernumber AS lookup_number",
+            *(f"if(shop IS NULL, NULL, {name}) AS {name}" for name in names),
+            "explode(salts) AS lookup_salt",
+        )
     )
-    return rows.join(
-        lookup,
-        (rows.ordernumber == lookup.lookup_number)
-        & (rows.salt == lookup.lookup_salt)
-        & rows.shop.eqNullSafe(lookup.lookup_shop),
-    ).select(
+    same = "ordernumber = lookup_number AND salt = lookup_salt AND shop <=> lookup_shop"
+    return rows.join(lookup, F.expr(same)).selectExpr(
         ID_COLUMN,
         "shop",
         "ordernumber",
         "order_date",
-        total("revenue").alias("revenue_net"),
-        F.col("pieces").alias("product_qty"),
-        total("coupon").alias("discount_amt_eur"),
+        f"{total('revenue')} AS revenue_net",
+        "pieces AS product_qty",
+        f"{total('coupon')} AS discount_amt_eur",
         "refunded_flag",
-        "avg_unit_price_order_eur",
-        "min_unit_price_order_eur",
-        "max_unit_price_order_eur",
+        *names,
     )

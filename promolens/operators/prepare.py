@@ -19,7 +19,7 @@ from promolens.config import (
     TARGET_SOURCES,
     RunConfig,
 )
-from promolens.functions.expr import quoted
+from promolens.functions.expr import fill_zero, present, quoted
 from promolens.operators.quality import NUMERIC, coerce_dates, window_columns
 
 
@@ -69,8 +69,7 @@ def drop_all_null(df: DataFrame) -> DataFrame:
 
 def fill_windows(df: DataFrame) -> DataFrame:
     """0 for a missing window measure: no activity in the window."""
-    columns = window_columns(df)
-    return df.na.fill(0, subset=columns) if columns else df
+    return fill_zero(df, window_columns(df))
 
 
 def add_target(df: DataFrame) -> DataFrame:
@@ -208,7 +207,9 @@ def training_frame(df: DataFrame, meta: PrepMetadata) -> DataFrame:
         TARGET_COLUMN,
         COUNTRY_COLUMN,
     )
-    return encode_country(kept.na.drop(subset=numeric), meta.major_countries, flags)
+    for c in numeric:
+        kept = kept.filter(present(kept, c).isNotNull())
+    return encode_country(kept, meta.major_countries, flags)
 
 
 def replay(df: DataFrame, meta: PrepMetadata) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promolens.config import COUNTRY_COLUMN, ID_COLUMN
-from promolens.functions.expr import quoted
+from promolens.functions.expr import fill_zero, quoted
 from promolens.operators.prepare import PrepMetadata, replay
 from promolens.operators.quality import NUMERIC
 from promolens.operators.training import assemble, probability
@@ -34,7 +34,7 @@ def scoring_frame(df: DataFrame, meta: PrepMetadata) -> DataFrame:
     if COUNTRY_COLUMN not in df.columns:
         raise ValueError(f"required column is missing: {COUNTRY_COLUMN}")
     aligned = align(replay(df, meta), meta.feature_columns)
-    return aligned.na.fill(0, subset=list(meta.feature_columns))
+    return fill_zero(aligned, meta.feature_columns)
 
 
 def require_country(df: DataFrame) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from promolens.config import DATE_COLUMNS, FEATURE_FIELDS
-from promolens.functions.expr import quoted
+from promolens.functions.expr import present, quoted
 
 # Texts that a data-frame CSV reader takes as missing by default. Note that
 # the ISO country code "NA" is among them.
@@ -27,10 +27,8 @@ def normalize_missing(df: DataFrame, tokens: Iterable[str] = ()) -> DataFrame:
     tokens = list(tokens)
 
     def clean(field: T.StructField) -> Column:
-        column = quoted(field.name)
-        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            column = F.when(~F.isnan(column), column)
-        elif isinstance(field.dataType, T.StringType) and tokens:
+        column = present(df, field.name)
+        if isinstance(field.dataType, T.StringType) and tokens:
             column = F.when(~column.isin(tokens), column)
         return column.alias(field.name)
 

@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from promolens.functions import money
+from promolens.functions.expr import aggregates
 
 LIMIT = 10**18 - 1
 QUIET = settings(max_examples=15, deadline=None,
@@ -16,11 +17,9 @@ QUIET = settings(max_examples=15, deadline=None,
 @given(st.lists(st.integers(-LIMIT, LIMIT), min_size=1, max_size=40))
 def test_split_sums_are_exact(spark, values):
     df = spark.createDataFrame([(i % 3, v) for i, v in enumerate(values)], "g int, v bigint")
-    first = df.groupBy("g").agg(*money.start_sum(F.col("v"), "s"))
-    both = first.groupBy().agg(*money.merge_sum("s")).withColumn("n", F.lit(len(values)))
-    row = both.select(
-        money.total("s").alias("total"), money.mean_micros("s", F.col("n")).alias("mean")
-    ).first()
+    first = df.groupBy("g").agg(*aggregates(*money.start_sum("v", "s")))
+    both = first.groupBy().agg(*aggregates(*money.merge_sum("s"))).withColumn("n", F.lit(len(values)))
+    row = both.selectExpr(f"{money.total('s')} AS total", f"{money.mean_micros('s', 'n')} AS mean").first()
     exact = D(sum(values))
     assert row["total"] == exact.scaleb(-6)
     assert row["mean"] == (exact / len(values)).quantize(D(1), ROUND_HALF_UP)
@@ -31,20 +30,20 @@ def test_split_sums_are_exact(spark, values):
                 max_size=30))
 def test_division_rounds_half_away_from_zero(spark, pairs):
     df = spark.createDataFrame(pairs, "a bigint, b bigint")
-    found = df.select("a", "b", money.divide_half_up(F.col("a"), F.col("b")).alias("q")).collect()
+    found = df.selectExpr("a", "b", f"{money.divide_half_up('a', 'b')} AS q").collect()
     for r in found:
         assert r.q == (D(r.a) / D(r.b)).quantize(D(1), ROUND_HALF_UP)
 
 
 def test_nothing_added_stays_null(spark):
     df = spark.createDataFrame([(None,)], "v bigint").agg(
-        *money.start_sum(F.col("v"), "s"), F.count("v").alias("n"))
-    row = df.select(money.total("s"), money.mean_micros("s", F.col("n"))).first()
+        *aggregates(*money.start_sum("v", "s")), F.count("v").alias("n"))
+    row = df.selectExpr(money.total("s"), money.mean_micros("s", "n")).first()
     assert tuple(row) == (None, None)
 
 
 def test_sums_beyond_64_bit_totals(spark):
     df = spark.range(1000).select(F.lit(LIMIT).alias("v"))
-    row = df.agg(*money.start_sum(F.col("v"), "s"), F.count("v").alias("n")).select(
-        money.total("s").alias("t"), money.mean_micros("s", F.col("n")).alias("m")).first()
+    row = df.agg(*aggregates(*money.start_sum("v", "s")), F.count("v").alias("n")).selectExpr(
+        f"{money.total('s')} AS t", f"{money.mean_micros('s', 'n')} AS m").first()
     assert row.t == D(LIMIT * 1000).scaleb(-6) and row.m == LIMIT
