@@ -41,7 +41,8 @@ PIECE_WINDOWS = ("6m", "12m")
 # larger rate table is joined by shuffle instead.
 BROADCAST_RATE_ROWS = 1_000_000
 
-SALTS = 64
+# A hot order number is split this many ways; a normal one never sees more than its rows.
+SALTS = 1024
 
 
 def lookback_start(as_of: date) -> date:

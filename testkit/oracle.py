@@ -390,7 +390,7 @@ SELECTS: dict[str, str] = {
     " CAST(coupondiscountdistr AS DOUBLE) AS coupondiscountdistr) FROM src_order_items",
     "scan_refunds": "SELECT * FROM src_refunds",
     "scan_currencyrates": "SELECT * FROM src_currency_rates",
-    "scan_interactions": "SELECT * REPLACE (epoch_us(event_time) AS event_time)"
+    "scan_interactions": "SELECT * REPLACE (CAST(event_time AS VARCHAR) AS event_time)"
     " FROM src_interactions",
     "scan_customers": "SELECT * FROM src_customers",
     "params": " UNION ALL ".join(
@@ -514,7 +514,7 @@ FROM proxy WHERE segment IS NULL HAVING count(*) > 0""".format(
 SELECT externalcustomerkey, {ZEROED}, 'country_' || place AS country_flag FROM placed""",
     "align_features": f"""
 SELECT externalcustomerkey, {", ".join(f"coalesce({c}, 0) AS {c}" for c in ALIGNED)},
-       0 AS orders_15d, 0 AS aov_net_lifetime_eur,
+       CAST(0 AS BIGINT) AS orders_15d, 0 AS aov_net_lifetime_eur,
        CASE WHEN externalcustomerkey % 9 = 0 THEN 'country_OTHER'
             ELSE 'country_' || place END AS country_flag
 FROM placed""",

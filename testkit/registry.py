@@ -92,8 +92,7 @@ def _scan_orders(t: SourceTables) -> DataFrame:
 
 
 def _scan_interactions(t: SourceTables) -> DataFrame:
-    instant = F.unix_micros(F.col("event_time").cast("timestamp"))
-    return t.interactions.withColumn("event_time", instant)
+    return t.interactions.withColumn("event_time", F.col("event_time").cast("string"))
 
 
 def _written(spark: SparkSession, sf_dir: str) -> DataFrame:
