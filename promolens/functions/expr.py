@@ -10,8 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SHARE = "decimal(18,9)"
-
 # Look-back windows, as (unit, length).
 WINDOWS = {
     "15d": ("day", 15),

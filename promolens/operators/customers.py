@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from promolens.config import FEATURE_FIELDS, ID_COLUMN
 from promolens.functions.expr import WINDOWS, aggregates, day, ratio, since
-from promolens.functions.money import as_money, mean_micros, merge_sum, start_sum, total
+from promolens.functions.money import (
+    as_money,
+    divide_half_up,
+    mean_micros,
+    merge_sum,
+    start_sum,
+    total,
+)
 from promolens.operators.orders import (
     PIECE_WINDOWS,
     REVENUE_WINDOWS,
@@ -33,10 +40,21 @@ COUNTS = (
 RENAMED = {"discounted_orders": "discounted_orders_lifetime"}
 
 PRICE_MEAN = mean_micros("price_sum", "price_n")
+# Shares are whole billionths, rounded half up; counts too large for that go by decimal.
+BILLIONTHS = 1_000_000_000
+_WIDE_SHARE = "CAST(pieces_couponed AS DECIMAL(20,0)) / nullif(items_qty_lifetime, 0)"
 PIECE_SHARE = (
-    "CAST(CAST(pieces_couponed AS DECIMAL(20,0)) / nullif(items_qty_lifetime, 0)"
-    " AS DECIMAL(18,9))"
+    "CASE WHEN items_qty_lifetime > 0 AND abs(pieces_couponed) < 1000000000L"
+    " AND items_qty_lifetime < 1000000000L"
+    f" THEN {divide_half_up(f'(pieces_couponed * {BILLIONTHS}L)', 'items_qty_lifetime')}"
+    f" ELSE CAST(round({_WIDE_SHARE} * {BILLIONTHS}, 0) AS BIGINT) END"
 )
+
+
+def _as_share(value: str) -> str:
+    return f"CAST(CAST({value} AS DECIMAL(18,0)) * 0.000000001 AS DECIMAL(18,9))"
+
+
 PRICES_IN_EUR = (
     f"{as_money(PRICE_MEAN)} AS avg_unit_price_lifetime_eur",
     f"{as_money('price_min')} AS min_unit_price_lifetime_eur",
@@ -94,7 +112,7 @@ def customer_shop(tables: SourceTables, as_of: date) -> DataFrame:
         f"{total('coupon')} AS discount_abs_lifetime",
         "coupon_max AS max_discount_single_order",
         *PRICES_IN_EUR,
-        f"{PIECE_SHARE} AS share_of_items_discounted",
+        f"{_as_share(PIECE_SHARE)} AS share_of_items_discounted",
     )
 
 
@@ -125,6 +143,7 @@ def customer_rollup(tables: SourceTables, as_of: date) -> DataFrame:
             "count(share) AS share_n",
         )
     )
+    mean_share = f"CASE WHEN share_n > 0 THEN {divide_half_up('share_sum', 'share_n')} END"
     return folded.selectExpr(
         ID_COLUMN,
         "first_order_date",
@@ -135,7 +154,7 @@ def customer_rollup(tables: SourceTables, as_of: date) -> DataFrame:
         "coupon_max AS max_discount_single_order",
         *PRICES_IN_EUR,
         "shops_included",
-        "CAST(share_sum / nullif(share_n, 0) AS DECIMAL(18,9)) AS share_of_items_discounted",
+        f"{_as_share(mean_share)} AS share_of_items_discounted",
     )
 
 
@@ -179,5 +198,8 @@ def feature_table(tables: SourceTables, as_of: date) -> DataFrame:
     wide = customer_rollup(tables, as_of).join(customer_attributes(tables), ID_COLUMN, "left")
     return wide.selectExpr(
         ID_COLUMN,
-        *(f"CAST({derived.get(name, name)} AS {kind}) AS {name}" for name, kind in FEATURE_FIELDS[1:]),
+        *(
+            f"CAST({derived.get(name, name)} AS {kind}) AS {name}"
+            for name, kind in FEATURE_FIELDS[1:]
+        ),
     )

@@ -284,7 +284,7 @@ def number_totals(rows: DataFrame, as_of: date) -> DataFrame:
             *(f"sum(pieces) FILTER (WHERE {inside(w)}) AS pieces_{w}" for w in PIECE_WINDOWS),
             f"sum(if({is_positive('coupon')}, pieces, 0L)) AS pieces_couponed",
             *merge_sum("coupon"),
-            f"max({total('coupon')}) AS coupon_max",
+            f"max(if({is_positive('coupon')}, {total('coupon')}, 0)) AS coupon_max",
             "count(1) AS order_rows",
             *MERGED_PRICES,
         )

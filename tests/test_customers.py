@@ -110,3 +110,22 @@ def test_invariants_and_one_row_per_customer(spark):
         for name in ("share_of_orders_with_discount", "refund_rate_lifetime",
                      "share_of_items_discounted", "discount_rate_lifetime"):
             assert 0 <= r[name] <= 1
+
+
+def test_piece_share_beyond_64_bit_products(spark):
+    t = tables(
+        spark, orders=[order(1), order(2)],
+        order_items=[item(1, quantity=4e9, coupon=-1), item(2, quantity=8e9)],
+        interactions=[bought_by(7, "N1"), bought_by(7, "N2")],
+    )
+    assert one(customers.feature_table(t, AS_OF)).share_of_items_discounted == 0.333333333
+
+
+def test_returns_can_turn_the_piece_share_negative(spark):
+    t = tables(
+        spark, orders=[order(1), order(2)],
+        order_items=[item(1, quantity=-1, coupon=-1), item(2, quantity=-2)],
+        interactions=[bought_by(7, "N1"), bought_by(7, "N2")],
+    )
+    row = one(customers.feature_table(t, AS_OF))
+    assert row.share_of_items_discounted == 0.333333333 and row.items_qty_lifetime == -3
