@@ -99,7 +99,7 @@ class BoostConfig:
     min_instances_per_node: int = 50
     feature_fraction: float = 0.6
     subsampling_rate: float = 0.6
-    validation_tol: float = 0.0
+    early_stopping_rounds: int = 10
     max_bins: int = 64
 
 
@@ -146,6 +146,7 @@ def preset(name: str) -> RunConfig:
                 min_instances_per_node=200,
                 feature_fraction=0.8,
                 subsampling_rate=0.8,
+                early_stopping_rounds=5,
             ),
         )
     raise ValueError(f"unknown preset: {name}")

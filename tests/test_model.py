@@ -148,6 +148,25 @@ def test_run_then_score_again_with_the_saved_folder(spark, tmp_path):
     assert written.count() == 600
 
 
+def test_best_round_waits_for_patience():
+    assert training.best_round([5, 4, 4.5, 3, 3.1, 3.2], 2) == 4
+    assert training.best_round([5, 4, 4.5, 4.6, 3], 2) == 2
+    assert training.best_round([5, 4, 3], 1) == 3
+    assert training.best_round([1.0], 3) == 1
+
+
+def test_overfitted_rounds_are_dropped(spark):
+    noise = spark.range(400).selectExpr(
+        "id as externalcustomerkey", "cast(id * 7919 % 101 as double) as a",
+        "cast(id * 104729 % 97 as double) as b",
+        "cast(hash(id) % 2 = 0 as int) as y_discount_sensitive")
+    cfg = CFG.with_changes(boosting=BoostConfig(
+        max_iter=6, max_depth=5, min_instances_per_node=1, step_size=0.9, early_stopping_rounds=2,
+        feature_fraction=1.0, subsampling_rate=1.0))
+    result = training.train(noise, cfg=cfg)
+    assert result.metrics["best_iteration"] == result.model.getNumTrees < 6
+
+
 def test_missing_artifacts_fail(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="metadata"):
         runs.score_only(spark, separable(spark), str(tmp_path / "none"))
