@@ -33,30 +33,35 @@ def window_start(as_of: date, window: str) -> date:
     return as_of - timedelta(days=length) if unit == "day" else months_before(as_of, length)
 
 
+def ident(name: str) -> str:
+    """A column name for SQL text, also when it holds dots or blanks."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
     """A column by its literal name, also when the name holds dots or blanks."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(ident(name))
 
 
-def present(df: DataFrame, name: str) -> Column:
-    """The value, with NaN taken as missing."""
-    column = quoted(name)
+def present(df: DataFrame, name: str) -> str:
+    """SQL for the value, with NaN taken as missing."""
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(column), column)
-    return column
+        return f"if(isnan({ident(name)}), NULL, {ident(name)})"
+    return ident(name)
 
 
 def fill_zero(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """0 for missing values of the named columns, types kept."""
     filled = set(names)
 
-    def value(field: T.StructField) -> Column:
+    def value(field: T.StructField) -> str:
+        name = ident(field.name)
         if field.name not in filled:
-            return quoted(field.name)
-        zero = F.lit(0).cast(field.dataType)
-        return F.coalesce(present(df, field.name), zero).alias(field.name)
+            return name
+        zero = f"CAST(0 AS {field.dataType.simpleString()})"
+        return f"coalesce({present(df, field.name)}, {zero}) AS {name}"
 
-    return df.select(*(value(f) for f in df.schema))
+    return df.selectExpr(*(value(f) for f in df.schema))
 
 
 def falls_between(df: DataFrame, name: str, first: date, last: date) -> Column:
@@ -86,7 +91,7 @@ def ratio(numerator: str, denominator: str) -> str:
     return f"CASE WHEN {denominator} > 0 THEN {quotient} END"
 
 
-def aggregates(*expressions: str) -> list[Column]:
+def sql_columns(*expressions: str) -> list[Column]:
     return [F.expr(e) for e in expressions]
 
 

@@ -1,4 +1,4 @@
-"""Customer-and-shop aggregates, customer roll-up, and the wide feature table."""
+"""Customer-and-shop sql_columns, customer roll-up, and the wide feature table."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promolens.config import FEATURE_FIELDS, ID_COLUMN
-from promolens.functions.expr import WINDOWS, aggregates, day, ratio, since
+from promolens.functions.expr import WINDOWS, sql_columns, day, ratio, since
 from promolens.functions.money import (
     as_money,
     divide_half_up,
@@ -76,7 +76,7 @@ def _shop_parts(tables: SourceTables, as_of: date) -> DataFrame:
 
     # The mean runs over order rows: a number with n rows counts n times.
     return mapped.groupBy(ID_COLUMN, "shop").agg(
-        *aggregates(
+        *sql_columns(
             "min(first_day) AS first_order_date",
             "max(last_day) AS last_order_date",
             "count(1) AS orders_lifetime",
@@ -127,7 +127,7 @@ def customer_rollup(tables: SourceTables, as_of: date) -> DataFrame:
         "*", f"{PRICE_MEAN} AS price_mean", f"{PIECE_SHARE} AS share"
     )
     folded = per_shop.groupBy(ID_COLUMN).agg(
-        *aggregates(
+        *sql_columns(
             "min(first_order_date) AS first_order_date",
             "max(last_order_date) AS last_order_date",
             *(f"sum({c}) AS {c}" for c in COUNTS),
@@ -169,7 +169,7 @@ def customer_attributes(tables: SourceTables) -> DataFrame:
         tables.customers.filter(f"{ID_COLUMN} IS NOT NULL")
         .groupBy(ID_COLUMN)
         .agg(
-            *aggregates(
+            *sql_columns(
                 "max(country) AS country",
                 f"max(coalesce(nullif(gender, ''), '{UNKNOWN_GENDER}')) AS gender",
             )

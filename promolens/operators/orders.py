@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from promolens.config import ID_COLUMN, LOOKBACK_YEARS
 from promolens.functions.expr import (
     WINDOWS,
-    aggregates,
+    sql_columns,
     day,
     falls_between,
     months_before,
@@ -53,7 +53,7 @@ def lookback_windows(tables: SourceTables, as_of: date) -> DataFrame:
     """The date bounds of every look-back, with the orders that fall inside each."""
     bounds = {"lifetime": lookback_start(as_of), **{w: window_start(as_of, w) for w in WINDOWS}}
     counted = orders_base(tables, as_of).agg(
-        *aggregates(*(f"count_if(order_date >= {day(d)}) AS n_{w}" for w, d in bounds.items()))
+        *sql_columns(*(f"count_if(order_date >= {day(d)}) AS n_{w}" for w, d in bounds.items()))
     )
     rows = ", ".join(
         f"struct('{w}' AS window_name, {day(as_of)} AS as_of_date, {day(d)} AS start_date,"
@@ -91,7 +91,7 @@ def rate_duplicates(tables: SourceTables) -> DataFrame:
     """Per currency: rates, days, and days with several rates (each would repeat lines)."""
     per_day = daily_rates(tables).groupBy("currencycode", "rate_date").agg(F.expr("count(1) AS n"))
     return per_day.groupBy("currencycode").agg(
-        *aggregates("sum(n) AS rates", "count(1) AS days", "count_if(n > 1) AS duplicated_days")
+        *sql_columns("sum(n) AS rates", "count(1) AS days", "count_if(n > 1) AS duplicated_days")
     )
 
 
@@ -197,7 +197,7 @@ ORDER_PRICES = (
 def unit_price_per_number(tables: SourceTables, as_of: date) -> DataFrame:
     """Mean, lowest and highest piece price per shop and order number."""
     lines = line_amounts(tables, as_of).filter("is_product")
-    folded = lines.groupBy("shop", "ordernumber").agg(*aggregates(*STARTED_PRICES))
+    folded = lines.groupBy("shop", "ordernumber").agg(*sql_columns(*STARTED_PRICES))
     return folded.selectExpr("shop", "ordernumber", *ORDER_PRICES)
 
 
@@ -208,7 +208,7 @@ def order_totals(tables: SourceTables, as_of: date) -> DataFrame:
     """
     lines = line_amounts(tables, as_of)
     return lines.groupBy("order_id", "shop", "ordernumber", "order_date").agg(
-        *aggregates(
+        *sql_columns(
             *start_sum("if(is_product, net, 0L)", "product_net"),
             *start_sum("if(is_product, 0L, net)", "shipping_net"),
             *start_sum("coalesce(net, 0L)", "revenue"),
@@ -274,7 +274,7 @@ def number_totals(rows: DataFrame, as_of: date) -> DataFrame:
         return since("order_date", as_of, window)
 
     folded = rows.groupBy("shop", "ordernumber").agg(
-        *aggregates(
+        *sql_columns(
             "min(order_date) AS first_day",
             "max(order_date) AS last_day",
             "max(order_date) FILTER (WHERE refunded_flag = 1) AS last_refunded_day",
@@ -307,7 +307,7 @@ def orders_mapped(tables: SourceTables, as_of: date) -> DataFrame:
     """
     rows = order_rows(tables, as_of).selectExpr("*", f"pmod(hash(order_id), {SALTS}) AS salt")
     prices = rows.groupBy("shop", "ordernumber").agg(
-        *aggregates("collect_set(salt) AS salts", *MERGED_PRICES)
+        *sql_columns("collect_set(salt) AS salts", *MERGED_PRICES)
     )
     names = [e.rsplit(" AS ", 1)[1] for e in ORDER_PRICES]
     lookup = (

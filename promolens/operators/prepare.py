@@ -19,7 +19,7 @@ from promolens.config import (
     TARGET_SOURCES,
     RunConfig,
 )
-from promolens.functions.expr import fill_zero, present, quoted
+from promolens.functions.expr import fill_zero, ident, present, quoted
 from promolens.operators.quality import NUMERIC, coerce_dates, window_columns
 
 
@@ -58,13 +58,14 @@ def _require_numeric(df: DataFrame, columns) -> None:
 
 def all_null_columns(df: DataFrame) -> list[str]:
     """Columns without a single value, found in one aggregate."""
-    filled = df.agg(*(F.count(quoted(c)).alias(f"c{i}") for i, c in enumerate(df.columns))).first()
+    counts = (f"count({ident(c)}) AS c{i}" for i, c in enumerate(df.columns))
+    filled = df.selectExpr(*counts).first()
     return [c for c, n in zip(df.columns, filled) if n == 0]
 
 
 def drop_all_null(df: DataFrame) -> DataFrame:
     empty = set(all_null_columns(df))
-    return df.select(*(quoted(c) for c in df.columns if c not in empty))
+    return df.selectExpr(*(ident(c) for c in df.columns if c not in empty))
 
 
 def fill_windows(df: DataFrame) -> DataFrame:
@@ -125,7 +126,7 @@ def encode_country(df: DataFrame, majors: tuple[str, ...], flags: dict[str, str]
     _require(df, [COUNTRY_COLUMN])
     grouped = grouped_country(majors)
     return df.select(
-        *(quoted(c) for c in df.columns if c != COUNTRY_COLUMN),
+        *(ident(c) for c in df.columns if c != COUNTRY_COLUMN),
         *((grouped == v).cast("int").alias(name) for name, v in flags.items()),
     )
 
@@ -176,7 +177,7 @@ def fit(df: DataFrame, cfg: RunConfig = RunConfig()) -> PrepMetadata:
     _require(df, [*TARGET_SOURCES, COUNTRY_COLUMN])
     dates = coerce_dates(df)
     empty = set(all_null_columns(dates))
-    kept = dates.select(*(quoted(c) for c in dates.columns if c not in empty))
+    kept = dates.selectExpr(*(ident(c) for c in dates.columns if c not in empty))
     _require(kept, [*TARGET_SOURCES, COUNTRY_COLUMN])
     names = _numeric_feature_names(kept, _droppable(kept, cfg.drop_policy))
     _require_numeric(kept, names)
@@ -201,14 +202,10 @@ def training_frame(df: DataFrame, meta: PrepMetadata) -> DataFrame:
     labelled = add_target(_clean(df))
     _require(labelled, numeric)
     _require_numeric(labelled, numeric)
-    kept = labelled.select(
-        *([quoted(ID_COLUMN)] if ID_COLUMN in df.columns else []),
-        *(quoted(c) for c in numeric),
-        TARGET_COLUMN,
-        COUNTRY_COLUMN,
-    )
-    for c in numeric:
-        kept = kept.filter(present(kept, c).isNotNull())
+    key = [ID_COLUMN] if ID_COLUMN in df.columns else []
+    kept = labelled.selectExpr(*map(ident, [*key, *numeric, TARGET_COLUMN, COUNTRY_COLUMN]))
+    if numeric:
+        kept = kept.filter(" AND ".join(f"{present(kept, c)} IS NOT NULL" for c in numeric))
     return encode_country(kept, meta.major_countries, flags)
 
 
@@ -221,7 +218,7 @@ def replay(df: DataFrame, meta: PrepMetadata) -> DataFrame:
     clean = _clean(df)
     names = _numeric_feature_names(clean, set(DROPPED_COLUMNS))
     flags = country_flags([*meta.major_countries, OTHER_COUNTRY])
-    kept = clean.select(quoted(ID_COLUMN), *(quoted(c) for c in names), COUNTRY_COLUMN)
+    kept = clean.selectExpr(*map(ident, [ID_COLUMN, *names, COUNTRY_COLUMN]))
     return encode_country(kept, meta.major_countries, flags)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promolens.config import COUNTRY_COLUMN, ID_COLUMN
-from promolens.functions.expr import fill_zero, quoted
+from promolens.functions.expr import fill_zero, ident, quoted
 from promolens.operators.prepare import PrepMetadata, replay
 from promolens.operators.quality import NUMERIC
 from promolens.operators.training import assemble, probability
@@ -18,8 +18,9 @@ def align(df: DataFrame, names, key: str = ID_COLUMN) -> DataFrame:
     text = [c for c in names if c in df.columns and not isinstance(df.schema[c].dataType, NUMERIC)]
     if text:
         raise ValueError(f"non-numeric feature columns: {text}")
-    return df.select(
-        quoted(key), *(quoted(c) if c in df.columns else F.lit(0).alias(c) for c in names)
+    found = set(df.columns)
+    return df.selectExpr(
+        ident(key), *(ident(c) if c in found else f"0 AS {ident(c)}" for c in names)
     )
 
 

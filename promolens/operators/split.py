@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -27,42 +29,49 @@ def holdout_sizes(class_rows: dict, fraction: float) -> dict:
     return sizes
 
 
+def _any(conditions: list[Column]) -> Column:
+    return reduce(or_, conditions, F.lit(False))
+
+
 def _cut_points(hashed: DataFrame, fraction: float) -> dict:
     """Per class, the largest hash that still belongs to the holdout.
 
     A histogram of 2**16 hash ranges finds the range holding the cut; only the keys of that
-    range are counted one by one. Both steps combine on the map side.
+    range are counted one by one. Both steps combine on the map side, so copies of one key
+    are one row before anything is ranked.
     """
+    label = F.col("label")
     bucket = F.shiftright("h", HASH_BITS - BUCKET_BITS)
-    histogram = hashed.groupBy("label", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    upto = W.partitionBy("label").orderBy("bucket")
-    ranges = histogram.select(
-        "label", "bucket", "n", F.sum("n").over(upto).alias("upto")
-    ).persist()
+    histogram = hashed.groupBy("label", bucket.alias("bucket")).agg(F.expr("count(1) AS n"))
+    running = F.sum("n").over(W.partitionBy("label").orderBy("bucket"))
+    ranges = histogram.select("label", "bucket", "n", running.alias("upto")).persist()
     try:
-        class_rows = {r["label"]: r["n"] for r in ranges.groupBy("label").agg(
-            F.sum("n").alias("n")).collect()}
-        if len(class_rows) == 0:
+        class_rows = dict(ranges.groupBy("label").agg(F.sum("n")).collect())
+        if not class_rows:
             return {}
         sizes = holdout_sizes(class_rows, fraction)
-        cuts = {}
-        for label, size in sizes.items():
-            holds = (F.col("label") == label) & (F.col("upto") > size)
-            first = ranges.filter(holds).orderBy("bucket").first()
-            if first is None:
-                cuts[label] = (1 << HASH_BITS) - 1
-                continue
-            left = size - (first["upto"] - first["n"])
-            inside = hashed.filter((F.col("label") == label) & (bucket == first["bucket"]))
-            per_hash = inside.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-            running = per_hash.select("h", F.sum("n").over(W.orderBy("h")).alias("upto"))
-            last = running.filter(F.col("upto") <= left).agg(F.max("h")).first()[0]
-            floor = first["bucket"] << (HASH_BITS - BUCKET_BITS)
-            cuts[label] = floor - 1 if last is None else last
-        return cuts
+        beyond = _any([(label == c) & (F.col("upto") > size) for c, size in sizes.items()])
+        firsts = ranges.filter(beyond).groupBy("label").agg(
+            F.expr("min(struct(bucket, n, upto)) AS first")
+        )
+        cut_range = {r["label"]: r["first"] for r in firsts.collect()}
     finally:
         ranges.unpersist()
 
+    left = {c: sizes[c] - (r["upto"] - r["n"]) for c, r in cut_range.items()}
+    inside = _any([(label == c) & (bucket == r["bucket"]) for c, r in cut_range.items()])
+    keys = hashed.filter(inside).groupBy("label", "h").agg(F.expr("count(1) AS n"))
+    ranked = keys.withColumn("upto", F.sum("n").over(W.partitionBy("label").orderBy("h")))
+    fits = _any([(label == c) & (F.col("upto") <= n) for c, n in left.items()])
+    last = dict(ranked.filter(fits).groupBy("label").agg(F.max("h")).collect())
+
+    def cut(c) -> int:
+        if c not in cut_range:  # the whole class is held out
+            return (1 << HASH_BITS) - 1
+        return last.get(c, (cut_range[c]["bucket"] << (HASH_BITS - BUCKET_BITS)) - 1)
+
+    return {c: cut(c) for c in sizes}
+
 
 def stratified(
     df: DataFrame,
@@ -86,9 +95,7 @@ def stratified(
         chosen = h < cut
     elif mode == "exact":
         cuts = _cut_points(df.select(quoted(label).alias("label"), h.alias("h")), fraction)
-        chosen = F.lit(False)
-        for value, last in cuts.items():
-            chosen = chosen | ((quoted(label) == value) & (h <= last))
+        chosen = _any([(quoted(label) == c) & (h <= last) for c, last in cuts.items()])
     else:
         raise ValueError(f"unknown split mode: {mode}")
     return df.withColumn("is_validation", chosen.cast("int"))

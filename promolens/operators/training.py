@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promolens.config import ID_COLUMN, TARGET_COLUMN, RunConfig
-from promolens.functions.expr import quoted
+from promolens.functions.expr import sql_columns, ident, quoted
 from promolens.operators.metrics import roc_auc
 from promolens.operators.split import balance, stratified
 
@@ -37,7 +37,7 @@ def assemble(df: DataFrame, names, keep: list[Column]) -> DataFrame:
     """One vector column next to ``keep``; feature names may hold any character."""
     slots = [f"f{i}" for i in range(len(names))]
     flat = df.select(
-        *keep, *(quoted(n).cast("double").alias(s) for n, s in zip(names, slots))
+        *keep, *sql_columns(*(f"CAST({ident(n)} AS DOUBLE) AS {s}" for n, s in zip(names, slots)))
     )
     vector = VectorAssembler(inputCols=slots, outputCol="features", handleInvalid="error")
     return vector.transform(flat).drop(*slots)

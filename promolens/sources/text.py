@@ -27,7 +27,7 @@ def normalize_missing(df: DataFrame, tokens: Iterable[str] = ()) -> DataFrame:
     tokens = list(tokens)
 
     def clean(field: T.StructField) -> Column:
-        column = present(df, field.name)
+        column = F.expr(present(df, field.name))
         if isinstance(field.dataType, T.StringType) and tokens:
             column = F.when(~column.isin(tokens), column)
         return column.alias(field.name)

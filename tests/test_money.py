@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from promolens.functions import money
-from promolens.functions.expr import aggregates
+from promolens.functions.expr import sql_columns
 
 LIMIT = 10**18 - 1
 QUIET = settings(max_examples=15, deadline=None,
@@ -17,8 +17,8 @@ QUIET = settings(max_examples=15, deadline=None,
 @given(st.lists(st.integers(-LIMIT, LIMIT), min_size=1, max_size=40))
 def test_split_sums_are_exact(spark, values):
     df = spark.createDataFrame([(i % 3, v) for i, v in enumerate(values)], "g int, v bigint")
-    first = df.groupBy("g").agg(*aggregates(*money.start_sum("v", "s")))
-    both = first.groupBy().agg(*aggregates(*money.merge_sum("s"))).withColumn("n", F.lit(len(values)))
+    first = df.groupBy("g").agg(*sql_columns(*money.start_sum("v", "s")))
+    both = first.groupBy().agg(*sql_columns(*money.merge_sum("s"))).withColumn("n", F.lit(len(values)))
     row = both.selectExpr(f"{money.total('s')} AS total", f"{money.mean_micros('s', 'n')} AS mean").first()
     exact = D(sum(values))
     assert row["total"] == exact.scaleb(-6)
@@ -37,13 +37,13 @@ def test_division_rounds_half_away_from_zero(spark, pairs):
 
 def test_nothing_added_stays_null(spark):
     df = spark.createDataFrame([(None,)], "v bigint").agg(
-        *aggregates(*money.start_sum("v", "s")), F.count("v").alias("n"))
+        *sql_columns(*money.start_sum("v", "s")), F.count("v").alias("n"))
     row = df.selectExpr(money.total("s"), money.mean_micros("s", "n")).first()
     assert tuple(row) == (None, None)
 
 
 def test_sums_beyond_64_bit_totals(spark):
     df = spark.range(1000).select(F.lit(LIMIT).alias("v"))
-    row = df.agg(*aggregates(*money.start_sum("v", "s")), F.count("v").alias("n")).selectExpr(
+    row = df.agg(*sql_columns(*money.start_sum("v", "s")), F.count("v").alias("n")).selectExpr(
         f"{money.total('s')} AS t", f"{money.mean_micros('s', 'n')} AS m").first()
     assert row.t == D(LIMIT * 1000).scaleb(-6) and row.m == LIMIT
