@@ -16,6 +16,10 @@ JOB_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# For sessions created for these jobs: the feature job generates more classes than the default
+# cache holds, and without room for them every run compiles them again.
+SESSION_SETTINGS = {"spark.sql.codegen.cache.maxEntries": "1000"}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session and return it."""

@@ -9,14 +9,17 @@ from pyspark.sql import SparkSession
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-from promolens.session import tune  # noqa: E402
+from promolens.session import SESSION_SETTINGS, tune  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     root = tmp_path_factory.mktemp("spark")
+    builder = SparkSession.builder
+    for key, value in SESSION_SETTINGS.items():
+        builder = builder.config(key, value)
     session = (
-        SparkSession.builder.master("local[8]")
+        builder.master("local[8]")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
