@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -48,7 +47,6 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
     )
     for key, value in SESSION_SETTINGS.items():
         builder = builder.config(key, value)
