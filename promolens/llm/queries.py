@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm import license_scan, line_dedup, packing, quality, warc
+from promolens.llm import (
+    byte_bpe,
+    language_id,
+    license_scan,
+    line_dedup,
+    lz_fingerprint,
+    packing,
+    quality,
+    warc,
+)
+from promolens.llm.common import map_batches
 from promolens.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    conf = tune(spark).conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16777216")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -38,12 +52,43 @@ def _warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def _language_id(docs: DataFrame) -> DataFrame:
+    labelled = language_id.predict(docs, language_id.fit(docs))
+    return labelled.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def _token_digests(batches):
+    for batch in batches:
+        ids = [np.array(x, "<u4").tobytes() for x in batch["ids"]]
+        yield {
+            "doc_id": batch["doc_id"],
+            "n_tokens": [len(x) // 4 for x in ids],
+            "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids],
+            "decoded_sha256": [hashlib.sha256(x).hexdigest() for x in batch["decoded"]],
+        }
+
+
+def _byte_bpe(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    return map_batches(
+        byte_bpe.decode(encoded, ranks),
+        _token_digests,
+        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": _documents(quality.quality_rules),
     "op2_license_scan": _documents(license_scan.scan_licenses),
+    "op3_lz_fingerprint": _documents(lz_fingerprint.compare_with_next),
     "op4_line_dedup": _documents(_line_dedup),
     "op5_packing": _documents(_packing),
     "op6_warc": _warc,
+    "op8_language_id": _documents(_language_id),
+    "op9_byte_bpe": _documents(_byte_bpe),
 }
 
 
