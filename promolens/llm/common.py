@@ -7,14 +7,24 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from promolens.session import tune
+
 EMPTY = np.empty(0, np.uint64)
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the library's settings, and Arrow batches that fit long texts."""
+    conf = tune(spark).conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16777216")
+    return spark
+
+
 class WordHashes(dict):
     """64-bit hash of a word, remembered. Forgets everything at a million words."""
 

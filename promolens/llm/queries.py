@@ -11,25 +11,23 @@ from pyspark.sql import functions as F
 
 from promolens.llm import (
     byte_bpe,
+    jaccard_join,
     language_id,
     license_scan,
     line_dedup,
     lz_fingerprint,
     packing,
     quality,
+    suffix_dedup,
     warc,
 )
-from promolens.llm.common import map_batches
-from promolens.session import tune
+from promolens.llm.common import map_batches, prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    conf = tune(spark).conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16777216")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _documents(step: Callable[[DataFrame], DataFrame]) -> Query:
@@ -52,6 +50,10 @@ def _warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def _jaccard(docs: DataFrame) -> DataFrame:
+    return jaccard_join.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
+
+
 def _language_id(docs: DataFrame) -> DataFrame:
     labelled = language_id.predict(docs, language_id.fit(docs))
     return labelled.select("doc_id", "held_out", "lang_pred", "score")
@@ -87,8 +89,10 @@ QUERIES: dict[str, Query] = {
     "op4_line_dedup": _documents(_line_dedup),
     "op5_packing": _documents(_packing),
     "op6_warc": _warc,
+    "op7_jaccard_join": _documents(_jaccard),
     "op8_language_id": _documents(_language_id),
     "op9_byte_bpe": _documents(_byte_bpe),
+    "op10_suffix_dedup": _documents(suffix_dedup.repeat_digests),
 }
 
 
