@@ -36,6 +36,7 @@ SHINGLE = 3
 CONTAINMENT = 0.8
 MISS = 1e-4
 MAX_TEMPLATES = 10_000
+GROUP = 128  # texts that go through the bands side by side
 _PUNCTUATION = b".,;:!?\"'()[]{}<>*#|"
 
 
@@ -71,25 +72,31 @@ class _Class:
             for _, s in templates
         )
         self.bands = bands_needed(worst, miss)
-        self.salts = mix(np.arange(1, self.bands + 1, dtype=np.uint64) * np.uint64(block))
-        self.values = [np.array([self.hash(s, b).min() for _, s in templates])
-                       for b in range(self.bands)]
-
-    def hash(self, codes: np.ndarray, band: int) -> np.ndarray:
-        v = (codes ^ self.salts[band]) * np.uint64(0x9E3779B97F4A7C15)
-        return v ^ (v >> np.uint64(31))
-
-    def candidates(self, codes: np.ndarray, starts: np.ndarray) -> set[tuple[int, int]]:
-        """(window, template) that agree in at least one band; window w is blocks w and w+1."""
+        # Codes are mixed already, so an odd factor gives each band an order of its own.
+        self.factors = mix(np.arange(1, self.bands + 1, dtype=np.uint64)) | np.uint64(1)
+        self.values = [
+            np.array([(s * factor).min() for _, s in templates]) for factor in self.factors
+        ]
+
+    def candidates(
+        self, codes: np.ndarray, starts: np.ndarray, owner: np.ndarray
+    ) -> set[tuple[int, int]]:
+        """(window, template) that agree in at least one band.
+
+        ``starts`` and ``owner`` are the place and the text of each block; window w is block w
+        and, in the same text, the next.
+        """
         found: set[tuple[int, int]] = set()
-        for band in range(self.bands):
-            low = np.minimum.reduceat(self.hash(codes, band), starts)
-            for t, value in enumerate(self.values[band].tolist()):
-                for b in np.flatnonzero(low == value).tolist():
+        after = np.append(owner[1:] == owner[:-1], False)
+        for factor, values in zip(self.factors, self.values, strict=True):
+            low = np.minimum.reduceat(codes * factor, starts)
+            for b in np.flatnonzero(np.isin(low, values)).tolist():
+                for t in np.flatnonzero(values == low[b]).tolist():
                     # The band value of a window is the smaller of its blocks' values.
-                    for w in (b - 1, b):
-                        if w >= 0 and low[w : w + 2].min() == value:
-                            found.add((w, t))
+                    if not after[b] or low[b + 1] >= low[b]:
+                        found.add((b, t))
+                    if b and after[b - 1] and low[b - 1] >= low[b]:
+                        found.add((b - 1, t))
         return found
 
 
@@ -103,18 +110,27 @@ def _classes(templates, n: int, theta: float, miss: float) -> list[_Class]:
     return [_Class(b, g, theta, miss) for b, g in sorted(groups.items())]
 
 
-def find_templates(codes: np.ndarray, classes: list[_Class], theta: float) -> list[tuple]:
-    """(template, first shingle, last shingle, containment) of each verified window."""
-    spans = []
+def find_templates(texts: list[np.ndarray], classes: list[_Class], theta: float) -> list[list]:
+    """For each text's shingles: (template, first shingle, last, containment) of the windows."""
+    spans: list[list] = [[] for _ in texts]
+    sizes = np.array([len(t) for t in texts])
+    if not sizes.sum():
+        return spans
+    codes, begin = np.concatenate(texts), np.cumsum(sizes) - sizes
     for c in classes:
-        starts = np.arange(0, len(codes), c.block)
-        for w, t in sorted(c.candidates(codes, starts)):
+        blocks = -(-sizes // c.block)
+        owner = np.repeat(np.arange(len(texts)), blocks)
+        step = np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        starts = begin[owner] + step * c.block
+        for w, t in sorted(c.candidates(codes, starts, owner)):
             number, wanted = c.templates[t]
-            window = codes[w * c.block : (w + 2) * c.block]
+            text = int(owner[w])
+            first, end = int(starts[w]), int(begin[text] + sizes[text])
+            window = codes[first : min(first + 2 * c.block, end)]
             share = np.isin(wanted, window).sum() / len(wanted)
             if share >= theta:
-                at = np.flatnonzero(np.isin(window, wanted)) + w * c.block
-                spans.append((number, int(at[0]), int(at[-1]), float(share)))
+                at = np.flatnonzero(np.isin(window, wanted)) + first - begin[text]
+                spans[text].append((number, int(at[0]), int(at[-1]), float(share)))
     return spans
 
 
@@ -162,14 +178,14 @@ def scan_licenses(
         cache = _Words()
         for batch in batches:
             out = {c: [] for c in ("_key", "license", "n_spans", "first_word", "containment")}
-            for row, data in zip(batch["_key"], batch["_data"], strict=True):
-                codes = _codes(data, cache, shingle)
-                if not len(codes):
-                    continue
-                spans = merge_spans(find_templates(codes, classes, containment))
-                for number, (n, first, share) in sorted(spans.items()):
-                    for c, v in zip(out, (row, names[number], n, first, share), strict=True):
-                        out[c].append(v)
+            for at in range(0, len(batch["_key"]), GROUP):
+                some = slice(at, at + GROUP)
+                texts = [_codes(data, cache, shingle) for data in batch["_data"][some]]
+                found = find_templates(texts, classes, containment)
+                for row, spans in zip(batch["_key"][some], found, strict=True):
+                    for number, (n, first, share) in sorted(merge_spans(spans).items()):
+                        for c, v in zip(out, (row, names[number], n, first, share), strict=True):
+                            out[c].append(v)
             yield out
 
     rows = docs.select(F.col(key).alias("_key"), text_bytes(text).alias("_data"))
