@@ -334,27 +334,30 @@ def keep_one(
     rank = F.struct(F.col(key).isNull(), F.col(key).alias("k"), F.col("text_hash").alias("h"))
     best = found.where("component is not null").groupBy("component").agg(F.min(rank).alias("s"))
     keep = stage(
-        best.selectExpr("s.k as _k", "s.h as _h").unionByName(
-            found.where("component is null").selectExpr(f"`{key}` as _k", "text_hash as _h")
+        best.selectExpr("s.k as _key", "s.h as _hash").unionByName(
+            found.where("component is null")
+            .selectExpr(f"`{key}` as _key", "text_hash as _hash")
             .distinct()
         ),
         "jaccard-keep",
     )
-    hashed = docs.withColumn("_text_hash", F.xxhash64(text_bytes(text)))
-    kept = hashed.join(
-        keep, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_text_hash") == F.col("_h")), "left_semi"
+    kept = _chosen(docs, keep, key, text, "left_semi")
+    equal = (
+        found.where("component is not null")
+        .groupBy(F.col(key).alias("_key"), F.col("text_hash").alias("_hash"))
+        .count()
+        .where("count > 1")
     )
-    equal = found.where("component is not null").groupBy(key, "text_hash").count()
-    if equal.where("count > 1").limit(1).count():  # equal rows of one key: only one stays
-        words = kept.join(
-            equal.where("count > 1").selectExpr(f"`{key}` as _k", "text_hash as _h"),
-            F.col(key).eqNullSafe(F.col("_k")) & (F.col("_text_hash") == F.col("_h")),
-            "left_semi",
-        ).dropDuplicates([key, "_text_hash"])
-        others = kept.join(
-            equal.where("count > 1").selectExpr(f"`{key}` as _k", "text_hash as _h"),
-            F.col(key).eqNullSafe(F.col("_k")) & (F.col("_text_hash") == F.col("_h")),
-            "left_anti",
-        )
-        kept = others.unionByName(words)
-    return kept.drop("_text_hash")
+    if equal.limit(1).count():  # equal rows of one key: only one stays
+        one = _chosen(kept, equal, key, text, "left_semi")
+        one = one.withColumn("_text_hash", F.xxhash64(text_bytes(text)))
+        one = one.dropDuplicates([key, "_text_hash"]).drop("_text_hash")
+        kept = _chosen(kept, equal, key, text, "left_anti").unionByName(one)
+    return kept
+
+
+def _chosen(docs: DataFrame, chosen: DataFrame, key: str, text: str, how: str) -> DataFrame:
+    same = docs[key].eqNullSafe(chosen["_key"]) & (
+        F.xxhash64(F.coalesce(docs[text].cast("binary"), F.lit(b""))) == chosen["_hash"]
+    )
+    return docs.join(chosen, same, how)

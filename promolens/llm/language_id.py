@@ -135,12 +135,16 @@ def gradients(net: Network, window: np.ndarray, labels: np.ndarray, used: np.nda
 def train(
     samples: list[tuple[bytes, str]],
     hidden: int = 8,
-    epochs: int = 10,
+    epochs: int = 6,
+    min_steps: int = 750,
     batch: int = 128,
     rate: float = 0.01,
     seed: int = 7,
 ) -> Network:
-    """Fit a network with Adam to (bytes, language). Texts are cut into windows."""
+    """Fit a network with Adam to (bytes, language). Texts are cut into windows.
+
+    Small samples are read more than ``epochs`` times, until there are ``min_steps`` steps.
+    """
     languages = sorted({lang for _, lang in samples})
     net = new_network(languages, hidden, seed)
     pieces = [
@@ -159,7 +163,10 @@ def train(
     first = [np.zeros_like(w) for w in net.weights()]
     second = [np.zeros_like(w) for w in net.weights()]
     step = 0
-    total = epochs * -(-len(pieces) // batch)
+    each = -(-len(pieces) // batch)
+    if each:
+        epochs = max(epochs, -(-min_steps // each))
+    total = epochs * each
     for _ in range(epochs):
         order = draw.permutation(len(pieces))
         for at in range(0, len(order), batch):
@@ -219,7 +226,7 @@ def document_probabilities(net: Network, texts: list[bytes]) -> np.ndarray:
 
     Texts are cut into windows that all go through the network side by side.
     """
-    sizes = np.array([len(t) for t in texts])
+    sizes = np.array([len(t) for t in texts], np.int64)
     pieces = -(-sizes // WINDOW)
     owner = np.repeat(np.arange(len(texts)), pieces)
     window = np.zeros((len(owner), WINDOW), np.uint8)

@@ -96,8 +96,130 @@ QUERIES: dict[str, Query] = {
 }
 
 
-def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+_WORD = r"[^\x20\x09-\x0D]+"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+SQL: dict[str, str] = {
+    "op1_quality_rules": f"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT doc_id, text, regexp_extract_all(text, '{_WORD}') AS ws,
+         string_split(text, chr(10)) AS ls FROM d
+), base AS (
+  SELECT doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)
+           AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols
+  FROM w
+), word AS (
+  SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS i FROM w
+), win AS (
+  SELECT doc_id, i, x, lead(x, 1) OVER o AS y, lead(x, 2) OVER o AS z
+  FROM word WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+), twice AS (
+  SELECT doc_id, i FROM win WHERE z IS NOT NULL
+  QUALIFY count(*) OVER (PARTITION BY doc_id, x, y, z) > 1
+), rep AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY 1
+), line AS (
+  SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM d
+), dup AS (
+  SELECT doc_id, sum(c - 1) AS n FROM (
+    SELECT doc_id, line, count(*) AS c FROM line WHERE regexp_matches(line, '{_WORD}')
+    GROUP BY ALL) GROUP BY 1
+), norm AS (
+  SELECT doc_id, source, regexp_extract_all(regexp_replace(translate(line, '{_UPPER}',
+    '{_LOWER}'), '[1-9]', '0', 'g'), '{_WORD}') AS ws FROM line
+), keyed AS (
+  SELECT doc_id, source, array_to_string(ws, ' ') AS k, len(ws) AS c FROM norm WHERE len(ws) > 0
+), hosts AS (
+  SELECT source, count(*) AS n FROM documents GROUP BY 1
+), above AS (
+  SELECT k, keyed.source FROM keyed JOIN hosts ON keyed.source IS NOT DISTINCT FROM hosts.source
+  GROUP BY k, keyed.source, hosts.n
+  HAVING count(DISTINCT doc_id) >= {quality.MIN_DOCS}
+     AND count(DISTINCT doc_id) > {quality.MAX_SHARE}::DOUBLE * hosts.n
+), lost AS (
+  SELECT doc_id, sum(c) AS n FROM keyed JOIN above
+    ON keyed.k = above.k AND keyed.source IS NOT DISTINCT FROM above.source GROUP BY 1
+), done AS (
+  SELECT doc_id, n_words, word_chars, n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
+         coalesce(rep.n, 0) AS n_repeat_words, n_words - coalesce(lost.n, 0) AS n_words_left
+  FROM base LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id)
+       LEFT JOIN lost USING (doc_id)
+), failed AS (
+  SELECT *, n_words < {quality.MIN_WORDS}
+    OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM done
+)
+SELECT *, NOT base_failed AND 100 * n_words_left >= {quality.MIN_LEFT_PERCENT} * n_words AS kept
+FROM failed""",
+    "op4_line_dedup": f"""
+WITH line AS (
+  SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+         unnest(range(1, len(string_split(text, chr(10))) + 1)) AS pos
+  FROM documents
+), keyed AS (
+  SELECT *, lower(trim(line)) AS k FROM line
+), hosts AS (
+  SELECT source, count(*) AS n FROM documents GROUP BY 1
+), bad AS (
+  SELECT k, keyed.source FROM keyed JOIN hosts ON keyed.source IS NOT DISTINCT FROM hosts.source
+  WHERE k <> '' GROUP BY k, keyed.source, hosts.n
+  HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_PAGES}
+     AND count(DISTINCT doc_id) > {line_dedup.MAX_RATIO}::DOUBLE * hosts.n
+), marked AS (
+  SELECT doc_id, pos, line, bad.k IS NOT NULL AS gone FROM keyed LEFT JOIN bad
+    ON keyed.k = bad.k AND keyed.source IS NOT DISTINCT FROM bad.source
+), clean AS (
+  SELECT doc_id, count(*) AS n, count(*) FILTER (gone) AS dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text
+  FROM marked GROUP BY 1
+)
+SELECT d.doc_id, d.source, coalesce(n, 0) AS n_lines, coalesce(dropped, 0) AS n_dropped,
+       sha256(clean.text) AS clean_sha256
+FROM documents d LEFT JOIN clean USING (doc_id)""",
+    "op6_warc": f"""
+WITH p AS (
+  SELECT page_id, url, strlen(coalesce(html, '')) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p
+), g AS (
+  SELECT *, payload_bytes >= {warc.MIN_REVISIT_BYTES} AND page_id <> first_id AS again FROM f
+)
+SELECT page_id, payload_bytes, payload_digest, url AS target_uri,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first_id END AS refers_to
+FROM g""",
+    "op7_jaccard_join": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+    '{_WORD}') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []
+    WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), 
+      lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])
+    END) AS shingle FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * c >= 90 * (x.n + y.n - c)
+), e AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r(node, root) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node
+), c AS (
+  SELECT node AS doc_id, min(root) AS component_id FROM r GROUP BY 1
+)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id
+FROM documents JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)""",
+}
 
 
-SQL: dict[str, str] = {}
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
