@@ -117,8 +117,8 @@ class RunConfig:
     boosting: BoostConfig = field(default_factory=BoostConfig)
 
     def __post_init__(self) -> None:
-        if not 0 <= self.country_min_share <= 1:
-            raise ValueError("country_min_share must lie in [0, 1]")
+        if not 0 < self.country_min_share <= 1:
+            raise ValueError("country_min_share must lie in (0, 1]")
         if not 0 < self.test_size < 1:
             raise ValueError("test_size must lie in (0, 1)")
         if not 0 < self.t1 < self.t2 < 1:
@@ -141,12 +141,13 @@ def preset(name: str) -> RunConfig:
             t2=0.6,
             drop_policy="if_constant",
             boosting=BoostConfig(
+                max_iter=300,
                 step_size=0.05,
                 max_depth=6,
                 min_instances_per_node=200,
                 feature_fraction=0.8,
                 subsampling_rate=0.8,
-                early_stopping_rounds=5,
+                early_stopping_rounds=30,
             ),
         )
     raise ValueError(f"unknown preset: {name}")

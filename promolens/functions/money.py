@@ -11,16 +11,37 @@ from __future__ import annotations
 MICRO = "0.000001"
 LOW_BITS = 20
 LOW_MASK = (1 << LOW_BITS) - 1
-SAFE_UPPER = 1 << 40  # totals below 2**60 micro-euros allow plain 64-bit division
+_TOO_LARGE = "CAST(raise_error('amount does not fit decimal(18,6)') AS BIGINT)"
 
 
 def micros(amount: str) -> str:
-    """A double amount in euros as micro-euros, rounded half up; fails when out of range."""
+    """A double amount in euros as micro-euros, rounded half up; fails when out of range.
+
+    For sources that are doubles themselves: above about 9e9 euros a double no longer holds
+    micro-euros, so their amounts are only as exact as they came.
+    """
     scaled = f"floor(abs({amount}) * 1e6D + 0.5D)"
-    too_large = "CAST(raise_error('amount does not fit decimal(18,6)') AS BIGINT)"
     return (
         f"CASE WHEN abs({amount}) < 1e12D THEN if({amount} < 0, -{scaled}, {scaled})"
-        f" WHEN {amount} IS NOT NULL THEN {too_large} END"
+        f" WHEN {amount} IS NOT NULL THEN {_TOO_LARGE} END"
+    )
+
+
+def quotient_micros(amount: str, scale: int, rate: str, rate_scale: int) -> str:
+    """amount / rate in micro-euros for decimals of these scales: exact, rounded half up.
+
+    Both become whole numbers first, so nothing is rounded before the one division.
+    """
+    shift = 6 + rate_scale - scale
+    over = f"CAST(abs({amount}) * {10**scale} AS DECIMAL(38,0)) * {10 ** max(shift, 0)}"
+    under = f"CAST(abs({rate}) * {10**rate_scale} AS DECIMAL(38,0)) * {10 ** max(-shift, 0)}"
+    over, under = (f"CAST({x} AS DECIMAL(38,0))" for x in (over, under))
+    rounded = f"CAST(((2 * {over} + {under}) div (2 * {under})) AS BIGINT)"
+    signed = f"if(({amount} < 0) <> ({rate} < 0), -{rounded}, {rounded})"
+    fits = f"abs({amount}) < CAST(1000000000000 AS DECIMAL(20,0)) * abs({rate})"
+    return (
+        f"CASE WHEN {amount} IS NULL OR {rate} IS NULL OR {rate} = 0 THEN NULL"
+        f" WHEN {fits} THEN {signed} ELSE {_TOO_LARGE} END"
     )
 
 
@@ -61,13 +82,29 @@ def total(name: str) -> str:
 
 
 def is_positive(name: str) -> str:
-    """Whether a sum of non-negative amounts exceeds 0."""
-    return f"({name}_hi > 0 OR {name}_lo > 0)"
+    """Whether a started sum exceeds 0: its lower part is carried into the upper one first."""
+    upper = f"({name}_hi + shiftright({name}_lo, {LOW_BITS}))"
+    return f"({upper} > 0 OR ({upper} = 0 AND ({name}_lo & {LOW_MASK}L) > 0))"
 
 
 def mean_micros(name: str, n: str) -> str:
-    """Mean amount in micro-euros, rounded half up; NULL if nothing was counted."""
-    small = f"abs({name}_hi) < {SAFE_UPPER}L AND abs({name}_lo) < {SAFE_UPPER}L"
-    fast = divide_half_up(f"(shiftleft({name}_hi, {LOW_BITS}) + {name}_lo)", n)
-    wide = f"CAST(round({_whole(name)} / CAST({n} AS DECIMAL(20,0)), 0) AS BIGINT)"
-    return f"CASE WHEN {n} > 0 THEN if({small}, {fast}, {wide}) END"
+    """Mean amount in micro-euros, rounded half up; NULL if nothing was counted.
+
+    The upper part is divided first and its remainder joins the lower part, so all of it stays
+    within 64 bits for any amounts and up to 2**42 rows.
+    """
+    over = f"pmod({name}_hi, {n})"
+    rest = f"({over} * {1 << LOW_BITS}L + {name}_lo)"
+    whole = f"((({name}_hi - {over}) div {n}) * {1 << LOW_BITS}L + {rest} div {n})"
+    left = f"({rest} % {n})"
+    up = f"(2 * {left} > {n} OR (2 * {left} = {n} AND {whole} >= 0))"
+    return f"CASE WHEN {n} > 0 THEN {whole} + if({up}, 1L, 0L) END"
+
+
+def share_half_up(part: str, of: str, unit: int) -> str:
+    """part / of in whole ``unit``-ths, rounded half up (away from zero); NULL if of is 0."""
+    whole = f"abs(CAST({of} AS DECIMAL(20,0)))"
+    over = f"CAST(2 * abs(CAST({part} AS DECIMAL(20,0))) * {unit} + {whole} AS DECIMAL(38,0))"
+    rounded = f"CAST({over} div CAST(2 * {whole} AS DECIMAL(38,0)) AS BIGINT)"
+    signed = f"if(({part} < 0) <> ({of} < 0), -{rounded}, {rounded})"
+    return f"CASE WHEN {of} <> 0 THEN {signed} END"

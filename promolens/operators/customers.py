@@ -1,4 +1,4 @@
-"""Customer-and-shop sql_columns, customer roll-up, and the wide feature table."""
+"""Customer-and-shop aggregates, customer roll-up, and the wide feature table."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from promolens.functions.money import (
     divide_half_up,
     mean_micros,
     merge_sum,
+    share_half_up,
     start_sum,
     total,
 )
@@ -40,15 +41,9 @@ COUNTS = (
 RENAMED = {"discounted_orders": "discounted_orders_lifetime"}
 
 PRICE_MEAN = mean_micros("price_sum", "price_n")
-# Shares are whole billionths, rounded half up; counts too large for that go by decimal.
+# Shares are whole billionths, rounded half up.
 BILLIONTHS = 1_000_000_000
-_WIDE_SHARE = "CAST(pieces_couponed AS DECIMAL(20,0)) / nullif(items_qty_lifetime, 0)"
-PIECE_SHARE = (
-    "CASE WHEN items_qty_lifetime > 0 AND abs(pieces_couponed) < 1000000000L"
-    " AND items_qty_lifetime < 1000000000L"
-    f" THEN {divide_half_up(f'(pieces_couponed * {BILLIONTHS}L)', 'items_qty_lifetime')}"
-    f" ELSE CAST(round({_WIDE_SHARE} * {BILLIONTHS}, 0) AS BIGINT) END"
-)
+PIECE_SHARE = share_half_up("pieces_couponed", "items_qty_lifetime", BILLIONTHS)
 
 
 def _as_share(value: str) -> str:

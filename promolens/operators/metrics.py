@@ -17,7 +17,8 @@ def _score_ranges(counts: DataFrame) -> list[float]:
     """Bounds that cut the distinct scores into about equal parts."""
     probabilities = [i / SCORE_RANGES for i in range(1, SCORE_RANGES)]
     inner = counts.approxQuantile("score", probabilities, 1 / (4 * SCORE_RANGES))
-    return [float("-inf"), *sorted({x for x in inner if abs(x) != float("inf")}), float("inf")]
+    finite = sorted({x for x in inner if abs(x) != float("inf")}) or [0.0]
+    return [float("-inf"), *finite, float("inf")]
 
 
 def roc_auc(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from promolens.config import ID_COLUMN, LOOKBACK_YEARS
 from promolens.functions.expr import (
@@ -24,9 +25,11 @@ from promolens.functions.money import (
     mean_micros,
     merge_sum,
     micros,
+    quotient_micros,
     start_sum,
     total,
 )
+from promolens.session import stage
 from promolens.sources.tables import SourceTables
 
 # Which orders, lines and interactions count.
@@ -37,10 +40,6 @@ ORDER_INTERACTION = "order"
 REVENUE_WINDOWS = ("15d", "30d", "6m", "12m")
 PIECE_WINDOWS = ("6m", "12m")
 
-# Currencies x days of the look-back stay far below this; the count is checked and a
-# larger rate table is joined by shuffle instead.
-BROADCAST_RATE_ROWS = 1_000_000
-
 # A hot order number is split this many ways; a normal one never sees more than its rows.
 SALTS = 1024
 
@@ -95,45 +94,82 @@ def rate_duplicates(tables: SourceTables) -> DataFrame:
     )
 
 
+def _scale(df: DataFrame, name: str) -> int | None:
+    """Digits behind the point of a decimal or whole-number column, None for other types."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.DecimalType):
+        return kind.scale
+    return 0 if isinstance(kind, T.IntegralType) else None
+
+
+def _rate_scale(tables: SourceTables) -> int | None:
+    """Scale of the effective rate; None if either rate column is not exact."""
+    scales = (_scale(tables.orders, "currencyrate"), _scale(tables.currency_rates, "currencyrate"))
+    return None if None in scales else max(scales)
+
+
+def _amount_scale(tables: SourceTables) -> int | None:
+    names = ("nettotalprice", "coupondiscountdistr")
+    scales = [_scale(tables.order_items, name) for name in names]
+    return None if None in scales else max(scales)
+
+
+def _exact(tables: SourceTables) -> bool:
+    return None not in (_rate_scale(tables), _amount_scale(tables))
+
+
 def _rated_orders(tables: SourceTables, as_of: date) -> DataFrame:
     """Orders with their effective rate: the order's own, else the day's; 0 counts as none.
 
-    The rate belongs to the order, so it is joined before the much larger line table.
+    The rate belongs to the order, so it is joined before the much larger line table. The
+    statistics of the run decide how the join is done.
     """
     orders = orders_base(tables, as_of)
     rates = daily_rates(tables).filter(
         f"rate_date BETWEEN {day(lookback_start(as_of))} AND {day(as_of)}"
     )
-    if tables.row_count(("rates", as_of), rates) <= BROADCAST_RATE_ROWS:
-        rates = F.broadcast(rates)
     same_day = F.expr("currency_code = currencycode AND order_date = rate_date")
+    scale = _rate_scale(tables) if _exact(tables) else None
+    kind = "DOUBLE" if scale is None else f"DECIMAL({min(38, 12 + scale)},{scale})"
+    rate = f"coalesce(CAST(order_currencyrate AS {kind}), CAST(currencyrate AS {kind}))"
     return orders.join(rates, same_day, "left").selectExpr(
         "order_id",
         "ordernumber",
         "shop",
         "order_date",
-        "nullif(CAST(coalesce(order_currencyrate, currencyrate) AS DOUBLE), 0D) AS rate",
+        f"nullif({rate}, CAST(0 AS {kind})) AS rate",
     )
 
 
 def _item_lines(tables: SourceTables) -> DataFrame:
     """Product and shipping lines, narrowed to what the shuffle has to carry."""
     items = tables.order_items.filter(F.col("type").isin(PRODUCT, SHIPPING))
+    scale = _amount_scale(tables) if _exact(tables) else None
+    kind = "DOUBLE" if scale is None else f"DECIMAL({min(38, 16 + scale)},{scale})"
     return items.selectExpr(
         "orderid",
         "type",
         f"type = '{PRODUCT}' AS is_product",
         "CAST(round(coalesce(quantity, 0)) AS BIGINT) AS quantity",
-        "CAST(coalesce(nettotalprice, 0) AS DOUBLE) AS net_amount",
-        "CAST(abs(coalesce(coupondiscountdistr, 0)) AS DOUBLE) AS coupon_amount",
+        f"CAST(coalesce(nettotalprice, 0) AS {kind}) AS net_amount",
+        f"CAST(abs(coalesce(coupondiscountdistr, 0)) AS {kind}) AS coupon_amount",
     )
 
 
 def line_amounts(tables: SourceTables, as_of: date) -> DataFrame:
-    """Order lines with net price, coupon and piece price in micro-euros."""
+    """Order lines with net price, coupon and piece price in micro-euros.
+
+    Decimal amounts and rates are divided exactly; if any of them is a double, all are.
+    """
     orders, items = _rated_orders(tables, as_of), _item_lines(tables)
     # Both sides are fact tables: never broadcast one on a size estimate.
     lines = orders.join(items.hint("merge"), F.expr("order_id = orderid"))
+
+    def in_euro(amount: str) -> str:
+        if _exact(tables):
+            return quotient_micros(amount, _amount_scale(tables), "rate", _rate_scale(tables))
+        return micros(f"({amount} / rate)")
+
     amounts = lines.selectExpr(
         "order_id",
         "ordernumber",
@@ -142,8 +178,8 @@ def line_amounts(tables: SourceTables, as_of: date) -> DataFrame:
         "type",
         "is_product",
         "quantity",
-        f"{micros('(net_amount / rate)')} AS net",
-        f"{micros('(coupon_amount / rate)')} AS coupon",
+        f"{in_euro('net_amount')} AS net",
+        f"{in_euro('coupon_amount')} AS coupon",
     )
     price = f"CASE WHEN is_product AND quantity > 0 THEN {divide_half_up('net', 'quantity')} END"
     return amounts.selectExpr("*", f"{price} AS price")
@@ -244,20 +280,44 @@ def order_level(tables: SourceTables, as_of: date) -> DataFrame:
     )
 
 
+_KEY_RANGE = 1 << 64
+_UNTIMED = 10**18  # later than any time
+
+
 def order_customer_map(tables: SourceTables) -> DataFrame:
     """The customer of the latest order interaction per order number.
 
     A missing event time counts as latest; equal times fall to the larger key. The
-    maximum combines on the map side, so a hot order number shrinks before the shuffle.
+    maximum combines on the map side, so a hot order number shrinks before the shuffle. For
+    whole-number keys, time and key are packed into one number, whose maximum needs no sort;
+    other keys are compared as pairs.
     """
     seen = tables.interactions.filter(
         f"interaction_type = '{ORDER_INTERACTION}' AND related_ordernumber IS NOT NULL"
         " AND external_customerkey IS NOT NULL"
-    ).selectExpr(
+    )
+    kinds = {f.name: f.dataType for f in tables.interactions.schema}
+    times = (T.TimestampType, T.TimestampNTZType, T.DateType)
+    key_type = kinds["external_customerkey"]
+    if isinstance(key_type, T.IntegralType) and isinstance(kinds["event_time"], times):
+        moment = (
+            f"coalesce(unix_micros(CAST(event_time AS TIMESTAMP)), {_UNTIMED}L)"
+        )
+        packed = (
+            f"CAST(CAST({moment} AS DECIMAL(19,0)) * {_KEY_RANGE}"
+            f" + (external_customerkey + {_KEY_RANGE // 2}) AS DECIMAL(38,0))"
+        )
+        latest = seen.groupBy(F.col("related_ordernumber").alias("ordernumber")).agg(
+            F.expr(f"max({packed})").alias("latest")
+        )
+        key = f"pmod(latest, CAST({_KEY_RANGE} AS DECIMAL(38,0))) - {_KEY_RANGE // 2}"
+        return latest.selectExpr(
+            "ordernumber", f"CAST({key} AS {key_type.simpleString()}) AS {ID_COLUMN}"
+        )
+    latest = seen.selectExpr(
         "related_ordernumber AS ordernumber",
         "struct(event_time IS NULL AS untimed, event_time, external_customerkey) AS visit",
-    )
-    latest = seen.groupBy("ordernumber").agg(F.expr("max(visit) AS latest"))
+    ).groupBy("ordernumber").agg(F.expr("max(visit) AS latest"))
     return latest.selectExpr("ordernumber", f"latest.external_customerkey AS {ID_COLUMN}")
 
 
@@ -305,7 +365,11 @@ def orders_mapped(tables: SourceTables, as_of: date) -> DataFrame:
     number only for the salts that really occur, so a hot number is split and a
     normal one is not multiplied.
     """
-    rows = order_rows(tables, as_of).selectExpr("*", f"pmod(hash(order_id), {SALTS}) AS salt")
+    # Written once: rows and price lookup would each plan the join of all lines otherwise.
+    rows = stage(
+        order_rows(tables, as_of).selectExpr("*", f"pmod(hash(order_id), {SALTS}) AS salt"),
+        "order-rows",
+    )
     prices = rows.groupBy("shop", "ordernumber").agg(
         *sql_columns("collect_set(salt) AS salts", *MERGED_PRICES)
     )

@@ -57,8 +57,8 @@ def _require_numeric(df: DataFrame, columns) -> None:
 
 
 def all_null_columns(df: DataFrame) -> list[str]:
-    """Columns without a single value, found in one aggregate."""
-    counts = (f"count({ident(c)}) AS c{i}" for i, c in enumerate(df.columns))
+    """Columns without a single value (NaN is none), found in one aggregate."""
+    counts = (f"count({present(df, c)}) AS c{i}" for i, c in enumerate(df.columns))
     filled = df.selectExpr(*counts).first()
     return [c for c, n in zip(df.columns, filled) if n == 0]
 
@@ -74,12 +74,10 @@ def fill_windows(df: DataFrame) -> DataFrame:
 
 
 def add_target(df: DataFrame) -> DataFrame:
-    """1 for any coupon use, else 0; a missing source counts as no use."""
+    """1 for any coupon use, else 0; a missing source (NULL or NaN) counts as no use."""
     _require(df, TARGET_SOURCES)
-    used = F.lit(False)
-    for c in TARGET_SOURCES:
-        used = used | F.coalesce(quoted(c) > 0, F.lit(False))
-    return df.withColumn(TARGET_COLUMN, used.cast("int"))
+    used = " OR ".join(f"coalesce({present(df, c)} > 0, false)" for c in TARGET_SOURCES)
+    return df.withColumn(TARGET_COLUMN, F.expr(f"CAST({used} AS INT)"))
 
 
 def target_distribution(df: DataFrame) -> DataFrame:
@@ -102,7 +100,10 @@ def country_share(df: DataFrame) -> DataFrame:
 
 
 def major_countries(df: DataFrame, min_share: float) -> tuple[str, ...]:
-    """Countries with at least ``min_share`` of the rows (so at most 1/min_share of them)."""
+    """Countries with at least ``min_share`` of the rows (so at most 1/min_share of them).
+
+    ``RunConfig`` asks for a share above 0, which bounds what the driver gets.
+    """
     major = country_share(df).filter(F.col("share") >= min_share)
     ranked = major.orderBy(F.desc("row_count"), COUNTRY_COLUMN).collect()
     return tuple(row[COUNTRY_COLUMN] for row in ranked)
@@ -142,12 +143,10 @@ def _droppable(df: DataFrame, policy: str) -> set[str]:
     probe = df.agg(
         F.count(F.lit(1)).alias("n"),
         *(
-            F.struct(
-                F.count(quoted(c)).alias("filled"),
-                F.min(quoted(c)).alias("lo"),
-                F.max(quoted(c)).alias("hi"),
-            ).alias(c)
-            for c in optional
+            F.expr(
+                f"struct(count({v}) AS filled, min({v}) AS lo, max({v}) AS hi) AS {ident(c)}"
+            )
+            for c, v in ((c, present(df, c)) for c in optional)
         ),
     ).first()
 
@@ -212,11 +211,12 @@ def training_frame(df: DataFrame, meta: PrepMetadata) -> DataFrame:
 def replay(df: DataFrame, meta: PrepMetadata) -> DataFrame:
     """The same preparation for scoring: stored countries, no target, no row dropped.
 
-    Columns come out as found, before alignment with the training schema.
+    Columns come out as found, before alignment with the training schema. A flag that the older
+    policy kept as a feature is kept here too, so training and scoring see the same values.
     """
     _require(df, [ID_COLUMN, COUNTRY_COLUMN])
     clean = _clean(df)
-    names = _numeric_feature_names(clean, set(DROPPED_COLUMNS))
+    names = _numeric_feature_names(clean, set(DROPPED_COLUMNS) - set(meta.feature_columns))
     flags = country_flags([*meta.major_countries, OTHER_COUNTRY])
     kept = clean.selectExpr(*map(ident, [ID_COLUMN, *names, COUNTRY_COLUMN]))
     return encode_country(kept, meta.major_countries, flags)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from promolens.config import DATE_COLUMNS, ID_COLUMN, WINDOW_TOKENS, ZERO_FILLED_COLUMN
-from promolens.functions.expr import quoted
+from promolens.functions.expr import present, quoted
 
 NUMERIC = (T.NumericType, T.BooleanType)
 
@@ -34,7 +34,7 @@ def table_profile(df: DataFrame) -> DataFrame:
     """Position, name, type, row count and filled values of every column."""
     totals = df.agg(
         F.count(F.lit(1)).alias("n"),
-        *(F.count(quoted(f.name)).alias(f"c{i}") for i, f in enumerate(df.schema)),
+        *(F.expr(f"count({present(df, f.name)}) AS c{i}") for i, f in enumerate(df.schema)),
     )
     return _long_form(
         totals,
@@ -53,19 +53,18 @@ def table_profile(df: DataFrame) -> DataFrame:
 
 def coerce_dates(df: DataFrame, columns: Iterable[str] = DATE_COLUMNS) -> DataFrame:
     """Cast to date; what does not parse becomes NULL."""
-    present = {c: quoted(c).try_cast("date") for c in columns if c in df.columns}
-    return df.withColumns(present)
+    return df.withColumns({c: quoted(c).try_cast("date") for c in columns if c in df.columns})
 
 
 def date_parse_failures(df: DataFrame, columns: Iterable[str] = DATE_COLUMNS) -> DataFrame:
     """Per date column: missing values after parsing, and how many of them held a text."""
-    present = [c for c in columns if c in df.columns]
-    parsed = {c: quoted(c).try_cast("date") for c in present}
+    found = [c for c in columns if c in df.columns]
+    parsed = {c: quoted(c).try_cast("date") for c in found}
     totals = df.agg(
-        *(F.count_if(parsed[c].isNull()).alias(f"m{i}") for i, c in enumerate(present)),
+        *(F.count_if(parsed[c].isNull()).alias(f"m{i}") for i, c in enumerate(found)),
         *(
             F.count_if(parsed[c].isNull() & quoted(c).isNotNull()).alias(f"b{i}")
-            for i, c in enumerate(present)
+            for i, c in enumerate(found)
         ),
     )
     return _long_form(
@@ -76,7 +75,7 @@ def date_parse_failures(df: DataFrame, columns: Iterable[str] = DATE_COLUMNS) ->
                 F.col(f"m{i}").alias("missing_count"),
                 F.col(f"b{i}").alias("unparsed_count"),
             )
-            for i, c in enumerate(present)
+            for i, c in enumerate(found)
         ],
     )
 
@@ -87,9 +86,9 @@ def date_summary(df: DataFrame, columns: Iterable[str] = DATE_COLUMNS) -> DataFr
     Exact percentiles keep one counter per distinct day, so their state is bounded by the
     calendar, not by the rows.
     """
-    present = [c for c in columns if c in df.columns]
+    found = [c for c in columns if c in df.columns]
     aggregates = []
-    for i, c in enumerate(present):
+    for i, c in enumerate(found):
         day = F.unix_date(quoted(c))
         aggregates += [
             F.count(day).alias(f"n{i}"),
@@ -111,7 +110,7 @@ def date_summary(df: DataFrame, columns: Iterable[str] = DATE_COLUMNS) -> DataFr
                 F.col(f"q{i}")[2].alias("q75_day"),
                 F.col(f"hi{i}").alias("last_date"),
             )
-            for i, c in enumerate(present)
+            for i, c in enumerate(found)
         ],
     )
 
@@ -129,12 +128,12 @@ def constant_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
     Smallest equals largest replaces a distinct count, so all columns share one pass.
     """
-    present = [c for c in columns if c in df.columns]
+    found = [c for c in columns if c in df.columns]
     totals = df.agg(
         F.count(F.lit(1)).alias("n"),
-        *(F.count(quoted(c)).alias(f"f{i}") for i, c in enumerate(present)),
-        *(F.min(quoted(c)).alias(f"lo{i}") for i, c in enumerate(present)),
-        *(F.max(quoted(c)).alias(f"hi{i}") for i, c in enumerate(present)),
+        *(F.expr(f"count({present(df, c)}) AS f{i}") for i, c in enumerate(found)),
+        *(F.expr(f"min({present(df, c)}) AS lo{i}") for i, c in enumerate(found)),
+        *(F.expr(f"max({present(df, c)}) AS hi{i}") for i, c in enumerate(found)),
     )
 
     def constant(i: int) -> Column:
@@ -150,7 +149,7 @@ def constant_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
                 constant(i).cast("int").alias("is_constant"),
                 (F.col("n") - F.col(f"f{i}")).alias("missing_count"),
             )
-            for i, c in enumerate(present)
+            for i, c in enumerate(found)
         ],
     )
 
@@ -159,7 +158,7 @@ def fill_report(df: DataFrame) -> DataFrame:
     """Missing values the window fill will set to 0, per column."""
     columns = window_columns(df)
     totals = df.agg(
-        *(F.count_if(quoted(c).isNull()).alias(f"c{i}") for i, c in enumerate(columns))
+        *(F.expr(f"count_if({present(df, c)} IS NULL) AS c{i}") for i, c in enumerate(columns))
     )
     return _long_form(
         totals,
@@ -175,5 +174,5 @@ def incomplete_rows(df: DataFrame, columns: Iterable[str], key: str = ID_COLUMN)
     complete = F.lit(True)
     for c in columns:
         if c != key:
-            complete = complete & quoted(c).isNotNull()
+            complete = complete & F.expr(f"{present(df, c)} IS NOT NULL")
     return df.agg(F.count_if(~complete).alias("incomplete_rows"))

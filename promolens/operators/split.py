@@ -15,6 +15,7 @@ from promolens.functions.expr import key_hash, quoted
 
 HASH_BITS = 60
 BUCKET_BITS = 16
+MAX_CLASSES = 100
 
 
 def holdout_sizes(class_rows: dict, fraction: float) -> dict:
@@ -46,7 +47,10 @@ def _cut_points(hashed: DataFrame, fraction: float) -> dict:
     running = F.sum("n").over(W.partitionBy("label").orderBy("bucket"))
     ranges = histogram.select("label", "bucket", "n", running.alias("upto")).persist()
     try:
-        class_rows = dict(ranges.groupBy("label").agg(F.sum("n")).collect())
+        # Two classes are wanted; a label with many values is a mistake that must not be collected.
+        class_rows = dict(ranges.groupBy("label").agg(F.sum("n")).limit(MAX_CLASSES + 1).collect())
+        if len(class_rows) > MAX_CLASSES:
+            raise ValueError(f"the label has more than {MAX_CLASSES} values")
         if not class_rows:
             return {}
         sizes = holdout_sizes(class_rows, fraction)
@@ -85,10 +89,15 @@ def stratified(
 
     ``approx`` takes every key whose hash falls below the fraction. ``exact`` also matches
     the size per class: the hash cut is searched in two small counting jobs and then applied
-    row by row. Rows that share a key always land on the same side. Without a key the whole
-    row takes its place.
+    row by row. Rows that share a key always land on the same side. The whole row takes the
+    place of a missing key, or of every key without a key column. A row without a label belongs
+    to no class, so it fails when it is read.
     """
-    unit = F.to_json(F.struct(*(quoted(c) for c in df.columns))) if key is None else quoted(key)
+    whole = F.to_json(F.struct(*(quoted(c) for c in df.columns)))
+    unit = whole if key is None else F.coalesce(quoted(key).cast("string"), whole)
+    problem = F.raise_error(F.lit(f"column {label}: a row has no label"))
+    kind = df.schema[label].dataType
+    df = df.withColumn(label, F.coalesce(quoted(label), problem.cast(kind)))
     h = key_hash(unit, seed)
     if mode == "approx":
         cut: Column = F.lit(math.floor(fraction * (1 << HASH_BITS)))

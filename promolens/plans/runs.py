@@ -11,7 +11,7 @@ from promolens.config import RunConfig
 from promolens.operators import prepare, scoring, segments, training
 from promolens.operators.customers import feature_table
 from promolens.operators.metrics import feature_importance
-from promolens.session import stage
+from promolens.session import remove_staged, stage, tune
 from promolens.sources import artifacts, sinks
 from promolens.sources.tables import SourceTables
 
@@ -26,6 +26,7 @@ class RunResult:
 
 def build_features(tables: SourceTables, as_of: date) -> DataFrame:
     """The feature table, written once to the staging folder."""
+    tune(tables.orders.sparkSession)
     return stage(feature_table(tables, as_of), "features")
 
 
@@ -33,9 +34,13 @@ def fit_model(
     spark: SparkSession, features: DataFrame, model_dir: str, cfg: RunConfig = RunConfig()
 ) -> tuple[prepare.PrepMetadata, dict]:
     """Prepare and train; the model folder gets trees, metadata and metrics."""
+    tune(spark)
     meta = prepare.fit(features, cfg)
     frame = stage(prepare.training_frame(features, meta), "prepared")
-    result = training.train(frame, meta.feature_columns, cfg)
+    try:
+        result = training.train(frame, meta.feature_columns, cfg)
+    finally:
+        remove_staged(spark, frame)
     artifacts.save_model(result.model, model_dir)
     artifacts.save_metadata(spark, meta, model_dir)
     artifacts.save_metrics(spark, result.metrics, model_dir)
@@ -66,7 +71,8 @@ def run(
     """The full run over a stored feature table. Any failing step ends it."""
     meta, metrics = fit_model(spark, features, model_dir, cfg)
     importance = importance_of(spark, model_dir)
-    segmented = score_only(spark, features, model_dir, cfg)
+    # Written once, so that a later use does not score all customers again.
+    segmented = stage(score_only(spark, features, model_dir, cfg), "segments")
     if output_dir is not None:
         sinks.write_csv(importance, f"{output_dir}/feature_importance")
         sinks.write_csv(segmented, f"{output_dir}/scores_bucketized")

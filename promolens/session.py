@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -36,10 +37,15 @@ def _local_staging() -> str:
 def staging_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a session that names none (a local test run) gets a folder of its own.
+    A session that names none fails, because executors and driver would each write to disks of
+    their own. Only where all of them are one process (master ``local``) is there a folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured.rstrip("/") if configured else _local_staging()
+    if configured:
+        return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_staging()
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
@@ -47,6 +53,15 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/promolens/{name}-{uuid.uuid4().hex}"
 
 
+def remove_staged(spark: SparkSession, df: DataFrame) -> None:
+    """Delete the files behind a DataFrame that ``stage`` returned and that nobody needs now."""
+    root = f"{staging_root(spark)}/promolens/"
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if root.removeprefix("file:").lstrip("/") in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a shared parquet table and read it back.
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,7 +41,6 @@ class SourceTables:
     currency_rates: DataFrame
     interactions: DataFrame
     customers: DataFrame
-    _checked: dict = field(default_factory=dict, repr=False, compare=False)
 
     def __post_init__(self) -> None:
         for name, columns in REQUIRED_COLUMNS.items():
@@ -63,10 +62,4 @@ class SourceTables:
 
     @classmethod
     def names(cls) -> list[str]:
-        return [f.name for f in fields(cls) if not f.name.startswith("_")]
-
-    def row_count(self, key: object, df: DataFrame) -> int:
-        """Count ``df`` once per ``key``; used to check a size before a broadcast."""
-        if key not in self._checked:
-            self._checked[key] = df.count()
-        return self._checked[key]
+        return [f.name for f in fields(cls)]

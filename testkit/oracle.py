@@ -69,17 +69,36 @@ FROM src_orders
 WHERE trim(testorder) = '0' AND state IN ('ARCHIVED', 'EXPORTED')
   AND CAST(created_date AS DATE) >= {START} AND CAST(created_date AS DATE) <= {DAY}"""
 
-CTES["lines"] = """
+
+def in_euro(amount: str) -> str:
+    """amount / rate rounded half up to micro-euros, in whole numbers (no float step).
+
+    Amounts have four digits behind the point and rates four, so 10**6 remains as the factor.
+    """
+    return (
+        f"CASE WHEN rate <> 0 THEN CAST(CASE WHEN {amount} < 0 THEN -1 ELSE 1 END"
+        f" * ((2 * CAST(abs({amount}) * 10000 AS HUGEINT) * 1000000"
+        f" + CAST(rate * 10000 AS HUGEINT)) // (2 * CAST(rate * 10000 AS HUGEINT)))"
+        f" AS DECIMAL(18,0)) * CAST(0.000001 AS DECIMAL(7,6)) END"
+    )
+
+
+CTES["rated"] = """
 SELECT k.order_id, k.ordernumber, k.shop, k.order_date, i.type,
        CAST(round(coalesce(i.quantity, 0)) AS BIGINT) AS quantity,
-       CAST(CAST(coalesce(i.nettotalprice, 0) AS DOUBLE)
-            / nullif(coalesce(k.order_currencyrate, r.currencyrate), 0) AS DECIMAL(18,6)) AS net,
-       CAST(CAST(abs(coalesce(i.coupondiscountdistr, 0)) AS DOUBLE)
-            / nullif(coalesce(k.order_currencyrate, r.currencyrate), 0) AS DECIMAL(18,6)) AS coupon
+       coalesce(i.nettotalprice, 0) AS amount,
+       abs(coalesce(i.coupondiscountdistr, 0)) AS cut,
+       coalesce(k.order_currencyrate, r.currencyrate) AS rate
 FROM kept_orders k
 JOIN src_order_items i ON i.orderid = k.order_id AND i.type IN ('PRODUCT', 'SHIPPING')
 LEFT JOIN src_currency_rates r ON r.currencycode = k.currency_code AND r.date = k.order_date"""
 
+CTES["lines"] = f"""
+SELECT order_id, ordernumber, shop, order_date, type, quantity,
+       CAST({in_euro("amount")} AS DECIMAL(18,6)) AS net,
+       CAST({in_euro("cut")} AS DECIMAL(18,6)) AS coupon
+FROM rated"""
+
 CTES["pieces"] = f"""
 SELECT shop, ordernumber, quantity, net,
        CASE WHEN net IS NOT NULL THEN {half_up("net", "quantity", 6)} END AS price
@@ -385,11 +404,13 @@ MONEY_AT_SHOP = [
 COUNTS_AT_SHOP = ["first_order_date", "last_order_date"]
 
 SELECTS: dict[str, str] = {
-    "scan_orders": "SELECT * REPLACE (CAST(created_date AS DATE) AS created_date) FROM src_orders",
+    "scan_orders": "SELECT * REPLACE (CAST(created_date AS DATE) AS created_date,"
+    " CAST(currencyrate AS DOUBLE) AS currencyrate) FROM src_orders",
     "scan_orderitems": "SELECT * REPLACE (CAST(nettotalprice AS DOUBLE) AS nettotalprice,"
     " CAST(coupondiscountdistr AS DOUBLE) AS coupondiscountdistr) FROM src_order_items",
     "scan_refunds": "SELECT * FROM src_refunds",
-    "scan_currencyrates": "SELECT * FROM src_currency_rates",
+    "scan_currencyrates": "SELECT * REPLACE (CAST(currencyrate AS DOUBLE) AS currencyrate)"
+    " FROM src_currency_rates",
     "scan_interactions": "SELECT * REPLACE (CAST(event_time AS VARCHAR) AS event_time)"
     " FROM src_interactions",
     "scan_customers": "SELECT * FROM src_customers",
@@ -403,7 +424,8 @@ SELECT currencycode, CAST(sum(n) AS BIGINT) AS rates, count(*) AS days,
        count(*) FILTER (WHERE n > 1) AS duplicated_days
 FROM (SELECT currencycode, date, count(*) AS n FROM src_currency_rates GROUP BY ALL) d
 GROUP BY currencycode""",
-    "orders_base": "SELECT * FROM kept_orders",
+    "orders_base": "SELECT * REPLACE (CAST(order_currencyrate AS DOUBLE) AS order_currencyrate)"
+    " FROM kept_orders",
     "orderitems_net": f"""
 SELECT order_id, ordernumber, shop, order_date, type, quantity,
        {dbl("net", "post_discount_net_eur")}, {dbl("coupon", "discount_amt_eur")} FROM lines""",

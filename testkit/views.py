@@ -21,10 +21,11 @@ SELECT o.o_orderkey AS id, 'N' || CAST(o.o_orderkey AS STRING) AS ordernumber,
        o.o_orderpriority AS shop, o.o_orderdate AS created_date,
        CASE o.o_orderkey % 4 WHEN 0 THEN 'EUR' WHEN 1 THEN 'USD' WHEN 2 THEN 'SEK'
             ELSE 'CHF' END AS currency_code,
-       CASE WHEN o.o_orderkey % 97 = 0 THEN CAST(0 AS DOUBLE)
+       CASE WHEN o.o_orderkey % 97 = 0 THEN CAST(0 AS DECIMAL(12,4))
             WHEN o.o_orderkey % 3 = 0 THEN NULL
-            WHEN o.o_orderkey % 4 = 0 THEN CAST(1 AS DOUBLE)
-            ELSE CAST(1.25 AS DOUBLE) END AS currencyrate,
+            WHEN o.o_orderkey % 4 = 0 THEN CAST(1 AS DECIMAL(12,4))
+            WHEN o.o_orderkey % 4 = 1 THEN CAST(1.28 AS DECIMAL(12,4))
+            ELSE CAST(1.25 AS DECIMAL(12,4)) END AS currencyrate,
        CASE WHEN o.o_orderkey % 53 = 0 THEN '1' WHEN o.o_orderkey % 59 = 0 THEN NULL
             WHEN o.o_orderkey % 5 = 0 THEN ' 0 ' ELSE '0' END AS testorder,
        CASE o.o_orderstatus WHEN 'F' THEN 'ARCHIVED' WHEN 'O' THEN 'EXPORTED'
@@ -49,18 +50,18 @@ FROM {lineitem}""",
 SELECT l_orderkey AS orderid FROM {lineitem}
 WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND l_quantity <= 20""",
     "currency_rates": """
-SELECT 'EUR' AS currencycode, d.date, CAST(1 AS DOUBLE) AS currencyrate FROM (
+SELECT 'EUR' AS currencycode, d.date, CAST(1 AS DECIMAL(10,2)) AS currencyrate FROM (
     SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM {orders}) d
 UNION ALL
-SELECT 'USD', d.date, CAST(1.25 AS DOUBLE) FROM (
+SELECT 'USD', d.date, CAST(1.28 AS DECIMAL(10,2)) FROM (
     SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM {orders}) d
 UNION ALL
-SELECT 'SEK', d.date, CAST(10 AS DOUBLE) FROM (
+SELECT 'SEK', d.date, CAST(10.24 AS DECIMAL(10,2)) FROM (
     SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM {orders}) d
 WHERE EXTRACT(DAY FROM d.date) <> 7
 UNION ALL
-SELECT 'CHF', d.date, CASE WHEN EXTRACT(DAY FROM d.date) = 13 THEN CAST(0 AS DOUBLE)
-                           ELSE CAST(0.5 AS DOUBLE) END FROM (
+SELECT 'CHF', d.date, CASE WHEN EXTRACT(DAY FROM d.date) = 13 THEN CAST(0 AS DECIMAL(10,2))
+                           ELSE CAST(0.5 AS DECIMAL(10,2)) END FROM (
     SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM {orders}) d""",
     "interactions": """
 SELECT 'order' AS interaction_type, 'N' || CAST(o_orderkey AS STRING) AS related_ordernumber,

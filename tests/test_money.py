@@ -1,4 +1,4 @@
-from decimal import ROUND_HALF_UP
+from decimal import ROUND_HALF_UP, getcontext
 from decimal import Decimal as D
 
 from hypothesis import HealthCheck, given, settings
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from promolens.functions import money
 from promolens.functions.expr import sql_columns
 
+getcontext().prec = 60
 LIMIT = 10**18 - 1
 QUIET = settings(max_examples=15, deadline=None,
                  suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -47,3 +48,41 @@ def test_sums_beyond_64_bit_totals(spark):
     row = df.agg(*sql_columns(*money.start_sum("v", "s")), F.count("v").alias("n")).selectExpr(
         f"{money.total('s')} AS t", f"{money.mean_micros('s', 'n')} AS m").first()
     assert row.t == D(LIMIT * 1000).scaleb(-6) and row.m == LIMIT
+
+
+def test_negative_upper_part_with_a_carry_is_not_positive(spark):
+    values = [-(1 << 21), (1 << 20) + 5, -5]
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    row = df.agg(*sql_columns(*money.start_sum("v", "s"))).selectExpr(
+        money.is_positive("s") + " AS p", money.total("s") + " AS t").first()
+    assert row.t < 0 and not row.p
+
+
+@QUIET
+@given(st.lists(st.integers(-2**40, 2**40), min_size=1, max_size=5))
+def test_sign_of_sums(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    row = df.agg(*sql_columns(*money.start_sum("v", "s"))).selectExpr(
+        money.is_positive("s") + " AS p").first()
+    assert row.p == (sum(values) > 0)
+
+
+@QUIET
+@given(st.lists(st.tuples(st.integers(-10**18, 10**18), st.integers(1, 10**18)), min_size=1,
+                max_size=20))
+def test_shares_round_half_up_at_any_size(spark, pairs):
+    df = spark.createDataFrame(pairs, "a bigint, b bigint")
+    for r in df.where("abs(a) <= b").selectExpr(
+        "a", "b", money.share_half_up("a", "b", 10**9) + " AS s"
+    ).collect():
+        assert r.s == (D(r.a) * 10**9 / D(r.b)).quantize(D(1), ROUND_HALF_UP)
+
+
+@QUIET
+@given(st.lists(st.tuples(st.integers(-10**12, 10**12), st.integers(1, 10**6)), min_size=1,
+                max_size=20))
+def test_quotients_of_decimals_are_exact(spark, pairs):
+    rows = [(D(a).scaleb(-4), D(b).scaleb(-3)) for a, b in pairs]
+    df = spark.createDataFrame(rows, "a decimal(20,4), b decimal(15,3)")
+    for r in df.selectExpr("a", "b", money.quotient_micros("a", 4, "b", 3) + " AS q").collect():
+        assert r.q == (r.a * 10**6 / r.b).quantize(D(1), ROUND_HALF_UP)

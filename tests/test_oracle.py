@@ -4,9 +4,10 @@ import pytest
 from compare import difference, duckdb_over
 
 import __spark_entry__ as entry
+from testkit import oracle, registry
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.QUERIES, oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -1,7 +1,11 @@
+from collections import Counter
+from dataclasses import replace
 from datetime import date, datetime
+from decimal import ROUND_HALF_UP, localcontext
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 from shop_data import AS_OF, bought_by, item, one, order, tables
 
 from promolens.functions.expr import months_before, window_start
@@ -80,16 +84,46 @@ def test_duplicate_rates_repeat_lines_and_are_reported(spark):
     assert (report.rates, report.days, report.duplicated_days) == (2, 1, 1)
 
 
-def test_rates_too_many_to_broadcast_give_the_same_lines(spark, monkeypatch):
-    day = date(2024, 3, 1)
-    rows = dict(
-        orders=[order(i, rate=None) for i in range(20)],
-        order_items=[item(i) for i in range(20)],
-        currency_rates=[("EUR", day, 4.0), ("SEK", day, 3.0)],
-    )
-    expected = sorted(orders.priced_lines(tables(spark, **rows), AS_OF).collect())
-    monkeypatch.setattr(orders, "BROADCAST_RATE_ROWS", 1)
-    assert sorted(orders.priced_lines(tables(spark, **rows), AS_OF).collect()) == expected
+def test_decimal_amounts_are_divided_exactly(spark):
+    """Two-decimal amounts at rates whose quotients end in a half, which a double misses."""
+    cents = [2001 + 7 * i for i in range(3000)]
+    for rate in ("1.28", "10.24", "0.96"):
+        t = tables(
+            spark,
+            orders=[order(1, rate=1.0)],
+            order_items=[item(1, net=c / 100) for c in cents],
+        )
+        t = replace(
+            t,
+            orders=t.orders.withColumn("currencyrate", F.lit(D(rate)).cast("decimal(12,4)")),
+            order_items=t.order_items.withColumn(
+                "nettotalprice", F.col("nettotalprice").cast("decimal(12,2)")
+            ).withColumn("coupondiscountdistr", -F.col("nettotalprice")),
+            currency_rates=t.currency_rates.withColumn(
+                "currencyrate", F.col("currencyrate").cast("decimal(10,2)")
+            ),
+        )
+        rows = orders.priced_lines(t, AS_OF).collect()
+        with localcontext() as context:
+            context.prec = 50
+            expected = Counter(
+                (D(c) / 100 / D(rate)).quantize(D("0.000001"), ROUND_HALF_UP) for c in cents
+            )
+        assert Counter(r["post_discount_net_eur"] for r in rows) == expected
+        assert Counter(r["discount_amt_eur"] for r in rows) == expected
+
+
+def test_latest_customer_of_whole_number_keys_needs_no_sort(spark, capsys):
+    t = tables(spark, interactions=[
+        ("order", "N1", -5, datetime(2024, 1, 1)), ("order", "N1", -7, datetime(2024, 1, 1)),
+        ("order", "N2", 3, None), ("order", "N2", 9, datetime(2030, 1, 1)),
+        ("order", "N3", 2**62, datetime(1950, 1, 1)), ("order", "N3", 1, datetime(1949, 1, 1)),
+    ])
+    found = orders.order_customer_map(t)
+    assert dict(map(tuple, found.collect())) == {"N1": -5, "N2": 3, "N3": 2**62}
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
 def test_line_types_quantities_and_piece_prices(spark):

@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from promolens.config import RunConfig, preset
+from promolens.config import TARGET_COLUMN, RunConfig, preset
 from promolens.operators import prepare, quality, scoring
 from promolens.sources import artifacts
 
@@ -92,9 +92,25 @@ def test_older_policy_keeps_flags_that_vary(spark):
     assert "shops_included" in prepare.fit(df, legacy).feature_columns
     assert "registration_flag" not in prepare.fit(df, legacy).feature_columns
     assert "shops_included" not in prepare.fit(df, CFG).feature_columns
-    # Scoring never computes it, so it is aligned to 0.
+    # Scoring sees the values that training saw.
     scored = scoring.scoring_frame(df, prepare.fit(df, legacy))
-    assert {r.shops_included for r in scored.collect()} == {0}
+    assert {r.shops_included for r in scored.collect()} == {1, 2}
+
+
+def test_nan_is_missing_everywhere(spark):
+    nan = F.lit(float("nan"))
+    df = frame(spark, row(1), row(2)).withColumn("avg_discount_per_order", nan)
+    df = df.withColumn("unit_price", nan)
+    meta = prepare.fit(df, CFG)
+    assert "unit_price" not in meta.feature_columns
+    assert prepare.training_frame(df, meta).count() == 2
+    no_use = df.withColumn("share_of_orders_with_discount", nan).withColumn(
+        "discount_abs_lifetime_eur", F.lit(None).cast("double")
+    )
+    assert {r[0] for r in prepare.add_target(no_use).select(TARGET_COLUMN).collect()} == {0}
+    profile = {r.column_name: r.filled_count for r in quality.table_profile(df).collect()}
+    assert profile["unit_price"] == 0 and profile["orders_12m"] == 2
+    assert quality.incomplete_rows(df, ["unit_price"]).first()[0] == 2
 
 
 def test_scoring_frame_keeps_all_rows_and_aligns(spark):
