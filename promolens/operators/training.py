@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
+from pyspark import SparkContext
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -48,17 +49,48 @@ def probability() -> Column:
     return vector_to_array(F.col("probability"))[1]
 
 
-def best_round(losses: list[float], patience: int) -> int:
-    """Rounds to keep: the lowest held-out loss before ``patience`` rounds without a gain."""
+def best_round(areas: list[float | None], patience: int) -> int:
+    """Rounds to keep: the highest held-out AUC before ``patience`` rounds without a gain."""
     best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
+    for i, area in enumerate(areas):
+        if (area or 0.0) > (areas[best] or 0.0):
             best = i
         elif i - best >= patience:
             break
     return best + 1
 
 
+def round_scores(model: GBTClassificationModel, rows: DataFrame) -> DataFrame:
+    """(round, score, label): the margin of every row after each round, one tree at a time."""
+    kept = rows.select("label", "features")
+    names = [f"tree{i}" for i in range(model.getNumTrees)]
+    for name, tree in zip(names, model.trees, strict=True):
+        kept = tree.setPredictionCol(name).transform(kept)
+    weighted = [f"{name} * {weight}D" for name, weight in zip(names, model.treeWeights, strict=True)]
+    margins = F.expr(
+        f"transform(sequence(1, {len(names)}), k -> struct(k AS round,"
+        f" aggregate(slice(array({', '.join(weighted)}), 1, k), 0D, (s, x) -> s + x) AS score))"
+    )
+    return kept.select("label", F.inline(margins))
+
+
+def first_trees(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model as it was after so many rounds."""
+    java = model._java_obj
+    gateway = SparkContext._active_spark_context._gateway
+    jvm = gateway.jvm
+    trees = gateway.new_array(
+        jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds
+    )
+    weights = gateway.new_array(jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = java.trees()[i], java.treeWeights()[i]
+    shorter = jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        java.uid(), trees, weights, java.numFeatures(), java.numClasses()
+    )
+    return GBTClassificationModel(java.copyValues(shorter, java.extractParamMap()))
+
+
 def train(
     df: DataFrame,
     names=None,
@@ -67,10 +99,10 @@ def train(
 ) -> TrainingResult:
     """Split, boost, keep the best number of rounds on the held-out side, and measure it.
 
-    One pass over the held-out rows yields the loss after every round. If the best round is not
-    the last, the same seed is fitted again with that many rounds, which repeats those trees.
-    The held-out side chooses the rounds and yields the AUC, so that figure is optimistic.
-    Give it a stored frame: boosting passes over the data many times.
+    The model is fitted once. One pass over the held-out rows yields the AUC after every round,
+    and the trees up to the best round are kept. The held-out side chooses the rounds and yields
+    the AUC, so that figure is optimistic. Give it a stored frame: boosting passes over the data
+    many times.
     """
     key = key if key in df.columns else None
     names = feature_names(df.drop(key) if key else df, names)
@@ -99,11 +131,12 @@ def train(
         seed=cfg.seed,
     )
     model = booster.fit(fitted)
-    rounds = best_round(model.evaluateEachIteration(held_out), boost.early_stopping_rounds)
-    if rounds < model.getNumTrees:
-        model = booster.setMaxIter(rounds).fit(fitted)
-    scored = model.transform(held_out).select(probability().alias("score"), "label")
-    area = roc_auc(scored).first()["auc"]
+    by_round = roc_auc(round_scores(model, held_out), by="round").collect()
+    areas = {r["round"]: r["auc"] for r in by_round}
+    areas = [areas.get(i + 1) for i in range(model.getNumTrees)]
+    rounds = best_round(areas, boost.early_stopping_rounds)
+    model = first_trees(model, rounds)
+    area = areas[rounds - 1]
     metrics = {
         "validation_auc": area,
         "best_iteration": model.getNumTrees,

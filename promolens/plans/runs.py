@@ -41,15 +41,13 @@ def fit_model(
         result = training.train(frame, meta.feature_columns, cfg)
     finally:
         remove_staged(spark, frame)
-    artifacts.save_model(result.model, model_dir)
-    artifacts.save_metadata(spark, meta, model_dir)
-    artifacts.save_metrics(spark, result.metrics, model_dir)
+    artifacts.save_run(spark, result.model, meta, result.metrics, model_dir)
     return meta, result.metrics
 
 
 def importance_of(spark: SparkSession, model_dir: str) -> DataFrame:
     meta = artifacts.load_metadata(spark, model_dir)
-    return feature_importance(spark, artifacts.trees_path(model_dir), meta.feature_columns)
+    return feature_importance(spark, artifacts.trees_path(spark, model_dir), meta.feature_columns)
 
 
 def score_only(
@@ -57,7 +55,7 @@ def score_only(
 ) -> DataFrame:
     """Score and segment with a saved model and the metadata saved beside it."""
     meta = artifacts.load_metadata(spark, model_dir)
-    model = artifacts.load_model(model_dir)
+    model = artifacts.load_model(spark, model_dir)
     return segments.bucketize(scoring.score(features, model, meta), cfg.t1, cfg.t2)
 
 

@@ -1,7 +1,13 @@
-"""A model folder: the trees, the preparation metadata they belong to, and the reports."""
+"""A model folder: the trees, the preparation metadata they belong to, and the reports.
+
+``save_run`` writes all of them to a fresh version folder and names it in a small record last, so
+an interrupted save leaves the older version in use, or none. The metadata hold the model's uid.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import SparkSession
@@ -9,46 +15,80 @@ from pyspark.sql import SparkSession
 from promolens.operators.prepare import PrepMetadata
 from promolens.sources.sinks import read_json_record, write_json_record
 
+MODEL_UID = "model_uid"
+
+
+def _current_path(folder: str) -> str:
+    return f"{folder}/current"
+
+
+def _version(spark: SparkSession, folder: str) -> str:
+    """The version folder in use; the folder itself if it holds no versions."""
+    try:
+        return f"{folder}/{read_json_record(spark, _current_path(folder))['version']}"
+    except AnalysisException:
+        return folder
+
 
-def trees_path(folder: str) -> str:
-    return f"{folder}/trees"
+def trees_path(spark: SparkSession, folder: str) -> str:
+    return f"{_version(spark, folder)}/trees"
 
 
-def metadata_path(folder: str) -> str:
-    return f"{folder}/prep_metadata"
+def _metadata_path(version: str) -> str:
+    return f"{version}/prep_metadata"
 
 
-def metrics_path(folder: str) -> str:
-    return f"{folder}/metrics"
+def _metrics_path(version: str) -> str:
+    return f"{version}/metrics"
 
 
 def save_metadata(spark: SparkSession, meta: PrepMetadata, folder: str) -> None:
-    write_json_record(spark, meta.to_record(), metadata_path(folder))
+    """Metadata alone, without a model."""
+    write_json_record(spark, meta.to_record(), _metadata_path(folder))
 
 
-def load_metadata(spark: SparkSession, folder: str) -> PrepMetadata:
+def _metadata_record(spark: SparkSession, folder: str) -> dict:
     try:
-        return PrepMetadata.from_record(read_json_record(spark, metadata_path(folder)))
+        return read_json_record(spark, _metadata_path(_version(spark, folder)))
     except AnalysisException as problem:
         raise FileNotFoundError(f"no preparation metadata in {folder}") from problem
 
 
-def save_model(model: GBTClassificationModel, folder: str) -> None:
-    model.write().overwrite().save(trees_path(folder))
-
-
-def load_model(folder: str) -> GBTClassificationModel:
+def load_metadata(spark: SparkSession, folder: str) -> PrepMetadata:
+    record = _metadata_record(spark, folder)
+    record.pop(MODEL_UID, None)
+    return PrepMetadata.from_record(record)
+
+
+def save_run(
+    spark: SparkSession,
+    model: GBTClassificationModel,
+    meta: PrepMetadata,
+    metrics: dict,
+    folder: str,
+) -> None:
+    """Trees, metadata and metrics as one new version, put in use at the end."""
+    version = f"version-{uuid.uuid4().hex}"
+    path = f"{folder}/{version}"
+    model.save(f"{path}/trees")
+    write_json_record(spark, {**meta.to_record(), MODEL_UID: model.uid}, _metadata_path(path))
+    write_json_record(spark, metrics, _metrics_path(path))
+    write_json_record(spark, {"version": version}, _current_path(folder))
+
+
+def load_model(spark: SparkSession, folder: str) -> GBTClassificationModel:
+    """The trees in use; fails if the metadata beside them belong to another model."""
     try:
-        return GBTClassificationModel.load(trees_path(folder))
+        model = GBTClassificationModel.load(trees_path(spark, folder))
     except Exception as problem:
         if "does not exist" in str(problem) or "Input path" in str(problem):
             raise FileNotFoundError(f"no model in {folder}") from problem
         raise
-
-
-def save_metrics(spark: SparkSession, metrics: dict, folder: str) -> None:
-    write_json_record(spark, metrics, metrics_path(folder))
+    wanted = _metadata_record(spark, folder).get(MODEL_UID, model.uid)
+    if wanted != model.uid:
+        raise ValueError(f"the metadata in {folder} belong to model {wanted}, not {model.uid}")
+    return model
 
 
 def load_metrics(spark: SparkSession, folder: str) -> dict:
-    return read_json_record(spark, metrics_path(folder))
+    return read_json_record(spark, _metrics_path(_version(spark, folder)))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from promolens.config import DATE_COLUMNS, FEATURE_FIELDS
+from promolens.config import DATE_COLUMNS, FEATURE_FIELDS, ID_COLUMN
 from promolens.functions.expr import present, quoted
 
 # Texts that a data-frame CSV reader takes as missing by default. Note that
@@ -49,17 +49,25 @@ def _typed(name: str, kind: str, on_bad: str) -> Column:
     return F.when(text.isNull() | value.isNotNull(), value).otherwise(problem.cast(kind))
 
 
-def _numeric_extras(raw: DataFrame, names: list[str]) -> set[str]:
-    """Unknown columns whose every present value is a number (one pass over all)."""
+def _extra_types(raw: DataFrame, names: list[str]) -> dict[str, str]:
+    """Types of unknown columns, from one pass over all: double if every present value is a
+    number, boolean if every one is True or False, else text."""
     if not names:
-        return set()
-    bad = raw.agg(
-        *(
-            F.count_if(quoted(c).isNotNull() & quoted(c).try_cast("double").isNull()).alias(f"c{i}")
-            for i, c in enumerate(names)
-        )
-    ).first()
-    return {c for c, n in zip(names, bad) if n == 0}
+        return {}
+    counts = []
+    for i, c in enumerate(names):
+        filled = quoted(c).isNotNull()
+        truth = F.lower(quoted(c)).isin("true", "false")
+        counts.append(F.count_if(filled & quoted(c).try_cast("double").isNull()).alias(f"n{i}"))
+        counts.append(F.count_if(filled & ~truth).alias(f"b{i}"))
+    bad = raw.agg(*counts).first()
+    kinds = {}
+    for i, c in enumerate(names):
+        if bad[f"n{i}"] == 0:
+            kinds[c] = "double"
+        elif bad[f"b{i}"] == 0:
+            kinds[c] = "boolean"
+    return kinds
 
 
 def read_features_csv(
@@ -68,20 +76,27 @@ def read_features_csv(
     missing: Iterable[str] = DEFAULT_MISSING,
     types: Iterable[tuple[str, str]] = FEATURE_FIELDS,
     on_bad: str = "raise",
+    key_type: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read a raw feature CSV by header name, without guessing the known types.
 
     Dates that do not parse become NULL. Other values that do not fit their column raise
     when the row is read, or become NULL with ``on_bad="null"``. Columns outside
-    ``types`` become double if all their values are numbers and stay text otherwise.
+    ``types`` become double if all their values are numbers, boolean if all are True or False,
+    and stay text otherwise. ``key_type`` replaces the type of the customer key, as for ids that
+    are texts. ``multi_line`` allows line breaks inside quoted fields, at the price of one task
+    for each file.
     """
     if on_bad not in ("raise", "null"):
         raise ValueError(f"unknown on_bad: {on_bad}")
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    reader = spark.read.option("header", True).option("escape", '"')
+    raw = reader.option("multiLine", multi_line).csv(path)
     raw = normalize_missing(raw, missing)
     kinds = dict(types)
-    extras = _numeric_extras(raw, [c for c in raw.columns if c not in kinds])
-    kinds |= {c: "double" for c in extras}
+    if key_type is not None:
+        kinds[ID_COLUMN] = key_type
+    kinds |= _extra_types(raw, [c for c in raw.columns if c not in kinds])
     typed = raw.select(
         *(_typed(c, kinds.get(c, "string"), on_bad).alias(c) for c in raw.columns)
     )

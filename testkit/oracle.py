@@ -492,6 +492,31 @@ SELECT count(*) FILTER (WHERE first_order_date > DATE '2000-12-31'
     "drop_all_null": f"SELECT {', '.join(c for c in FEATURES if c != 'account_age_days')}"
     " FROM features",
     "fill_window_zero": f"SELECT {FEATURE_LIST} FROM filled",
+    "train_counts": f"""
+SELECT CAST(count(*) FILTER (is_validation = 0) AS DOUBLE) AS n_train,
+       CAST(count(*) FILTER (is_validation = 1) AS DOUBLE) AS n_val,
+       avg({TARGET_COLUMN}) FILTER (is_validation = 0) AS pos_rate_train,
+       avg({TARGET_COLUMN}) FILTER (is_validation = 1) AS pos_rate_val,
+       CAST({len(NUMERIC_FEATURES)} + (SELECT count(*) FROM flags) AS DOUBLE) AS feature_count
+FROM split_rows""",
+    "feature_importance_names": "SELECT unnest([{}]) AS feature, TRUE AS consistent"
+    " UNION ALL SELECT 'country', TRUE FROM flags".format(
+        ", ".join(f"'{c}'" for c in NUMERIC_FEATURES)
+    ),
+    "score_rows": "SELECT externalcustomerkey, TRUE AS is_probability FROM features",
+    "segment_totals": "SELECT count(*) AS customers, CAST(1 AS DOUBLE) AS share FROM features",
+    "split_missing_key": "SELECT count(*) AS all_rows, count(*) AS placed_rows FROM ready",
+    "make_target_nan": f"""
+SELECT externalcustomerkey, CASE WHEN externalcustomerkey % 2 <> 0
+       AND share_of_orders_with_discount > 0 THEN 1 ELSE 0 END AS {TARGET_COLUMN}
+FROM features""",
+    "drop_all_nan": "SELECT unnest([{}]) AS column_name".format(
+        ", ".join(
+            f"'{c}'" for c in FEATURES if c not in ("account_age_days", "aov_net_lifetime_eur")
+        )
+    ),
+    "csv_text_key": "SELECT * REPLACE ('C-' || CAST(externalcustomerkey AS VARCHAR)"
+    f" AS externalcustomerkey) FROM ({FEATURE_TABLE})",
     "make_target": f"SELECT externalcustomerkey, {TARGET_COLUMN} FROM labelled",
     "target_distribution": f"""
 SELECT {TARGET_COLUMN}, count(*) AS row_count,

@@ -22,7 +22,7 @@ from testkit.views import AS_OF, source_tables
 CONFIG = RunConfig(
     country_min_share=MIN_SHARE,
     seed=SEED,
-    boosting=BoostConfig(max_iter=8, step_size=0.2, max_depth=4, max_bins=32),
+    boosting=BoostConfig(max_iter=12),
 )
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -222,13 +222,74 @@ def _align_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = artifacts.load_metrics(spark, model_dir(spark, sf_dir))
-    record.pop("params")
+    record |= {f"param_{name}": value for name, value in record.pop("params").items()}
     names = sorted(record)
     return spark.createDataFrame(
         [tuple(float(record[n]) for n in names)], ", ".join(f"{n} double" for n in names)
     )
 
 
+def _train_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the training record does not depend on the trees."""
+    names = ("n_train", "n_val", "pos_rate_train", "pos_rate_val", "feature_count")
+    return _train_metrics(spark, sf_dir).select(*names)
+
+
+def _importance_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every feature once, flags of countries as one name, none without a gain but zero."""
+    flag = F.col("feature").startswith("country_")
+    return _importance(spark, sf_dir).select(
+        F.when(flag, "country").otherwise(F.col("feature")).alias("feature"),
+        ((F.col("importance_gain") > 0) == (F.col("importance_split") > 0)).alias("consistent"),
+    )
+
+
+def _score_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores(spark, sf_dir).select(
+        ID_COLUMN, F.col("score").between(0, 1).alias("is_probability")
+    )
+
+
+def _segment_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _end_to_end_distribution(spark, sf_dir).agg(
+        F.sum("row_count").alias("customers"), F.round(F.sum("share"), 9).alias("share")
+    )
+
+
+def _split_missing_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per side when every third key is missing: none is lost."""
+    rows = _prepared(spark, sf_dir).select(ID_COLUMN, TARGET_COLUMN, "orders_lifetime")
+    key = F.when(F.col(ID_COLUMN) % 3 != 0, F.col(ID_COLUMN))
+    split_rows = split.stratified(
+        rows.withColumn(ID_COLUMN, key), fraction=0.2, seed=SEED, mode="approx"
+    )
+    return split_rows.agg(
+        F.count(F.lit(1)).alias("all_rows"), F.count("is_validation").alias("placed_rows")
+    )
+
+
+def _make_target_nan(df: DataFrame) -> DataFrame:
+    nan = F.lit(float("nan"))
+    odd = df.withColumn(
+        "share_of_orders_with_discount",
+        F.when(F.col(ID_COLUMN) % 2 == 0, nan).otherwise(F.col("share_of_orders_with_discount")),
+    ).withColumn("discount_abs_lifetime_eur", F.lit(None).cast("double"))
+    return prepare.add_target(odd).select(ID_COLUMN, TARGET_COLUMN)
+
+
+def _drop_all_nan(df: DataFrame) -> DataFrame:
+    odd = df.withColumn("aov_net_lifetime_eur", F.lit(float("nan")))
+    kept = prepare.drop_all_null(odd).columns
+    return df.sparkSession.createDataFrame([(c,) for c in kept], "column_name string")
+
+
+def _csv_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging_path(spark, "features-csv")
+    named = F.concat(F.lit("C-"), F.col(ID_COLUMN))
+    sinks.write_csv(features(spark, sf_dir).withColumn(ID_COLUMN, named), path)
+    return read_features_csv(spark, path, key_type="string", multi_line=True)
+
+
 def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.importance_of(spark, model_dir(spark, sf_dir))
 
@@ -236,7 +297,7 @@ def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = model_dir(spark, sf_dir)
     meta = artifacts.load_metadata(spark, folder)
-    return scoring.score(features(spark, sf_dir), artifacts.load_model(folder), meta)
+    return scoring.score(features(spark, sf_dir), artifacts.load_model(spark, folder), meta)
 
 
 def _end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,6 +368,14 @@ QUERIES: dict[str, Query] = {
     "stratified_split_approx": _split("approx"),
     "split_balance": _balance,
     "train_metrics": _train_metrics,
+    "train_counts": _train_counts,
+    "feature_importance_names": _importance_names,
+    "score_rows": _score_rows,
+    "segment_totals": _segment_totals,
+    "split_missing_key": _split_missing_key,
+    "make_target_nan": _from_features(_make_target_nan),
+    "drop_all_nan": _from_features(_drop_all_nan),
+    "csv_text_key": _csv_text_key,
     "feature_importance": _importance,
     "roc_auc": _from_features(_roc_auc),
     "scoring_frame": _scoring_frame,

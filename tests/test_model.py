@@ -149,10 +149,58 @@ def test_run_then_score_again_with_the_saved_folder(spark, tmp_path):
 
 
 def test_best_round_waits_for_patience():
-    assert training.best_round([5, 4, 4.5, 3, 3.1, 3.2], 2) == 4
-    assert training.best_round([5, 4, 4.5, 4.6, 3], 2) == 2
-    assert training.best_round([5, 4, 3], 1) == 3
-    assert training.best_round([1.0], 3) == 1
+    assert training.best_round([0.5, 0.6, 0.55, 0.7, 0.69, 0.68], 2) == 4
+    assert training.best_round([0.5, 0.6, 0.55, 0.54, 0.7], 2) == 2
+    assert training.best_round([0.5, 0.6, 0.7], 1) == 3
+    assert training.best_round([1.0], 3) == 1 and training.best_round([None, None], 1) == 1
+
+
+def test_rounds_follow_the_auc_where_the_loss_says_otherwise(spark, monkeypatch):
+    """One fit; the trees kept are those of the best AUC, not of the lowest loss."""
+    rows = spark.range(600).selectExpr(
+        "id as externalcustomerkey", "cast(id * 7919 % 101 as double) as a",
+        "cast(id * 104729 % 97 as double) as b",
+        "cast(hash(id) % 5 = 0 or id % 101 < 40 as int) as y_discount_sensitive").cache()
+    cfg = CFG.with_changes(boosting=BoostConfig(
+        max_iter=8, max_depth=4, min_instances_per_node=1, step_size=1.0,
+        early_stopping_rounds=8, feature_fraction=1.0, subsampling_rate=1.0))
+    fits = []
+    fit = training.GBTClassifier.fit
+    monkeypatch.setattr(training.GBTClassifier, "fit",
+                        lambda self, *a: fits.append(fit(self, *a)) or fits[-1])
+    result = training.train(rows, cfg=cfg)
+    assert len(fits) == 1
+    whole = fits[0]
+    split_rows = split.stratified(rows, fraction=cfg.test_size, seed=cfg.seed)
+    held = training.assemble(
+        split_rows.filter("is_validation = 1"), ["a", "b"],
+        [F.col("y_discount_sensitive").cast("double").alias("label")])
+    areas = []
+    for k in range(1, whole.getNumTrees + 1):
+        scored_rows = training.first_trees(whole, k).transform(held).select(
+            training.probability().alias("score"), "label")
+        areas.append(metrics.roc_auc(scored_rows).first().auc)
+    losses = whole.evaluateEachIteration(held)
+    by_loss = losses.index(min(losses)) + 1
+    assert result.model.getNumTrees == areas.index(max(areas)) + 1
+    assert result.metrics["validation_auc"] == pytest.approx(max(areas), abs=1e-12)
+    assert by_loss != result.model.getNumTrees
+
+
+def test_an_interrupted_save_cannot_be_loaded(spark, tmp_path, monkeypatch):
+    features, folder = separable(spark, 200), str(tmp_path / "m")
+    meta, _ = runs.fit_model(spark, features, folder, CFG)
+    first = artifacts.load_model(spark, folder).uid
+    monkeypatch.setattr(artifacts, "write_json_record", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        runs.fit_model(spark, features, folder, CFG)
+    monkeypatch.undo()
+    assert artifacts.load_model(spark, folder).uid == first
+    version = artifacts.trees_path(spark, folder).removesuffix("/trees")
+    record = {**meta.to_record(), artifacts.MODEL_UID: "another"}
+    artifacts.write_json_record(spark, record, f"{version}/prep_metadata")
+    with pytest.raises(ValueError, match="another"):
+        artifacts.load_model(spark, folder)
 
 
 def test_overfitted_rounds_are_dropped(spark):
@@ -161,7 +209,7 @@ def test_overfitted_rounds_are_dropped(spark):
         "cast(id * 104729 % 97 as double) as b",
         "cast(hash(id) % 2 = 0 as int) as y_discount_sensitive")
     cfg = CFG.with_changes(boosting=BoostConfig(
-        max_iter=6, max_depth=5, min_instances_per_node=1, step_size=0.9, early_stopping_rounds=2,
+        max_iter=6, max_depth=5, min_instances_per_node=1, step_size=0.9, early_stopping_rounds=1,
         feature_fraction=1.0, subsampling_rate=1.0))
     result = training.train(noise, cfg=cfg)
     assert result.metrics["best_iteration"] == result.model.getNumTrees < 6
@@ -171,7 +219,7 @@ def test_missing_artifacts_fail(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="metadata"):
         runs.score_only(spark, separable(spark), str(tmp_path / "none"))
     with pytest.raises(FileNotFoundError, match="model"):
-        artifacts.load_model(str(tmp_path / "none"))
+        artifacts.load_model(spark, str(tmp_path / "none"))
 
 
 def test_training_without_metadata_or_key(spark):

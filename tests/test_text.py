@@ -72,3 +72,12 @@ def test_bucketed_table_joins_without_a_shuffle(spark):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan.replace("BroadcastExchange", "") and joined.count() == 100
     spark.sql("DROP TABLE bucketed_features")
+
+
+def test_text_keys_truth_values_and_line_breaks(spark, tmp_path):
+    path = write(tmp_path, 'C-1,2024-03-31,3,1.5,DE,True,"two\nlines"', "C-2,2024-03-31,4,2,AT,false,x")
+    df = read_features_csv(spark, path, key_type="string", multi_line=True)
+    assert dict(df.dtypes)["externalcustomerkey"] == "string"
+    assert dict(df.dtypes)["bonus"] == "boolean"
+    rows = sorted(map(tuple, df.select("externalcustomerkey", "bonus", "remark").collect()))
+    assert rows == [("C-1", True, "two\nlines"), ("C-2", False, "x")]
