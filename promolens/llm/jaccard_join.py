@@ -5,16 +5,29 @@ the universe into segments. Each segment is allotted a tolerance: 0 (its subset
 (its subset and that without each one element are indexed). If the tolerances plus one sum to
 H + 1, two similar sets share an entry of at least one segment. Sizes are cut into bands, so that
 H and the segments are fixed for each band; similar sets lie in the same or neighbouring bands.
+
+Empty segments say nothing, and all sets would share them. The sum need only count segments that
+are not empty (with tolerance 1: have two elements) in one of both sets. So there are a few more
+segments than needed, and only a set whose own sum falls short indexes its empty ones as well: a
+pair of two such sets still meets there.
+
+Sets that share an entry are compared with the lowest of them, the entry's head p. What is left to
+find are links between sets x and y of which one is not linked to p. Such a link needs common
+elements of the differences x ^ p and y ^ p, because without any, x ^ y would be as large as both
+together, and y is never closer than p itself. How many are needed is known, so x and y meet on the
+first few elements of their differences, which are mostly their own edits. No group is paired out.
 """
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promolens.llm.common import WordHashes, map_batches, mix, shingle_set, text_bytes
@@ -23,7 +36,7 @@ from promolens.session import stage
 
 SHINGLE = 3
 PERCENT = 90
-VERIFY_COST = 50.0  # of comparing two documents, in index entries
+VERIFY_COST = 300.0  # of comparing two documents, in index entries
 MAX_SIZE = 1 << 40
 CHUNK = 400_000
 _MASK = (1 << 64) - 1
@@ -42,25 +55,41 @@ def most_different(x: int, y: int, percent: int) -> int:
     return (x + y) * (100 - percent) // (100 + percent)
 
 
-def allocate(records: int, size: int, budget: int, verify_cost: float = VERIFY_COST):
-    """(segments, of them with tolerance 1) of least estimated cost for a band.
+def allocate(
+    records: int, size: int, budget: int, verify_cost: float = VERIFY_COST
+) -> tuple[int, int]:
+    """(segments, of them with tolerance 1) of least estimated cost for sets of this size.
 
-    The tolerances plus one sum to ``budget``. Costs of a record: its index entries, and the
-    comparisons with records that share a segment by chance, because both have nothing in it
-    (or, with tolerance 1, at most one element).
+    Costs of a record: its index entries, and comparisons by chance. Chance has two sources. If
+    the segments in use fall short of ``budget``, the empty ones are indexed too. Entries of a
+    single element are shared by unrelated records, the more of them there are.
     """
-    tolerant = np.unique(np.linspace(0, budget // 2, min(budget // 2 + 1, 64)).astype(int))
-    segments = budget - tolerant
-    mean = size / segments
-    entries = (segments - tolerant) + tolerant * (1 + mean)
-    chance = (segments - tolerant) * np.exp(-2 * mean)
-    chance += tolerant * (np.exp(-mean) * (1 + mean)) ** 2
-    best = int(np.argmin(entries + verify_cost * records * chance))
-    return int(segments[best]), int(tolerant[best])
-
-
-def plan_bands(counts: dict[int, int], percent: int) -> dict[int, tuple[int, int]]:
-    """Allocation by label: label k is for pairs with at least one set in band k, none above."""
+    best = None
+    for factor in np.linspace(0.5, 3, 51):
+        segments = max(1, math.ceil(budget * factor))
+        for share in (0.0, 0.25, 0.5, 0.75, 1.0):
+            tolerant = int(segments * share)
+            exact = segments - tolerant
+            mean = size / segments
+            empty, single = math.exp(-mean), mean * math.exp(-mean)
+            used = exact * (1 - empty) + 2 * tolerant * (1 - empty - single)
+            spread = math.sqrt(
+                exact * empty * (1 - empty)
+                + 4 * tolerant * (empty + single) * (1 - empty - single)
+                + 1e-9
+            )
+            short = 0.5 * math.erfc((used - budget) / spread / math.sqrt(2))
+            entries = exact * (1 - empty) + tolerant * (1 + mean)
+            alone = exact * single + tolerant * (single + mean * single)
+            chance = short * segments * empty + alone * min(1.0, records * 1e-7)
+            cost = entries + verify_cost * chance
+            if segments + tolerant >= budget and (best is None or cost < best[0]):
+                best = (cost, segments, tolerant)
+    return best[1], best[2]
+
+
+def plan_bands(counts: dict[int, int], percent: int) -> dict[int, tuple[int, int, int]]:
+    """(segments, tolerant, budget) by label; label k is for pairs in band k, or k - 1 and k."""
     bounds = size_bands(percent)
     plan = {}
     for label in {k + i for k in counts for i in (0, 1)}:
@@ -71,12 +100,18 @@ def plan_bands(counts: dict[int, int], percent: int) -> dict[int, tuple[int, int
         differ = most_different(largest, largest, percent)
         # With no difference allowed only equal sets are linked, and those are one class already.
         if differ and records > 1:
-            plan[label] = allocate(records, bounds[label], differ + 1)
+            smallest = bounds[max(label - 1, 0)]
+            plan[label] = (*allocate(records, smallest, differ + 1), differ + 1)
     return plan
 
 
-def index_entries(tokens: np.ndarray, label: int, segments: int, tolerant: int) -> np.ndarray:
-    """Hashes of a set's segments; for the first ``tolerant`` also without each one element."""
+def index_entries(
+    tokens: np.ndarray, label: int, segments: int, tolerant: int, budget: int
+) -> np.ndarray:
+    """Hashes of a set's segments; for the first ``tolerant`` also without each one element.
+
+    Empty subsets are left out unless the segments in use do not reach ``budget``.
+    """
     salt = np.uint64(0x9E3779B97F4A7C15 * (2 * label + 1) & _MASK)
     place = (((tokens * salt) >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
     place = place.astype(np.int64)
@@ -84,13 +119,17 @@ def index_entries(tokens: np.ndarray, label: int, segments: int, tolerant: int)
     low = np.bincount(place, (tokens & np.uint64(0xFFFFFFFF)).astype(float), segments)
     high = np.bincount(place, (tokens >> np.uint64(32)).astype(float), segments)
     sums = (high.astype(np.uint64) << np.uint64(32)) + low.astype(np.uint64)
-    where = np.arange(segments)
+    counts = np.bincount(place, minlength=segments)
+    used = np.count_nonzero(counts[tolerant:]) + 2 * np.count_nonzero(counts[:tolerant] > 1)
+    everything = used < budget
+    where = np.arange(segments) if everything else np.flatnonzero(counts)
+    sums_of = sums[where]
     if tolerant:
-        near = place < tolerant
-        sums = np.concatenate([sums, sums[place[near]] - tokens[near]])
+        near = (place < tolerant) & (everything | (counts[place] > 1))
+        sums_of = np.concatenate([sums_of, sums[place[near]] - tokens[near]])
         where = np.concatenate([where, place[near]])
     tag = np.uint64(0xD6E8FEB86659FD93 * (label + 1) & _MASK)
-    return mix(mix(where.astype(np.uint64) + tag) + sums)
+    return mix(mix(where.astype(np.uint64) + tag) + sums_of)
 
 
 def set_hash(tokens: np.ndarray) -> int:
@@ -115,41 +154,58 @@ def document_sets(rows: DataFrame, n: int) -> DataFrame:
     return map_batches(rows, run, f"_key {kind}, _hash long, n_shingles long, _cls long")
 
 
-_FIRST, _KNOWN, _MARKER = 0, 1, 2
+def pack_longs(values: np.ndarray) -> bytes:
+    """64-bit numbers, byte planes apart, compressed: equal or rising high bytes cost little."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack_longs(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel()
+
+
+def _pack_chunk(entry: np.ndarray, cls: np.ndarray, parts: int) -> dict:
+    """A chunk's entries, grouped and dealt out: first classes by entry, others by themselves.
+
+    Rows hold sorted arrays of one part: entries with a last bit that tells if the chunk has
+    others, and the classes they belong to.
+    """
+    order = np.lexsort((cls, entry))
+    entry, cls = entry[order], cls[order]
+    keep = np.concatenate(([True], (entry[1:] != entry[:-1]) | (cls[1:] != cls[:-1])))
+    entry, cls = entry[keep], cls[keep]
+    first = np.concatenate(([True], entry[1:] != entry[:-1]))
+    others = np.append(~first[1:], False)
+    apart = mix(entry ^ mix(cls.view(np.uint64)))
+    part = (np.where(first, mix(entry), apart) % np.uint64(parts)).astype(np.int64)
+    marked = entry * np.uint64(2) + others
+    out = {"_part": [], "_known": [], "_entries": [], "_index": [], "_classes": []}
+    for known in (False, True):
+        chosen = np.flatnonzero(first != known)
+        chosen = chosen[np.argsort(part[chosen], kind="stable")]
+        for some in np.split(chosen, np.flatnonzero(np.diff(part[chosen])) + 1):
+            if len(some):
+                classes, index = np.unique(cls[some], return_inverse=True)
+                row = (int(part[some[0]]), known, pack_longs(marked[some]),
+                       pack_longs(index), pack_longs(classes))
+                for c, v in zip(out, row, strict=True):
+                    out[c].append(v)
+    return out
 
 
 def shared_entries(rows: DataFrame, n: int, percent: int, plan: dict) -> DataFrame:
-    """(_entry, _cls, _head): index entries that several classes have, with the lowest class.
+    """(_cls, _head): classes that share an index entry with others, and the entry's head.
 
-    Tasks group their entries in large chunks. The lowest class of an entry in a chunk is routed
-    by the entry, a marker tells if the chunk has others, and those are routed by themselves with
-    that lowest class as head. So an entry that a third of all classes have is spread out.
+    Entries are 48-bit hashes: a collision costs a comparison. Tasks group them in large chunks
+    and send packed arrays. The lowest class of an entry in a chunk goes where the entry belongs;
+    the others are known to be shared, are dealt out by themselves and get their head by a join,
+    which can be split. So an entry that a third of all classes have is spread out.
     """
     bounds = size_bands(percent)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def combine(entries: list, classes: list) -> dict:
-        entry, cls = np.concatenate(entries), np.concatenate(classes)
-        order = np.lexsort((cls, entry))
-        entry, cls = entry[order], cls[order]
-        same = entry[1:] == entry[:-1]
-        keep = np.concatenate(([True], ~(same & (cls[1:] == cls[:-1]))))
-        entry, cls = entry[keep], cls[keep]
-        first = np.concatenate(([True], entry[1:] != entry[:-1]))
-        head = cls[np.flatnonzero(first)[np.cumsum(first) - 1]]
-        marked = np.unique(entry[~first])
-        none = np.zeros(len(marked), np.int64)
-        apart = mix(entry.view(np.uint64) ^ mix(cls.view(np.uint64))).view(np.int64)
-        return {
-            "_route": np.concatenate([np.where(first, entry, apart), marked]),
-            "_kind": np.concatenate(
-                [np.where(first, _FIRST, _KNOWN), np.full(len(marked), _MARKER)]
-            ),
-            "_entry": np.concatenate([entry, marked]),
-            "_cls": np.concatenate([cls, none]),
-            "_head": np.concatenate([head, none]),
-        }
-
-    def run(batches: Iterator[dict]) -> Iterator[dict]:
+    def index(batches: Iterator[dict]) -> Iterator[dict]:
         cache = WordHashes()
         entries, classes, size = [], [], 0
         for batch in batches:
@@ -160,36 +216,87 @@ def shared_entries(rows: DataFrame, n: int, percent: int, plan: dict) -> DataFra
                 band = bisect_right(bounds, len(tokens)) - 1
                 for label in (band, band + 1):
                     if label in plan:
-                        found = index_entries(tokens, label, *plan[label]).view(np.int64)
+                        found = index_entries(tokens, label, *plan[label]) >> np.uint64(16)
                         entries.append(found)
                         classes.append(np.full(len(found), set_hash(tokens)))
                         size += len(found)
                 if size >= CHUNK:
-                    yield combine(entries, classes)
+                    yield _pack_chunk(np.concatenate(entries), np.concatenate(classes), parts)
                     entries, classes, size = [], [], 0
         if size:
-            yield combine(entries, classes)
+            yield _pack_chunk(np.concatenate(entries), np.concatenate(classes), parts)
 
-    sent = map_batches(
-        rows, run, "_route long, _kind int, _entry long, _cls long, _head long"
+    def group(batches: Iterator[dict]) -> Iterator[dict]:
+        entries, classes = [], []
+        for batch in batches:
+            for known, entry, at, cls in zip(
+                *(batch[c] for c in ("_known", "_entries", "_index", "_classes")), strict=True
+            ):
+                entry = unpack_longs(entry)
+                cls = unpack_longs(cls).view(np.int64)[unpack_longs(at).view(np.int64)]
+                if known:
+                    yield {"_entry": (entry >> np.uint64(1)).view(np.int64), "_cls": cls}
+                else:
+                    entries.append(entry)
+                    classes.append(cls)
+        if not entries:
+            return
+        entry, cls = np.concatenate(entries), np.concatenate(classes)
+        order = np.lexsort((cls, entry >> np.uint64(1)))
+        entry, cls = entry[order], cls[order]
+        others, entry = (entry & np.uint64(1)).astype(bool), (entry >> np.uint64(1)).view(np.int64)
+        first = np.flatnonzero(np.concatenate(([True], entry[1:] != entry[:-1])))
+        sizes = np.diff(np.append(first, len(entry)))
+        keep = np.repeat((sizes > 1) | np.logical_or.reduceat(others, first), sizes)
+        yield {"_entry": entry[keep], "_cls": cls[keep]}
+
+    packed = map_batches(
+        rows, index, "_part int, _known boolean, _entries binary, _index binary, _classes binary"
+    )
+    shared = stage(
+        map_batches(packed.repartition("_part"), group, "_entry long, _cls long"),
+        "jaccard-entries",
     )
-    route = Window.partitionBy("_route")
-    met = sent.withColumn(
-        "_met", F.count_if(F.col("_kind") != _KNOWN).over(route)
-    ).withColumn("_low", F.min(F.when(F.col("_kind") == _FIRST, F.col("_cls"))).over(route))
-    return met.where(
-        ((F.col("_met") > 1) & (F.col("_kind") == _FIRST)) | (F.col("_kind") == _KNOWN)
-    ).select(
-        "_entry",
-        "_cls",
-        F.when(F.col("_kind") == _FIRST, F.col("_low")).otherwise(F.col("_head")).alias("_head"),
+    # The head is the class with the most shared entries: in a group of near copies one with few
+    # edits of its own, which is close to all others.
+    scores = shared.groupBy(F.col("_cls").alias("_c")).agg(F.count(F.lit(1)).alias("_score"))
+    heads = (
+        shared.join(scores, shared["_cls"] == scores["_c"])
+        .groupBy(F.col("_entry").alias("_of"))
+        .agg(F.max(F.struct("_score", "_cls")).alias("_best"))
     )
+    headed = shared.join(heads, shared["_entry"] == heads["_of"])
+    return headed.select("_cls", F.col("_best._cls").alias("_head")).distinct()
 
 
-def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar, by counting common shingles.
+def delta_prefix(
+    p: np.ndarray, x: np.ndarray, linked: bool, percent: int
+) -> tuple[int, np.ndarray]:
+    """Size of x ^ p, and the elements of it on which x meets those it may be linked to though p does not say.
+
+    Elements that p lacks come first; that order is the same for all sets compared with p. If x
+    is not linked to p, a link of x needs at least |x ^ p| - H common elements; if it is, at least
+    what keeps the other one unlinked to p. All but that many, less one, are in the prefix.
+    """
+    delta = np.concatenate([
+        np.setdiff1d(x, p, assume_unique=True), np.setdiff1d(p, x, assume_unique=True)
+    ])
+    size, apart, both = len(delta), 100 - percent, 100 + percent
+    if linked:
+        need = (both * size + apart * (len(p) - len(x))) // (2 * both) + 1
+    else:
+        need = size - apart * (len(x) + 100 * len(x) // percent) // both
+    return size, delta[: max(0, size - max(1, need) + 1)]
+
+
+def verify(
+    pairs: DataFrame, texts: DataFrame, n: int, percent: int, prefixes: bool
+) -> DataFrame:
+    """(a, b, linked, size, delta, prefix) of pairs (a, b), by counting common shingles.
 
     The text of b travels to the pairs, sorted by a, whose set is made once for all its pairs.
+    ``size`` is that of b's set; ``delta`` and ``prefix`` are its ``delta_prefix`` to a, if asked
+    for.
     """
     second = texts.selectExpr("_cls as _b", "_data as _second")
     first = texts.selectExpr("_cls as _a", "_data as _first")
@@ -199,23 +306,65 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         cache, held, tokens = WordHashes(), None, None
         for batch in batches:
-            out = {"a": [], "b": []}
-            for a, b, one, other in zip(
-                *(batch[c] for c in ("a", "b", "_first", "_second")), strict=True
-            ):
+            out = {c: [] for c in ("linked", "size", "delta", "prefix")}
+            for a, one, other in zip(*(batch[c] for c in ("a", "_first", "_second")), strict=True):
                 if a != held:
                     held, tokens = a, shingle_set(one, n, cache)
                 others = shingle_set(other, n, cache)
-                low, high = sorted((len(tokens), len(others)))
-                if 100 * low < percent * high:
-                    continue
                 common = len(np.intersect1d(tokens, others, assume_unique=True))
-                if 100 * common >= percent * (low + high - common):
-                    out["a"].append(a)
-                    out["b"].append(b)
-            yield out
+                linked = 100 * common >= percent * (len(tokens) + len(others) - common)
+                delta, prefix = None, None
+                if prefixes:
+                    delta, prefix = delta_prefix(tokens, others, linked, percent)
+                    prefix = prefix.view(np.int64)
+                for c, v in zip(out, (linked, len(others), delta, prefix), strict=True):
+                    out[c].append(v)
+            yield {**out, "a": batch["a"], "b": batch["b"]}
+
+    return map_batches(
+        joined,
+        run,
+        "a long, b long, linked boolean, size long, delta long, prefix array<long>",
+    )
+
 
-    return map_batches(joined, run, "a long, b long")
+def _across(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that meet on a difference to a common head.
+
+    Only the first element that two differences share has to count, and what follows it in both
+    must suffice for the common elements that a link needs.
+    """
+    names = labels.selectExpr("node as _node", "component as _component")
+
+    def named(df: DataFrame, column: str, name: str) -> DataFrame:
+        joined = df.join(names, df[column] == names["_node"], "left")
+        return joined.select(
+            *(df[c] for c in df.columns), F.coalesce("_component", df[column]).alias(name)
+        )
+
+    heads = stars.where("not linked").select("a").distinct()
+    mixed = named(stars.join(heads, "a", "left_semi"), "b", "component")
+    own = ("b", "linked", "component", "size", "delta")
+    tokens = mixed.select("a", *own, F.posexplode("prefix").alias("place", "token"))
+    # Only where components differ can a link be missing.
+    several = (
+        tokens.groupBy("a", "token")
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .where("lo <> hi")
+        .select("a", "token")
+    )
+    left = tokens.join(several, ["a", "token"], "left_semi")
+    x, y = left.where("not linked").alias("x"), left.alias("y")
+    allowed = f"({100 - percent} * (x.size + y.size) div {100 + percent})"
+    after = "least(x.delta - x.place, y.delta - y.place)"
+    pairs = x.join(
+        y,
+        F.expr(
+            "x.a = y.a AND x.token = y.token AND x.component <> y.component"
+            f" AND 2 * {after} >= x.delta + y.delta - {allowed}"
+        ),
+    )
+    return pairs.selectExpr("least(x.b, y.b) as a", "greatest(x.b, y.b) as b").distinct()
 
 
 def near_duplicates(
@@ -233,9 +382,9 @@ def near_duplicates(
     give a row each; a NULL key is the smallest only among NULLs. ``text_hash`` is xxhash64 of the
     text's bytes. Other columns are not read.
 
-    Equal sets are one class before any pair is made. Classes are then compared with the lowest
-    class of each index entry they share; after components, what an entry still holds of
-    different components is compared pair by pair, so no link between components can be missed.
+    Equal sets are one class before any pair is made. Classes are compared with the lowest class
+    of each index entry they share, and then, in different components, where their differences to
+    it meet; so no link between components can be missed.
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
@@ -251,7 +400,7 @@ def near_duplicates(
     }  # one row per band: at most len(bounds)
     plan = plan_bands(counts, percent)
     shared = stage(
-        shared_entries(rows.where("octet_length(_data) > 0"), n, percent, plan), "jaccard-entries"
+        shared_entries(rows.where("octet_length(_data) > 0"), n, percent, plan), "jaccard-shared"
     )
     members = shared.select("_cls").distinct()
     chosen = (
@@ -269,37 +418,17 @@ def near_duplicates(
         .dropDuplicates(["_cls"]),
         "jaccard-texts",
     )
-    stars = shared.where("_cls <> _head").selectExpr("_head as a", "_cls as b").distinct()
-    stars = stage(stars, "jaccard-stars")
-    links = stage(verify(stars, texts, n, percent), "jaccard-links")
+    pairs = shared.where("_cls <> _head").selectExpr("_head as a", "_cls as b")
+    stars = stage(verify(pairs, texts, n, percent, prefixes=True), "jaccard-stars")
+    links = stars.where("linked").select("a", "b")
     labels = stage(connected_components(links), "jaccard-components")
-    across = _across(shared, labels, stars)
-    more = stage(verify(across, texts, n, percent), "jaccard-links")
+    across = verify(_across(stars, labels, percent), texts, n, percent, prefixes=False)
+    more = stage(across.where("linked").select("a", "b"), "jaccard-links")
     if more.limit(1).count():
         labels = stage(connected_components(links.unionByName(more)), "jaccard-components")
     return _with_components(sets, labels, key)
 
 
-def _across(shared: DataFrame, labels: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share an entry, lie in different components and were not compared."""
-    named = (
-        shared.select("_entry", "_cls")
-        .join(labels.withColumnRenamed("node", "_cls"), "_cls", "left")
-        .withColumn("component", F.coalesce("component", "_cls"))
-    )
-    mixed = (
-        named.groupBy("_entry")
-        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo <> hi")
-        .select("_entry")
-    )
-    left = named.join(mixed, "_entry", "left_semi")
-    a = left.selectExpr("_entry", "_cls as a", "component as ca")
-    b = left.selectExpr("_entry", "_cls as b", "component as cb")
-    pairs = a.join(b, "_entry").where("a < b and ca <> cb").select("a", "b").distinct()
-    return pairs.join(done, ["a", "b"], "left_anti")
-
-
 def _with_components(sets: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     classes = sets.where("_cls is not null").groupBy("_cls").agg(F.min("_key").alias("_least"))
     named = classes.join(labels, classes["_cls"] == labels["node"], "left").select(

@@ -353,24 +353,68 @@ def test_similar_sets_share_an_entry_in_every_allocation():
             bounds = jaccard_join.size_bands(percent)
             for _ in range(20):
                 a = draw.integers(0, 1 << 63, size, np.int64).astype(np.uint64)
-                budget = jaccard_join.most_different(size, size, percent)
+                change = jaccard_join.most_different(size, size, percent) // 2
                 b = a.copy()
-                b[: budget // 2] = draw.integers(0, 1 << 63, budget // 2)
-                a, b = np.unique(a), np.unique(b)
+                b[:change] = draw.integers(0, 1 << 63, change)
                 label = sum(x <= size for x in bounds)
                 top = bounds[label] - 1
                 need = jaccard_join.most_different(top, top, percent) + 1
-                for tolerant in range(need // 2 + 1):
-                    one, two = (
-                        jaccard_join.index_entries(s, label, need - tolerant, tolerant)
-                        for s in (a, b)
-                    )
-                    assert np.intersect1d(one, two).size
+                for segments in (need, need + 3, 2 * need):
+                    for tolerant in (0, segments // 2, segments):
+                        one, two = (
+                            jaccard_join.index_entries(s, label, segments, tolerant, need)
+                            for s in (np.unique(a), np.unique(b))
+                        )
+                        assert np.intersect1d(one, two).size
+
+
+def test_allocation_reaches_the_budget_and_follows_the_costs():
+    for records in (10, 10**6, 10**12):
+        for size, budget in ((4, 2), (10, 3), (100, 14), (100, 35), (5000, 1700)):
+            segments, tolerant = jaccard_join.allocate(records, size, budget)
+            assert segments + tolerant >= budget
+    # Entries of one element cost comparisons when there are many records.
+    assert jaccard_join.allocate(100, 400, 160)[1] == 0
+    assert jaccard_join.allocate(10**9, 400, 160)[1] > 0
+
+
+def near_family(seed, replaced):
+    """Near copies of near copies: most links are there, many pairs just miss one."""
+    draw = random.Random(seed)
+    words = [f"w{i}" for i in range(400)]
+    data = []
+    for _ in range(4):
+        family = [[draw.choice(words) for _ in range(draw.choice((60, 90, 150)))]]
+        for _ in range(50):
+            text = list(draw.choice(family))
+            for _ in range(draw.randint(0, 5)):
+                i, kind = draw.randrange(len(text)), draw.random()
+                if kind < 0.4:
+                    text[i] = draw.choice(words[:replaced])
+                elif kind < 0.7:
+                    text.insert(i, draw.choice(words))
+                else:
+                    del text[i : i + draw.randint(1, 3)]
+            if draw.random() < 0.1:
+                family.append(text)
+            data.append((len(data), " ".join(text)))
+    return data
+
+
+@pytest.mark.parametrize(("seed", "percent", "replaced"), [(5, 90, 400), (6, 80, 20)])
+def test_join_misses_no_link_of_a_large_group(spark, seed, percent, replaced):
+    prepared(spark)
+    data = near_family(seed, replaced)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    got = jaccard_join.near_duplicates(df, percent=percent)
+    assert rows(got, "doc_id", "n_shingles", "component_id") == Counter(groups(data, 3, percent))
 
 
-def test_allocation_avoids_chance_matches_when_there_are_many_records():
-    assert jaccard_join.allocate(10, 10, 2) == (2, 0)
-    assert jaccard_join.allocate(10**9, 10, 2) == (1, 1)
+def test_packed_longs_come_back():
+    draw = np.random.default_rng(1)
+    for n in (1, 7, 1000):
+        values = draw.integers(0, 1 << 63, n).astype(np.uint64)
+        assert np.array_equal(jaccard_join.unpack_longs(jaccard_join.pack_longs(values)), values)
 
 
 def test_components_of_a_path_and_a_star(spark):
