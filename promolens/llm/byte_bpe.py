@@ -5,21 +5,32 @@ from __future__ import annotations
 import base64
 import heapq
 import itertools
+import re
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from promolens.llm.common import map_batches, text_bytes
-from promolens.session import stage
+from promolens.llm.warc import open_store
+from promolens.session import stage, staging_path
 
-BLOCK_BYTES = 8 << 20
-CACHE_WORDS = 1_000_000
+# Fixed value: the pattern of the byte-level vocabularies.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+BLOCK_BYTES = 16 << 20
+CACHE_WORDS = 500_000
+ROWS = 64  # texts packed into one row
+_NONE = 1 << 62
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -33,6 +44,27 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     whole = ranks.get(word)
     if whole is not None:
         return [whole]
+    if len(word) > 64:
+        return _encode_long(word, ranks)
+    get = ranks.get
+    parts = [word[i : i + 1] for i in range(len(word))]
+    joins = [get(word[i : i + 2], _NONE) for i in range(len(word) - 1)]
+    while joins:
+        rank = min(joins)
+        if rank == _NONE:
+            break
+        i = joins.index(rank)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del joins[i]
+        if i < len(joins):
+            joins[i] = get(parts[i] + parts[i + 1], _NONE)
+        if i:
+            joins[i - 1] = get(parts[i - 1] + parts[i], _NONE)
+    return [ranks[part] for part in parts]
+
+
+def _encode_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same with a heap of joins, for words of any length."""
     end = [i + 1 for i in range(len(word))]  # of the part that starts here; 0: joined away
     before = [i - 1 for i in range(len(word))]
     heap: list[tuple[int, int, int]] = []
@@ -65,14 +97,29 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def pack_numbers(values: np.ndarray) -> bytes:
-    """Unsigned 32-bit numbers, byte planes apart, compressed."""
-    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    """Numbers below 2**32 - 1, byte planes compressed one by one, without the empty ones.
+
+    One is added to each, so that no value is all zeros and the planes tell the length.
+    """
+    more = (np.asarray(values) + 1).astype("<u4")
+    planes = np.ascontiguousarray(more.view(np.uint8).reshape(-1, 4).T)
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    parts = [squeeze(p.tobytes()) if p.any() else b"" for p in planes]
+    return b"".join(len(p).to_bytes(4, "little") for p in parts) + b"".join(parts)
 
 
 def unpack_numbers(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+    sizes = [int.from_bytes(data[4 * i : 4 * i + 4], "little") for i in range(4)]
+    at, planes = 16, []
+    for size in sizes:
+        part = data[at : at + size]
+        at += size
+        planes.append(zstandard.ZstdDecompressor().decompress(part) if size else None)
+    out = np.zeros((max((len(p) for p in planes if p is not None), default=0), 4), np.uint8)
+    for i, plane in enumerate(planes):
+        if plane is not None:
+            out[:, i] = np.frombuffer(plane, np.uint8)
+    return out.view("<u4").ravel() - np.uint32(1)
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -86,54 +133,88 @@ def _offsets(sizes: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(sizes)[:-1])) if len(sizes) else sizes
 
 
+class _Units(dict):
+    """Word numbers of a unit, remembered for a block; new pre-tokens get the next number."""
+
+    def __init__(self, find, words: dict[str, int]):
+        super().__init__()
+        self.find, self.words = find, words
+
+    def __missing__(self, unit: str) -> tuple[int, ...]:
+        words = self.words
+        found = tuple(words.setdefault(w, len(words)) for w in self.find(unit))
+        self[unit] = found
+        return found
+
+
+def _units(pattern: str):
+    """A splitter of texts into parts whose pre-tokens do not depend on what is around them.
+
+    No match of PATTERN goes on after a run of other characters when a space or line break
+    follows, unless there is other white space; for any other pattern the text is one unit.
+    """
+    if pattern != PATTERN:
+        return lambda text: [text]
+    unit, odd = re.compile(r"[ \n]*[^ \n]+|[ \n]+"), regex.compile(r"[^\S \n]")
+    return lambda text: [text] if odd.search(text) else unit.findall(text)
+
+
 def _split_blocks(pattern: str, parts: int, block_bytes: int):
     """Explode texts to pre-tokens: block dictionaries, and each text as word numbers."""
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        find = regex.compile(pattern).findall
+        split, find = _units(pattern), regex.compile(pattern).findall
         numbers = itertools.count(TaskContext.get().partitionId() << 32)
         words: dict[str, int] = {}
+        units = _Units(find, words)
         rows: list[tuple] = []
         size = 0
 
         def flush() -> dict:
             block = next(numbers)
+            sizes = np.array([len(at) for _, at in rows], np.int64)
+            flat = np.concatenate([at for _, at in rows])
             # Frequent words get small numbers, which compress better.
-            order = np.zeros(len(words), np.int64)
-            counts = np.zeros(len(words), np.int64)
-            for _, at in rows:
-                np.add.at(counts, at, 1)
-            order[np.argsort(-counts, kind="stable")] = np.arange(len(words))
-            by_part: list[list[tuple[bytes, int]]] = [[] for _ in range(parts)]
-            for word, number in zip(words, order.tolist(), strict=True):
-                raw = word.encode()
-                by_part[zlib.crc32(raw) % parts].append((raw, number))
-            out = {c: [] for c in ("_block", "_part", "_key", "_words", "_numbers")}
+            order = np.empty(len(words), np.int64)
+            ranked = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+            order[ranked] = np.arange(len(words))
+            flat = order[flat]
+            by_part: list[list[tuple[int, bytes]]] = [[] for _ in range(parts)]
+            listed = [word.encode() for word in words]
+            for number, at in enumerate(ranked.tolist()):
+                raw = listed[at]
+                by_part[zlib.crc32(raw) % parts].append((number, raw))
+            out = {c: [] for c in ("_block", "_part", "_keys", "_words", "_numbers", "_sizes")}
+
+            def add(*row) -> None:
+                for c, v in zip(out, row, strict=True):
+                    out[c].append(v)
+
             for part, entries in enumerate(by_part):
                 if entries:
-                    entries.sort()
-                    blob = b"".join(len(w).to_bytes(4, "little") + w for w, _ in entries)
-                    row = (
-                        block, part, None, zstandard.ZstdCompressor(level=3).compress(blob),
-                        pack_numbers(np.array([n for _, n in entries])),
+                    lengths = np.array([len(w) for _, w in entries])
+                    blob = zstandard.ZstdCompressor(level=3).compress(
+                        b"".join(w for _, w in entries)
                     )
-                    for c, v in zip(out, row, strict=True):
-                        out[c].append(v)
-            for key, at in rows:
-                row = (block, -1, key, None, pack_numbers(order[at]))
-                for c, v in zip(out, row, strict=True):
-                    out[c].append(v)
+                    gaps = np.diff(np.array([n for n, _ in entries]), prepend=0)
+                    add(block, part, None, blob, pack_numbers(gaps), pack_numbers(lengths))
+            ends = np.cumsum(sizes)
+            for at in range(0, len(rows), ROWS):
+                some = slice(at, at + ROWS)
+                begin, end = ends[at] - sizes[at], ends[some][-1]
+                keys = [key for key, _ in rows[some]]
+                add(block, -1, keys, None, pack_numbers(flat[begin:end]),
+                    pack_numbers(sizes[some]))
             words.clear()
+            units.clear()
             rows.clear()
             return out
 
         for batch in batches:
             for key, data in zip(batch["_key"], batch["_data"], strict=True):
-                found = find(data.decode("utf-8", "replace"))
-                at = np.fromiter(
-                    (words.setdefault(w, len(words)) for w in found), np.int64, len(found)
-                )
-                rows.append((key, at))
+                text = data.decode("utf-8", "replace")
+                found = itertools.chain.from_iterable(map(units.__getitem__, split(text)))
+                rows.append((key, np.fromiter(found, np.int64)))
                 size += len(data)
                 if size >= block_bytes:
                     yield flush()
@@ -150,16 +231,15 @@ def _encode_words(ranks):
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         table, known = ranks.value, {}
         for batch in batches:
-            out = {c: [] for c in ("_block", "_part", "_key", "_ids", "_sizes", "_numbers")}
-            for block, part, packed, numbers in zip(
-                batch["_block"], batch["_part"], batch["_words"], batch["_numbers"], strict=True
+            out = {c: [] for c in ("_block", "_ids", "_sizes", "_numbers")}
+            for block, packed, lengths, numbers in zip(
+                *(batch[c] for c in ("_block", "_words", "_sizes", "_numbers")), strict=True
             ):
                 blob = zstandard.ZstdDecompressor().decompress(packed)
                 ids, sizes, at = [], [], 0
-                while at < len(blob):
-                    stop = at + 4 + int.from_bytes(blob[at : at + 4], "little")
-                    word = blob[at + 4 : stop]
-                    at = stop
+                for length in unpack_numbers(lengths).tolist():
+                    word = blob[at : at + length]
+                    at += length
                     found = known.get(word)
                     if found is None:
                         if len(known) >= CACHE_WORDS:
@@ -167,8 +247,7 @@ def _encode_words(ranks):
                         found = known[word] = encode_word(word, table)
                     ids += found
                     sizes.append(len(found))
-                row = (block, part, None, pack_numbers(np.array(ids)),
-                       pack_numbers(np.array(sizes)), numbers)
+                row = (block, pack_numbers(np.array(ids)), pack_numbers(np.array(sizes)), numbers)
                 for c, v in zip(out, row, strict=True):
                     out[c].append(v)
             yield out
@@ -176,30 +255,72 @@ def _encode_words(ranks):
     return run
 
 
-def _join_ids(batches: Iterator[dict]) -> Iterator[dict]:
-    """Put ids in the place of word numbers. A block's dictionary rows come before its texts."""
-    block, pieces, start, size, flat = None, [], None, None, None
-    for batch in batches:
-        out = {"_key": [], "ids": []}
-        for row in zip(*(batch[c] for c in ("_block", "_part", "_key", "_ids", "_sizes",
-                                            "_numbers")), strict=True):
-            if row[0] != block:
-                block, pieces, start = row[0], [], None
-            if row[1] >= 0:
-                pieces.append([unpack_numbers(x) for x in row[3:]])
-                continue
-            if start is None:
-                flat = np.concatenate([p[0] for p in pieces] or [np.empty(0, np.uint32)])
-                sizes = np.concatenate([p[1] for p in pieces] or [np.empty(0, np.uint32)])
-                number = np.concatenate([p[2] for p in pieces] or [np.empty(0, np.uint32)])
-                start, size = np.empty(len(number), np.int64), np.empty(len(number), np.int64)
-                start[number], size[number] = _offsets(sizes.astype(np.int64)), sizes
-                pieces = []
-            at = unpack_numbers(row[5])
-            out["_key"].append(row[2])
-            out["ids"].append(gather(flat, start[at], size[at]).astype(np.int32))
-        if out["_key"]:
-            yield out
+def _write_dictionaries(folder: str):
+    """One file for each block, whose rows come together: the ids of its words, by number."""
+
+    def run(batches: Iterator[dict]) -> Iterator[dict]:
+        store, root = open_store(folder)
+        store.create_dir(root, recursive=True)
+        block, pieces = None, []
+
+        def finish() -> dict:
+            number = np.concatenate([p[2] for p in pieces])
+            sizes = np.concatenate([p[1] for p in pieces])
+            order = np.argsort(number)
+            flat = gather(np.concatenate([p[0] for p in pieces]), _offsets(sizes)[order],
+                          sizes[order])
+            # A repeated task writes the same bytes; the name appears when they are all there.
+            name = f"{root}/.{block}-{uuid.uuid4().hex}"
+            with store.open_output_stream(name, compression=None) as out:
+                head, body = pack_numbers(sizes[order]), pack_numbers(flat)
+                out.write(len(head).to_bytes(8, "little") + head + body)
+            store.move(name, f"{root}/{block}")
+            return {"_block": [block], "_words": [len(sizes)]}
+
+        for batch in batches:
+            for row in zip(*(batch[c] for c in ("_block", "_ids", "_sizes", "_numbers")),
+                           strict=True):
+                if row[0] != block and pieces:
+                    yield finish()
+                    pieces = []
+                block = row[0]
+                ids, sizes, gaps = (unpack_numbers(x).astype(np.int64) for x in row[1:])
+                pieces.append((ids, sizes, np.cumsum(gaps)))
+        if pieces:
+            yield finish()
+
+    return run
+
+
+def _join_ids(folder: str, kind: pa.DataType):
+    """Put ids in the place of word numbers, with the dictionary of each text's block."""
+
+    def run(batches):
+        store, root = open_store(folder)
+        block, flat, start, size = None, None, None, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                numbers = unpack_numbers(row["_numbers"])
+                if row["_block"] != block and len(numbers):
+                    block = row["_block"]
+                    with store.open_input_stream(f"{root}/{block}", compression=None) as file:
+                        data = file.read()
+                    head = 8 + int.from_bytes(data[:8], "little")
+                    size = unpack_numbers(data[8:head]).astype(np.int64)
+                    flat, start = unpack_numbers(data[head:]).astype(np.int32), _offsets(size)
+                sizes = unpack_numbers(row["_sizes"]).astype(np.int64)
+                ends = np.concatenate(([0], np.cumsum(sizes)))
+                if len(numbers):
+                    ids = gather(flat, start[numbers], size[numbers])
+                    ends = np.concatenate(([0], np.cumsum(size[numbers])))[ends]
+                else:
+                    ids = np.empty(0, np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row["_keys"], kind), lists], ["_key", "ids"]
+                )
+
+    return run
 
 
 def encode(
@@ -215,58 +336,76 @@ def encode(
     Each match of ``pattern`` is encoded by itself. Texts are split once, in blocks of about
     ``block_bytes``: a block holds its distinct words and each text as word numbers in order of
     position. Words are shuffled by hash, so that equal words of all blocks meet in one task and
-    are encoded once; their ids go back to the blocks, where they replace the word numbers. A
-    frequent word costs one entry a block. NULL and empty texts give no ids; repeated rows are
-    encoded each; only the named columns are read, so others cannot clash.
+    are encoded once (a task that meets more than CACHE_WORDS forgets and encodes some again).
+    Their ids go to a dictionary file of each block in the shared folder, from which they replace
+    the word numbers; texts themselves are not shuffled. A frequent word costs one entry a block.
+    NULL and empty texts give no ids; repeated rows are encoded each; only the named columns are
+    read, so others cannot clash.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(key).alias("_key"), text_bytes(text).alias("_data"))
-    kind = dict(rows.dtypes)["_key"]
+    kind = rows.schema["_key"].dataType
     split = stage(
         map_batches(
             rows,
             _split_blocks(pattern, parts, block_bytes),
-            f"_block long, _part int, _key {kind}, _words binary, _numbers binary",
+            f"_block long, _part int, _keys array<{kind.simpleString()}>, _words binary, "
+            "_numbers binary, _sizes binary",
         ),
         "bpe-blocks",
     )
     table = spark.sparkContext.broadcast(ranks)  # a vocabulary, whatever the input's size
-    schema = f"_block long, _part int, _key {kind}, _ids binary, _sizes binary, _numbers binary"
     encoded = map_batches(
-        split.where("_part >= 0").repartition("_part"), _encode_words(table), schema
-    )
-    texts = split.where("_part < 0").selectExpr(
-        "_block", "2147483647 + _part * 0 as _last", "_part", "_key",
-        "cast(null as binary) as _ids", "cast(null as binary) as _sizes", "_numbers",
+        split.where("_part >= 0")
+        .select("_block", "_part", "_words", "_sizes", "_numbers")
+        .repartition("_part"),
+        _encode_words(table),
+        "_block long, _ids binary, _sizes binary, _numbers binary",
     )
-    both = encoded.withColumn("_last", F.col("_part")).unionByName(texts)
-    placed = both.repartition("_block").sortWithinPartitions("_block", "_last").drop("_last")
-    return map_batches(placed, _join_ids, f"_key {kind}, ids array<int>").withColumnRenamed(
-        "_key", key
+    folder = staging_path(spark, "bpe-dictionaries")
+    together = encoded.repartition("_block").sortWithinPartitions("_block")
+    stage(
+        map_batches(together, _write_dictionaries(folder), "_block long, _words long"),
+        "bpe-dictionaries",
     )
+    texts = split.where("_part < 0").select("_block", "_keys", "_numbers", "_sizes")
+    schema = StructType().add("_key", kind).add("ids", ArrayType(IntegerType()))
+    joined = texts.mapInArrow(_join_ids(folder, to_arrow_type(kind)), schema)
+    return joined.withColumnRenamed("_key", key)
 
 
-def decode(encoded: DataFrame, ranks: dict[bytes, int], key: str = "doc_id") -> DataFrame:
-    """(key, ids, decoded): the bytes that the ids stand for; NULL ids give no bytes."""
+def token_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all tokens, and start and size of each by id."""
     tokens = sorted(ranks.items(), key=lambda item: item[1])
     sizes = np.zeros(max(ranks.values(), default=-1) + 1, np.int64)
     for token, rank in tokens:
         sizes[rank] = len(token)
-    table = encoded.sparkSession.sparkContext.broadcast(
-        (np.frombuffer(b"".join(t for t, _ in tokens), np.uint8), _offsets(sizes), sizes)
-    )
+    return np.frombuffer(b"".join(t for t, _ in tokens), np.uint8), _offsets(sizes), sizes
 
-    def run(batches: Iterator[dict]) -> Iterator[dict]:
-        flat, starts, lengths = table.value
+
+def decode_lists(lists: pa.ListArray, table: tuple) -> list[bytes]:
+    """The bytes of each list of ids; NULL gives none."""
+    flat, starts, lengths = table
+    ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    data = gather(flat, starts[ids], lengths[ids]).tobytes()
+    counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    ends = np.concatenate(([0], np.cumsum(lengths[ids])))[np.cumsum(counts)]
+    begins = np.concatenate(([0], ends[:-1])) if len(ends) else ends
+    return [data[a:b] for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+
+
+def decode(encoded: DataFrame, ranks: dict[bytes, int], key: str = "doc_id") -> DataFrame:
+    """(key, ids, decoded): the bytes that the ids stand for; NULL ids give no bytes."""
+    table = encoded.sparkSession.sparkContext.broadcast(token_table(ranks))
+
+    def run(batches):
         for batch in batches:
-            batch["decoded"] = []
-            for ids in batch["ids"]:
-                at = np.array(ids or [], np.int64)
-                batch["decoded"].append(gather(flat, starts[at], lengths[at]).tobytes())
-            yield batch
+            decoded = decode_lists(batch.column("ids"), table.value)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(decoded, pa.binary())], [*batch.schema.names, "decoded"]
+            )
 
     rows = encoded.select(F.col(key).alias("_key"), "ids")
-    kind = dict(rows.dtypes)["_key"]
-    done = map_batches(rows, run, f"_key {kind}, ids array<int>, decoded binary")
+    done = rows.mapInArrow(run, StructType([*rows.schema.fields]).add("decoded", "binary"))
     return done.withColumnRenamed("_key", key)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +21,7 @@ from promolens.llm import (
     suffix_dedup,
     warc,
 )
-from promolens.llm.common import map_batches, prepared
+from promolens.llm.common import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,27 +59,30 @@ def _language_id(docs: DataFrame) -> DataFrame:
     return labelled.select("doc_id", "held_out", "lang_pred", "score")
 
 
-def _token_digests(batches):
-    for batch in batches:
-        ids = [np.array(x, "<u4").tobytes() for x in batch["ids"]]
-        yield {
-            "doc_id": batch["doc_id"],
-            "n_tokens": [len(x) // 4 for x in ids],
-            "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids],
-            "decoded_sha256": [hashlib.sha256(x).hexdigest() for x in batch["decoded"]],
-        }
-
-
 def _byte_bpe(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
     ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    table = docs.sparkSession.sparkContext.broadcast(byte_bpe.token_table(ranks))
+
+    def digests(batches):
+        for batch in batches:
+            lists = batch.column("ids")
+            packed = [x.values.to_numpy().astype("<u4").tobytes() for x in lists]
+            decoded = byte_bpe.decode_lists(lists, table.value)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.array([len(x) // 4 for x in packed], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in packed]),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in decoded]),
+                ],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
     encoded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return map_batches(
-        byte_bpe.decode(encoded, ranks),
-        _token_digests,
-        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
-    )
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return encoded.mapInArrow(digests, schema)
 
 
 QUERIES: dict[str, Query] = {
