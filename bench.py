@@ -23,6 +23,7 @@ from testkit import registry  # noqa: E402
 HEADLINE = (
     "order_level",
     "cif_order_map",
+    "orders_mapped",
     "cust_shop",
     "feature_table",
     "feature_table_write",
