@@ -14,6 +14,7 @@ from promolens.config import (
     WINDOW_TOKENS,
     ZERO_FILLED_COLUMN,
 )
+from testkit.fixed_model import score_sql
 from testkit.views import AS_OF, VIEW_SQL, duckdb_view
 
 MIN_SHARE = 0.04
@@ -503,6 +504,8 @@ FROM split_rows""",
     " UNION ALL SELECT 'country', TRUE FROM flags".format(
         ", ".join(f"'{c}'" for c in NUMERIC_FEATURES)
     ),
+    "fixed_model_scores": f"SELECT externalcustomerkey, {score_sql()} AS score"
+    f" FROM (SELECT externalcustomerkey, {ZEROED} FROM placed)",
     "score_rows": "SELECT externalcustomerkey, TRUE AS is_probability FROM features",
     "segment_totals": "SELECT count(*) AS customers, CAST(1 AS DOUBLE) AS share FROM features",
     "split_missing_key": "SELECT count(*) AS all_rows, count(*) AS placed_rows FROM ready",

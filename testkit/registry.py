@@ -16,6 +16,7 @@ from promolens.session import stage, staging_path, tune
 from promolens.sources import artifacts, sinks
 from promolens.sources.tables import SourceTables
 from promolens.sources.text import read_features_csv
+from testkit.fixed_model import fixed_model
 from testkit.oracle import MIN_SHARE, SEED
 from testkit.views import AS_OF, source_tables
 
@@ -250,6 +251,16 @@ def _score_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _fixed_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of a stored ensemble whose thresholds the expected result knows."""
+    folder = staging_path(spark, "fixed-model")
+    meta = metadata(spark, sf_dir)
+    artifacts.save_run(spark, fixed_model(spark, meta), meta, {}, folder)
+    model = artifacts.load_model(spark, folder)
+    scores = scoring.score(features(spark, sf_dir), model, artifacts.load_metadata(spark, folder))
+    return scores.select(ID_COLUMN, F.round("score", 9).alias("score"))
+
+
 def _segment_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _end_to_end_distribution(spark, sf_dir).agg(
         F.sum("row_count").alias("customers"), F.round(F.sum("share"), 9).alias("share")
@@ -371,6 +382,7 @@ QUERIES: dict[str, Query] = {
     "train_counts": _train_counts,
     "feature_importance_names": _importance_names,
     "score_rows": _score_rows,
+    "fixed_model_scores": _fixed_model_scores,
     "segment_totals": _segment_totals,
     "split_missing_key": _split_missing_key,
     "make_target_nan": _from_features(_make_target_nan),
