@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from promolens.config import FEATURE_FIELDS, ID_COLUMN
 from promolens.functions.expr import WINDOWS, sql_columns, day, ratio, since

@@ -19,7 +19,7 @@ from promolens.config import (
     TARGET_SOURCES,
     RunConfig,
 )
-from promolens.functions.expr import fill_zero, ident, present, quoted
+from promolens.functions.expr import fill_zero, ident, present
 from promolens.operators.quality import NUMERIC, coerce_dates, window_columns
 
 

@@ -66,7 +66,8 @@ def round_scores(model: GBTClassificationModel, rows: DataFrame) -> DataFrame:
     names = [f"tree{i}" for i in range(model.getNumTrees)]
     for name, tree in zip(names, model.trees, strict=True):
         kept = tree.setPredictionCol(name).transform(kept)
-    weighted = [f"{name} * {weight}D" for name, weight in zip(names, model.treeWeights, strict=True)]
+    weights = zip(names, model.treeWeights, strict=True)
+    weighted = [f"{name} * {weight}D" for name, weight in weights]
     margins = F.expr(
         f"transform(sequence(1, {len(names)}), k -> struct(k AS round,"
         f" aggregate(slice(array({', '.join(weighted)}), 1, k), 0D, (s, x) -> s + x) AS score))"

@@ -12,7 +12,7 @@ from promolens.config import ID_COLUMN, TARGET_COLUMN, BoostConfig, RunConfig
 from promolens.operators import customers, metrics, orders, prepare, quality, scoring, segments
 from promolens.operators import split
 from promolens.plans import runs
-from promolens.session import stage, staging_path, tune
+from promolens.session import staging_path, tune
 from promolens.sources import artifacts, sinks
 from promolens.sources.tables import SourceTables
 from promolens.sources.text import read_features_csv
