@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -62,6 +63,16 @@ def remove_staged(spark: SparkSession, df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of DataFrames that nothing refers to any more.
+
+    Its cleaner works when the driver collects garbage, which in a long job with a roomy driver
+    may be half an hour apart. Safe where all that is needed later lies in staged tables.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a shared parquet table and read it back.
 
