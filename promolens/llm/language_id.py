@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from promolens.llm.common import map_batches, text_bytes
+from promolens.llm.common import text_bytes
 
 UNDETERMINED = "und"
 SAMPLE_ROWS = 4000  # most labelled rows that training reads
@@ -196,24 +196,25 @@ def fit(
 ) -> Network:
     """Train on at most ``sample_rows`` labelled rows outside the held-out third.
 
-    The rows with the smallest key hashes are taken, and SAMPLE_BYTES of each.
+    The rows with the smallest key hashes are taken, and SAMPLE_BYTES of each. A bound on the
+    hash, from the number of rows, leaves about twice as many to choose from.
     """
     data = text_bytes(text)
     spare = F.greatest(F.octet_length(data) - SAMPLE_BYTES, F.lit(0))
     start = F.pmod(F.xxhash64(F.col(key), F.lit(1)), spare + 1).cast("int") + 1
+    labelled = docs.where(
+        F.col(key).isNotNull() & F.col(lang).isNotNull() & ~is_held_out(F.col(key))
+    )
+    share = min(1.0, (2 * sample_rows + 200) / max(1, labelled.select(key).count()))
+    bound = min(int((2 * share - 1) * 2**63), 2**63 - 1)
     rows = (
-        docs.where(
-            F.col(key).isNotNull()
-            & F.col(lang).isNotNull()
-            & F.col(text).isNotNull()
-            & ~is_held_out(F.col(key))
-        )
+        labelled.where(F.col(text).isNotNull())
         .select(
             F.substring(data, start, F.lit(SAMPLE_BYTES)).alias("data"),
             F.col(lang).cast("string").alias("lang"),
             F.xxhash64(key).alias("h"),
         )
-        .where("length(data) > 0")
+        .where((F.length("data") > 0) & (F.col("h") <= bound))
         .orderBy("h", "data", "lang")
         .limit(sample_rows)
     )
@@ -281,5 +282,5 @@ def predict(
     rows = docs.drop("held_out", "lang_pred", "score", "_data").withColumn(
         "held_out", is_held_out(F.col(key))
     )
-    schema = rows.schema.add("lang_pred", "string").add("score", "double")
+    schema = StructType([*rows.schema.fields]).add("lang_pred", "string").add("score", "double")
     return rows.withColumn("_data", F.col(text).cast("binary")).mapInArrow(run, schema)
