@@ -94,7 +94,7 @@ def both_fingerprints(text: str, following: str, size: int) -> tuple[str, str, s
 def _key_buckets(rows: DataFrame, buckets: int) -> tuple[list[float], DataFrame]:
     """Bounds that cut the keys into even ranges, and rows with their range number."""
     shares = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(rows.approxQuantile("_key", shares, 0.25 / buckets) or [])) if shares else []
+    bounds = sorted(set(rows.approxQuantile("_key", shares, 0.25 / buckets)) if shares else ())
     number = F.size(F.filter(F.array(*(F.lit(b) for b in bounds)), lambda b: b <= F.col("_key")))
     at = F.when(F.col("_key").isNull(), F.lit(0)).otherwise(number) if bounds else F.lit(0)
     return bounds, rows.withColumn("_bucket", at.cast("int"))
