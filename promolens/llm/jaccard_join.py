@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from promolens.llm.common import WordHashes, map_batches, mix, shingle_set, text_bytes
 from promolens.llm.components import connected_components
-from promolens.session import stage
+from promolens.session import release_shuffles, stage
 
 SHINGLE = 3
 PERCENT = 90
@@ -257,6 +257,8 @@ def shared_entries(rows: DataFrame, n: int, percent: int, plan: dict) -> DataFra
         map_batches(packed.repartition("_part"), group, "_entry long, _cls long"),
         "jaccard-entries",
     )
+    del packed
+    release_shuffles(rows.sparkSession)
     # The head is the class with the most shared entries: in a group of near copies one with few
     # edits of its own, which is close to all others.
     scores = shared.groupBy(F.col("_cls").alias("_c")).agg(F.count(F.lit(1)).alias("_score"))
@@ -272,11 +274,12 @@ def shared_entries(rows: DataFrame, n: int, percent: int, plan: dict) -> DataFra
 def delta_prefix(
     p: np.ndarray, x: np.ndarray, linked: bool, percent: int
 ) -> tuple[int, np.ndarray]:
-    """Size of x ^ p, and the elements of it on which x meets those it may be linked to though p does not say.
+    """Size of the difference x ^ p, and the elements of it on which x meets other sets.
 
-    Elements that p lacks come first; that order is the same for all sets compared with p. If x
-    is not linked to p, a link of x needs at least |x ^ p| - H common elements; if it is, at least
-    what keeps the other one unlinked to p. All but that many, less one, are in the prefix.
+    Those are the sets that x may be linked to though p does not say so. Elements that p lacks
+    come first; that order is the same for all sets compared with p. If x is not linked to p, a
+    link of x needs at least |x ^ p| - H common elements; if it is, at least what keeps the other
+    one unlinked to p. All but that many, less one, are in the prefix.
     """
     delta = np.concatenate([
         np.setdiff1d(x, p, assume_unique=True), np.setdiff1d(p, x, assume_unique=True)
@@ -342,25 +345,31 @@ def _across(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
             *(df[c] for c in df.columns), F.coalesce("_component", df[column]).alias(name)
         )
 
+    # Only where components differ can a link be missing: first by head, then by element.
     heads = stars.where("not linked").select("a").distinct()
-    mixed = named(stars.join(heads, "a", "left_semi"), "b", "component")
-    own = ("b", "linked", "component", "size", "delta")
-    tokens = mixed.select("a", *own, F.posexplode("prefix").alias("place", "token"))
-    # Only where components differ can a link be missing.
+    near = named(
+        stars.drop("prefix").join(heads, "a", "left_semi"), "b", "component"
+    ).groupBy("a").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    mixed = named(
+        stars.join(near.where("lo <> hi").select("a"), "a", "left_semi"), "b", "component"
+    )
+    own = ("a", "b", "linked", "component", "size", "delta")
+    tokens = mixed.select(*own, F.posexplode("prefix").alias("place", "token"))
+    tokens = tokens.withColumn("meet", F.xxhash64("a", "token"))
     several = (
-        tokens.groupBy("a", "token")
+        tokens.groupBy("meet")
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         .where("lo <> hi")
-        .select("a", "token")
+        .select("meet")
     )
-    left = tokens.join(several, ["a", "token"], "left_semi")
+    left = stage(tokens.join(several, "meet", "left_semi"), "jaccard-meeting")
     x, y = left.where("not linked").alias("x"), left.alias("y")
     allowed = f"({100 - percent} * (x.size + y.size) div {100 + percent})"
     after = "least(x.delta - x.place, y.delta - y.place)"
     pairs = x.join(
         y,
         F.expr(
-            "x.a = y.a AND x.token = y.token AND x.component <> y.component"
+            "x.meet = y.meet AND x.a = y.a AND x.token = y.token AND x.component <> y.component"
             f" AND 2 * {after} >= x.delta + y.delta - {allowed}"
         ),
     )
@@ -402,6 +411,7 @@ def near_duplicates(
     shared = stage(
         shared_entries(rows.where("octet_length(_data) > 0"), n, percent, plan), "jaccard-shared"
     )
+    release_shuffles(docs.sparkSession)
     members = shared.select("_cls").distinct()
     chosen = (
         sets.where("_cls is not null")
@@ -410,19 +420,22 @@ def near_duplicates(
         .join(members, "_cls", "left_semi")
         .select("_cls", F.col("s._key").alias("_k"), F.col("s._hash").alias("_h"))
     )
-    texts = stage(
-        rows.join(
-            chosen, F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_hash") == F.col("_h"))
-        )
-        .select("_cls", "_data")
-        .dropDuplicates(["_cls"]),
-        "jaccard-texts",
-    )
+    found = rows.join(
+        chosen, F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_hash") == F.col("_h"))
+    ).select("_cls", "_data")
+    # Only equal rows of one key give a class two texts; others need no shuffle to tell.
+    if sets.groupBy("_key", "_hash").count().where("count > 1").limit(1).count():
+        found = found.dropDuplicates(["_cls"])
+    texts = stage(found, "jaccard-texts")
+    del found
+    release_shuffles(docs.sparkSession)
     pairs = shared.where("_cls <> _head").selectExpr("_head as a", "_cls as b")
     stars = stage(verify(pairs, texts, n, percent, prefixes=True), "jaccard-stars")
+    release_shuffles(docs.sparkSession)
     links = stars.where("linked").select("a", "b")
     labels = stage(connected_components(links), "jaccard-components")
     across = verify(_across(stars, labels, percent), texts, n, percent, prefixes=False)
+    release_shuffles(docs.sparkSession)
     more = stage(across.where("linked").select("a", "b"), "jaccard-links")
     if more.limit(1).count():
         labels = stage(connected_components(links.unionByName(more)), "jaccard-components")
