@@ -59,7 +59,8 @@ def signature(phrases: np.ndarray, size: int) -> np.ndarray:
 
 
 def fingerprint_string(low: np.ndarray) -> str:
-    return (low >> np.uint64(48)).astype(">u2").tobytes().hex()
+    """16 bits of each minimum, mixed first: the high bits of a minimum of many are all zeros."""
+    return (mix(low) >> np.uint64(48)).astype(">u2").tobytes().hex()
 
 
 def likeness(a: str, b: str) -> float:

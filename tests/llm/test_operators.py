@@ -169,6 +169,26 @@ def test_single_document_follows_itself(spark):
     assert row["edited_sha256"] == hashlib.sha256(b"abcababca").hexdigest()
 
 
+@pytest.mark.parametrize("phrases", [10_000, 200_000, 2_000_000])
+def test_unrelated_signatures_of_any_size_differ(phrases):
+    draw = np.random.default_rng(phrases)
+    one, other = (
+        lz_fingerprint.fingerprint_string(
+            lz_fingerprint.signature(draw.integers(0, 1 << 63, phrases, np.uint64), 64)
+        )
+        for _ in range(2)
+    )
+    assert lz_fingerprint.likeness(one, other) < 0.05
+
+
+def test_unrelated_texts_of_some_megabytes_differ():
+    # Other letters, so that no phrase is in both.
+    one, other = ("".join(random.Random(6).choices(a, k=2_500_000)) for a in ("abcdefgh", "ABCDEFGH"))
+    first = lz_fingerprint.fingerprint(one)
+    assert lz_fingerprint.likeness(first, lz_fingerprint.fingerprint(other)) < 0.05
+    assert lz_fingerprint.likeness(first, lz_fingerprint.fingerprint(one + "ab")) > 0.9
+
+
 # 4 line dedup
 
 
