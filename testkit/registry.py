@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from promolens.config import ID_COLUMN, TARGET_COLUMN, BoostConfig, RunConfig
+from promolens.config import ID_COLUMN, TARGET_COLUMN, RunConfig
 from promolens.operators import customers, metrics, orders, prepare, quality, scoring, segments
 from promolens.operators import split
 from promolens.plans import runs
@@ -20,11 +20,7 @@ from testkit.fixed_model import fixed_model
 from testkit.oracle import MIN_SHARE, SEED
 from testkit.views import AS_OF, source_tables
 
-CONFIG = RunConfig(
-    country_min_share=MIN_SHARE,
-    seed=SEED,
-    boosting=BoostConfig(max_iter=12),
-)
+CONFIG = RunConfig(country_min_share=MIN_SHARE, seed=SEED)
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Per (application, data folder): the stored feature table, what was learned from it, and

@@ -122,6 +122,12 @@ CFG = RunConfig(boosting=BoostConfig(max_iter=5, max_depth=3, min_instances_per_
                                      feature_fraction=1.0, subsampling_rate=1.0))
 
 
+def test_registered_queries_train_with_the_settings_of_the_library():
+    from testkit.registry import CONFIG
+
+    assert CONFIG.boosting == BoostConfig() == RunConfig().boosting
+
+
 def test_run_then_score_again_with_the_saved_folder(spark, tmp_path):
     features = separable(spark)
     model_dir, out = str(tmp_path / "model"), str(tmp_path / "out")
