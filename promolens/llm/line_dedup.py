@@ -22,16 +22,22 @@ def _line_keys(text: Column) -> Column:
     )
 
 
-def line_pages(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
+def line_pages(
+    docs: DataFrame, host: str = "source", text: str = "text", once_per_text: bool = False
+) -> DataFrame:
     """(host, line_key, n_pages, host_pages): pages with a line and all pages of its host.
 
     A page counts once for a line however often it repeats it. Rows are pre-aggregated before
-    the shuffle, so a host or line with a third of the rows costs one row a task.
+    the shuffle, so a host or line with a third of the rows costs one row a task. With
+    ``once_per_text`` pages of a host whose lines are equal count as one.
     """
-    pages = docs.groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("host_pages"))
-    lines = docs.select(
-        F.col(host).alias("host"),
-        F.explode(F.array_distinct(_line_keys(F.col(text)))).alias("line_key"),
+    rows = docs.select(F.col(host).alias("host"), _line_keys(F.col(text)).alias("line_keys"))
+    if once_per_text:
+        same = F.xxhash64("line_keys").alias("same")
+        rows = rows.groupBy("host", same).agg(F.first("line_keys").alias("line_keys"))
+    pages = rows.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    lines = rows.select(
+        "host", F.explode(F.array_distinct("line_keys")).alias("line_key")
     ).where("line_key is not null")
     counted = lines.groupBy("host", "line_key").agg(F.count(F.lit(1)).alias("n_pages"))
     # Two pages with a line are the least that a rule can ask for: single lines stop here.
@@ -46,11 +52,12 @@ def boilerplate(
     text: str = "text",
     min_pages: int = MIN_PAGES,
     max_ratio: float = MAX_RATIO,
+    once_per_text: bool = False,
 ) -> DataFrame:
     """(host, line_key) of lines on at least ``min_pages`` pages and above the ratio."""
     if min_pages < 2:
         raise ValueError("min_pages must be 2 or more")
-    return line_pages(docs, host, text).where(
+    return line_pages(docs, host, text, once_per_text).where(
         (F.col("n_pages") >= min_pages)
         & (F.col("n_pages") > F.lit(max_ratio) * F.col("host_pages"))
     ).select("host", "line_key")
@@ -63,15 +70,17 @@ def dedup_lines(
     text: str = "text",
     min_pages: int = MIN_PAGES,
     max_ratio: float = MAX_RATIO,
+    once_per_text: bool = False,
 ) -> DataFrame:
     """Every row of ``docs`` with the lines that remain.
 
     Adds ``clean_text``, ``n_lines`` and ``n_dropped``; remaining lines keep their text and
     order. A NULL text stays NULL with zero lines; an empty text has one (blank) line. A NULL
     host is a host of its own. Rows that repeat a key each keep their own text. Names that
-    ``docs`` already uses for the added columns are replaced.
+    ``docs`` already uses for the added columns are replaced. With ``once_per_text`` copies of a
+    text in a host count as one page, so a group of copies does not lose its lines by itself.
     """
-    bad = boilerplate(docs, host, text, min_pages, max_ratio)
+    bad = boilerplate(docs, host, text, min_pages, max_ratio, once_per_text)
     rows = docs.select(
         F.col(key).alias("k"),
         F.col(host).alias("host"),
