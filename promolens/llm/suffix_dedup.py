@@ -13,12 +13,16 @@ together in sorted order. An anchor owns the starts whose strings choose it.
 4. ``merge_runs``: a loser tree joins the runs of a range. It keeps each head's common prefix with
    the last winner, and so never compares a known prefix again.
 5. ``_resolve``: in each stretch of suffixes that share a gram, equal strings are found.
+
+``remove_passages`` also takes repeated runs of many words that are shorter than ``length``: the
+anchors are then grams of words, and the runs at repeated ones are counted by hash.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import zstandard
@@ -30,6 +34,8 @@ from promolens.session import stage
 
 LENGTH = 400
 GRAM = 128
+WORDS = 51
+WORD_GRAM = 8
 PIECE = 1 << 17  # bytes hashed at once
 RUN_BYTES = 24 << 20
 PART_ENTRIES = 12_000
@@ -130,10 +136,68 @@ def anchors(texts: list[bytes], hasher: Hasher, length: int, gram: int):
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
+def word_runs(data: bytes, hasher: Hasher, words: int, gram: int, below: int):
+    """Arrays (from, to, string hash, anchor, gram hash) of the runs of ``words`` words.
+
+    A run goes from the first byte of a word to the last of another, whitespace between them
+    included; runs of ``below`` bytes or more are left out. The anchor is the ``gram``-word gram
+    with the smallest hash, leftmost on ties.
+    """
+    raw = np.frombuffer(data, np.uint8)
+    word = (raw != 0x20) & ((raw < 0x09) | (raw > 0x0D))
+    edges = np.diff(np.concatenate(([0], word.view(np.int8), [0])))
+    begin, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    n = max(len(begin) - words + 1, 0)
+    short = end[words - 1 :] - begin[:n] < below
+    found = []
+    cuts = np.searchsorted(begin[:n], np.arange(0, len(raw) + PIECE, PIECE)).tolist()
+    for i, j in zip(cuts, cuts[1:], strict=False):
+        if not short[i:j].any():
+            continue
+        # No run that counts goes beyond ``hi``; of others only the hashes are cut off there.
+        lo = int(begin[i])
+        hi = min(len(raw), lo + PIECE + below)
+        first = np.minimum(begin[i : j + words - 1], hi) - lo
+        last = np.minimum(end[i : j + words - 1], hi) - lo
+        sums = hasher.sums(raw[lo:hi])
+        leading = first[: len(first) - gram + 1]
+        grams = hasher.at(sums, leading, last[gram - 1 :] - leading)
+        leading = first[: j - i]
+        strings = hasher.at(sums, leading, last[words - 1 :] - leading)
+        places = np.arange(len(grams), dtype=np.uint64)
+        ranked = (grams & ~np.uint64((1 << 20) - 1)) | places
+        best = _sliding_min(ranked, words - gram + 1) & np.uint64((1 << 20) - 1)
+        some = np.flatnonzero(short[i:j])
+        best = best[some].astype(np.int64)
+        found.append(
+            (begin[i:j][some], end[i + words - 1 : j + words - 1][some], strings[some], best + i,
+             grams[best])
+        )
+    if not found:
+        return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64), np.empty(0, np.int64),
+                                               np.empty(0, np.uint64))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def word_anchors(texts: list[bytes], hasher: Hasher, words: int, gram: int, below: int):
+    """Arrays like those of ``anchors``, for runs of words; places are numbers of runs."""
+    found = []
+    for number, data in enumerate(texts):
+        _, _, _, anchor, hashes = word_runs(data, hasher, words, gram, below)
+        first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1])[: len(anchor)])
+        last = np.append(first[1:], len(anchor))[: len(first)] - 1
+        found.append((np.full(len(first), number), anchor[first], first, last, hashes[first]))
+    if not found:
+        return (np.empty(0, np.int64),) * 4 + (np.empty(0, np.uint64),)
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
 _FIRST, _KNOWN, _MARKER = 0, 1, 2
 
 
-def anchor_sieve(rows: DataFrame, length: int, gram: int) -> DataFrame:
+def anchor_sieve(
+    rows: DataFrame, length: int, gram: int, find: Callable[..., tuple] = anchors
+) -> DataFrame:
     """(_key, _hash, _grams): per row the grams at its anchors that occur elsewhere too.
 
     A task routes the first row that it has for a gram by the gram. Later ones are known to be
@@ -146,7 +210,7 @@ def anchor_sieve(rows: DataFrame, length: int, gram: int) -> DataFrame:
     def emit(batches: Iterator[dict]) -> Iterator[dict]:
         hasher, seen, marked = Hasher(), set(), set()
         for batch in batches:
-            text, _, _, _, hashes = anchors(batch["_data"], hasher, length, gram)
+            text, _, _, _, hashes = find(batch["_data"], hasher, length, gram)
             if len(seen) > 500_000:
                 seen.clear()
                 marked.clear()
@@ -468,16 +532,25 @@ def _merge(length: int, gram: int, parts: int):
     return run
 
 
-def _candidates(docs: DataFrame, key: str, text: str, length: int, gram: int) -> DataFrame:
-    rows = docs.select(F.col(key).alias("_key"), text_bytes(text).alias("_data")).withColumn(
+def _hashed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).alias("_key"), text_bytes(text).alias("_data")).withColumn(
         "_hash", F.xxhash64("_data")
     )
-    sieve = anchor_sieve(rows.where(F.octet_length("_data") >= length), length, gram)
+
+
+def _of_texts(rows: DataFrame, found: DataFrame, column: str) -> DataFrame:
+    """The rows whose key and hash ``found`` has, with its column."""
     joined = rows.alias("d").join(
-        sieve.alias("s"),
+        found.alias("s"),
         F.col("d._key").eqNullSafe(F.col("s._key")) & (F.col("d._hash") == F.col("s._hash")),
     )
-    chosen = joined.select("d._key", "d._hash", "_data", "_grams")
+    return joined.select("d._key", "d._hash", "_data", column)
+
+
+def _candidates(docs: DataFrame, key: str, text: str, length: int, gram: int) -> DataFrame:
+    rows = _hashed(docs, key, text)
+    sieve = anchor_sieve(rows.where(F.octet_length("_data") >= length), length, gram)
+    chosen = _of_texts(rows, sieve, "_grams")
     return stage(chosen.withColumn("_row", F.monotonically_increasing_id()), "suffix-texts")
 
 
@@ -525,6 +598,37 @@ def _spans(texts: DataFrame, length: int, gram: int, run_bytes: int, part_entrie
     )
 
 
+def _word_spans(rows: DataFrame, words: int, gram: int, below: int) -> DataFrame:
+    """(_key, _hash, _from, _to): repeated runs of ``words`` words, shorter than ``below`` bytes."""
+    kind = dict(rows.dtypes)["_key"]
+    find = partial(word_anchors, below=below)
+    sieve = anchor_sieve(rows.where(F.octet_length("_data") >= 2 * words - 1), words, gram, find)
+
+    def emit(batches: Iterator[dict]) -> Iterator[dict]:
+        hasher = Hasher()
+        for batch in batches:
+            for row, own, data, grams in zip(
+                *(batch[c] for c in ("_key", "_hash", "_data", "_grams")), strict=True
+            ):
+                start, stop, string, _, value = word_runs(data, hasher, words, gram, below)
+                keep = np.isin(value.view(np.int64), np.array(grams, np.int64))
+                n = int(keep.sum())
+                yield {"_key": [row] * n, "_hash": [own] * n, "_from": start[keep],
+                       "_to": stop[keep], "_string": string[keep].view(np.int64)}
+
+    runs = stage(
+        map_batches(
+            _of_texts(rows, sieve, "_grams"),
+            emit,
+            f"_key {kind}, _hash long, _from long, _to long, _string long",
+        ),
+        "suffix-words",
+    )
+    # Counted with a map-side combine: a run that a third of all rows have costs one row a task.
+    repeated = runs.groupBy("_string").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return runs.join(repeated, "_string", "left_semi").drop("_string")
+
+
 def cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
     """What is left of ``data``, the bytes removed, and the maximal runs removed."""
     kept, at, removed, runs, reach = [], 0, 0, 0, -1
@@ -563,6 +667,11 @@ def removals(
     hit = texts.join(by_row, texts["_row"] == by_row["_of"]).select(
         "_key", "_hash", "_data", "_spans"
     )
+    return _cut_rows(hit, key)
+
+
+def _cut_rows(hit: DataFrame, key: str) -> DataFrame:
+    """What ``removals`` returns, from rows (_key, _hash, _data, _spans)."""
     names = ("_key", "text_hash", "n_removed", "n_spans", "kept", "clean_text")
 
     def apply(batches: Iterator[dict]) -> Iterator[dict]:
@@ -576,7 +685,7 @@ def removals(
             columns = zip(*rows, strict=True) if rows else [[]] * len(names)
             yield dict(zip(names, map(list, columns), strict=True))
 
-    kind = dict(texts.dtypes)["_key"]
+    kind = dict(hit.dtypes)["_key"]
     done = map_batches(
         hit.dropDuplicates(["_key", "_hash"]),
         apply,
@@ -604,7 +713,38 @@ def remove_repeats(
     row is a copy like any other. NULL texts stay NULL and lose nothing, as do texts shorter than
     ``length``. Columns of the added names are replaced; no other column is read.
     """
-    gone = removals(docs, key, text, length, **settings)
+    return _with_removals(docs, removals(docs, key, text, length, **settings), key, text)
+
+
+def remove_passages(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    words: int = WORDS,
+    length: int = LENGTH,
+    gram: int = GRAM,
+    word_gram: int = WORD_GRAM,
+) -> DataFrame:
+    """``remove_repeats``, and repeated runs of ``words`` words go whatever their bytes.
+
+    A run of words is repeated when its bytes, whitespace between the words included, are a run
+    of whole words anywhere else. Repeated strings below both limits stay.
+    """
+    if not 0 < word_gram <= words:
+        raise ValueError("word_gram must be at most words")
+    texts = _candidates(docs, key, text, length, gram)
+    spans = _spans(texts, length, gram, RUN_BYTES, PART_ENTRIES)
+    strings = texts.select("_row", "_key", "_hash").join(spans, "_row").drop("_row")
+    rows = _hashed(docs, key, text)
+    # Runs of ``length`` bytes or more are among the strings already.
+    both = strings.unionByName(_word_spans(rows, words, word_gram, length))
+    by_text = both.groupBy("_key", "_hash").agg(
+        F.collect_set(F.struct("_from", "_to")).alias("_spans")
+    )
+    return _with_removals(docs, _cut_rows(_of_texts(rows, by_text, "_spans"), key), key, text)
+
+
+def _with_removals(docs: DataFrame, gone: DataFrame, key: str, text: str) -> DataFrame:
     plain = docs.drop("clean_text", "n_removed", "n_spans", "_text_hash")
     hashed = plain.withColumn("_text_hash", F.xxhash64(text_bytes(text)))
     return _joined(hashed, gone, key).select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 
@@ -20,6 +21,24 @@ def repeats(texts: list[bytes], length: int) -> list[tuple[int, int, int, bytes]
     return out
 
 
+def word_repeats(texts: list[bytes], words: int, length: int) -> list[bytes]:
+    """What is left of each text without repeated strings and repeated runs of words."""
+    runs = []
+    for t in texts:
+        at = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", t)]
+        runs.append([(a, b) for (a, _), (_, b) in zip(at, at[words - 1 :], strict=False)])
+    seen = Counter(t[a:b] for t, r in zip(texts, runs, strict=True) for a, b in r)
+    strings = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for t, r in zip(texts, runs, strict=True):
+        gone = {i for a, b in r if seen[t[a:b]] > 1 for i in range(a, b)}
+        for i in range(len(t) - length + 1):
+            if strings[t[i : i + length]] > 1:
+                gone.update(range(i, i + length))
+        out.append(bytes(b for i, b in enumerate(t) if i not in gone))
+    return out
+
+
 def shingles(text: str | None, n: int) -> frozenset:
     words = (text or "").encode().lower().split()
     if not words:

@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from conftest import odd_rows
-from brute import best_fit, groups, repeat_words, repeats
+from brute import best_fit, groups, repeat_words, repeats, word_repeats
 from pyspark.sql import functions as F
 
 from promolens.llm import (
@@ -598,6 +598,33 @@ def test_suffix_dedup_on_odd_rows(spark, odd, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize(("seed", "letters", "length", "words", "word_gram"),
+                         [(1, "abcdefgh é", 60, 6, 2), (2, "ab", 40, 5, 5), (3, "abc", 30, 4, 1)])
+def test_passages_equal_brute_force(spark, seed, letters, length, words, word_gram):
+    prepared(spark)
+    data = passages(seed, letters, length)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    got = suffix_dedup.remove_passages(
+        df, length=length, gram=length // 3, words=words, word_gram=word_gram
+    )
+    left = word_repeats([(t or "").encode() for _, t in data], words, length)
+    assert rows(got, "doc_id", "clean_text") == Counter(
+        (key, t if t is None else kept.decode("utf-8", "ignore"))
+        for (key, t), kept in zip(data, left, strict=True)
+    )
+
+
+def test_runs_of_words_across_pieces(monkeypatch):
+    draw = random.Random(8)
+    text = b" ".join(bytes(draw.choices(b"abc", k=draw.randint(1, 9))) for _ in range(3000))
+    text += b" " + b"x" * 5000 + b" " + text[:4000]
+    whole = suffix_dedup.word_runs(text, suffix_dedup.Hasher(), 51, 8, 400)
+    monkeypatch.setattr(suffix_dedup, "PIECE", 700)
+    parts = suffix_dedup.word_runs(text, suffix_dedup.Hasher(), 51, 8, 400)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, parts, strict=True))
+    assert all(len(text[a:b].split()) == 51 for a, b in zip(whole[0], whole[1], strict=True))
+
+
 def test_long_texts_are_hashed_in_parts():
     draw = random.Random(9)
     text = bytes(draw.choices(b"abcdefgh", k=400_000))
