@@ -33,12 +33,18 @@ def _field(value) -> str:
     return re.sub(r"[\r\n%]", lambda m: f"%{ord(m[0]):02X}", str(value))
 
 
+def _unfield(value: str) -> str:
+    return re.sub("%(0D|0A|25)", lambda m: chr(int(m[1], 16)), value)
+
+
 def record_bytes(page_id, url, payload: bytes, digest: str, refers_to, revisit: bool) -> bytes:
     body = b"" if revisit else payload
     head = {
         "WARC-Type": "revisit" if revisit else "response",
         "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url}')}>",
         "WARC-Target-URI": url,
+        # Only a URL with line breaks is encoded; percent escapes of others are their own.
+        "X-Encoded": "WARC-Target-URI" if re.search(r"[\r\n]", url or "") else None,
         "WARC-Payload-Digest": f"sha256:{digest}",
         "X-Page-Id": page_id,
         "X-Payload-Length": len(payload),
@@ -46,7 +52,10 @@ def record_bytes(page_id, url, payload: bytes, digest: str, refers_to, revisit:
         "Content-Type": "text/html; charset=utf-8",
         "Content-Length": len(body),
     }
-    lines = "".join(f"{k}: {_field(v)}\r\n" for k, v in head.items() if v is not None)
+    plain = "WARC-Target-URI" if head["X-Encoded"] is None else None
+    lines = "".join(
+        f"{k}: {v if k == plain else _field(v)}\r\n" for k, v in head.items() if v is not None
+    )
     return b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + body + b"\r\n\r\n"
 
 
@@ -188,6 +197,9 @@ def read_record(member: bytes) -> dict:
     body = data[end + 4 : end + 4 + int(head["Content-Length"])]
     digest = head["WARC-Payload-Digest"].removeprefix("sha256:")
     revisit = head["WARC-Type"] == "revisit"
+    uri = head.get("WARC-Target-URI")
+    if "X-Encoded" in head:
+        uri = _unfield(uri)
     if not revisit and hashlib.sha256(body).hexdigest() != digest:
         raise ValueError(f"payload of {head['WARC-Record-ID']} does not match its digest")
     return {
@@ -196,7 +208,7 @@ def read_record(member: bytes) -> dict:
         "payload_digest": digest,
         "record_type": head["WARC-Type"],
         "refers_to": int(head["X-Refers-To-Page"]) if "X-Refers-To-Page" in head else None,
-        "target_uri": head.get("WARC-Target-URI"),
+        "target_uri": uri,
     }
 
 

@@ -284,6 +284,19 @@ def test_warc_on_odd_pages(spark):
     assert warc.archive_round_trip(spark, df.where("false")).count() == 0
 
 
+def test_warc_keeps_every_url(spark):
+    prepared(spark)
+    urls = ["http://a/%C3%BC?q=100%25", "http://a/50%", "http://b\r\nX: y", "http://b%0D%0Ac\n%25",
+            "http://b%0A", "ü: é", "", " u ", None]
+    df = spark.createDataFrame(
+        [(i, u, f"p{i}") for i, u in enumerate(urls)], "page_id long, url string, html string"
+    )
+    got = rows(warc.archive_round_trip(spark, df), "page_id", "target_uri")
+    assert got == Counter(enumerate(urls))
+    record = warc.record_bytes(1, urls[0], b"", "", None, False)
+    assert f"WARC-Target-URI: {urls[0]}\r\n".encode() in record
+
+
 class Pieces:
     def __init__(self, data, step):
         self.parts = [data[i : i + step] for i in range(0, len(data), step)]
