@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -18,6 +19,7 @@ from promolens.llm import (
     lz_fingerprint,
     packing,
     quality,
+    speculative_bpe,
     suffix_dedup,
     warc,
 )
@@ -85,6 +87,34 @@ def _byte_bpe(docs: DataFrame) -> DataFrame:
     return encoded.mapInArrow(digests, schema)
 
 
+def _speculative_bpe(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    table = speculative_bpe.load_table(public_tokenizers.path("byte_bpe_50k.json"))
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+
+    def digests(batches):
+        spelled = list(map(str, range(shared.value.size)))
+        for batch in batches:
+            lists = batch.column("ids")
+            ends = lists.offsets.to_numpy().tolist()
+            words = list(map(spelled.__getitem__, lists.values.to_numpy().tolist()))
+            joined = [",".join(words[a:b]).encode() for a, b in itertools.pairwise(ends)]
+            decoded = [t.encode() for t in speculative_bpe.decode_texts(lists, shared.value)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.array([b - a for a, b in itertools.pairwise(ends)], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in joined]),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in decoded]),
+                ],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return speculative_bpe.encode(docs, table).mapInArrow(digests, schema)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": _documents(quality.quality_rules),
     "op2_license_scan": _documents(license_scan.scan_licenses),
@@ -96,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": _documents(_language_id),
     "op9_byte_bpe": _documents(_byte_bpe),
     "op10_suffix_dedup": _documents(suffix_dedup.repeat_digests),
+    "op11_speculative_bpe": _documents(_speculative_bpe),
 }
 
 
