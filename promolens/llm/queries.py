@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from promolens.llm import (
     byte_bpe,
+    collocations,
     jaccard_join,
     language_id,
     license_scan,
@@ -127,6 +128,7 @@ QUERIES: dict[str, Query] = {
     "op9_byte_bpe": _documents(_byte_bpe),
     "op10_suffix_dedup": _documents(suffix_dedup.repeat_digests),
     "op11_speculative_bpe": _documents(_speculative_bpe),
+    "op13_collocations": _documents(collocations.collocations),
 }
 
 
