@@ -22,6 +22,7 @@ from promolens.llm import (
     quality,
     speculative_bpe,
     suffix_dedup,
+    treap_search,
     warc,
 )
 from promolens.llm.common import prepared
@@ -116,6 +117,11 @@ def _speculative_bpe(docs: DataFrame) -> DataFrame:
     return speculative_bpe.encode(docs, table).mapInArrow(digests, schema)
 
 
+def _treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = treap_search.build_index(table(spark, sf_dir, "documents"))
+    return treap_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": _documents(quality.quality_rules),
     "op2_license_scan": _documents(license_scan.scan_licenses),
@@ -128,11 +134,13 @@ QUERIES: dict[str, Query] = {
     "op9_byte_bpe": _documents(_byte_bpe),
     "op10_suffix_dedup": _documents(suffix_dedup.repeat_digests),
     "op11_speculative_bpe": _documents(_speculative_bpe),
+    "op12_treap_search": _treap_search,
     "op13_collocations": _documents(collocations.collocations),
 }
 
 
 _WORD = r"[^\x20\x09-\x0D]+"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 SQL: dict[str, str] = {
@@ -254,6 +262,34 @@ WITH RECURSIVE w AS (
 )
 SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id
 FROM documents JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)""",
+    "op12_treap_search": f"""
+WITH held AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+    '{_TERM}')) AS term FROM documents
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM held GROUP BY 1
+), corpus AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sizes
+), asked AS (
+  SELECT item_id, term, count(*) AS k FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}',
+      '{_LOWER}'), '{_TERM}')) AS term FROM benchmark) GROUP BY ALL
+), tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM held SEMI JOIN asked USING (term) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf, corpus GROUP BY term, docs
+), worth AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf
+           + 12 * (100 - 25 + ((25 * n * docs) // terms)))) AS x
+  FROM tf JOIN sizes USING (doc_id) JOIN weights USING (term), corpus
+), scored AS (
+  SELECT item_id, doc_id, sum(k * x)::BIGINT AS score FROM asked JOIN worth USING (term)
+  GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER
+         AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= {treap_search.TOP}""",
 }
 
 
