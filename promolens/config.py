@@ -103,6 +103,32 @@ class BoostConfig:
     max_bins: int = 64
 
 
+@dataclass(frozen=True)
+class LeafwiseConfig:
+    """Settings of the leaf-wise booster; the defaults are the production ones."""
+
+    rounds: int = 10_000
+    patience: int = 300
+    learning_rate: float = 0.02
+    leaves: int = 256
+    min_rows: int = 50
+    min_hessian: float = 1e-3
+    feature_fraction: float = 0.6
+    row_fraction: float = 0.6
+    l1: float = 0.1
+    l2: float = 0.1
+    max_bins: int = 256
+    block: int = 10  # rounds between two stored states
+
+    def __post_init__(self) -> None:
+        whole = (self.rounds, self.patience, self.min_rows, self.block)
+        shares = (self.feature_fraction, self.row_fraction, self.learning_rate)
+        if min(whole) < 1 or self.leaves < 2 or not all(0 < s <= 1 for s in shares):
+            raise ValueError("rounds, leaves and shares must be positive, shares at most 1")
+        if min(self.l1, self.l2, self.min_hessian) < 0:
+            raise ValueError("penalties must not be negative")
+
+
 @dataclass(frozen=True)
 class RunConfig:
     """Everything a caller can override in one run."""
@@ -114,7 +140,7 @@ class RunConfig:
     t2: float = 0.5
     drop_policy: str = "always"
     split_mode: str = "exact"
-    boosting: BoostConfig = field(default_factory=BoostConfig)
+    boosting: BoostConfig | LeafwiseConfig = field(default_factory=BoostConfig)
 
     def __post_init__(self) -> None:
         if not 0 < self.country_min_share <= 1:

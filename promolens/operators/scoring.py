@@ -11,6 +11,7 @@ from promolens.functions.expr import fill_zero, ident, quoted
 from promolens.operators.prepare import PrepMetadata, replay
 from promolens.operators.quality import NUMERIC
 from promolens.operators.training import assemble, probability
+from promolens.operators.trees import BoostedTrees
 
 
 def align(df: DataFrame, names, key: str = ID_COLUMN) -> DataFrame:
@@ -44,10 +45,14 @@ def require_country(df: DataFrame) -> None:
         raise ValueError("the country column holds no value")
 
 
-def score(df: DataFrame, model: GBTClassificationModel, meta: PrepMetadata) -> DataFrame:
+def score(
+    df: DataFrame, model: GBTClassificationModel | BoostedTrees, meta: PrepMetadata
+) -> DataFrame:
     """Customer key and probability, one row per input row."""
     require_country(df)
     frame = scoring_frame(df, meta)
+    if isinstance(model, BoostedTrees):
+        return model.probabilities(frame).select(ID_COLUMN, "score")
     vectors = assemble(frame, meta.feature_columns, [quoted(ID_COLUMN)])
     return model.transform(vectors).select(ID_COLUMN, probability().alias("score"))
 

@@ -11,15 +11,17 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.config import ID_COLUMN, TARGET_COLUMN, RunConfig
+from promolens.config import ID_COLUMN, TARGET_COLUMN, LeafwiseConfig, RunConfig
 from promolens.functions.expr import sql_columns, ident, quoted
+from promolens.operators import boosting
 from promolens.operators.metrics import roc_auc
 from promolens.operators.split import balance, stratified
+from promolens.operators.trees import BoostedTrees
 
 
 @dataclass(frozen=True)
 class TrainingResult:
-    model: GBTClassificationModel
+    model: GBTClassificationModel | BoostedTrees
     metrics: dict
 
 
@@ -97,10 +99,12 @@ def train(
     names=None,
     cfg: RunConfig = RunConfig(),
     key: str | None = ID_COLUMN,
+    folder: str | None = None,
 ) -> TrainingResult:
     """Split, boost, keep the best number of rounds on the held-out side, and measure it.
 
-    The model is fitted once. One pass over the held-out rows yields the AUC after every round,
+    With a ``LeafwiseConfig`` the trees grow leaf by leaf and stop by the AUC while they are
+    trained, and ``folder`` holds what a broken run goes on from. Otherwise the model is fitted once. One pass over the held-out rows yields the AUC after every round,
     and the trees up to the best round are kept. The held-out side chooses the rounds and yields
     the AUC, so that figure is optimistic. Give it a stored frame: boosting passes over the data
     many times.
@@ -113,6 +117,17 @@ def train(
     sides = {r["is_validation"]: r for r in balance(split).collect()}
     if set(sides) != {0, 1}:
         raise ValueError("the split leaves one side empty; change test_size or seed")
+    if isinstance(cfg.boosting, LeafwiseConfig):
+        unit = quoted(key) if key else F.xxhash64(*(quoted(c) for c in df.columns))
+        rows = split.select(unit.alias("_unit"), quoted(TARGET_COLUMN), "is_validation",
+                            *(quoted(n) for n in names))
+        fitted = boosting.fit(
+            rows, names, cfg.boosting, cfg.seed, "_unit", TARGET_COLUMN, folder=folder
+        )
+        area = fitted.areas[fitted.best_round - 1]
+        return TrainingResult(
+            fitted.model, _metrics(area, fitted.best_round, sides, names, cfg)
+        )
     data = assemble(
         split, names, [quoted(TARGET_COLUMN).cast("double").alias("label"), F.col("is_validation")]
     )
@@ -138,14 +153,17 @@ def train(
     rounds = best_round(areas, boost.early_stopping_rounds)
     model = first_trees(model, rounds)
     area = areas[rounds - 1]
-    metrics = {
+    return TrainingResult(model, _metrics(area, model.getNumTrees, sides, names, cfg))
+
+
+def _metrics(area: float | None, rounds: int, sides: dict, names, cfg: RunConfig) -> dict:
+    return {
         "validation_auc": area,
-        "best_iteration": model.getNumTrees,
+        "best_iteration": rounds,
         "n_train": sides[0]["row_count"],
         "n_val": sides[1]["row_count"],
         "pos_rate_train": sides[0]["positive_rate"],
         "pos_rate_val": sides[1]["positive_rate"],
-        "params": {**asdict(boost), "seed": cfg.seed},
+        "params": {**asdict(cfg.boosting), "seed": cfg.seed},
         "feature_count": len(names),
     }
-    return TrainingResult(model, metrics)

@@ -11,6 +11,7 @@ from promolens.config import RunConfig
 from promolens.operators import prepare, scoring, segments, training
 from promolens.operators.customers import feature_table
 from promolens.operators.metrics import feature_importance
+from promolens.operators.trees import BoostedTrees
 from promolens.session import remove_staged, stage, tune
 from promolens.sources import artifacts, sinks
 from promolens.sources.tables import SourceTables
@@ -33,12 +34,17 @@ def build_features(tables: SourceTables, as_of: date) -> DataFrame:
 def fit_model(
     spark: SparkSession, features: DataFrame, model_dir: str, cfg: RunConfig = RunConfig()
 ) -> tuple[prepare.PrepMetadata, dict]:
-    """Prepare and train; the model folder gets trees, metadata and metrics."""
+    """Prepare and train; the model folder gets trees, metadata and metrics.
+
+    Leaf-wise training that was broken goes on from its last stored rounds.
+    """
     tune(spark)
     meta = prepare.fit(features, cfg)
     frame = stage(prepare.training_frame(features, meta), "prepared")
     try:
-        result = training.train(frame, meta.feature_columns, cfg)
+        result = training.train(
+            frame, meta.feature_columns, cfg, folder=f"{model_dir}/progress"
+        )
     finally:
         remove_staged(spark, frame)
     artifacts.save_run(spark, result.model, meta, result.metrics, model_dir)
@@ -47,6 +53,9 @@ def fit_model(
 
 def importance_of(spark: SparkSession, model_dir: str) -> DataFrame:
     meta = artifacts.load_metadata(spark, model_dir)
+    model = artifacts.load_model(spark, model_dir)
+    if isinstance(model, BoostedTrees):
+        return model.importance(spark)
     return feature_importance(spark, artifacts.trees_path(spark, model_dir), meta.feature_columns)
 
 

@@ -6,6 +6,7 @@ an interrupted save leaves the older version in use, or none. The metadata hold
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -13,9 +14,11 @@ from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import SparkSession
 
 from promolens.operators.prepare import PrepMetadata
+from promolens.operators.trees import BoostedTrees, load_text, save_text
 from promolens.sources.sinks import read_json_record, write_json_record
 
 MODEL_UID = "model_uid"
+MODEL_TEXT = "model_text"  # in the metadata of a model that is stored as text
 
 
 def _current_path(folder: str) -> str:
@@ -57,12 +60,13 @@ def _metadata_record(spark: SparkSession, folder: str) -> dict:
 def load_metadata(spark: SparkSession, folder: str) -> PrepMetadata:
     record = _metadata_record(spark, folder)
     record.pop(MODEL_UID, None)
+    record.pop(MODEL_TEXT, None)
     return PrepMetadata.from_record(record)
 
 
 def save_run(
     spark: SparkSession,
-    model: GBTClassificationModel,
+    model: GBTClassificationModel | BoostedTrees,
     meta: PrepMetadata,
     metrics: dict,
     folder: str,
@@ -70,23 +74,44 @@ def save_run(
     """Trees, metadata and metrics as one new version, put in use at the end."""
     version = f"version-{uuid.uuid4().hex}"
     path = f"{folder}/{version}"
-    model.save(f"{path}/trees")
-    write_json_record(spark, {**meta.to_record(), MODEL_UID: model.uid}, _metadata_path(path))
+    record = meta.to_record()
+    if isinstance(model, BoostedTrees):
+        save_text(spark, model, f"{path}/trees")
+        record |= {MODEL_UID: _text_uid(model), MODEL_TEXT: True}
+    else:
+        model.save(f"{path}/trees")
+        record |= {MODEL_UID: model.uid}
+    write_json_record(spark, record, _metadata_path(path))
     write_json_record(spark, metrics, _metrics_path(path))
     write_json_record(spark, {"version": version}, _current_path(folder))
 
 
-def load_model(spark: SparkSession, folder: str) -> GBTClassificationModel:
+def _text_uid(model: BoostedTrees) -> str:
+    return hashlib.sha256(model.to_text().encode()).hexdigest()
+
+
+def _has_text(spark: SparkSession, folder: str) -> bool:
+    try:
+        return bool(_metadata_record(spark, folder).get(MODEL_TEXT))
+    except FileNotFoundError:
+        return False
+
+
+def load_model(spark: SparkSession, folder: str) -> GBTClassificationModel | BoostedTrees:
     """The trees in use; fails if the metadata beside them belong to another model."""
     try:
-        model = GBTClassificationModel.load(trees_path(spark, folder))
+        if _has_text(spark, folder):
+            model = load_text(spark, trees_path(spark, folder))
+        else:
+            model = GBTClassificationModel.load(trees_path(spark, folder))
     except Exception as problem:
         if "does not exist" in str(problem) or "Input path" in str(problem):
             raise FileNotFoundError(f"no model in {folder}") from problem
         raise
-    wanted = _metadata_record(spark, folder).get(MODEL_UID, model.uid)
-    if wanted != model.uid:
-        raise ValueError(f"the metadata in {folder} belong to model {wanted}, not {model.uid}")
+    uid = _text_uid(model) if isinstance(model, BoostedTrees) else model.uid
+    wanted = _metadata_record(spark, folder).get(MODEL_UID, uid)
+    if wanted != uid:
+        raise ValueError(f"the metadata in {folder} belong to model {wanted}, not {uid}")
     return model
 
 

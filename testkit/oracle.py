@@ -14,6 +14,7 @@ from promolens.config import (
     WINDOW_TOKENS,
     ZERO_FILLED_COLUMN,
 )
+from testkit import boost_sql
 from testkit.fixed_model import score_sql
 from testkit.views import AS_OF, VIEW_SQL, duckdb_view
 
@@ -275,6 +276,7 @@ SELECT x.externalcustomerkey, x.label AS {TARGET_COLUMN},
        CASE WHEN row_number() OVER (PARTITION BY x.label ORDER BY x.h) <= c.held
             THEN 1 ELSE 0 END AS is_validation
 FROM hashed x JOIN class_cuts c ON c.label = x.label"""
+CTES |= boost_sql.ctes(NUMERIC_FEATURES, SEED)
 LOW, MIDDLE, HIGH = SEGMENT_LABELS
 CTES["proxy"] = f"""
 SELECT externalcustomerkey, share_of_items_discounted AS score,
@@ -571,5 +573,8 @@ FROM placed""",
 }
 
 
+SELECTS |= boost_sql.SELECTS
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(select) for name, select in SELECTS.items()}

@@ -16,6 +16,7 @@ from promolens.session import staging_path, tune
 from promolens.sources import artifacts, sinks
 from promolens.sources.tables import SourceTables
 from promolens.sources.text import read_features_csv
+from testkit import boost
 from testkit.fixed_model import fixed_model
 from testkit.oracle import MIN_SHARE, SEED
 from testkit.views import AS_OF, source_tables
@@ -319,6 +320,15 @@ def _end_to_end_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.distribution(scored)
 
 
+def _boosted(step: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: step(boost.rows_of(_prepared(spark, sf_dir)))
+
+
+def _boost_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    zero = prepare.fill_zero(features(spark, sf_dir), boost.NUMERIC_FEATURES)
+    return boost.expressions_agree(boost.rows_of(_prepared(spark, sf_dir)), zero)
+
+
 CONSTANT_CANDIDATES = (
     "gender", "shops_included", "registration_flag", "account_age_days", "country",
 )
@@ -396,4 +406,10 @@ QUERIES: dict[str, Query] = {
     ),
     "end_to_end_segments": _end_to_end,
     "end_to_end_distribution": _end_to_end_distribution,
+    "boost_bins": _boosted(boost.bins),
+    "boost_draws": _boosted(boost.draws),
+    "boost_gradient_sums": _boosted(boost.gradient_sums),
+    "boost_round": _boosted(boost.first_round),
+    "boost_rounds": _boosted(boost.rounds),
+    "boost_expressions": _boost_expressions,
 }

@@ -19,7 +19,7 @@ def test_only_model_queries_have_no_sql():
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == {
         "train_metrics", "feature_importance", "score_customers", "end_to_end_segments",
-        "end_to_end_distribution",
+        "end_to_end_distribution", "boost_rounds",
     }
 
 
