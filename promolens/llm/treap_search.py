@@ -30,10 +30,10 @@ from promolens.llm.common import map_batches, text_bytes
 from promolens.session import stage
 
 TOP = 20
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 BATCH_ITEMS = 2000  # items that go through the blocks together
 BATCH_BYTES = 4 << 20
-SIDE_BY_SIDE = 50  # items in one search: bounds its memory
+SIDE_BY_SIDE = 25  # items in one search: bounds its memory
 FIRST_ROUND = 64
 SPREAD = 256  # groups of blocks whose best documents are ranked before all are
 # A-Z to a-z; other ASCII than letters and digits ends a term.
@@ -81,7 +81,9 @@ class Treap:
     first: list[np.ndarray] = field(init=False)  # cell of a level that is a cell's first quadrant
 
     def __post_init__(self) -> None:
-        self.first = [np.cumsum(_BITS[q]) - _BITS[q] for q in self.quadrants]
+        self.first = [
+            np.cumsum(_BITS[q], dtype=np.int32) - _BITS[q].astype(np.int32) for q in self.quadrants
+        ]
 
     @property
     def depth(self) -> int:
@@ -172,7 +174,7 @@ def _halve(
         below = quadrants[here] & (np.left_shift(1, at[here]) - 1)
         half.append(2 * of[here] + side)
         entry.append(ranges.entry[here])
-        cell.append(first[here] + _BITS[below])
+        cell.append(first[here] + _BITS[below].astype(np.int32))
     half, entry, cell = (np.concatenate(x) for x in (half, entry, cell))
     order = np.argsort(half, kind="stable")
     half, entry, cell = half[order], entry[order], cell[order]
@@ -213,8 +215,8 @@ def search_block(
     starts = np.searchsorted(item, np.arange(n_items + 1))
     some = np.flatnonzero(np.diff(starts) > 0)
     root = _Ranges(0, some, np.zeros(len(some), np.int64), np.full(len(some), np.iinfo(np.int64).max),
-                   np.append(starts[some], len(item)), np.arange(len(item)),
-                   np.zeros(len(item), np.int64))
+                   np.append(starts[some], len(item)), np.arange(len(item), dtype=np.int32),
+                   np.zeros(len(item), np.int32))
     waiting = [root] if len(some) and len(treap.largest[-1]) else []
     best = (np.empty(0, np.int64),) * 3
     least = np.zeros(n_items, np.int64)  # score of the last place
