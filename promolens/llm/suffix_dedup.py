@@ -12,7 +12,8 @@ together in sorted order. An anchor owns the starts whose strings choose it.
 3. ``_exchange``: runs are cut at splitters from a bounded sample and shuffled, still front-coded.
 4. ``merge_runs``: a loser tree joins the runs of a range. It keeps each head's common prefix with
    the last winner, and so never compares a known prefix again.
-5. ``_resolve``: in each stretch of suffixes that share a gram, equal strings are found.
+5. ``_resolve``: in each stretch of suffixes that share a gram, equal strings are found. Hashes
+   offer them and their bytes decide; across ranges a digest of 128 bits does.
 
 ``remove_passages`` also takes repeated runs of many words that are shorter than ``length``: the
 anchors are then grams of words, and the runs at repeated ones are counted by hash.
@@ -20,6 +21,7 @@ anchors are then grams of words, and the runs at repeated ones are counted by ha
 
 from __future__ import annotations
 
+import hashlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from functools import partial
@@ -38,7 +40,7 @@ WORDS = 51
 WORD_GRAM = 8
 PIECE = 1 << 17  # bytes hashed at once
 RUN_BYTES = 24 << 20
-PART_ENTRIES = 12_000
+PART_ENTRIES = 6_000
 MAX_PARTS = 50_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -455,21 +457,29 @@ def _resolve(merged: Entries, hasher: Hasher, length: int, gram: int, parts: int
     chosen = np.flatnonzero((sizes[group] > 1) | (merged.weight > 1) | is_open)
     if not len(chosen):
         return [], []
-    hashes, members, starts = [], [], []
+    hashes, members, starts, places, texts = [], [], [], [], []
+    held = 0
     for at in range(0, len(chosen), 2000):
         blocks, some = [], chosen[at : at + 2000]
         for i in some.tolist():
             key, left = merged.keys[i], int(merged.left[i])
             blocks.append(key[len(key) - left :][::-1] + key[: len(key) - left])
         size = np.array([len(b) for b in blocks])
-        sums = hasher.sums(np.frombuffer(b"".join(blocks), np.uint8))
+        texts.append(b"".join(blocks))
+        sums = hasher.sums(np.frombuffer(texts[-1], np.uint8))
         counts = size - length + 1
-        member = np.repeat(np.arange(len(some)), counts)
+        member = np.repeat(np.arange(len(some), dtype=np.int32), counts)
         offset = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        hashes.append(hasher.at(sums, (np.cumsum(size) - size)[member] + offset, length))
-        members.append(some[member])
+        place = (np.cumsum(size) - size)[member] + offset
+        hashes.append(hasher.at(sums, place, length))
+        places.append((held + place).astype(np.int32))  # a range holds some MB
+        held += len(texts[-1])
+        members.append(some[member].astype(np.int32))
         starts.append((merged.at[some] - merged.left[some])[member] + offset)
-    value, member, start = map(np.concatenate, (hashes, members, starts))
+    value, member, start, place = map(np.concatenate, (hashes, members, starts, places))
+    text = b"".join(texts)
+    del hashes, members, starts, places, texts
+    value = told_apart(value, place, text, length)
     order = np.argsort(value, kind="stable")
     first = np.flatnonzero(np.concatenate(([True], value[order][1:] != value[order][:-1])))
     weight = np.add.reduceat(merged.weight[member][order].astype(np.int64), first)
@@ -485,13 +495,59 @@ def _resolve(merged: Entries, hasher: Hasher, length: int, gram: int, parts: int
         spans = list(zip(merged.row[member[hit[begin]]].tolist(), start[hit[begin]].tolist(),
                          (start[hit[end]] + length).tolist(), strict=True))
     left = np.flatnonzero(is_open[member] & ~repeated)
-    undecided = list(zip(value[left].view(np.int64).tolist(), merged.row[member[left]].tolist(),
-                         start[left].tolist(), strict=True))
-    told = np.unique(value[is_open[member] & repeated]).view(np.int64).tolist()
-    return spans, undecided + [(v, -1, -1) for v in told]
+    undecided = [
+        (digest(text[p : p + length]), row, at)
+        for p, row, at in zip(place[left].tolist(), merged.row[member[left]].tolist(),
+                              start[left].tolist(), strict=True)
+    ]
+    known = np.flatnonzero(is_open[member] & repeated)
+    _, one = np.unique(value[known], return_index=True)
+    told = [digest(text[p : p + length]) for p in place[known[one]].tolist()]
+    return spans, undecided + [(d, -1, -1) for d in told]
+
+
+def digest(string: bytes) -> bytes:
+    """What stands for a string where its bytes do not travel."""
+    return hashlib.blake2b(string, digest_size=16).digest()
 
 
-_FOUND = "_row long, _from long, _to long, _string long"
+def told_apart(value: np.ndarray, place: np.ndarray, text: bytes, length: int) -> np.ndarray:
+    """``value``, the hashes of the strings at the places, made to differ where the bytes do.
+
+    Every string is compared with the first one of its hash. Where both follow strings that are
+    equal, one byte more has to be. Only hashes that lie are then replaced, by numbers of the bytes.
+    """
+    order = np.argsort(value, kind="stable").astype(np.int32)
+    ranked = value[order]
+    new = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+    del ranked
+    first = np.where(new, np.arange(len(order), dtype=np.int32), np.int32(0))
+    model = np.empty_like(place)
+    model[order] = place[order[np.maximum.accumulate(first)]]
+    del order, new, first
+    letters = np.frombuffer(text, np.uint8)
+    goes_on = np.zeros(len(place), bool)
+    goes_on[1:] = (np.diff(place) == 1) & (np.diff(model) == 1)
+    same = letters[place + length - 1] == letters[model + length - 1]
+    for i in np.flatnonzero(~goes_on & (model != place)).tolist():
+        p, m = int(place[i]), int(model[i])
+        same[i] = text[p : p + length] == text[m : m + length]
+    # A string that goes on from one that differs tells nothing by its last byte.
+    fresh = np.flatnonzero(~goes_on)
+    run = np.cumsum(~goes_on) - 1
+    alike = same if not len(fresh) else np.logical_and.reduceat(same, fresh)[run]
+    if alike.all():
+        return value
+    liars = np.isin(value, value[~alike])
+    numbers: dict[bytes, int] = {}
+    value = np.unique(value, return_inverse=True)[1].astype(np.uint64)
+    for i in np.flatnonzero(liars).tolist():
+        string = text[place[i] : place[i] + length]
+        value[i] = len(place) + numbers.setdefault(string, len(numbers))
+    return value
+
+
+_FOUND = "_row long, _from long, _to long, _string binary"
 
 
 def _merge(length: int, gram: int, parts: int):
@@ -610,17 +666,19 @@ def _word_spans(rows: DataFrame, words: int, gram: int, below: int) -> DataFrame
             for row, own, data, grams in zip(
                 *(batch[c] for c in ("_key", "_hash", "_data", "_grams")), strict=True
             ):
-                start, stop, string, _, value = word_runs(data, hasher, words, gram, below)
+                start, stop, _, _, value = word_runs(data, hasher, words, gram, below)
                 keep = np.isin(value.view(np.int64), np.array(grams, np.int64))
-                n = int(keep.sum())
-                yield {"_key": [row] * n, "_hash": [own] * n, "_from": start[keep],
-                       "_to": stop[keep], "_string": string[keep].view(np.int64)}
+                start, stop = start[keep], stop[keep]
+                strings = [digest(data[a:b]) for a, b in zip(start.tolist(), stop.tolist(),
+                                                             strict=True)]
+                yield {"_key": [row] * len(start), "_hash": [own] * len(start), "_from": start,
+                       "_to": stop, "_string": strings}
 
     runs = stage(
         map_batches(
             _of_texts(rows, sieve, "_grams"),
             emit,
-            f"_key {kind}, _hash long, _from long, _to long, _string long",
+            f"_key {kind}, _hash long, _from long, _to long, _string binary",
         ),
         "suffix-words",
     )
@@ -758,9 +816,10 @@ def _with_removals(docs: DataFrame, gone: DataFrame, key: str, text: str) -> Dat
 def repeat_digests(
     docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, **settings
 ) -> DataFrame:
-    """(key, n_bytes, n_removed, n_spans, kept_sha256) of every row; see ``remove_repeats``.
+    """(key, n_bytes, n_removed, n_spans, kept_sha256, n_kept) of every row.
 
-    Texts that lose nothing are hashed where they are read and not shuffled again.
+    See ``remove_repeats``, also for NULLs, repeated rows and very long texts. Texts that lose
+    nothing are hashed where they are read.
     """
     gone = removals(docs, key, text, length, **settings).withColumn(
         "_kept_sha256", F.sha2("kept", 256)
@@ -777,4 +836,5 @@ def repeat_digests(
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("_kept_sha256", "_whole_sha256").alias("kept_sha256"),
+        (F.col("n_bytes") - F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_kept"),
     )

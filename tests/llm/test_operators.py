@@ -597,6 +597,39 @@ def test_removal_equals_brute_force(spark, seed, letters, length, gram, part_ent
     )
 
 
+def test_texts_of_equal_hashes_stay(spark):
+    """Sums modulo 2**64 meet on Thue-Morse patterns whatever their base; bytes must decide."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    hasher = suffix_dedup.Hasher()
+    hashes = [
+        hasher.windows(hasher.sums(np.frombuffer(t.encode(), np.uint8)), 1024) for t in (one, two)
+    ]
+    assert hashes[0] == hashes[1] and one != two
+    texts = [one, two, one[:-1] + "x", "y" + two[1:], f"some {one[:1000]}", f"more {two[:1000]}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for parts in (12_000, 2):
+        got = suffix_dedup.repeat_digests(df, length=1024, part_entries=parts).collect()
+        assert [r["n_removed"] for r in got] == [0] * len(texts)
+    again = spark.createDataFrame([*enumerate([*texts, two])], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in suffix_dedup.repeat_digests(again, length=1024).collect()}
+    assert [got[i]["n_removed"] for i in range(7)] == [0, 1024, 0, 0, 0, 0, 1024]
+    assert got[1]["n_kept"] == 0 and got[0]["n_kept"] == 1024
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_lying_hashes_are_told_apart(seed):
+    draw = np.random.default_rng(seed)
+    text = bytes(draw.choice(list(b"ab"), 300).astype(np.uint8))
+    place = np.concatenate([np.arange(a, a + n) for a, n in ((0, 90), (100, 80), (220, 60))])
+    strings = [text[p : p + 6] for p in place]
+    for lies in (1, 3, 1 << 30):
+        hashes = np.array([zlib.crc32(x) % lies for x in strings], np.uint64)
+        told = suffix_dedup.told_apart(hashes, place, text, 6)
+        assert len(set(zip(told.tolist(), strings, strict=True))) == len(set(strings))
+        assert len(set(told.tolist())) == len(set(strings))
+
+
 def test_suffix_dedup_on_odd_rows(spark, odd, empty):
     prepared(spark)
     out = suffix_dedup.remove_repeats(odd, length=100, gram=30)
