@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from promolens.llm.common import WordHashes, map_batches, mix, shingle_set, text_bytes
 from promolens.llm.components import connected_components
-from promolens.session import release_shuffles, stage
+from promolens.session import release_shuffles, remove_staged, stage
 
 SHINGLE = 3
 PERCENT = 90
@@ -195,7 +195,10 @@ def _pack_chunk(entry: np.ndarray, cls: np.ndarray, parts: int) -> dict:
 
 
 def shared_entries(rows: DataFrame, n: int, percent: int, plan: dict) -> DataFrame:
-    """(_cls, _head): classes that share an index entry with others, and the entry's head.
+    """(_cls, _head, _wide): classes that share an index entry with others, and the entry's head.
+
+    ``_wide`` tells if a third class may share one of the entries: only then can a link be missed
+    that this comparison with the head does not find. The result is a staged table.
 
     Entries are 48-bit hashes: a collision costs a comparison. Tasks group them in large chunks
     and send packed arrays. The lowest class of an entry in a chunk goes where the entry belongs;
@@ -265,10 +268,19 @@ def shared_entries(rows: DataFrame, n: int, percent: int, plan: dict) -> DataFra
     heads = (
         shared.join(scores, shared["_cls"] == scores["_c"])
         .groupBy(F.col("_entry").alias("_of"))
-        .agg(F.max(F.struct("_score", "_cls")).alias("_best"))
+        # A class that lies in several chunks counts more than once: never too few.
+        .agg(F.max(F.struct("_score", "_cls")).alias("_best"), F.count(F.lit(1)).alias("_n"))
     )
     headed = shared.join(heads, shared["_entry"] == heads["_of"])
-    return headed.select("_cls", F.col("_best._cls").alias("_head")).distinct()
+    pairs = (
+        headed.select("_cls", F.col("_best._cls").alias("_head"), (F.col("_n") > 2).alias("_wide"))
+        .groupBy("_cls", "_head")
+        .agg(F.max("_wide").alias("_wide"))
+    )
+    found = stage(pairs, "jaccard-shared")
+    remove_staged(rows.sparkSession, shared)
+    release_shuffles(rows.sparkSession)
+    return found
 
 
 def delta_prefix(
@@ -293,13 +305,13 @@ def delta_prefix(
 
 
 def verify(
-    pairs: DataFrame, texts: DataFrame, n: int, percent: int, prefixes: bool
+    pairs: DataFrame, texts: DataFrame, n: int, percent: int
 ) -> DataFrame:
-    """(a, b, linked, size, delta, prefix) of pairs (a, b), by counting common shingles.
+    """(a, b, linked, size, delta, prefix) of pairs (a, b, wide), by counting common shingles.
 
     The text of b travels to the pairs, sorted by a, whose set is made once for all its pairs.
-    ``size`` is that of b's set; ``delta`` and ``prefix`` are its ``delta_prefix`` to a, if asked
-    for.
+    ``size`` is that of b's set; ``delta`` and ``prefix`` are its ``delta_prefix`` to a, for wide
+    pairs alone.
     """
     second = texts.selectExpr("_cls as _b", "_data as _second")
     first = texts.selectExpr("_cls as _a", "_data as _first")
@@ -310,14 +322,16 @@ def verify(
         cache, held, tokens = WordHashes(), None, None
         for batch in batches:
             out = {c: [] for c in ("linked", "size", "delta", "prefix")}
-            for a, one, other in zip(*(batch[c] for c in ("a", "_first", "_second")), strict=True):
+            for a, wide, one, other in zip(
+                *(batch[c] for c in ("a", "wide", "_first", "_second")), strict=True
+            ):
                 if a != held:
                     held, tokens = a, shingle_set(one, n, cache)
                 others = shingle_set(other, n, cache)
                 common = len(np.intersect1d(tokens, others, assume_unique=True))
                 linked = 100 * common >= percent * (len(tokens) + len(others) - common)
                 delta, prefix = None, None
-                if prefixes:
+                if wide:
                     delta, prefix = delta_prefix(tokens, others, linked, percent)
                     prefix = prefix.view(np.int64)
                 for c, v in zip(out, (linked, len(others), delta, prefix), strict=True):
@@ -334,6 +348,8 @@ def verify(
 def _across(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that meet on a difference to a common head.
 
+    Both share an entry with the head and with each other, so that only wide pairs take part.
+
     Only the first element that two differences share has to count, and what follows it in both
     must suffice for the common elements that a link needs.
     """
@@ -345,6 +361,7 @@ def _across(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
             *(df[c] for c in df.columns), F.coalesce("_component", df[column]).alias(name)
         )
 
+    stars = stars.where("prefix is not null")
     # Only where components differ can a link be missing: first by head, then by element.
     heads = stars.where("not linked").select("a").distinct()
     near = named(
@@ -353,27 +370,41 @@ def _across(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     mixed = named(
         stars.join(near.where("lo <> hi").select("a"), "a", "left_semi"), "b", "component"
     )
-    own = ("a", "b", "linked", "component", "size", "delta")
-    tokens = mixed.select(*own, F.posexplode("prefix").alias("place", "token"))
-    tokens = tokens.withColumn("meet", F.xxhash64("a", "token"))
+    mixed = stage(mixed, "jaccard-mixed")
+    release_shuffles(stars.sparkSession)
+    # Rows of an element hold as little as they can; what else is asked of their sets joins those
+    # that are left. Two elements of one hash are one more pair to verify.
+    tokens = mixed.select(
+        "a", "b", "component", F.posexplode("prefix").alias("place", "token")
+    ).select("a", "b", "component", "place", F.xxhash64("a", "token").alias("meet"))
     several = (
         tokens.groupBy("meet")
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         .where("lo <> hi")
         .select("meet")
     )
-    left = stage(tokens.join(several, "meet", "left_semi"), "jaccard-meeting")
+    met = tokens.select("a", "b", "place", "meet").join(several, "meet", "left_semi")
+    met = stage(met, "jaccard-met")
+    release_shuffles(stars.sparkSession)
+    own = mixed.select("a", "b", "linked", "component", "size", "delta")
+    left = stage(met.join(own, ["a", "b"]), "jaccard-meeting")
+    remove_staged(stars.sparkSession, met)
+    remove_staged(stars.sparkSession, mixed)
+    release_shuffles(stars.sparkSession)
     x, y = left.where("not linked").alias("x"), left.alias("y")
     allowed = f"({100 - percent} * (x.size + y.size) div {100 + percent})"
     after = "least(x.delta - x.place, y.delta - y.place)"
     pairs = x.join(
         y,
         F.expr(
-            "x.meet = y.meet AND x.a = y.a AND x.token = y.token AND x.component <> y.component"
+            "x.meet = y.meet AND x.a = y.a AND x.component <> y.component"
             f" AND 2 * {after} >= x.delta + y.delta - {allowed}"
         ),
     )
-    return pairs.selectExpr("least(x.b, y.b) as a", "greatest(x.b, y.b) as b").distinct()
+    found = pairs.selectExpr("least(x.b, y.b) as a", "greatest(x.b, y.b) as b").distinct()
+    found = stage(found.withColumn("wide", F.lit(False)), "jaccard-across")
+    remove_staged(stars.sparkSession, left)
+    return found
 
 
 def near_duplicates(
@@ -408,10 +439,7 @@ def near_duplicates(
         for r in sets.where("n_shingles > 0").groupBy(band.alias("band")).count().collect()
     }  # one row per band: at most len(bounds)
     plan = plan_bands(counts, percent)
-    shared = stage(
-        shared_entries(rows.where("octet_length(_data) > 0"), n, percent, plan), "jaccard-shared"
-    )
-    release_shuffles(docs.sparkSession)
+    shared = shared_entries(rows.where("octet_length(_data) > 0"), n, percent, plan)
     members = shared.select("_cls").distinct()
     chosen = (
         sets.where("_cls is not null")
@@ -429,14 +457,18 @@ def near_duplicates(
     texts = stage(found, "jaccard-texts")
     del found
     release_shuffles(docs.sparkSession)
-    pairs = shared.where("_cls <> _head").selectExpr("_head as a", "_cls as b")
-    stars = stage(verify(pairs, texts, n, percent, prefixes=True), "jaccard-stars")
+    pairs = shared.where("_cls <> _head").selectExpr("_head as a", "_cls as b", "_wide as wide")
+    stars = stage(verify(pairs, texts, n, percent), "jaccard-stars")
+    remove_staged(docs.sparkSession, shared)
     release_shuffles(docs.sparkSession)
-    links = stars.where("linked").select("a", "b")
+    links = stage(stars.where("linked").select("a", "b"), "jaccard-links")
     labels = stage(connected_components(links), "jaccard-components")
-    across = verify(_across(stars, labels, percent), texts, n, percent, prefixes=False)
+    meeting = _across(stars, labels, percent)
+    remove_staged(docs.sparkSession, stars)
+    across = verify(meeting, texts, n, percent)
+    more = stage(across.where("linked").select("a", "b"), "jaccard-more")
+    remove_staged(docs.sparkSession, texts)
     release_shuffles(docs.sparkSession)
-    more = stage(across.where("linked").select("a", "b"), "jaccard-links")
     if more.limit(1).count():
         labels = stage(connected_components(links.unionByName(more)), "jaccard-components")
     return _with_components(sets, labels, key)
