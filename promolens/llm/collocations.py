@@ -24,14 +24,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolens.llm.common import map_batches, text_bytes
-from promolens.session import remove_staged, stage
+from promolens.session import release_shuffles, remove_staged, stage
 
 MIN_COUNT = 30
 MAX_WORDS = 4
 TOP = 2000
 CONTAINED_PERCENT = 80
 UNKNOWN = "und"
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 4 << 20
 TILE = 1024  # ids a side
 DENSE = TILE * TILE // 8  # pairs that make a tile worth an array
 SPREAD = 64  # parts of a language that are cut to the top before the last ranking
@@ -92,8 +92,9 @@ def neighbours(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     Those are in order of the ids, so the order by frequency holds among them too.
     """
     at = np.flatnonzero((symbols[:-1] >= 0) & (symbols[1:] >= 0))
-    distinct, place = np.unique(symbols, return_inverse=True)
-    return at, place[at], place[at + 1], distinct
+    distinct = np.unique(np.concatenate([symbols[at], symbols[at + 1]]))
+    left, right = (np.searchsorted(distinct, symbols[i]) for i in (at, at + 1))
+    return at, left, right, distinct
 
 
 def pair_columns(symbols: np.ndarray) -> dict[str, np.ndarray]:
@@ -186,16 +187,21 @@ def ranked(counted: DataFrame, keys: list[str], name: str) -> DataFrame:
     )
 
 
-_BLOCK = "block long, symbols binary, left array<long>, right array<long>, n array<long>"
+# A row with the symbols of a block, and one for each distinct pair.
+_BLOCK = "block long, symbols binary, left long, right long, n long"
 
 
 def _block_table(block: int, symbols: np.ndarray) -> pa.Table:
-    columns = pair_columns(symbols)
+    columns = {c: pa.array(v, pa.int64()) for c, v in pair_columns(symbols).items()}
+    size = len(columns["n"])
+    none = pa.array([None], pa.int64())
     return pa.table(
         {
-            "block": pa.array([block], pa.int64()),
-            "symbols": pa.array([pack(symbols)], pa.binary()),
-            **{c: pa.array([v], pa.list_(pa.int64())) for c, v in columns.items()},
+            "block": pa.array(np.full(size + 1, block), pa.int64()),
+            "symbols": pa.concat_arrays(
+                [pa.array([pack(symbols)], pa.binary()), pa.nulls(size, pa.binary())]
+            ),
+            **{c: pa.concat_arrays([none, v]) for c, v in columns.items()},
         }
     )
 
@@ -290,9 +296,10 @@ def phrases(
         "collocations-blocks",
     )
     remove_staged(docs.sparkSession, read)
+    release_shuffles(docs.sparkSession)
     levels = [level.drop("word")]
     for size in range(2, max_words + 1):
-        pairs = blocks.select("block", F.inline(F.arrays_zip("left", "right", "n")))
+        pairs = blocks.where("n IS NOT NULL").select("block", "left", "right", "n")
         counted = (
             pairs.groupBy("left", "right").agg(F.sum("n").alias("n"))
             .where(F.col("n") >= min_count)
@@ -301,7 +308,7 @@ def phrases(
         if size < max_words:
             named = pairs.join(found.select("left", "right", "id"), ["left", "right"])
             following = stage(
-                blocks.select("block", "symbols").groupBy("block")
+                blocks.where("symbols IS NOT NULL").select("block", "symbols").groupBy("block")
                 .cogroup(
                     named.select(F.col("block").alias("_block"), "left", "right", "id")
                     .groupBy("_block")
@@ -310,6 +317,7 @@ def phrases(
                 "collocations-blocks",
             )
             remove_staged(docs.sparkSession, blocks)
+            release_shuffles(docs.sparkSession)
             blocks = following
         level = stage(
             found.join(_level(level, "left"), "left")
