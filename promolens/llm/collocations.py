@@ -31,7 +31,7 @@ MAX_WORDS = 4
 TOP = 2000
 CONTAINED_PERCENT = 80
 UNKNOWN = "und"
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 12 << 20
 TILE = 1024  # ids a side
 DENSE = TILE * TILE // 8  # pairs that make a tile worth an array
 SPREAD = 64  # parts of a language that are cut to the top before the last ranking
