@@ -22,12 +22,17 @@ _GZIP = 31  # zlib's window setting for a gzip wrapper
 
 
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a shared folder and the path in it."""
+    """The file system of a shared folder and the path in it; ``s3a`` and ``s3n`` are S3."""
     if re.match(r"[a-z][a-z0-9+.-]*:", uri) and not uri.startswith("file:"):
-        return pafs.FileSystem.from_uri(uri)
+        return pafs.FileSystem.from_uri(store_uri(uri))
     return pafs.LocalFileSystem(), re.sub(r"^file:(//)?", "", uri)
 
 
+def store_uri(uri: str) -> str:
+    """The folder under the scheme that Arrow knows it by."""
+    return re.sub(r"^s3[an]://", "s3://", uri)
+
+
 def _field(value) -> str:
     """A header value without line breaks (percent-encoded)."""
     return re.sub(r"[\r\n%]", lambda m: f"%{ord(m[0]):02X}", str(value))
@@ -63,6 +68,8 @@ def inflate(stream) -> Iterator[bytes]:
     """The content of a gzip file of one or more members, piece by piece, read once."""
     engine, inside = zlib.decompressobj(_GZIP), False
     while piece := stream.read(_READ):
+        if not inside:  # padding may go on in the next read
+            piece = piece.lstrip(b"\0")
         while piece or inside:
             out = engine.decompress(piece, _READ)
             inside = True

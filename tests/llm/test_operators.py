@@ -309,13 +309,18 @@ def test_inflate_reads_single_and_many_members():
     data = bytes(random.Random(1).choices(b"abc", k=3_000_000))
     one = warc.deflate_member(data)
     many = b"".join(warc.deflate_member(data[i : i + 70_000]) for i in range(0, len(data), 70_000))
-    for packed in (one, many, one + b"\0" * 20):
+    for packed in (one, many, one + b"\0" * 20, one + b"\0" * 5000):
         for step in (997, 1 << 20):
             assert b"".join(warc.inflate(Pieces(packed, step))) == data
     with pytest.raises(ValueError):
         list(warc.inflate(Pieces(one[:-20], 4096)))
 
 
+def test_folders_of_s3_are_known_by_one_scheme():
+    assert [warc.store_uri(f"{s}://bucket/a") for s in ("s3", "s3a", "s3n", "hdfs")] == [
+        "s3://bucket/a", "s3://bucket/a", "s3://bucket/a", "hdfs://bucket/a"]
+
+
 def test_normalised_file_has_a_member_per_record(tmp_path):
     store, root = warc.open_store(f"file:{tmp_path}")
     bodies = [b"", b"x" * 10, b"a\r\n\r\nWARC/1.1\r\n" * 50_000]
