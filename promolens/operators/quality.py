@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from promolens.config import DATE_COLUMNS, ID_COLUMN, WINDOW_TOKENS, ZERO_FILLED_COLUMN
+from promolens.functions.dates import ISO, date_value, resolve_formats
 from promolens.functions.expr import present, quoted
 
 NUMERIC = (T.NumericType, T.BooleanType)
@@ -51,15 +52,30 @@ def table_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def coerce_dates(df: DataFrame, columns: Iterable[str] = DATE_COLUMNS) -> DataFrame:
-    """Cast to date; what does not parse becomes NULL."""
-    return df.withColumns({c: quoted(c).try_cast("date") for c in columns if c in df.columns})
+def coerce_dates(
+    df: DataFrame,
+    columns: Iterable[str] = DATE_COLUMNS,
+    formats: Mapping[str, str] | str = ISO,
+) -> DataFrame:
+    """Read as dates; what does not parse becomes NULL.
+
+    ``formats`` names the format of each column, one for all, or ``"infer"``: see
+    ``infer_date_formats``.
+    """
+    found = [c for c in columns if c in df.columns]
+    styles = resolve_formats(df, found, formats)
+    return df.withColumns({c: date_value(quoted(c), styles[c]) for c in found})
 
 
-def date_parse_failures(df: DataFrame, columns: Iterable[str] = DATE_COLUMNS) -> DataFrame:
+def date_parse_failures(
+    df: DataFrame,
+    columns: Iterable[str] = DATE_COLUMNS,
+    formats: Mapping[str, str] | str = ISO,
+) -> DataFrame:
     """Per date column: missing values after parsing, and how many of them held a text."""
     found = [c for c in columns if c in df.columns]
-    parsed = {c: quoted(c).try_cast("date") for c in found}
+    styles = resolve_formats(df, found, formats)
+    parsed = {c: date_value(quoted(c), styles[c]) for c in found}
     totals = df.agg(
         *(F.count_if(parsed[c].isNull()).alias(f"m{i}") for i, c in enumerate(found)),
         *(

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from promolens.config import DATE_COLUMNS, FEATURE_FIELDS, ID_COLUMN
+from promolens.functions.dates import ISO, date_value, resolve_formats
 from promolens.functions.expr import present, quoted
 
 # Texts that a data-frame CSV reader takes as missing by default. Note that
@@ -35,11 +36,11 @@ def normalize_missing(df: DataFrame, tokens: Iterable[str] = ()) -> DataFrame:
     return df.select(*(clean(f) for f in df.schema))
 
 
-def _typed(name: str, kind: str, on_bad: str) -> Column:
+def _typed(name: str, kind: str, on_bad: str, style: str) -> Column:
     text = quoted(name)
     if kind == "string":
         return text
-    value = text.try_cast(kind)
+    value = date_value(text, style) if kind == "date" else text.try_cast(kind)
     if kind in WHOLE_NUMBERS:
         number = text.try_cast("double")  # whole numbers are often written as 3.0
         value = F.coalesce(value, F.when(number == F.floor(number), number).try_cast(kind))
@@ -78,6 +79,7 @@ def read_features_csv(
     on_bad: str = "raise",
     key_type: str | None = None,
     multi_line: bool = False,
+    date_formats: Mapping[str, str] | str = ISO,
 ) -> DataFrame:
     """Read a raw feature CSV by header name, without guessing the known types.
 
@@ -86,7 +88,8 @@ def read_features_csv(
     ``types`` become double if all their values are numbers, boolean if all are True or False,
     and stay text otherwise. ``key_type`` replaces the type of the customer key, as for ids that
     are texts. ``multi_line`` allows line breaks inside quoted fields, at the price of one task
-    for each file.
+    for each file. ``date_formats`` names the format of each date column, one for all, or
+    ``"infer"``, which costs one more pass over the dates.
     """
     if on_bad not in ("raise", "null"):
         raise ValueError(f"unknown on_bad: {on_bad}")
@@ -97,7 +100,12 @@ def read_features_csv(
     if key_type is not None:
         kinds[ID_COLUMN] = key_type
     kinds |= _extra_types(raw, [c for c in raw.columns if c not in kinds])
+    dates = [c for c in raw.columns if kinds.get(c) == "date"]
+    styles = resolve_formats(raw, dates, date_formats)
     typed = raw.select(
-        *(_typed(c, kinds.get(c, "string"), on_bad).alias(c) for c in raw.columns)
+        *(
+            _typed(c, kinds.get(c, "string"), on_bad, styles.get(c, ISO)).alias(c)
+            for c in raw.columns
+        )
     )
     return normalize_missing(typed)

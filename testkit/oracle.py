@@ -297,6 +297,23 @@ SELECT externalcustomerkey,
             ELSE CAST(as_of_date AS VARCHAR) END AS as_of_date
 FROM features"""
 
+# What _local_dates of the registry writes and one format a column can read of it.
+CTES["local_dates"] = """
+SELECT externalcustomerkey,
+       CASE WHEN externalcustomerkey % 7 = 0 OR externalcustomerkey % 11 = 0
+                 OR externalcustomerkey % 13 = 0 OR externalcustomerkey % 17 = 0
+            THEN NULL ELSE first_order_date END AS first_order_date,
+       CASE WHEN externalcustomerkey % 5 = 0 THEN NULL ELSE last_order_date END
+            AS last_order_date,
+       as_of_date,
+       externalcustomerkey % 7 = 0 OR externalcustomerkey % 11 = 0
+       OR (externalcustomerkey % 13 <> 0 AND externalcustomerkey % 17 = 0
+           AND first_order_date IS NOT NULL) AS odd_first
+FROM features"""
+LOCAL_DATES = (
+    "SELECT externalcustomerkey, as_of_date, first_order_date, last_order_date FROM local_dates"
+)
+
 NUMERIC_LIST = ", ".join(NUMERIC_FEATURES)
 FEATURE_LIST = ", ".join(FEATURES)
 SPARK_TYPES = {name: kind for name, kind in FEATURE_FIELDS}
@@ -482,6 +499,17 @@ SELECT externalcustomerkey, shop, ordernumber, order_date, {dbl("revenue", "reve
         )
     ),
     "date_parse_failures": _parse_failures(),
+    "coerce_dates_inferred": LOCAL_DATES,
+    "inferred_dates_csv": LOCAL_DATES,
+    "date_failures_inferred": """
+SELECT 'as_of_date' AS column_name, count(*) - count(as_of_date) AS missing_count,
+       0 AS unparsed_count FROM local_dates
+UNION ALL
+SELECT 'first_order_date', count(*) - count(first_order_date),
+       count(*) FILTER (WHERE odd_first) FROM local_dates
+UNION ALL
+SELECT 'last_order_date', count(*) - count(last_order_date),
+       count(*) FILTER (WHERE externalcustomerkey % 5 = 0) FROM local_dates""",
     "date_summary": _date_summary(),
     "impossible_dates": """
 SELECT count(*) FILTER (WHERE first_order_date > DATE '2000-12-31'

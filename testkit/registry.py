@@ -128,6 +128,31 @@ def _dirty_dates(df: DataFrame) -> DataFrame:
     )
 
 
+def _local_dates(df: DataFrame) -> DataFrame:
+    """Dates as a local export writes them: day first, month first, and a month by name."""
+    key = F.col(ID_COLUMN)
+    return df.select(
+        key,
+        F.when(key % 7 == 0, "unknown")
+        .when(key % 11 == 0, "31.02.2001")
+        .when(key % 13 == 0, None)
+        .when(key % 17 == 0, F.col("first_order_date").cast("string"))
+        .otherwise(F.date_format("first_order_date", "dd.MM.yyyy"))
+        .alias("first_order_date"),
+        F.when(key % 5 == 0, "30.06.2001")
+        .when(key % 3 == 0, F.date_format("last_order_date", "M/d/yyyy H:mm"))
+        .otherwise(F.date_format("last_order_date", "MM/dd/yyyy"))
+        .alias("last_order_date"),
+        F.date_format("as_of_date", "d MMM yyyy").alias("as_of_date"),
+    )
+
+
+def _inferred_dates_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging_path(spark, "local-dates-csv")
+    sinks.write_csv(_local_dates(features(spark, sf_dir)), path)
+    return read_features_csv(spark, path, date_formats="infer")
+
+
 def _impossible(df: DataFrame) -> DataFrame:
     return quality.impossible_dates(df.withColumn("as_of_date", F.lit("2000-12-31").cast("date")))
 
@@ -361,6 +386,13 @@ QUERIES: dict[str, Query] = {
     "table_profile": _from_features(quality.table_profile),
     "coerce_dates": _from_features(lambda df: prepare.coerce_dates(_dirty_dates(df))),
     "date_parse_failures": _from_features(lambda df: quality.date_parse_failures(_dirty_dates(df))),
+    "coerce_dates_inferred": _from_features(
+        lambda df: prepare.coerce_dates(_local_dates(df), formats="infer")
+    ),
+    "date_failures_inferred": _from_features(
+        lambda df: quality.date_parse_failures(_local_dates(df), formats="infer")
+    ),
+    "inferred_dates_csv": _inferred_dates_csv,
     "date_summary": _from_features(quality.date_summary),
     "impossible_dates": _from_features(_impossible),
     "fill_report": _from_features(quality.fill_report),
