@@ -1,8 +1,8 @@
-"""Whole runs: prepare, train, score and segment; or score with a saved model."""
+"""Whole runs: prepare, train, score and segment; with a saved model; or on after a break."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +12,7 @@ from promolens.operators import prepare, scoring, segments, training
 from promolens.operators.customers import feature_table
 from promolens.operators.metrics import feature_importance
 from promolens.operators.trees import BoostedTrees
+from promolens.plans.manifest import Manifest, fingerprint, table_fingerprint
 from promolens.session import remove_staged, stage, tune
 from promolens.sources import artifacts, sinks
 from promolens.sources.tables import SourceTables
@@ -82,5 +83,75 @@ def run(
     segmented = stage(score_only(spark, features, model_dir, cfg), "segments")
     if output_dir is not None:
         sinks.write_csv(importance, f"{output_dir}/feature_importance")
+        sinks.write_csv(segmented.drop("segment"), f"{output_dir}/scores")
         sinks.write_csv(segmented, f"{output_dir}/scores_bucketized")
     return RunResult(meta, metrics, importance, segmented)
+
+
+def run_resumable(
+    spark: SparkSession,
+    features: DataFrame,
+    run_dir: str,
+    cfg: RunConfig = RunConfig(),
+    skip_training: bool = False,
+    model_dir: str | None = None,
+) -> tuple[RunResult, Manifest]:
+    """The full run in steps whose finished results a later call reuses.
+
+    Each step is fingerprinted by what it reads: training by the rows and the settings other than
+    the thresholds, scores by the rows and the model, segments by scores and thresholds. So a run
+    that broke after training goes on without a second fit, new thresholds only cut the scores
+    again, and changed rows do everything anew. Outputs are published together, at the end, with
+    the folder of each in one record; until then the ones of an earlier run stay in use.
+
+    ``skip_training`` scores with the model in ``model_dir``, whose metadata name it.
+    """
+    tune(spark)
+    if skip_training and model_dir is None:
+        raise ValueError("skip_training needs the model_dir of a saved model")
+    steps = Manifest(spark, run_dir)
+    rows = table_fingerprint(features)
+    settings = {k: v for k, v in asdict(cfg).items() if k not in ("t1", "t2")}
+    settings["boosting"] = [type(cfg.boosting).__name__, settings["boosting"]]
+    if not skip_training:
+        learned = fingerprint("train", rows, settings)
+        model_dir = steps.step("train", learned, lambda path: fit_model(spark, features, path, cfg))
+    version = fingerprint(artifacts.trees_path(spark, model_dir))
+    importance_dir = steps.step(
+        "importance",
+        fingerprint("importance", version),
+        lambda path: sinks.write_csv(importance_of(spark, model_dir), path),
+    )
+
+    def write_scores(path: str) -> None:
+        meta = artifacts.load_metadata(spark, model_dir)
+        model = artifacts.load_model(spark, model_dir)
+        sinks.write_prepared(scoring.score(features, model, meta), path)
+
+    scored = fingerprint("scores", rows, version)
+    score_dir = steps.step("scores", scored, write_scores)
+    scores = spark.read.parquet(score_dir)
+    csv_dir = steps.step("scores_csv", scored, lambda path: sinks.write_csv(scores, path))
+    cut = fingerprint("segments", scored, cfg.t1, cfg.t2)
+    segment_dir = steps.step(
+        "segments",
+        cut,
+        lambda path: sinks.write_prepared(segments.bucketize(scores, cfg.t1, cfg.t2), path),
+    )
+    segmented = spark.read.parquet(segment_dir)
+    segment_csv = steps.step("segments_csv", cut, lambda path: sinks.write_csv(segmented, path))
+    steps.publish(
+        {
+            "model": model_dir,
+            "feature_importance": importance_dir,
+            "scores": csv_dir,
+            "scores_bucketized": segment_csv,
+        }
+    )
+    result = RunResult(
+        artifacts.load_metadata(spark, model_dir),
+        artifacts.load_metrics(spark, model_dir),
+        importance_of(spark, model_dir),
+        segmented,
+    )
+    return result, steps

@@ -590,6 +590,13 @@ SELECT NULL, count(*), CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM proxy)
 FROM proxy WHERE segment IS NULL HAVING count(*) > 0""".format(
         ", ".join(f"('{label}')" for label in SEGMENT_LABELS)
     ),
+    "resumed_run": """
+SELECT a.attempt, s.step,
+       a.attempt = 2 OR (a.attempt = 3 AND s.step NOT LIKE 'segments%') AS reused,
+       (SELECT count(*) FROM features) AS customers
+FROM (VALUES (1), (2), (3)) AS a(attempt),
+     (VALUES ('train'), ('importance'), ('scores'), ('scores_csv'), ('segments'),
+             ('segments_csv')) AS s(step)""",
     "scoring_frame": f"""
 SELECT externalcustomerkey, {ZEROED}, 'country_' || place AS country_flag FROM placed""",
     "align_features": f"""

@@ -339,6 +339,18 @@ def _end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.segments
 
 
+def _resumed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs in one folder (first, again, new thresholds): which steps each did anew."""
+    folder, rows = staging_path(spark, "resumed-run"), features(spark, sf_dir)
+    seen = []
+    for attempt, cfg in enumerate((CONFIG, CONFIG, CONFIG.with_changes(t1=0.3, t2=0.6)), 1):
+        _, steps = runs.run_resumable(spark, rows, folder, cfg)
+        written = spark.read.option("header", True).csv(steps.published()["scores_bucketized"])
+        customers_out = written.count()
+        seen += [(attempt, s, s in steps.reused, customers_out) for s in steps.built + steps.reused]
+    return spark.createDataFrame(seen, "attempt int, step string, reused boolean, customers long")
+
+
 def _end_to_end_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = model_dir(spark, sf_dir)
     scored = runs.score_only(spark, features(spark, sf_dir), folder, CONFIG)
@@ -437,6 +449,7 @@ QUERIES: dict[str, Query] = {
         lambda df: segments.distribution(_proxy_segments(df))
     ),
     "end_to_end_segments": _end_to_end,
+    "resumed_run": _resumed_run,
     "end_to_end_distribution": _end_to_end_distribution,
     "boost_bins": _boosted(boost.bins),
     "boost_draws": _boosted(boost.draws),
