@@ -348,6 +348,7 @@ def verify(
 def _across(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that meet on a difference to a common head.
 
+    The staged ``stars`` are removed once those that matter are written.
     Both share an entry with the head and with each other, so that only wide pairs take part.
 
     Only the first element that two differences share has to count, and what follows it in both
@@ -371,6 +372,7 @@ def _across(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
         stars.join(near.where("lo <> hi").select("a"), "a", "left_semi"), "b", "component"
     )
     mixed = stage(mixed, "jaccard-mixed")
+    remove_staged(stars.sparkSession, stars)
     release_shuffles(stars.sparkSession)
     # Rows of an element hold as little as they can; what else is asked of their sets joins those
     # that are left. Two elements of one hash are one more pair to verify.
@@ -464,7 +466,6 @@ def near_duplicates(
     links = stage(stars.where("linked").select("a", "b"), "jaccard-links")
     labels = stage(connected_components(links), "jaccard-components")
     meeting = _across(stars, labels, percent)
-    remove_staged(docs.sparkSession, stars)
     across = verify(meeting, texts, n, percent)
     more = stage(across.where("linked").select("a", "b"), "jaccard-more")
     remove_staged(docs.sparkSession, texts)
