@@ -7,6 +7,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,11 @@ MIN_REVISIT_BYTES = 100
 FILE_BYTES = 64 << 20
 _READ = 1 << 20
 _GZIP = 31  # zlib's window setting for a gzip wrapper
+_LOW = (1 << 62) - 1
+_BLANKS = " \t"
+EPOCH = "1970-01-01T00:00:00Z"
+# Fixed value: the profile of revisits that the WARC standard names for equal payloads.
+REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -34,34 +40,84 @@ def store_uri(uri: str) -> str:
 
 
 def _field(value) -> str:
-    """A header value without line breaks (percent-encoded)."""
-    return re.sub(r"[\r\n%]", lambda m: f"%{ord(m[0]):02X}", str(value))
+    """A header value without line breaks or outer blanks (percent-encoded)."""
+    return re.sub(
+        r"[\r\n%]|\A[ \t]+|[ \t]+\Z",
+        lambda m: "".join(f"%{ord(c):02X}" for c in m[0]),
+        str(value),
+    )
 
 
 def _unfield(value: str) -> str:
-    return re.sub("%(0D|0A|25)", lambda m: chr(int(m[1], 16)), value)
+    return re.sub("%(0D|0A|25|20|09)", lambda m: chr(int(m[1], 16)), value)
+
+
+def page_record_id(page_id: int) -> str:
+    """The record id of the response that others may refer to: a custom UUID (version 8) whose
+    last 64 bits, but for the two that mark the variant, are the page's id."""
+    value = page_id % (1 << 64)
+    number = 8 << 76 | (value >> 62) << 64 | 0b10 << 62 | value & _LOW
+    return f"<urn:uuid:{uuid.UUID(int=number)}>"
+
+
+def page_of(record_id: str) -> int:
+    """The page's id in a ``page_record_id``."""
+    number = uuid.UUID(record_id.strip("<>").removeprefix("urn:uuid:")).int
+    value = (number >> 64 & 3) << 62 | number & _LOW
+    return value - (1 << 64) if value >> 63 else value
 
 
-def record_bytes(page_id, url, payload: bytes, digest: str, refers_to, revisit: bool) -> bytes:
-    body = b"" if revisit else payload
+def _record(head: dict, body: bytes) -> bytes:
+    lines = "".join(f"{k}: {v}\r\n" for k, v in head.items() if v is not None)
+    return b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + body + b"\r\n\r\n"
+
+
+def info_bytes(name: str, date: str) -> bytes:
+    """The warcinfo record that opens an archive."""
+    body = b"software: promolens\r\nformat: WARC File Format 1.1\r\n"
+    head = {
+        "WARC-Type": "warcinfo",
+        "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>",
+        "WARC-Date": date,
+        "WARC-Filename": name,
+        "Content-Type": "application/warc-fields",
+        "Content-Length": len(body),
+    }
+    return _record(head, body)
+
+
+def record_bytes(
+    page_id, url, payload: bytes, digest: str, refers_to, revisit: bool, date: str = EPOCH
+) -> bytes:
+    """A response with its HTTP head and payload, or a revisit with the HTTP head alone.
+
+    A response that others refer to is named after its page, so rows that repeat such a page share
+    the id; any other record has an id of its own.
+    """
+    body = (
+        "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
+        f"Content-Length: {len(payload)}\r\n\r\n"
+    ).encode()
+    named = not revisit and refers_to is not None
+    # Only a URL with line breaks or outer blanks is encoded; percent escapes of others are their
+    # own.
+    encode = re.search(r"[\r\n]|\A[ \t]|[ \t]\Z", url or "")
     head = {
         "WARC-Type": "revisit" if revisit else "response",
-        "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url}')}>",
-        "WARC-Target-URI": url,
-        # Only a URL with line breaks is encoded; percent escapes of others are their own.
-        "X-Encoded": "WARC-Target-URI" if re.search(r"[\r\n]", url or "") else None,
+        "WARC-Record-ID": page_record_id(page_id) if named else f"<urn:uuid:{uuid.uuid4()}>",
+        "WARC-Date": date,
+        "WARC-Target-URI": _field(url) if encode else url,
+        "X-Encoded": "WARC-Target-URI" if encode else None,
         "WARC-Payload-Digest": f"sha256:{digest}",
+        "WARC-Profile": REVISIT_PROFILE if revisit else None,
+        "WARC-Refers-To": page_record_id(refers_to) if revisit else None,
+        "WARC-Refers-To-Date": date if revisit else None,
         "X-Page-Id": page_id,
         "X-Payload-Length": len(payload),
-        "X-Refers-To-Page": refers_to if revisit else None,
-        "Content-Type": "text/html; charset=utf-8",
-        "Content-Length": len(body),
+        "Content-Type": "application/http; msgtype=response",
+        "Content-Length": len(body) + (0 if revisit else len(payload)),
     }
-    plain = "WARC-Target-URI" if head["X-Encoded"] is None else None
-    lines = "".join(
-        f"{k}: {v if k == plain else _field(v)}\r\n" for k, v in head.items() if v is not None
-    )
-    return b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + body + b"\r\n\r\n"
+    return _record(head, body if revisit else body + payload)
 
 
 def inflate(stream) -> Iterator[bytes]:
@@ -90,7 +146,14 @@ def parse_head(head: bytes) -> dict[str, str]:
     lines = head.decode().split("\r\n")
     if not lines[0].startswith("WARC/"):
         raise ValueError("not a WARC record")
-    return dict(line.split(": ", 1) for line in lines[1:] if line)
+    fields, name = {}, None
+    for line in lines[1:]:
+        if line[:1] in (" ", "\t") and name is not None:  # a folded line
+            fields[name] = f"{fields[name]} {line.strip(_BLANKS)}".strip(_BLANKS)
+        elif line:
+            name, value = line.split(":", 1)
+            fields[name] = value.strip(_BLANKS)
+    return fields
 
 
 def split_records(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -123,7 +186,9 @@ def deflate_member(record: bytes) -> bytes:
     return engine.compress(record) + engine.flush()
 
 
-def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
+def write_archives(
+    pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES, date: str = EPOCH
+) -> DataFrame:
     """Write rows (page_id, url, payload, digest, first_id, revisit) as gzip streams.
 
     Each task rolls to a new file after ``file_bytes`` of records. Files get unique names; a
@@ -143,7 +208,8 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
                     out = store.open_output_stream(f"{root}/{name}", compression=None)
                     engine = zlib.compressobj(1, zlib.DEFLATED, _GZIP)
                     written = 0
-                record = record_bytes(*row)
+                    out.write(engine.compress(info_bytes(name, date)))
+                record = record_bytes(*row, date)
                 out.write(engine.compress(record))
                 written += len(record)
                 if written >= file_bytes:
@@ -201,7 +267,8 @@ def read_record(member: bytes) -> dict:
     data = zlib.decompress(member, _GZIP)
     end = data.index(b"\r\n\r\n")
     head = parse_head(data[:end])
-    body = data[end + 4 : end + 4 + int(head["Content-Length"])]
+    block = data[end + 4 : end + 4 + int(head["Content-Length"])]
+    body = block.split(b"\r\n\r\n", 1)[1]  # after the HTTP head
     digest = head["WARC-Payload-Digest"].removeprefix("sha256:")
     revisit = head["WARC-Type"] == "revisit"
     uri = head.get("WARC-Target-URI")
@@ -214,7 +281,7 @@ def read_record(member: bytes) -> dict:
         "payload_bytes": int(head["X-Payload-Length"]),
         "payload_digest": digest,
         "record_type": head["WARC-Type"],
-        "refers_to": int(head["X-Refers-To-Page"]) if "X-Refers-To-Page" in head else None,
+        "refers_to": page_of(head["WARC-Refers-To"]) if revisit else None,
         "target_uri": uri,
     }
 
@@ -234,6 +301,7 @@ def read_archives(files: DataFrame, folder: str) -> DataFrame:
             for name in batch["file"]:
                 with store.open_input_stream(f"{root}/{name}.idx", compression=None) as index:
                     entries = [line.split("\t") for line in index.read().decode().splitlines()]
+                entries = [e for e in entries if e[2] != "warcinfo"]
                 with store.open_input_file(f"{root}/{name}") as data:
                     for at in range(0, len(entries), 1000):
                         rows = [
@@ -270,16 +338,23 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
 
 
 def archive_round_trip(
-    spark: SparkSession, pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES
+    spark: SparkSession,
+    pages: DataFrame,
+    min_bytes: int = MIN_REVISIT_BYTES,
+    date: str | None = None,
 ) -> DataFrame:
     """Write, normalise and read back one record per page.
 
     NULL html is an empty payload, NULL url and page_id are left out of the record and read as
-    NULL; an empty table gives no file and no row. Other columns are not read. Archives lie in
+    NULL; an empty table gives no file and no row. Texts of any length are one record, repeated
+    rows a record each. Other columns are not read. ``date`` (UTC, ``YYYY-MM-DDThh:mm:ssZ``, by
+    default now) is the WARC-Date of all records, as pages do not tell theirs. Archives lie in
     the session's shared folder.
     """
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     raw, clean = staging_path(spark, "warc-stream"), staging_path(spark, "warc")
-    written = stage(write_archives(with_revisits(pages, min_bytes), raw), "warc-files")
+    rows = with_revisits(pages, min_bytes)
+    written = stage(write_archives(rows, raw, date=date), "warc-files")
     spread = written.repartition(max(1, written.count()))
     done = stage(normalise_archives(spread, raw, clean), "warc-normalised")
     return read_archives(done.select("file").repartition(max(1, done.count())), clean)

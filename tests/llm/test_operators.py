@@ -297,6 +297,33 @@ def test_warc_keeps_every_url(spark):
     assert f"WARC-Target-URI: {urls[0]}\r\n".encode() in record
 
 
+def test_records_follow_the_standard():
+    """Mandatory fields, an HTTP head, and revisits that name their response."""
+    date = "2024-05-01T00:00:00Z"
+    payload = b"a\r\n\r\nb" * 30
+    digest = hashlib.sha256(payload).hexdigest()
+    for page in (0, 7, -3, 2**63 - 1, -(2**63)):
+        assert warc.page_of(warc.page_record_id(page)) == page
+        response = warc.record_bytes(page, "http://a", payload, digest, page, False, date)
+        again = warc.record_bytes(1, "http://b", payload, digest, page, True, date)
+        heads = [warc.parse_head(r[: r.index(b"\r\n\r\n")]) for r in (response, again)]
+        for head in heads:
+            assert head["WARC-Date"] == date and head["Content-Type"].startswith("application/http")
+        assert heads[1]["WARC-Refers-To"] == heads[0]["WARC-Record-ID"] != heads[1]["WARC-Record-ID"]
+        assert heads[1]["WARC-Profile"] == warc.REVISIT_PROFILE and "WARC-Profile" not in heads[0]
+        assert response.split(b"\r\n\r\n", 2)[2] == payload + b"\r\n\r\n"
+        assert warc.read_record(warc.deflate_member(again))["refers_to"] == page
+    one, other = (warc.record_bytes(3, "u", b"", "", None, False) for _ in "ab")
+    assert one != other  # repeated rows have ids of their own
+    info, record = warc.split_records([warc.info_bytes("x.warc.gz", date) + response])
+    assert info[0]["WARC-Type"] == "warcinfo" and record[1] == response
+
+
+def test_heads_with_folded_lines_and_without_blanks():
+    head = b"WARC/1.1\r\nA:1\r\nB:  two\r\n\tand three \r\nC:\r\nD: x:y"
+    assert warc.parse_head(head) == {"A": "1", "B": "two and three", "C": "", "D": "x:y"}
+
+
 class Pieces:
     def __init__(self, data, step):
         self.parts = [data[i : i + step] for i in range(0, len(data), step)]
