@@ -12,8 +12,8 @@ from pyspark.sql.types import StructType
 from promolens.llm.common import text_bytes
 
 UNDETERMINED = "und"
-SAMPLE_ROWS = 4000  # most labelled rows that training reads
-SAMPLE_BYTES = 256  # bytes of each, from a place that its key decides
+SAMPLE_ROWS = 4000  # most labelled rows that training reads; a row is a window of a text
+SAMPLE_BYTES = 256  # bytes of a window; the windows of a text cover all of it
 TRAIN_STEPS = 64
 WINDOW = 128
 LANES = 1024
@@ -196,25 +196,38 @@ def fit(
 ) -> Network:
     """Train on at most ``sample_rows`` labelled rows outside the held-out third.
 
-    The rows with the smallest key hashes are taken, and SAMPLE_BYTES of each. A bound on the
-    hash, from the number of rows, leaves about twice as many to choose from.
+    Whole texts are cut into windows of SAMPLE_BYTES, each a row with its text's label, and the
+    rows with the smallest hashes of key and place are taken, from wherever they stand. A bound
+    on the hash, from the number of windows, leaves about twice as many to choose from. Texts
+    that are NULL or empty have no window, and equal rows have equal ones.
     """
-    data = text_bytes(text)
-    spare = F.greatest(F.octet_length(data) - SAMPLE_BYTES, F.lit(0))
-    start = F.pmod(F.xxhash64(F.col(key), F.lit(1)), spare + 1).cast("int") + 1
     labelled = docs.where(
         F.col(key).isNotNull() & F.col(lang).isNotNull() & ~is_held_out(F.col(key))
+    ).select(
+        F.col(key).alias("k"), F.col(lang).cast("string").alias("lang"),
+        text_bytes(text).alias("data"),
     )
-    share = min(1.0, (2 * sample_rows + 200) / max(1, labelled.select(key).count()))
+    windows = F.ceil(F.octet_length("data") / SAMPLE_BYTES)
+    total = labelled.agg(F.sum(windows)).first()[0] or 0
+    share = min(1.0, (2 * sample_rows + 200) / max(1, total))
     bound = min(int((2 * share - 1) * 2**63), 2**63 - 1)
+    # Windows are chosen by number before any bytes are copied.
+    chosen = F.filter(
+        F.sequence(F.lit(0).cast("long"), windows - 1), lambda i: F.xxhash64("k", i) <= bound
+    )
+    cut = F.transform(
+        chosen,
+        lambda i: F.struct(
+            F.xxhash64("k", i).alias("h"),
+            F.substring(
+                F.col("data"), (i * SAMPLE_BYTES + 1).cast("int"), F.lit(SAMPLE_BYTES)
+            ).alias("data"),
+        ),
+    )
     rows = (
-        labelled.where(F.col(text).isNotNull())
-        .select(
-            F.substring(data, start, F.lit(SAMPLE_BYTES)).alias("data"),
-            F.col(lang).cast("string").alias("lang"),
-            F.xxhash64(key).alias("h"),
-        )
-        .where((F.length("data") > 0) & (F.col("h") <= bound))
+        labelled.where(F.octet_length("data") > 0)
+        .select("lang", F.explode(cut).alias("w"))
+        .select("w.h", "w.data", "lang")
         .orderBy("h", "data", "lang")
         .limit(sample_rows)
     )
@@ -225,7 +238,8 @@ def fit(
 def document_probabilities(net: Network, texts: list[bytes]) -> np.ndarray:
     """Mean position probabilities of each text. Every byte of every text is labelled.
 
-    Texts are cut into windows that all go through the network side by side.
+    Texts are cut into windows that all go through the network side by side; the last one of a
+    text is filled up with zero bytes, which are read but not counted.
     """
     sizes = np.array([len(t) for t in texts], np.int64)
     pieces = -(-sizes // WINDOW)
@@ -258,7 +272,8 @@ def predict(
 
     A text that is NULL or has no letter gets ``und`` with score 0, as does every text if there
     was nothing to learn from. Columns of those three names are replaced. Only the text is an
-    input of the network.
+    input of the network. Texts of any length are read whole, of languages that tie the first by
+    name counts, repeated rows fare alike, and an empty table gives an empty one.
     """
     languages = net.languages
 
