@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promolens.llm.common import WordHashes, map_batches, mix, text_bytes, window_codes
+from promolens.llm.license_texts import LICENSE_TEXTS
 
 # Well-known notices, (name, text).
-TEMPLATES = (
+NOTICES = (
     ("MIT", "Released under the MIT License."),
     ("MIT-permission", "Permission is hereby granted, free of charge, to any person obtaining a "
      "copy of this software and associated documentation files, to deal in the Software without "
@@ -32,6 +33,7 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, "
      "v. 2.0."),
 )
+TEMPLATES = NOTICES + LICENSE_TEXTS
 SHINGLE = 3
 CONTAINMENT = 0.8
 MISS = 1e-4
@@ -62,10 +64,13 @@ def bands_needed(jaccard: float, miss: float) -> int:
 
 
 class _Class:
-    """Templates of about one length, with their MinHash values in each band."""
+    """Templates of about one length, with their MinHash values in each band.
 
-    def __init__(self, block: int, templates: list, theta: float, miss: float):
-        self.block, self.templates = block, templates
+    ``places`` has the place of each shingle in the template, -1 for those it holds twice.
+    """
+
+    def __init__(self, block: int, templates: list, places: list, theta: float, miss: float):
+        self.block, self.templates, self.places = block, templates, places
         # A window is two blocks of shingles, so it holds any run of up to a block whole.
         worst = min(
             math.ceil(theta * len(s)) / (2 * block + len(s) - math.ceil(theta * len(s)))
@@ -103,11 +108,40 @@ class _Class:
 def _classes(templates, n: int, theta: float, miss: float) -> list[_Class]:
     cache, groups = _Words(), {}
     for number, (_, text) in enumerate(templates):
-        codes = np.unique(_codes((text or "").encode(), cache, n))
+        codes, first, counts = np.unique(
+            _codes((text or "").encode(), cache, n), return_index=True, return_counts=True
+        )
         if len(codes):
             block = 1 << max(0, math.ceil(math.log2(len(codes))))
-            groups.setdefault(block, []).append((number, codes))
-    return [_Class(b, g, theta, miss) for b, g in sorted(groups.items())]
+            held, places = groups.setdefault(block, ([], []))
+            held.append((number, codes))
+            places.append(np.where(counts == 1, first, -1))
+    return [_Class(b, *g, theta, miss) for b, g in sorted(groups.items())]
+
+
+def copies_in(
+    window: np.ndarray, wanted: np.ndarray, places: np.ndarray, theta: float
+) -> list[tuple[int, int, float]]:
+    """(first shingle, last, containment) of each copy of a template in a window.
+
+    The shingles found are cut where they go back by half the template or more, as they do where
+    it starts again; parts that hold ``theta`` of it are its copies. If only all parts
+    together do, as in a copy whose sentences changed places, they are one.
+    """
+    slot = np.minimum(np.searchsorted(wanted, window), len(wanted) - 1)
+    at = np.flatnonzero(wanted[slot] == window)
+    whole = len(np.unique(slot[at])) / len(wanted)
+    if whole < theta:
+        return []
+    marks = np.flatnonzero(places[slot[at]] >= 0)
+    place = places[slot[at[marks]]]
+    again = marks[1:][place[:-1] - place[1:] >= places.max() / 2]
+    parts = [
+        (int(part[0]), int(part[-1]), len(np.unique(slot[part])) / len(wanted))
+        for part in np.split(at, again)
+    ]
+    copies = [part for part in parts if part[2] >= theta]
+    return copies or [(int(at[0]), int(at[-1]), whole)]
 
 
 def find_templates(texts: list[np.ndarray], classes: list[_Class], theta: float) -> list[list]:
@@ -127,24 +161,25 @@ def find_templates(texts: list[np.ndarray], classes: list[_Class], theta: float)
             text = int(owner[w])
             first, end = int(starts[w]), int(begin[text] + sizes[text])
             window = codes[first : min(first + 2 * c.block, end)]
-            share = np.isin(wanted, window).sum() / len(wanted)
-            if share >= theta:
-                at = np.flatnonzero(np.isin(window, wanted)) + first - begin[text]
-                spans[text].append((number, int(at[0]), int(at[-1]), float(share)))
+            shift = first - int(begin[text])
+            for low, high, share in copies_in(window, wanted, c.places[t], theta):
+                spans[text].append((number, low + shift, high + shift, share))
     return spans
 
 
-def merge_spans(spans: list[tuple]) -> dict[int, tuple[int, int, float]]:
-    """Per template: number of spans that do not overlap, first word, best containment."""
-    out: dict[int, tuple[int, int, float]] = {}
-    end: dict[int, int] = {}
+def merge_spans(spans: list[tuple]) -> dict[int, list[tuple[int, int, float]]]:
+    """Per template its copies in order: first shingle, last, best containment.
+
+    Neighbouring windows see one copy twice, so spans that overlap are one.
+    """
+    out: dict[int, list[tuple[int, int, float]]] = {}
     for number, first, last, share in sorted(spans):
-        if number not in out:
-            out[number] = (1, first, share)
+        copies = out.setdefault(number, [])
+        if copies and first <= copies[-1][1]:
+            begin, end, best = copies[-1]
+            copies[-1] = (begin, max(end, last), max(best, share))
         else:
-            n, at, best = out[number]
-            out[number] = (n + (first > end[number]), at, max(best, share))
-        end[number] = max(end.get(number, -1), last)
+            copies.append((first, last, share))
     return out
 
 
@@ -157,34 +192,48 @@ def scan_licenses(
     containment: float = CONTAINMENT,
     miss: float = MISS,
 ) -> DataFrame:
-    """Per document and template found: key, license, n_spans, first_word, containment.
+    """Per document and template found: key, license, n_spans, first_word, containment, spans.
 
     Words are compared in lower case without punctuation at their ends. Every shingle of a text
     lies in two windows; a template is a candidate when it shares a MinHash value with a window
     in any band, and a match when at least ``containment`` of its distinct shingles are in the
     window. The number of bands follows from the worst similarity that a match can have, so that
-    a match is missed with a probability of at most ``miss``.
+    a match is missed with a probability of at most ``miss``. ``spans`` lists every copy with its
+    first and last word, counted from 0, and its containment; copies side by side are several.
 
     ``templates`` is a fixed list of at most MAX_TEMPLATES (name, text), sent to every task;
     there is no shuffle. Empty and NULL texts and templates match nothing. Repeated rows are
-    each reported. Only the named columns are read, so others cannot clash.
+    each reported, texts of any length are read whole, and an empty table gives an empty one. Of
+    templates that are tied, or part of one another, each is reported. Only the named columns are read, so others cannot clash.
     """
     if len(templates) > MAX_TEMPLATES:
         raise ValueError(f"more than {MAX_TEMPLATES} templates")
     names = [name for name, _ in templates]
+    columns = ("_key", "license", "n_spans", "first_word", "containment", "spans")
     classes = _classes(templates, shingle, containment, miss)
 
     def scan(batches: Iterator[dict]) -> Iterator[dict]:
         cache = _Words()
         for batch in batches:
-            out = {c: [] for c in ("_key", "license", "n_spans", "first_word", "containment")}
+            out = {c: [] for c in columns}
             for at in range(0, len(batch["_key"]), GROUP):
                 some = slice(at, at + GROUP)
+                words = [len(data.split()) for data in batch["_data"][some]]
                 texts = [_codes(data, cache, shingle) for data in batch["_data"][some]]
                 found = find_templates(texts, classes, containment)
-                for row, spans in zip(batch["_key"][some], found, strict=True):
-                    for number, (n, first, share) in sorted(merge_spans(spans).items()):
-                        for c, v in zip(out, (row, names[number], n, first, share), strict=True):
+                for row, n, spans in zip(batch["_key"][some], words, found, strict=True):
+                    for number, copies in sorted(merge_spans(spans).items()):
+                        listed = [
+                            {
+                                "first_word": first,
+                                "last_word": min(last + shingle, n) - 1,
+                                "containment": share,
+                            }
+                            for first, last, share in copies
+                        ]
+                        best = max(share for *_, share in copies)
+                        values = (row, names[number], len(copies), copies[0][0], best, listed)
+                        for c, v in zip(columns, values, strict=True):
                             out[c].append(v)
             yield out
 
@@ -193,6 +242,7 @@ def scan_licenses(
     found = map_batches(
         rows,
         scan,
-        f"_key {kind}, license string, n_spans long, first_word long, containment double",
+        f"_key {kind}, license string, n_spans long, first_word long, containment double, "
+        "spans array<struct<first_word: long, last_word: long, containment: double>>",
     )
     return found.withColumnRenamed("_key", key)
