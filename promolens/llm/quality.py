@@ -19,6 +19,7 @@ MIN_DOCS = 10
 MAX_SHARE = 0.01
 MIN_LEFT_PERCENT = 30
 
+_BLANK = xxhash.xxh3_64_intdigest(b"") - (1 << 63)  # lines without a word, never removed
 _STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
@@ -66,19 +67,18 @@ def normalise_line(line: bytes) -> bytes:
     return b" ".join(folded.split())
 
 
-def _measure(batches: Iterator[dict]) -> Iterator[dict]:
+def _measure(batches: Iterator[dict], carried: tuple[str, ...]) -> Iterator[dict]:
     cache = WordHashes()
     for batch in batches:
         stats, lines, words = [], [], []
         for data in batch["_data"]:
             stats.append(text_stats(data, cache))
             keys = [normalise_line(line) for line in data.split(b"\n")]
-            keys = [k for k in keys if k]
             lines.append([xxhash.xxh3_64_intdigest(k) - (1 << 63) for k in keys])
-            words.append([k.count(b" ") + 1 for k in keys])
+            words.append([k.count(b" ") + 1 if k else 0 for k in keys])
         names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
         yield {
-            **{c: batch[c] for c in ("_key", "_host")},
+            **{c: batch[c] for c in carried},
             **{name: [s[i] for s in stats] for i, name in enumerate(names)},
             "_lines": lines,
             "_line_words": words,
@@ -95,25 +95,29 @@ def quality_rules(
     min_docs: int = MIN_DOCS,
     max_share: float = MAX_SHARE,
     min_left_percent: int = MIN_LEFT_PERCENT,
+    with_text: bool = False,
 ) -> DataFrame:
-    """Per row: key, text statistics, ``base_failed``, words left over and ``kept``.
+    """Per row: key, text statistics, ``base_failed``, removed lines, words left and ``kept``.
 
     A normalised line is above the limits of a host when at least ``min_docs`` of its documents
-    hold it and they are more than ``max_share`` of all its documents. Such lines count as
-    removed; a document with fewer than ``min_left_percent`` of its words left is depleted and
-    rejected. Both limits read all documents. NULL text counts as empty (and fails the base
-    rule), a NULL host is a host of its own, repeated rows are judged one by one. Other columns
-    of ``docs`` are not read, so their names cannot clash.
+    hold it and they are more than ``max_share`` of all its documents. Such lines are removed:
+    ``removed_lines`` has their places among the lines of the text, from 0, and ``with_text``
+    adds ``clean_text``, the text without them. A document with fewer than ``min_left_percent``
+    of its words left is depleted and rejected. Both limits read all documents. NULL text counts
+    as empty (and fails the base rule; its clean text is empty), a NULL host is a host of its
+    own, repeated rows are judged one by one, texts of any length are read whole, and an empty
+    table gives an empty one. Other columns of ``docs`` are not read, so their names cannot clash.
     """
     rows = docs.select(
         F.col(key).alias("_key"), F.col(host).alias("_host"), text_bytes(text).alias("_data")
     )
     types = dict(rows.dtypes)
+    carried = ("_key", "_host", "_data") if with_text else ("_key", "_host")
     measured = stage(
         map_batches(
             rows,
-            _measure,
-            f"_key {types['_key']}, _host {types['_host']}, {_STATS}, "
+            lambda batches: _measure(batches, carried),
+            f"{', '.join(f'{c} {types[c]}' for c in carried)}, {_STATS}, "
             "_lines array<long>, _line_words array<long>",
         ),
         "quality",
@@ -133,7 +137,7 @@ def quality_rules(
             "left_semi",
         )
         .groupBy("_key", "_host")
-        .agg(F.collect_set("line").alias("gone"))
+        .agg(F.collect_set("line").alias("_gone"))
     )
     stats = measured.alias("m").join(
         removed.alias("r"),
@@ -143,7 +147,15 @@ def quality_rules(
     )
     lost = F.expr(
         "coalesce(aggregate(filter(arrays_zip(_lines, _line_words), "
-        "x -> array_contains(gone, x._lines)), 0L, (s, x) -> s + x._line_words), 0L)"
+        "x -> array_contains(_gone, x._lines)), 0L, (s, x) -> s + x._line_words), 0L)"
+    )
+    places = F.expr(
+        "coalesce(filter(sequence(0, size(_lines) - 1), i -> array_contains(_gone, _lines[i])), "
+        "cast(array() as array<int>))"
+    )
+    left = F.expr(
+        "array_join(filter(split(cast(_data as string), '\n'), "
+        "(x, i) -> not coalesce(array_contains(_gone, _lines[i]), false)), '\n')"
     )
     failed = (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")
@@ -152,6 +164,8 @@ def quality_rules(
         F.col("m._key").alias(key),
         *(F.col(c.split()[0]) for c in _STATS.split(", ")),
         failed.alias("base_failed"),
+        places.alias("removed_lines"),
+        *([left.alias("clean_text")] if with_text else []),
         (F.col("n_words") - lost).alias("n_words_left"),
     ).withColumn(
         "kept",
@@ -164,6 +178,7 @@ def _lines_above(measured: DataFrame, min_docs: int, max_share: float) -> DataFr
     hosts = measured.groupBy("_host").agg(F.count(F.lit(1)).alias("host_docs"))
     counted = (
         measured.select("_host", F.explode(F.array_distinct("_lines")).alias("line"))
+        .where(F.col("line") != _BLANK)
         .groupBy("_host", "line")
         .agg(F.count(F.lit(1)).alias("n_docs"))
         .where(F.col("n_docs") >= min_docs)

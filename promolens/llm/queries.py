@@ -38,6 +38,11 @@ def _documents(step: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: step(table(spark, sf_dir, "documents"))
 
 
+def _quality(docs: DataFrame) -> DataFrame:
+    judged = quality.quality_rules(docs)
+    return judged.withColumn("n_removed_lines", F.size("removed_lines")).drop("removed_lines")
+
+
 def _line_dedup(docs: DataFrame) -> DataFrame:
     return line_dedup.dedup_lines(docs).select(
         "doc_id", "source", "n_lines", "n_dropped", F.sha2("clean_text", 256).alias("clean_sha256")
@@ -123,7 +128,7 @@ def _treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "op1_quality_rules": _documents(quality.quality_rules),
+    "op1_quality_rules": _documents(_quality),
     "op2_license_scan": _documents(license_scan.scan_licenses),
     "op3_lz_fingerprint": _documents(lz_fingerprint.compare_with_next),
     "op4_line_dedup": _documents(_line_dedup),
@@ -184,11 +189,12 @@ WITH d AS (
   HAVING count(DISTINCT doc_id) >= {quality.MIN_DOCS}
      AND count(DISTINCT doc_id) > {quality.MAX_SHARE}::DOUBLE * hosts.n
 ), lost AS (
-  SELECT doc_id, sum(c) AS n FROM keyed JOIN above
+  SELECT doc_id, sum(c) AS n, count(*) AS lines FROM keyed JOIN above
     ON keyed.k = above.k AND keyed.source IS NOT DISTINCT FROM above.source GROUP BY 1
 ), done AS (
   SELECT doc_id, n_words, word_chars, n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
-         coalesce(rep.n, 0) AS n_repeat_words, n_words - coalesce(lost.n, 0) AS n_words_left
+         coalesce(rep.n, 0) AS n_repeat_words, n_words - coalesce(lost.n, 0) AS n_words_left,
+         coalesce(lost.lines, 0)::INTEGER AS n_removed_lines
   FROM base LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id)
        LEFT JOIN lost USING (doc_id)
 ), failed AS (
