@@ -1,6 +1,7 @@
 """Each operator on odd, empty and random input, against plain Python."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter
@@ -70,6 +71,27 @@ def test_depleted_document_is_rejected(spark):
     assert kept == {**{i: i == 0 for i in range(12)}, 100: True}
 
 
+def test_quality_returns_the_text_without_its_removed_lines(spark):
+    prepared(spark)
+    data = [(i, f"Boiler {i % 3}\n\nown {chr(97 + i)}  words\n BOILER  1", "h") for i in range(12)]
+    data += [(20, "Boiler 0", "other"), (21, None, "h"), (22, "", "h"), (23, "boiler 7", "h")]
+    data += [(24, "\n\r\n" * 50_000 + "boiler 1\nend", "h")]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    found = quality.quality_rules(df, with_text=True).collect()
+    got = {r["doc_id"]: (r["removed_lines"], r["clean_text"], r["n_words_left"]) for r in found}
+    for i in range(12):
+        assert got[i] == ([0, 3], f"\nown {chr(97 + i)}  words", 3)
+    # Digits count as 0, so all the boiler lines are one line.
+    assert got[20] == ([], "Boiler 0", 2)
+    assert got[21] == got[22] == ([], "", 0) and got[23] == ([0], "", 0)
+    assert got[24] == ([100_000], "\n\r\n" * 50_000 + "end", 1)
+    plain = quality.quality_rules(df)
+    assert "clean_text" not in plain.columns
+    assert {r["doc_id"]: r["removed_lines"] for r in plain.collect()} == {
+        d: r[0] for d, r in got.items()
+    }
+
+
 # 2 license scan
 
 
@@ -121,6 +143,69 @@ def test_license_scan_against_all_windows():
         assert {s[0] for s in spans} == expected
 
 
+def plain_containment(text, template, n=3):
+    """Share of the template's shingles in the text, words compared without case or stops."""
+
+    def shingles(t):
+        words = [w.lower().strip(".,;:!?\"'()[]{}<>*#|") or w for w in t.split()]
+        n_ = min(n, len(words))
+        return {tuple(words[i : i + n_]) for i in range(len(words) - n_ + 1)}
+
+    wanted = shingles(template)
+    return len(wanted & shingles(text)) / len(wanted)
+
+
+def test_whole_licenses_and_all_their_places(spark):
+    prepared(spark)
+    whole = dict(license_scan.LICENSE_TEXTS)
+    filler = " ".join(f"f{i}" for i in range(700))
+    mit, isc = whole["MIT-text"], whole["ISC-text"]
+    bsd = whole["BSD-3-Clause-text"]
+    half = " ".join(mit.split()[:80])
+    data = [
+        (1, f"{filler} {mit} {filler} {bsd}"), (2, f"{mit} {mit}\n{mit}"), (3, half),
+        (4, f"{filler} {isc.lower()}"), (5, "/*" + "\n * ".join(mit.split("\n")) + " */"),
+        (6, f"{filler}\n" * 300 + whole["Zlib-text"]),
+    ]
+    found = {}
+    rows = spark.createDataFrame(data, "doc_id long, text string")
+    for r in license_scan.scan_licenses(rows).collect():
+        assert r["n_spans"] == len(r["spans"]) and r["first_word"] == r["spans"][0]["first_word"]
+        assert r["containment"] == max(s["containment"] for s in r["spans"]) >= 0.8
+        found[r["doc_id"], r["license"]] = [(s["first_word"], s["last_word"]) for s in r["spans"]]
+    n = len(mit.split())
+    assert found[1, "MIT-text"] == [(700, 700 + n - 1)]
+    assert found[1, "BSD-3-Clause-text"] == [(1400 + n, 1400 + n + len(bsd.split()) - 1)]
+    assert found[2, "MIT-text"] == [(0, n - 1), (n, 2 * n - 1), (2 * n, 3 * n - 1)]
+    assert (3, "MIT-text") not in found and (3, "MIT-permission") in found
+    assert found[4, "ISC-text"] == [(700, 700 + len(isc.split()) - 1)]
+    assert found[6, "Zlib-text"][0][0] == 210_000
+    for doc, text in data:
+        for name, template in license_scan.TEMPLATES:
+            if (doc, name) in found:
+                assert plain_containment(text, template) >= 0.8
+            elif doc != 2:
+                assert plain_containment(text, template) < 0.8
+
+
+def test_copies_side_by_side_are_several():
+    places = np.array([0, 1, 2, 3, 4])
+    wanted = np.arange(10, 15, dtype=np.uint64)
+
+    def copies(*values):
+        return license_scan.copies_in(np.array(values, np.uint64), wanted, places, 0.8)
+
+    one = (10, 11, 12, 13, 14)
+    assert copies(*one, 7, *one) == [(0, 4, 1.0), (6, 10, 1.0)]
+    assert copies(*one, 10, 11) == [(0, 4, 1.0)]
+    assert copies(13, 14, 7, 10, 11) == [(0, 4, 0.8)]
+    assert copies(10, 11, 12) == []
+    single = license_scan.copies_in(
+        np.array([5, 5], np.uint64), np.array([5], np.uint64), np.array([0]), 0.8
+    )
+    assert single == [(0, 0, 1.0), (1, 1, 1.0)]
+
+
 def test_bands_reach_the_wanted_probability():
     for j in (0.2, 0.375, 0.8):
         bands = license_scan.bands_needed(j, 1e-4)
@@ -162,6 +247,50 @@ def test_fingerprints_on_odd_rows(spark, odd, empty):
     assert lz_fingerprint.compare_with_next(empty).count() == 0
 
 
+def plain_fingerprint(text):
+    """Phrases of a dictionary parse as strings; 64 minimum hashes, by whole-number arithmetic."""
+    full = (1 << 64) - 1
+
+    def scramble(v):
+        for _ in range(2):
+            v = ((v ^ (v >> 32)) * 0xD6E8FEB86659FD93) & full
+        return v ^ (v >> 32)
+
+    known, phrase = set(), b""
+    for byte in text.encode():
+        phrase += bytes([byte])
+        if phrase not in known:
+            known.add(phrase)
+            phrase = b""
+    values = []
+    for p in known:
+        number = 0
+        for byte in p:
+            number = (number * 0x9E3779B97F4A7C15 + byte + 1) & full
+        values.append(scramble(number))
+    out = ""
+    for i in range(1, 65):
+        hashed = [((v ^ scramble(i)) * 0xD6E8FEB86659FD93) & full for v in values]
+        low = min((v ^ (v >> 29) for v in hashed), default=full)
+        out += f"{scramble(low) >> 48:04x}"
+    return out
+
+
+def test_fingerprint_equals_a_plain_one():
+    draw = random.Random(8)
+    for n in (0, 1, 2, 7, 100, 3000):
+        text = "".join(draw.choices("abcé ü\n", k=n))
+        assert lz_fingerprint.fingerprint(text) == plain_fingerprint(text)
+        following = "".join(draw.choices("abz", k=n // 2 + 3))
+        half = n // 2
+        edited = text[: n - half] + following[:half]
+        own, other, _ = lz_fingerprint.both_fingerprints(text, following, 64)
+        assert (own, other) == (plain_fingerprint(text), plain_fingerprint(edited))
+        a, b = ([p[i : i + 4] for i in range(0, 256, 4)] for p in (own, other))
+        same = sum(x == y for x, y in zip(a, b, strict=True)) / 64
+        assert lz_fingerprint.likeness(own, other) == same
+
+
 def test_single_document_follows_itself(spark):
     one = spark.createDataFrame([(1, "abcabcabc")], "doc_id long, text string")
     row = lz_fingerprint.compare_with_next(one).first()
@@ -531,6 +660,63 @@ def test_language_on_odd_rows(spark, odd, empty):
     assert language_id.predict(empty, net).count() == 0
 
 
+def test_network_equals_a_plain_forward_pass():
+    net = language_id.new_network(["a", "b", "c"], 3, 4)
+    text = "Grüße!".encode()
+    h, n = 3, len(text)
+    read = text.ljust(language_id.WINDOW, b"\0")
+
+    def sigmoid(x):
+        return 1 / (1 + math.exp(-x))
+
+    sides = []
+    for side in (0, 1):
+        state, states = [0.0] * h, [None] * len(read)
+        for t in range(len(read)) if side == 0 else reversed(range(len(read))):
+            fed = [float(x) for x in net.byte_in[side][read[t]]]
+            rec = [
+                float(net.bias[side][j]) + sum(
+                    state[i] * float(net.state_in[side][i][j]) for i in range(h)
+                )
+                for j in range(3 * h)
+            ]
+            update = [sigmoid(fed[j] + rec[j]) for j in range(h)]
+            reset = [sigmoid(fed[h + j] + rec[h + j]) for j in range(h)]
+            new = [math.tanh(fed[2 * h + j] + reset[j] * rec[2 * h + j]) for j in range(h)]
+            state = [update[j] * state[j] + (1 - update[j]) * new[j] for j in range(h)]
+            states[t] = state
+        sides.append(states)
+    pooled = [0.0] * 3
+    for forwards, backwards in list(zip(*sides, strict=True))[:n]:
+        both = [*forwards, *backwards]
+        logits = [
+            float(net.out_bias[k]) + sum(both[i] * float(net.out[i][k]) for i in range(2 * h))
+            for k in range(3)
+        ]
+        total = sum(map(math.exp, logits))
+        pooled = [p + math.exp(x) / total / n for p, x in zip(pooled, logits, strict=True)]
+    assert np.allclose(language_id.document_probabilities(net, [text])[0], pooled, atol=1e-5)
+
+
+def test_training_reads_all_of_a_text(spark, monkeypatch):
+    prepared(spark)
+    taken = []
+    monkeypatch.setattr(language_id, "train", lambda samples: taken.append(samples))
+    key = next(k for k in range(9) if zlib.crc32(str(k).encode()) % 3 != 1)
+    whole = "".join(f"{i:05d} äöü " for i in range(3000))
+    rows = [(key, whole, "de"), (key, "", "de"), (key, None, "de"), (key, "x", None), (None, "x", "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    language_id.fit(df)
+    data = whole.encode()
+    pieces = [data[i : i + 256] for i in range(0, len(data), 256)]
+    assert Counter(taken[0]) == Counter((p, "de") for p in pieces)
+    language_id.fit(df, sample_rows=40)
+    few = [p for p, _ in taken[1]]
+    assert len(few) == 40 and set(few) <= set(pieces)
+    at = [pieces.index(p) for p in few]
+    assert min(at) < len(pieces) / 4 and max(at) > 3 * len(pieces) / 4
+
+
 def test_every_position_counts():
     net = language_id.new_network(["a", "b"], 4, 1)
     text = bytes(range(256)) * 3
