@@ -7,11 +7,13 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promolens.config import ID_COLUMN, TARGET_COLUMN, LeafwiseConfig
+from promolens.config import ID_COLUMN, TARGET_COLUMN, LeafwiseConfig, RunConfig
 from promolens.functions.expr import quoted
-from promolens.operators import binning, boosting, split
+from promolens.operators import binning, boosting, split, training
+from promolens.operators.prepare import PrepMetadata
 from promolens.operators.trees import BoostedTrees
-from promolens.session import stage
+from promolens.session import stage, staging_path
+from promolens.sources import artifacts
 from testkit.boost_sql import ROUND
 from testkit.oracle import NUMERIC_FEATURES, SEED
 
@@ -79,6 +81,20 @@ def first_round(rows: DataFrame) -> DataFrame:
     )
 
 
+def round_model(prepared: DataFrame, meta: PrepMetadata) -> str:
+    """The folder of a model that a whole training run of one round saved."""
+    spark = prepared.sparkSession
+    rows = stage(
+        prepared.select(ID_COLUMN, quoted(TARGET_COLUMN), *NUMERIC_FEATURES), "boosting-run"
+    )
+    cfg = RunConfig(test_size=0.2, seed=SEED, boosting=ROUND)
+    result = training.train(rows, NUMERIC_FEATURES, cfg)
+    folder = staging_path(spark, "round-model")
+    meta = replace(meta, feature_columns=tuple(NUMERIC_FEATURES))
+    artifacts.save_run(spark, result.model, meta, result.metrics, folder)
+    return folder
+
+
 def rounds(rows: DataFrame) -> DataFrame:
     """The held-out AUC after each round."""
     fitted = boosting.fit(rows, NUMERIC_FEATURES, SHORT, SEED, ID_COLUMN)

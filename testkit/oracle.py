@@ -14,8 +14,8 @@ from promolens.config import (
     WINDOW_TOKENS,
     ZERO_FILLED_COLUMN,
 )
-from testkit import boost_sql
-from testkit.fixed_model import score_sql
+from testkit import boost_sql, checks
+from testkit.fixed_model import importance_sql, score_sql
 from testkit.views import AS_OF, VIEW_SQL, duckdb_view
 
 MIN_SHARE = 0.04
@@ -536,6 +536,11 @@ FROM split_rows""",
     ),
     "fixed_model_scores": f"SELECT externalcustomerkey, {score_sql()} AS score"
     f" FROM (SELECT externalcustomerkey, {ZEROED} FROM placed)",
+    "fixed_model_importance": importance_sql(NUMERIC_FEATURES),
+    "score_preview": f"SELECT externalcustomerkey, {score_sql()} AS score"
+    f" FROM (SELECT externalcustomerkey, {ZEROED} FROM placed) z"
+    " ORDER BY externalcustomerkey LIMIT 5",
+    "argument_checks": checks.SQL,
     "score_rows": "SELECT externalcustomerkey, TRUE AS is_probability FROM features",
     "segment_totals": "SELECT count(*) AS customers, CAST(1 AS DOUBLE) AS share FROM features",
     "split_missing_key": "SELECT count(*) AS all_rows, count(*) AS placed_rows FROM ready",

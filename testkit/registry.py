@@ -16,7 +16,7 @@ from promolens.session import staging_path, tune
 from promolens.sources import artifacts, sinks
 from promolens.sources.tables import SourceTables
 from promolens.sources.text import read_features_csv
-from testkit import boost
+from testkit import boost, checks
 from testkit.fixed_model import fixed_model
 from testkit.oracle import MIN_SHARE, SEED
 from testkit.views import AS_OF, source_tables
@@ -273,16 +273,56 @@ def _score_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _fixed_model_dir(spark: SparkSession, sf_dir: str) -> str:
+    """A stored ensemble whose thresholds the expected results know."""
+    def build() -> str:
+        folder = staging_path(spark, "fixed-model")
+        meta = metadata(spark, sf_dir)
+        artifacts.save_run(spark, fixed_model(spark, meta), meta, {}, folder)
+        return folder
+
+    return _once(spark, sf_dir, "fixed model", build)
+
+
 def _fixed_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of a stored ensemble whose thresholds the expected result knows."""
-    folder = staging_path(spark, "fixed-model")
-    meta = metadata(spark, sf_dir)
-    artifacts.save_run(spark, fixed_model(spark, meta), meta, {}, folder)
+    folder = _fixed_model_dir(spark, sf_dir)
     model = artifacts.load_model(spark, folder)
     scores = scoring.score(features(spark, sf_dir), model, artifacts.load_metadata(spark, folder))
     return scores.select(ID_COLUMN, F.round("score", 9).alias("score"))
 
 
+def _fixed_model_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.importance_of(spark, _fixed_model_dir(spark, sf_dir))
+    flag = F.col("feature").startswith("country_")
+    return found.withColumn("feature", F.when(flag, "country").otherwise(F.col("feature")))
+
+
+def _score_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.preview(_fixed_model_scores(spark, sf_dir).orderBy(ID_COLUMN))
+
+
+def _round_model_dir(spark: SparkSession, sf_dir: str) -> str:
+    return _once(
+        spark, sf_dir, "round model",
+        lambda: boost.round_model(_prepared(spark, sf_dir), metadata(spark, sf_dir)),
+    )
+
+
+def _boost_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.importance_of(spark, _round_model_dir(spark, sf_dir))
+    return found.withColumn("importance_gain", F.round("importance_gain", 6))
+
+
+def _boost_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The saved record of a run, held-out AUC and best round included."""
+    record = artifacts.load_metrics(spark, _round_model_dir(spark, sf_dir))
+    rounded = ("validation_auc", "pos_rate_train", "pos_rate_val")
+    names = ("best_iteration", "n_train", "n_val", "feature_count", *rounded)
+    return spark.createDataFrame(
+        [tuple(round(float(record[n]), 9) for n in names)], ", ".join(f"{n} double" for n in names)
+    )
+
+
 def _segment_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _end_to_end_distribution(spark, sf_dir).agg(
         F.sum("row_count").alias("customers"), F.round(F.sum("share"), 9).alias("share")
@@ -433,6 +473,11 @@ QUERIES: dict[str, Query] = {
     "feature_importance_names": _importance_names,
     "score_rows": _score_rows,
     "fixed_model_scores": _fixed_model_scores,
+    "fixed_model_importance": _fixed_model_importance,
+    "score_preview": _score_preview,
+    "argument_checks": lambda spark, sf_dir: checks.argument_checks(
+        features(spark, sf_dir), metadata(spark, sf_dir)
+    ),
     "segment_totals": _segment_totals,
     "split_missing_key": _split_missing_key,
     "make_target_nan": _from_features(_make_target_nan),
@@ -455,6 +500,8 @@ QUERIES: dict[str, Query] = {
     "boost_draws": _boosted(boost.draws),
     "boost_gradient_sums": _boosted(boost.gradient_sums),
     "boost_round": _boosted(boost.first_round),
+    "boost_importance": _boost_importance,
+    "boost_metrics": _boost_metrics,
     "boost_rounds": _boosted(boost.rounds),
     "boost_expressions": _boost_expressions,
 }
