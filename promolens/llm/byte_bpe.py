@@ -339,7 +339,8 @@ def encode(
     are encoded once (a task that meets more than CACHE_WORDS forgets and encodes some again).
     Their ids go to a dictionary file of each block in the shared folder, from which they replace
     the word numbers; texts themselves are not shuffled. A frequent word costs one entry a block.
-    NULL and empty texts give no ids; repeated rows are encoded each; only the named columns are
+    NULL and empty texts give no ids; repeated rows are encoded each; texts of any length are
+    encoded whole (one longer than a block is a block); an empty table gives an empty one; only the named columns are
     read, so others cannot clash.
     """
     spark = docs.sparkSession

@@ -422,7 +422,8 @@ def near_duplicates(
     in lower case; the whole sequence for fewer words). ``component_id`` is the smallest key that
     links reach; a text without words (or NULL) has no shingles and its own key. Keys that repeat
     give a row each; a NULL key is the smallest only among NULLs. ``text_hash`` is xxhash64 of the
-    text's bytes. Other columns are not read.
+    text's bytes. Texts of any length are compared whole, and an empty table gives an empty one.
+    Other columns are not read.
 
     Equal sets are one class before any pair is made. Classes are compared with the lowest class
     of each index entry they share, and then, in different components, where their differences to

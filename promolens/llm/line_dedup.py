@@ -79,6 +79,7 @@ def dedup_lines(
     host is a host of its own. Rows that repeat a key each keep their own text. Names that
     ``docs`` already uses for the added columns are replaced. With ``once_per_text`` copies of a
     text in a host count as one page, so a group of copies does not lose its lines by itself.
+    Texts of any length are read whole, and an empty table gives an empty one.
     """
     bad = boilerplate(docs, host, text, min_pages, max_ratio, once_per_text)
     rows = docs.select(

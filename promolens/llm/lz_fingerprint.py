@@ -109,7 +109,8 @@ def compare_with_next(
     Returns key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and
     near_next. The next document is the next row by key (NULL keys first, equal keys by text);
     after the last comes the first, and a single row follows itself. NULL texts are empty; the
-    fingerprint of an empty text agrees only with that of texts without a phrase. Only the named
+    fingerprint of an empty text agrees only with that of texts without a phrase. Texts of any
+    length are parsed whole, and an empty table gives an empty one. Only the named
     columns are read, so others cannot clash. Keys are integers.
 
     Rows are dealt into even key ranges with one shuffle of the texts. Each range also gets the

@@ -769,7 +769,8 @@ def remove_repeats(
 
     Matches are judged on the bytes of the input, never cross rows, and may overlap; a repeated
     row is a copy like any other. NULL texts stay NULL and lose nothing, as do texts shorter than
-    ``length``. Columns of the added names are replaced; no other column is read.
+    ``length``. Texts of any length are read whole, and an empty table gives an empty one. Columns
+    of the added names are replaced; no other column is read.
     """
     return _with_removals(docs, removals(docs, key, text, length, **settings), key, text)
 
