@@ -45,3 +45,26 @@ def test_other_files_are_not_removed(spark, tmp_path):
     spark.range(3).write.parquet(path)
     session.remove_staged(spark, spark.read.parquet(path))
     assert spark.read.parquet(path).count() == 3
+
+
+def test_the_feature_job_is_cut_into_small_parts(spark, monkeypatch):
+    """Whatever the session's number of partitions; the setting is put back afterwards."""
+    from datetime import date
+
+    from promolens.plans import runs
+    from promolens.session import SHUFFLE_PARTS
+    from shop_data import tables
+
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    seen = {}
+
+    def staged(df, _):
+        seen["parts"] = int(spark.conf.get(name))
+        seen["size"] = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+    monkeypatch.setattr(runs, "stage", staged)
+    before = spark.conf.get(name, None)
+    runs.build_features(tables(spark), date(2024, 3, 31))
+    assert seen["parts"] >= SHUFFLE_PARTS
+    assert seen["size"].lower() in ("16m", "16777216b")
+    assert spark.conf.get(name, None) == before
