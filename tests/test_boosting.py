@@ -390,3 +390,30 @@ def test_queries_on_rows_enough_to_split(spark, name):
     assert difference(found, duckdb_over(sf_dir), oracle.oracle_sql()[name]) is None
     if name == "boost_round":
         assert found.select("leaf_rows").distinct().count() > 3
+
+
+def test_a_pass_finds_the_node_of_a_row_once(spark, monkeypatch):
+    """A filter would be put below the projection and find it again."""
+    tree = trees.Tree()
+    for value in (0.0, -1.0, 1.0):
+        tree.add(value, 2)
+    tree.feature[0], tree.bin[0], tree.left[0], tree.right[0] = 0, 0, 1, 2
+    rows = spark.createDataFrame(
+        [([0, 3], [0, 3], 5, 7), ([1, 2], [1, 2], 11, 13), ([1, 3], [1, 3], 17, 19)],
+        "x array<smallint>, all array<smallint>, g long, h long",
+    )
+    plans = []
+    kind = type(rows)
+    whole = kind.toArrow
+
+    def told(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return whole(df)
+
+    monkeypatch.setattr(kind, "toArrow", told)
+    found = boosting.node_histograms(rows, tree, [2], 4)
+    assert plans[0].count("aggregate(") == 1 and "Filter" not in plans[0]
+    assert list(found) == [2]
+    assert found[2][0, 1].tolist() == [28, 32, 2]
+    assert found[2][1, 2].tolist() == [11, 13, 1] and found[2][1, 3].tolist() == [17, 19, 1]
+    assert found[2].sum() == 2 * (28 + 32 + 2)
