@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import zlib
 from collections import Counter
@@ -26,6 +27,7 @@ from promolens.llm import (
 )
 from promolens.llm.common import WordHashes, prepared, word_codes
 from promolens.llm.components import connected_components
+from promolens.session import staging_root
 
 ODD = [(r[0], r[1]) for r in odd_rows()]
 
@@ -878,6 +880,23 @@ def test_passages_equal_brute_force(spark, seed, letters, length, words, word_gr
     )
 
 
+def test_passages_leave_the_spans_alone_staged(spark):
+    """What the parts stage goes before the next, and the result moves each text once."""
+    prepared(spark)
+    before = set(staged_folders(spark))
+    df = spark.createDataFrame(passages(4, "abcdefgh é", 60), "doc_id long, text string")
+    got = suffix_dedup.remove_passages(df, length=60, gram=20, words=6, word_gram=2)
+    left = {f.rsplit("-", 1)[0] for f in set(staged_folders(spark)) - before}
+    assert left == {"suffix-spans"}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and plan.count("_cut_text(") == 1
+
+
+def staged_folders(spark):
+    folder = os.path.join(staging_root(spark), "promolens")
+    return os.listdir(folder) if os.path.isdir(folder) else []
+
+
 def test_runs_of_words_across_pieces(monkeypatch):
     draw = random.Random(8)
     text = b" ".join(bytes(draw.choices(b"abc", k=draw.randint(1, 9))) for _ in range(3000))
