@@ -34,6 +34,7 @@ UNKNOWN = "und"
 BLOCK_BYTES = 12 << 20
 TILE = 1024  # ids a side
 DENSE = TILE * TILE // 8  # pairs that make a tile worth an array
+CHUNK = 1 << 16  # rows of a batch that goes back to Spark
 SPREAD = 64  # parts of a language that are cut to the top before the last ranking
 # What ends a piece, and A-Z to a-z; a tab is a space.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -76,7 +77,9 @@ def count_pairs(
         counts = np.bincount(inside[here], minlength=tile * tile)
         cells = np.flatnonzero(counts)
         found.append((t * tile * tile + cells, counts[cells]))
-    found.append(np.unique(number[rest] * (tile * tile) + inside[rest], return_counts=True))
+    some = number[rest] * (tile * tile) + inside[rest]
+    del number, inside, rest
+    found.append(np.unique(some, return_counts=True))
     at, counts = (np.concatenate(x) for x in zip(*found, strict=True))
     number, inside = at // (tile * tile), at % (tile * tile)
     return (
@@ -92,13 +95,13 @@ def neighbours(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     Those are in order of the ids, so the order by frequency holds among them too.
     """
     at = np.flatnonzero((symbols[:-1] >= 0) & (symbols[1:] >= 0))
-    distinct = np.unique(np.concatenate([symbols[at], symbols[at + 1]]))
+    distinct = np.unique(np.concatenate([np.unique(symbols[i]) for i in (at, at + 1)]))
     left, right = (np.searchsorted(distinct, symbols[i]) for i in (at, at + 1))
     return at, left, right, distinct
 
 
 def pair_columns(symbols: np.ndarray) -> dict[str, np.ndarray]:
-    _, left, right, distinct = neighbours(symbols)
+    left, right, distinct = neighbours(symbols)[1:]
     a, b, n = count_pairs(left, right, max(len(distinct), 1))
     return {"left": distinct[a], "right": distinct[b], "n": n}
 
@@ -195,7 +198,7 @@ def _block_table(block: int, symbols: np.ndarray) -> pa.Table:
     columns = {c: pa.array(v, pa.int64()) for c, v in pair_columns(symbols).items()}
     size = len(columns["n"])
     none = pa.array([None], pa.int64())
-    return pa.table(
+    table = pa.table(
         {
             "block": pa.array(np.full(size + 1, block), pa.int64()),
             "symbols": pa.concat_arrays(
@@ -204,6 +207,8 @@ def _block_table(block: int, symbols: np.ndarray) -> pa.Table:
             **{c: pa.concat_arrays([none, v]) for c, v in columns.items()},
         }
     )
+    # Each chunk is a batch of its own, so that Spark never holds a block's pairs at once.
+    return pa.Table.from_batches(table.to_batches(max_chunksize=CHUNK))
 
 
 def _name_words(key: tuple, block: pa.Table, words: pa.Table) -> pa.Table:
@@ -228,6 +233,8 @@ def _name_pairs(key: tuple, block: pa.Table, pairs: pa.Table) -> pa.Table:
         wanted = left * size + right
         place = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
         out[at] = np.where(known[place] == wanted, ids[place], _BREAK)
+        del wanted, place
+    del symbols, at, left, right, distinct, known, order, ids
     return _block_table(key[0].as_py(), out)
 
 
@@ -300,13 +307,25 @@ def phrases(
     levels = [level.drop("word")]
     for size in range(2, max_words + 1):
         pairs = blocks.where("n IS NOT NULL").select("block", "left", "right", "n")
-        counted = (
-            pairs.groupBy("left", "right").agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= min_count)
-        )
+        if size < max_words:
+            # The rows of a pair, one a block at most, meet once; only those of frequent pairs,
+            # which are few, are written and meet their ids.
+            total = F.sum("n").over(Window.partitionBy("left", "right"))
+            often = stage(
+                pairs.withColumn("n", total).where(F.col("n") >= min_count), "collocations-often"
+            )
+            release_shuffles(docs.sparkSession)
+            counted = often.select("left", "right", "n").distinct()
+        else:
+            counted = (
+                pairs.groupBy("left", "right").agg(F.sum("n").alias("n"))
+                .where(F.col("n") >= min_count)
+            )
         found = stage(ranked(counted, ["left", "right"], "pairs"), "collocations-ids")
         if size < max_words:
-            named = pairs.join(found.select("left", "right", "id"), ["left", "right"])
+            named = often.select("block", "left", "right").join(
+                found.select("left", "right", "id"), ["left", "right"]
+            )
             following = stage(
                 blocks.where("symbols IS NOT NULL").select("block", "symbols").groupBy("block")
                 .cogroup(
@@ -317,6 +336,7 @@ def phrases(
                 "collocations-blocks",
             )
             remove_staged(docs.sparkSession, blocks)
+            remove_staged(docs.sparkSession, often)
             release_shuffles(docs.sparkSession)
             blocks = following
         level = stage(
@@ -332,6 +352,7 @@ def phrases(
         )
         levels.append(level)
     remove_staged(docs.sparkSession, blocks)
+    release_shuffles(docs.sparkSession)
     return levels, totals
 
 

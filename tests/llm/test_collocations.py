@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from promolens.llm import collocations as mining
 from promolens.llm import queries as llm
@@ -108,6 +109,24 @@ def test_one_phrase_in_a_third_of_the_text(spark):
     assert found(mining.collocations(docs)) == brute(rows, 30)
 
 
+def test_only_frequent_pairs_meet_their_ids(spark, monkeypatch):
+    written = []
+
+    def stage(df, name):
+        out = kept(df, name)
+        if name == "collocations-often":
+            written.append(out.groupBy("left", "right").agg(F.max("n"), F.count("n")).collect())
+        return out
+
+    kept = mining.stage
+    monkeypatch.setattr(mining, "stage", stage)
+    rows = [("en", "the hot pair of words")] * 40 + [("en", f"w{i} w{i % 7}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    assert found(mining.collocations(docs)) == brute(rows, 30)
+    assert [len(w) for w in written] == [4, 3]  # of two words, and of three
+    assert all(n == 40 and 1 <= blocks <= 4 for w in written for _, _, n, blocks in w)
+
+
 def test_op13_equals_plain_python(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("lang", "text").collect()
     got = found(llm.QUERIES["op13_collocations"](spark, SF))
