@@ -15,7 +15,8 @@ Sets that share an entry are compared with the lowest of them, the entry's head
 find are links between sets x and y of which one is not linked to p. Such a link needs common
 elements of the differences x ^ p and y ^ p, because without any, x ^ y would be as large as both
 together, and y is never closer than p itself. How many are needed is known, so x and y meet on the
-first few elements of their differences, which are mostly their own edits. No group is paired out.
+first few elements of their differences, the rare ones first. Those are mostly their own edits, so
+that unlike sets which only have a passage in common seldom meet. No group is paired out.
 """
 
 from __future__ import annotations
@@ -23,11 +24,12 @@ from __future__ import annotations
 import math
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolens.llm.common import WordHashes, map_batches, mix, shingle_set, text_bytes
@@ -39,6 +41,9 @@ PERCENT = 90
 VERIFY_COST = 300.0  # of comparing two documents, in index entries
 MAX_SIZE = 1 << 40
 CHUNK = 400_000
+RUN = 2000  # pairs of a head that one task holds together
+RUN_ELEMENTS = 2_000_000  # of their sets
+FEW = 100  # sets that tell which elements are frequent, where a head has more pairs
 _MASK = (1 << 64) - 1
 
 
@@ -283,65 +288,220 @@ def shared_entries(rows: DataFrame, n: int, percent: int, plan: dict) -> DataFra
     return found
 
 
-def delta_prefix(
-    p: np.ndarray, x: np.ndarray, linked: bool, percent: int
-) -> tuple[int, np.ndarray]:
-    """Size of the difference x ^ p, and the elements of it on which x meets other sets.
+def prefix_length(p: int, x: int, differ: int, linked: bool, percent: int) -> int:
+    """How many first elements of the difference x ^ p have one that x shares with other sets.
 
-    Those are the sets that x may be linked to though p does not say so. Elements that p lacks
-    come first; that order is the same for all sets compared with p. If x is not linked to p, a
+    Those are the sets that x may be linked to though p does not say so. If x is not linked to p, a
     link of x needs at least |x ^ p| - H common elements; if it is, at least what keeps the other
     one unlinked to p. All but that many, less one, are in the prefix.
     """
-    delta = np.concatenate([
-        np.setdiff1d(x, p, assume_unique=True), np.setdiff1d(p, x, assume_unique=True)
-    ])
-    size, apart, both = len(delta), 100 - percent, 100 + percent
+    apart, both = 100 - percent, 100 + percent
     if linked:
-        need = (both * size + apart * (len(p) - len(x))) // (2 * both) + 1
+        need = (both * differ + apart * (p - x)) // (2 * both) + 1
     else:
-        need = size - apart * (len(x) + 100 * len(x) // percent) // both
-    return size, delta[: max(0, size - max(1, need) + 1)]
+        need = differ - apart * (x + 100 * x // percent) // both
+    return max(0, differ - max(1, need) + 1)
+
+
+def delta_prefix(
+    p: np.ndarray, x: np.ndarray, linked: bool, percent: int, often: np.ndarray | None = None
+) -> tuple[int, np.ndarray]:
+    """Size of the difference x ^ p, and the elements of it on which x meets other sets.
+
+    Elements that p lacks come first, and of them those that are not in the sorted ``often``; that
+    order is the same for all sets compared with p.
+    """
+    own = np.setdiff1d(x, p, assume_unique=True)
+    if often is not None and len(often):
+        at = np.minimum(np.searchsorted(often, own), len(often) - 1)
+        own = own[np.argsort(often[at] == own, kind="stable")]
+    delta = np.concatenate([own, np.setdiff1d(p, x, assume_unique=True)])
+    size = len(delta)
+    return size, delta[: prefix_length(len(p), len(x), size, linked, percent)]
+
+
+def rare_prefixes(
+    p: int, rows: list[tuple[int, bool, np.ndarray]], percent: int
+) -> list[tuple[np.ndarray, np.ndarray] | None]:
+    """Places and elements on which sets meet, of all rows (|x|, linked, x ^ p) of one head.
+
+    The order is by the number of differences that hold an element, so that what many unlike sets
+    share comes last. Elements of one difference alone, or only of those of sets that are linked to
+    p, meet nothing and are left out: a difference without others has None.
+    """
+    sizes = np.array([len(delta) for _, _, delta in rows])
+    values, index, often = np.unique(
+        np.concatenate([delta for _, _, delta in rows]), return_inverse=True, return_counts=True
+    )
+    loose = np.repeat(np.array([not linked for _, linked, _ in rows]), sizes)
+    meets = (often > 1) & (np.bincount(index, loose, len(values)) > 0)
+    found = []
+    ends = np.cumsum(sizes)
+    for (x, linked, _), start, end in zip(rows, ends - sizes, ends, strict=True):
+        own = index[start:end]
+        own = own[np.lexsort((own, often[own]))]
+        own = own[: prefix_length(p, x, end - start, linked, percent)]
+        place = np.flatnonzero(meets[own])
+        found.append((place.astype(np.int32), values[own[place]]) if len(place) else None)
+    return found
+
+
+def packed_texts(rows: DataFrame) -> DataFrame:
+    """(_cls, _data) with each text compressed by itself."""
+
+    def run(batches: Iterator[dict]) -> Iterator[dict]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            yield {"_cls": batch["_cls"], "_data": [pack(data) for data in batch["_data"]]}
+
+    return map_batches(rows, run, "_cls long, _data binary")
+
+
+def packed_set(data: bytes, n: int, cache: WordHashes) -> np.ndarray:
+    return shingle_set(zstandard.ZstdDecompressor().decompress(data), n, cache)
+
+
+def _often(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """(_of, _often): elements that several of a few sets b of each head a hold, sorted."""
+    first = Window.partitionBy("a").orderBy(F.xxhash64("b"), "b")
+    few = pairs.withColumn("_place", F.row_number().over(first)).where(F.col("_place") <= FEW)
+    few = few.join(texts, few["b"] == texts["_cls"]).select("a", "_data")
+
+    def run(batches: Iterator[dict]) -> Iterator[dict]:
+        cache, held, sets = WordHashes(), None, []
+
+        def several() -> dict:
+            values, counts = np.unique(np.concatenate(sets), return_counts=True)
+            return {"_of": [held], "_often": [values[counts > 1].view(np.int64)]}
+
+        for batch in batches:
+            for a, data in zip(batch["a"], batch["_data"], strict=True):
+                if sets and a != held:
+                    yield several()
+                    sets = []
+                held = a
+                sets.append(packed_set(data, n, cache))
+        if sets:
+            yield several()
+
+    return map_batches(
+        few.repartition("a").sortWithinPartitions("a"), run, "_of long, _often array<long>"
+    )
 
 
 def verify(
-    pairs: DataFrame, texts: DataFrame, n: int, percent: int
+    pairs: DataFrame, texts: DataFrame, n: int, percent: int, name: str
 ) -> DataFrame:
-    """(a, b, linked, size, delta, prefix) of pairs (a, b, wide), by counting common shingles.
+    """``compare`` as staged tables of this name. Pairs are taken in groups of heads, with about
+    as many pairs as there are texts; what a group shuffled goes before the next one.
+    """
+    groups = max(1, -(-pairs.count() // max(1, texts.count())))
+    done = []
+    for k in range(groups):
+        some = pairs.where(F.pmod(F.xxhash64("a"), F.lit(groups)) == k) if groups > 1 else pairs
+        done.append(stage(compare(some, texts, n, percent), name))
+        release_shuffles(pairs.sparkSession)
+    return reduce(DataFrame.unionByName, done)
+
 
-    The text of b travels to the pairs, sorted by a, whose set is made once for all its pairs.
-    ``size`` is that of b's set; ``delta`` and ``prefix`` are its ``delta_prefix`` to a, for wide
-    pairs alone.
+def compare(
+    pairs: DataFrame, texts: DataFrame, n: int, percent: int
+) -> DataFrame:
+    """(a, b, linked, size, delta, place, prefix) of pairs (a, b, wide): common shingles counted.
+
+    Texts are dealt out once, to the heads a and to the pairs; the text of a head leads its pairs,
+    and its set is made once for all of them. A head of more than ``RUN`` pairs is spread out.
+    ``size`` is that of b's set; ``delta`` is the size of its difference to a, and ``prefix`` the
+    elements of that on which it can meet others, with their places, for wide pairs alone. A head
+    whose pairs are together orders elements by how many of them hold one; for others a few of
+    their pairs tell which elements are frequent.
     """
-    second = texts.selectExpr("_cls as _b", "_data as _second")
-    first = texts.selectExpr("_cls as _a", "_data as _first")
-    joined = pairs.join(second, pairs["b"] == second["_b"]).drop("_b")
-    joined = joined.join(first, joined["a"] == first["_a"]).drop("_a")
+    heads = pairs.groupBy(F.col("a").alias("_of")).agg(
+        F.ceil(F.count(F.lit(1)) / RUN).cast("int").alias("_parts"),
+        F.coalesce(F.max("wide"), F.lit(False)).alias("_any"),
+    )
+    dealt = pairs.join(heads, pairs["a"] == heads["_of"]).drop("_of")
+    leads = heads.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    if heads.where("_parts > 1 and _any").limit(1).count():
+        often = _often(dealt.where("_parts > 1 and wide").select("a", "b"), texts, n)
+        leads = leads.join(often, "_of", "left")
+    else:
+        leads = leads.withColumn("_often", F.lit(None).cast("array<long>"))
+    wanted = dealt.selectExpr(
+        "b as _want", "a", "cast(pmod(xxhash64(b), _parts) as int) as _part", "b", "wide",
+        "_parts = 1 as _whole", "cast(null as array<long>) as _often",
+    ).unionByName(leads.selectExpr(
+        "_of as _want", "_of as a", "_part", "cast(null as long) as b",
+        "cast(null as boolean) as wide", "_parts = 1 as _whole", "_often",
+    ))
+    joined = (
+        wanted.join(texts, wanted["_want"] == texts["_cls"])
+        .select("a", "_part", "b", "wide", "_whole", "_often", "_data")
+        .repartition("a", "_part")
+        .sortWithinPartitions("a", "_part", F.col("b").asc_nulls_first())
+    )
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        cache, held, tokens = WordHashes(), None, None
+        names = ("a", "b", "linked", "size", "delta", "place", "prefix")
+        cache, head, tokens, often, whole = WordHashes(), None, None, None, True
+        out, held, elements = {c: [] for c in names}, [], 0
+
+        def put(*values) -> None:
+            for c, v in zip(names, values, strict=True):
+                out[c].append(v)
+
+        def put_alone(b: int, linked: bool, others: np.ndarray) -> None:
+            delta, prefix = delta_prefix(tokens, others, linked, percent, often)
+            put(head, b, linked, len(others), delta, np.arange(len(prefix), dtype=np.int32),
+                prefix.view(np.int64))
+
+        def put_held() -> None:
+            if held:
+                rows = [
+                    (len(others), linked, np.setxor1d(tokens, others, assume_unique=True))
+                    for _, linked, others in held
+                ]
+                found = rare_prefixes(len(tokens), rows, percent)
+                for (b, linked, others), row, some in zip(held, rows, found, strict=True):
+                    place, prefix = some or (None, None)
+                    put(head, b, linked, len(others), len(row[2]), place,
+                        None if some is None else prefix.view(np.int64))
+                held.clear()
+
         for batch in batches:
-            out = {c: [] for c in ("linked", "size", "delta", "prefix")}
-            for a, wide, one, other in zip(
-                *(batch[c] for c in ("a", "wide", "_first", "_second")), strict=True
+            for a, b, wide, together, common, data in zip(
+                *(batch[c] for c in ("a", "b", "wide", "_whole", "_often", "_data")), strict=True
             ):
-                if a != held:
-                    held, tokens = a, shingle_set(one, n, cache)
-                others = shingle_set(other, n, cache)
+                others = packed_set(data, n, cache)
+                if b is None:
+                    put_held()
+                    head, tokens, whole, elements = a, others, together, 0
+                    often = None if common is None else np.array(common, np.int64).view(np.uint64)
+                    continue
                 common = len(np.intersect1d(tokens, others, assume_unique=True))
                 linked = 100 * common >= percent * (len(tokens) + len(others) - common)
-                delta, prefix = None, None
-                if wide:
-                    delta, prefix = delta_prefix(tokens, others, linked, percent)
-                    prefix = prefix.view(np.int64)
-                for c, v in zip(out, (linked, len(others), delta, prefix), strict=True):
-                    out[c].append(v)
-            yield {**out, "a": batch["a"], "b": batch["b"]}
+                if not wide:
+                    put(a, b, linked, len(others), None, None, None)
+                elif whole:
+                    held.append((b, linked, others))
+                    elements += len(tokens) + len(others)
+                    if elements > RUN_ELEMENTS:  # too long texts to hold: all rows of the head
+                        whole = False
+                        for row in held:
+                            put_alone(*row)
+                        held.clear()
+                else:
+                    put_alone(b, linked, others)
+            yield out
+            out = {c: [] for c in names}
+        put_held()
+        yield out
 
     return map_batches(
         joined,
         run,
-        "a long, b long, linked boolean, size long, delta long, prefix array<long>",
+        "a long, b long, linked boolean, size long, delta long, place array<int>,"
+        " prefix array<long>",
     )
 
 
@@ -366,7 +526,7 @@ def _across(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     # Only where components differ can a link be missing: first by head, then by element.
     heads = stars.where("not linked").select("a").distinct()
     near = named(
-        stars.drop("prefix").join(heads, "a", "left_semi"), "b", "component"
+        stars.drop("place", "prefix").join(heads, "a", "left_semi"), "b", "component"
     ).groupBy("a").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     mixed = named(
         stars.join(near.where("lo <> hi").select("a"), "a", "left_semi"), "b", "component"
@@ -377,8 +537,10 @@ def _across(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     # Rows of an element hold as little as they can; what else is asked of their sets joins those
     # that are left. Two elements of one hash are one more pair to verify.
     tokens = mixed.select(
-        "a", "b", "component", F.posexplode("prefix").alias("place", "token")
-    ).select("a", "b", "component", "place", F.xxhash64("a", "token").alias("meet"))
+        "a", "b", "component", F.explode(F.arrays_zip("place", "prefix")).alias("_at")
+    ).select(
+        "a", "b", "component", "_at.place", F.xxhash64("a", "_at.prefix").alias("meet")
+    )
     several = (
         tokens.groupBy("meet")
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
@@ -457,18 +619,18 @@ def near_duplicates(
     # Only equal rows of one key give a class two texts; others need no shuffle to tell.
     if sets.groupBy("_key", "_hash").count().where("count > 1").limit(1).count():
         found = found.dropDuplicates(["_cls"])
-    texts = stage(found, "jaccard-texts")
+    texts = stage(packed_texts(found), "jaccard-texts")
     del found
     release_shuffles(docs.sparkSession)
     pairs = shared.where("_cls <> _head").selectExpr("_head as a", "_cls as b", "_wide as wide")
-    stars = stage(verify(pairs, texts, n, percent), "jaccard-stars")
+    stars = verify(pairs, texts, n, percent, "jaccard-stars")
     remove_staged(docs.sparkSession, shared)
-    release_shuffles(docs.sparkSession)
     links = stage(stars.where("linked").select("a", "b"), "jaccard-links")
     labels = stage(connected_components(links), "jaccard-components")
     meeting = _across(stars, labels, percent)
-    across = verify(meeting, texts, n, percent)
+    across = verify(meeting, texts, n, percent, "jaccard-compared")
     more = stage(across.where("linked").select("a", "b"), "jaccard-more")
+    remove_staged(docs.sparkSession, across)
     remove_staged(docs.sparkSession, texts)
     release_shuffles(docs.sparkSession)
     if more.limit(1).count():

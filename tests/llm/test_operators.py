@@ -606,6 +606,41 @@ def test_join_misses_no_link_of_a_large_group(spark, seed, percent, replaced):
     assert rows(got, "doc_id", "n_shingles", "component_id") == Counter(groups(data, 3, percent))
 
 
+@pytest.mark.parametrize(
+    ("seed", "percent", "limits"),
+    [(5, 90, {"RUN": 3, "FEW": 3}), (6, 80, {"RUN": 20, "FEW": 5}), (7, 80, {"RUN_ELEMENTS": 500})],
+)
+def test_join_misses_no_link_of_spread_heads(spark, monkeypatch, seed, percent, limits):
+    prepared(spark)
+    for name, value in limits.items():
+        monkeypatch.setattr(jaccard_join, name, value)
+    data = near_family(seed, 40)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    got = jaccard_join.near_duplicates(df, percent=percent)
+    assert rows(got, "doc_id", "n_shingles", "component_id") == Counter(groups(data, 3, percent))
+
+
+def test_differences_that_meet_nothing_are_not_stored(spark, monkeypatch):
+    prepared(spark)
+    draw = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(40))
+    data = [(i, passage + " " + " ".join(f"w{draw.randrange(10**6)}" for _ in range(120)))
+            for i in range(80)]
+    data += [(80, data[7][1] + " end"), (81, "start " + data[9][1])]
+    stored, across = [], jaccard_join._across
+
+    def counted(stars, *args):
+        stored.append((stars.count(), stars.where("size(prefix) > 0").count()))
+        return across(stars, *args)
+
+    monkeypatch.setattr(jaccard_join, "_across", counted)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    got = jaccard_join.near_duplicates(df, n=5, percent=80)
+    assert rows(got, "doc_id", "n_shingles", "component_id") == Counter(groups(data, 5, 80))
+    # Unlike texts that share a passage are compared with its heads, but have nothing to meet on.
+    assert stored[0][0] > 100 and stored[0][1] < 20
+
+
 def test_packed_longs_come_back():
     draw = np.random.default_rng(1)
     for n in (1, 7, 1000):
